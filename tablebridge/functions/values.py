@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -80,7 +81,7 @@ def widen_unsigned(df: DataFrame, widths: Mapping[str, str]) -> DataFrame:
             continue
         target, top = UNSIGNED[widths[name]]
         wide = col(name).cast("decimal(20,0)")
-        bad = (wide < 0) | (wide > F.lit(top).cast("decimal(20,0)"))
+        bad = (wide < 0) | (wide > F.lit(Decimal(top)).cast("decimal(20,0)"))
         message = F.concat(F.lit(f"{name} does not fit {widths[name]}: "), col(name).cast("string"))
         out.append(F.when(bad, F.raise_error(message).cast(target)).otherwise(wide.cast(target)).alias(name))
     return df.select(*out)
@@ -91,7 +92,7 @@ def unsigned_audit(df: DataFrame, widths: Mapping[str, str]) -> DataFrame:
     require_columns(df, list(widths))
     counts, pairs = [], []
     for i, (name, width) in enumerate(widths.items()):
-        wide, top = col(name).cast("decimal(38,0)"), F.lit(UNSIGNED[width][1]).cast("decimal(38,0)")
+        wide, top = col(name).cast("decimal(38,0)"), F.lit(Decimal(UNSIGNED[width][1])).cast("decimal(38,0)")
         counts += [F.count_if(wide < 0).alias(f"n{i}"), F.count_if(wide > top).alias(f"o{i}")]
         pairs.append(F.struct(F.lit(name).alias("column_name"), F.lit(width).alias("width"),
                               F.col(f"n{i}").alias("negative"), F.col(f"o{i}").alias("too_large")))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 from itertools import combinations
 
@@ -121,13 +122,16 @@ def sequence_value(index: Column, seq: SequenceDef) -> Column:
     edge, restart = (seq.max_value, seq.min_value) if seq.increment > 0 else (seq.min_value, seq.max_value)
     first_run = (edge - seq.start) // seq.increment + 1
     full_run = (edge - restart) // seq.increment + 1
-    i = index.cast("decimal(38,0)")
-    plain = F.lit(seq.start).cast("decimal(38,0)") + i * seq.increment
+    def number(n: int) -> Column:
+        return F.lit(Decimal(n)).cast("decimal(20,0)")
+
+    i = index.cast("decimal(20,0)")
+    plain = number(seq.start) + i * number(seq.increment)
     if seq.cycle:
-        again = F.lit(restart).cast("decimal(38,0)") + F.pmod(i - first_run, F.lit(full_run).cast("decimal(38,0)")) * seq.increment
-        return F.when(i < first_run, plain).otherwise(again).cast("bigint")
-    return F.when(i < first_run, plain).otherwise(
-        F.raise_error("the sequence reached its end").cast("decimal(38,0)")).cast("bigint")
+        again = number(restart) + F.pmod(i - number(first_run), number(full_run)) * number(seq.increment)
+        return F.when(i < number(first_run), plain).otherwise(again).cast("bigint")
+    ended = F.raise_error("the sequence reached its end").cast("bigint")
+    return F.when(i < number(first_run), plain.cast("bigint")).otherwise(ended)
 
 
 def sequence_values(spark: SparkSession, n: int, seq: SequenceDef) -> DataFrame:

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablebridge.model import QueryError
-from tablebridge.sources.scan import bound_literal, col, range_condition, require_columns
+from tablebridge.sources.scan import col, range_condition, require_columns
 
 MAX_TILES = 4096
 
@@ -86,33 +86,52 @@ def sample_bounds(df: DataFrame, columns: Sequence[str], n: int, per_tile: int =
     return list(dict.fromkeys(p for p in picks if all(v is not None for v in p)))
 
 
-def _search(lo: int, hi: int, below) -> Column:
-    """A balanced tree of comparisons: log2(n) tests per row."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(below(mid), _search(lo, mid, below)).otherwise(_search(mid + 1, hi, below))
+def literal_sql(value: Any, data_type: T.DataType) -> str:
+    """A typed literal as SQL text; text travels as hex, so nothing needs escaping."""
+    if value is None:
+        return f"CAST(NULL AS {data_type.simpleString()})"
+    if isinstance(value, str):
+        return f"decode(X'{value.encode().hex()}', 'UTF-8')"
+    text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else str(value)
+    return f"CAST('{text}' AS {data_type.simpleString()})"
+
+
+def _search(key: str, edges: Sequence[str], ids: Sequence[int]) -> str:
+    """A balanced tree of comparisons, log2(n) tests per row, as SQL text.
+
+    Text is parsed in one step; a tree of a thousand column objects takes
+    seconds to build.
+    """
+    def tree(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(ids[lo])
+        mid = (lo + hi) // 2
+        return f"CASE WHEN {key} < {edges[mid]} THEN {tree(lo, mid)} ELSE {tree(mid + 1, hi)} END"
+
+    return tree(0, len(ids) - 1)
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def tile_id_expr(df: DataFrame, column: str, tiles: Sequence[Tile]) -> Column:
-    """The tile a row belongs to, as a codegen-able expression over one column."""
+    """The tile a row belongs to, as one expression over one column."""
     ranges = [t for t in tiles if not t.is_null]
-    data_type = df.schema[column].dataType
-    uppers = [bound_literal(t.upper, data_type) for t in ranges[:-1]]
-    found = _search(0, len(ranges) - 1, lambda i: col(column) < uppers[i])
-    ids = [t.tile_id for t in ranges]
-    if ids != list(range(len(ids))):
-        found = F.element_at(F.array(*[F.lit(i) for i in ids]), found + 1)
-    return F.when(col(column).isNull(), F.lit(-1)).otherwise(found).cast("int")
+    data_type, key = df.schema[column].dataType, _quoted(column)
+    found = _search(key, [literal_sql(t.upper, data_type) for t in ranges[:-1]], [t.tile_id for t in ranges])
+    return F.expr(f"CAST(CASE WHEN {key} IS NULL THEN -1 ELSE {found} END AS INT)")
 
 
 def tuple_tile_expr(df: DataFrame, columns: Sequence[str], bounds: Sequence[tuple]) -> Column:
     """Tile number of a composite key in lexicographic order (NULL sorts first)."""
     types = [df.schema[c].dataType for c in columns]
-    key = F.struct(*[col(c).alias(f"k{i}") for i, c in enumerate(columns)])
-    edges = [F.struct(*[bound_literal(v, t).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(b, types))])
-             for b in bounds]
-    return _search(0, len(edges), lambda i: key < edges[i]).cast("int")
+
+    def composite(parts: Sequence[str]) -> str:
+        return "named_struct(" + ", ".join(f"'k{i}', {p}" for i, p in enumerate(parts)) + ")"
+
+    edges = [composite([literal_sql(v, t) for v, t in zip(b, types)]) for b in bounds]
+    return F.expr(f"CAST({_search(composite([_quoted(c) for c in columns]), edges, range(len(edges) + 1))} AS INT)")
 
 
 def tile_condition(df: DataFrame, column: str, tile: Tile) -> Column:
