@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablebridge.model import ReflectionError
-from tablebridge.operators.typemap import map_mysql_types, map_pg_types, mysql_type, pg_type
+from tablebridge.operators.typemap import map_mysql_types, map_pg_types
 
 TABLE_KEY = ["source_id", "schema_name", "table_name"]
 
@@ -441,7 +441,7 @@ def reflect_sequences(cat: Catalog, scope: Scope = ALL) -> DataFrame:
             frame = rows.select("source_id", F.col("schemaname").alias("schema_name"), F.col("sequencename").alias("sequence_name"),
                                 F.col("data_type").alias("native_type"), "start_value", F.col("increment_by").alias("increment"),
                                 "min_value", "max_value", "cycle")
-        return frame.withColumn("t", pg_type(F.col("native_type"), F.lit(None).cast("array<string>")))
+        return map_pg_types(frame)
     if cat.sequences is None:
         frame = _empty(cat.tables, shape)
     else:
@@ -449,7 +449,7 @@ def reflect_sequences(cat: Catalog, scope: Scope = ALL) -> DataFrame:
         frame = rows.select("source_id", F.col("table_schema").alias("schema_name"), F.col("table_name").alias("sequence_name"),
                             F.lit("bigint").alias("native_type"), "start_value", "increment", "min_value", "max_value",
                             (F.upper("cycle_option") == "YES").alias("cycle"))
-    return frame.withColumn("t", mysql_type(F.col("native_type")))
+    return map_mysql_types(frame)
 
 
 def reflect_functions(cat: Catalog, scope: Scope = ALL) -> DataFrame:

@@ -72,6 +72,16 @@ _SIZED = ("char", "varchar", "binary", "varbinary", "bit")
 _TIMED = ("time", "timestamp")
 
 
+def computed(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later expressions refer to instead of copying.
+
+    The optimizer merges stacked projections by substitution, which here
+    would multiply the expressions; a one-element generator keeps each
+    evaluated once.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def _lookup(table: dict[str, str], name: Column) -> Column:
     """A constant map, folded once and probed per row."""
     return F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), name)
@@ -82,89 +92,91 @@ def _argument(args: Column, position: int) -> Column:
     return F.when(F.regexp_like(text, F.lit(r"^\+?[0-9]+$")), text.try_cast("int"))
 
 
-def _canonical(category: Column, *, args: Column, tz: Column, binary: Column, dims: Column, labels: Column,
-               subtype: Column, native: Column, precision: Column | None = None, scale: Column | None = None) -> Column:
-    first, second = _argument(args, 1), _argument(args, 2)
-    decimal = category == "decimal"
-    return F.struct(
+_WORK = ("_text", "_args", "_dims", "_name", "_labels", "_category", "_first", "_second")
+
+
+def _canonical(df: DataFrame, name: str, *, tz: Column, binary: Column, subtype: Column, native: Column,
+               first: Column | None = None, second: Column | None = None) -> DataFrame:
+    """Add the struct ``name`` from the work columns and drop those."""
+    category = F.col("_category")
+    staged = computed(df, _first=_argument(F.col("_args"), 1) if first is None else first,
+                      _second=_argument(F.col("_args"), 2) if second is None else second)
+    struct = F.struct(
         category.alias("category"),
-        F.when(category.isin(*_SIZED), first).alias("length"),
-        F.when(decimal, first if precision is None else precision).when(category.isin(*_TIMED), first).alias("precision"),
-        F.when(decimal, second if scale is None else scale).alias("scale"),
+        F.when(category.isin(*_SIZED), F.col("_first")).alias("length"),
+        F.when((category == "decimal") | category.isin(*_TIMED), F.col("_first")).alias("precision"),
+        F.when(category == "decimal", F.col("_second")).alias("scale"),
         F.when(category.isin(*_TIMED), tz).alias("tz"),
         F.when(category == "json", binary).alias("binary"),
-        dims.cast("int").alias("dims"),
-        F.when(category == "enum", labels).alias("labels"),
+        F.col("_dims").cast("int").alias("dims"),
+        F.when(category == "enum", F.col("_labels")).alias("labels"),
         F.when(category == "geometry", subtype).alias("subtype"),
         F.when(category == "unsupported", native).alias("native"))
+    return computed(staged, **{name: struct}).drop(*_WORK)
 
 
-def _pg_base(native: Column) -> tuple[Column, Column, Column, Column]:
+def _pg_parts(df: DataFrame, native: str) -> DataFrame:
     """Base text, bare name, arguments and array depth of a PostgreSQL type string."""
-    text = F.trim(native)
+    text = F.trim(F.col(native))
     brackets = F.regexp_extract(text, r"((?:\[\]\s*)+)$", 1)
-    dims = F.length(F.regexp_replace(brackets, r"\s", "")) / 2
-    base = F.trim(F.regexp_replace(text, r"(\[\]\s*)+$", ""))
-    args = F.regexp_extract(base, r"^[^(]*\(([^)]*)\)", 1)
-    name = F.regexp_replace(base, r"^([^(]*?)\s*\([^)]*\)(.*)$", "$1$2")
-    return base, name, args, dims
+    parts = computed(df, _text=F.trim(F.regexp_replace(text, r"(\[\]\s*)+$", "")),
+                     _dims=F.length(F.regexp_replace(brackets, r"\s", "")) / 2)
+    return computed(parts, _args=F.regexp_extract("_text", r"^[^(]*\(([^)]*)\)", 1),
+                    _name=F.regexp_replace("_text", r"^([^(]*?)\s*\([^)]*\)(.*)$", "$1$2"))
 
 
-def pg_type(native: Column, labels: Column) -> Column:
-    """The canonical struct of one PostgreSQL type; ``labels`` is the enum's list or NULL."""
-    base, name, args, dims = _pg_base(native)
-    category = (F.when(labels.isNotNull(), "enum")
-                .when(name.startswith("timestamp"), "timestamp").when(name.startswith("time"), "time")
-                .when(name.startswith("bit"), "bit")
-                .otherwise(F.coalesce(_lookup(PG_NAMES, name), F.lit("unsupported"))))
-    return _canonical(category, args=args, tz=F.contains(name, F.lit("with time zone")), binary=name == "jsonb",
-                      dims=dims, labels=labels, subtype=F.lit(None).cast("string"), native=base)
+def _pg_struct(parts: DataFrame, name: str) -> DataFrame:
+    base = F.col("_name")
+    category = (F.when(F.col("_labels").isNotNull(), "enum")
+                .when(base.startswith("timestamp"), "timestamp").when(base.startswith("time"), "time")
+                .when(base.startswith("bit"), "bit")
+                .otherwise(F.coalesce(_lookup(PG_NAMES, base), F.lit("unsupported"))))
+    return _canonical(computed(parts, _category=category), name, tz=F.contains(base, F.lit("with time zone")),
+                      binary=base == "jsonb", subtype=F.lit(None).cast("string"), native=F.col("_text"))
 
 
-def map_pg_types(columns: DataFrame, enum_labels: DataFrame | None = None) -> DataFrame:
-    """Add ``t`` to an inventory with ``native_type``.
+def map_pg_types(columns: DataFrame, enum_labels: DataFrame | None = None, native: str = "native_type",
+                 name: str = "t") -> DataFrame:
+    """Add the canonical struct of each PostgreSQL type.
 
     ``enum_labels`` holds (source_id, schema_name, type_name, labels). A bare
     type name means the column's own schema, ``schema.type`` the named one.
     """
+    parts = _pg_parts(columns, native)
     if enum_labels is None:
-        return columns.withColumn("t", pg_type(F.col("native_type"), F.lit(None).cast("array<string>")))
-    name = _pg_base(F.col("native_type"))[1]
-    bare = F.replace(name, F.lit('"'), F.lit(""))
+        return _pg_struct(parts.withColumn("_labels", F.lit(None).cast("array<string>")), name)
+    bare = F.replace(F.col("_name"), F.lit('"'), F.lit(""))
     dotted = F.contains(bare, F.lit("."))
-    keyed = (columns.withColumn("_es", F.when(dotted, F.substring_index(bare, ".", 1)).otherwise(F.col("schema_name")))
+    keyed = (parts.withColumn("_es", F.when(dotted, F.substring_index(bare, ".", 1)).otherwise(F.col("schema_name")))
              .withColumn("_et", F.when(dotted, F.substring_index(bare, ".", -1)).otherwise(bare)))
     labels = enum_labels.select(F.col("source_id").alias("_e0"), F.col("schema_name").alias("_e1"),
                                 F.col("type_name").alias("_e2"), F.col("labels").alias("_labels"))
     on = (F.col("source_id") == F.col("_e0")) & (F.col("_es") == F.col("_e1")) & (F.col("_et") == F.col("_e2"))
-    return (keyed.join(labels, on, "left")
-            .withColumn("t", pg_type(F.col("native_type"), F.col("_labels")))
-            .drop("_es", "_et", "_e0", "_e1", "_e2", "_labels"))
+    return _pg_struct(keyed.join(labels, on, "left").drop("_es", "_et", "_e0", "_e1", "_e2"), name)
 
 
-def mysql_type(native: Column) -> Column:
-    """The canonical struct of one MySQL or MariaDB ``COLUMN_TYPE``."""
-    given = F.trim(native)
-    unsigned = F.regexp_like(given, F.lit(r"unsigned(\s+zerofill)?$"))
-    text = F.rtrim(F.regexp_replace(F.rtrim(F.regexp_replace(given, r"(zerofill)+$", "")), r"(unsigned)+$", ""))
-    is_enum = text.startswith("enum(") & text.endswith(")")
+def map_mysql_types(columns: DataFrame, native: str = "native_type", name: str = "t") -> DataFrame:
+    """Add the canonical struct of each MySQL or MariaDB ``COLUMN_TYPE``."""
+    given = F.trim(F.col(native))
+    bare = F.rtrim(F.regexp_replace(F.rtrim(F.regexp_replace(given, r"(zerofill)+$", "")), r"(unsigned)+$", ""))
+    staged = computed(columns, _text=bare, _unsigned=F.regexp_like(given, F.lit(r"unsigned(\s+zerofill)?$")))
+    text, base, unsigned = F.col("_text"), F.col("_name"), F.col("_unsigned")
     labels = F.transform(F.regexp_extract_all(text, F.lit("'((?:[^']|'')*)'"), 1),
                          lambda x: F.replace(x, F.lit("''"), F.lit("'")))
-    args = F.regexp_extract(text, r"^[^(]*\(([^)]*)\)", 1)
-    name = F.trim(F.regexp_replace(text, r"^([^(]*)\([^)]*\).*$", "$1"))
-    category = (F.when(is_enum, "enum").when(text.startswith("set("), "unsupported")
-                .when((name == "tinyint") & (F.trim(args) == "1"), "boolean")
-                .when(unsigned & _lookup(MYSQL_UNSIGNED, name).isNotNull(), _lookup(MYSQL_UNSIGNED, name))
-                .otherwise(F.coalesce(_lookup(MYSQL_NAMES, name), F.lit("unsupported"))))
-    widened = unsigned & (name == "bigint")
-    return _canonical(category, args=args, tz=F.lit(False), binary=F.lit(True), dims=F.lit(0), labels=labels,
-                      subtype=name, native=native,
-                      precision=F.when(widened, F.lit(20)).otherwise(_argument(args, 1)),
-                      scale=F.when(widened, F.lit(0)).otherwise(_argument(args, 2)))
-
-
-def map_mysql_types(columns: DataFrame) -> DataFrame:
-    return columns.withColumn("t", mysql_type(F.col("native_type")))
+    is_enum = text.startswith("enum(") & text.endswith(")")
+    parts = computed(staged, _args=F.regexp_extract(text, r"^[^(]*\(([^)]*)\)", 1), _dims=F.lit(0),
+                     _name=F.trim(F.regexp_replace(text, r"^([^(]*)\([^)]*\).*$", "$1")),
+                     _labels=F.when(is_enum, labels))
+    category = (F.when(F.col("_labels").isNotNull(), "enum").when(text.startswith("set("), "unsupported")
+                .when((base == "tinyint") & (F.trim("_args") == "1"), "boolean")
+                .when(unsigned, F.coalesce(_lookup(MYSQL_UNSIGNED, base), _lookup(MYSQL_NAMES, base), F.lit("unsupported")))
+                .otherwise(F.coalesce(_lookup(MYSQL_NAMES, base), F.lit("unsupported"))))
+    widened = unsigned & (base == "bigint")
+    out = _canonical(computed(parts, _category=category), name, tz=F.lit(False), binary=F.lit(True), subtype=base,
+                     native=F.col(native),
+                     first=F.when(widened, F.lit(20)).otherwise(_argument(F.col("_args"), 1)),
+                     second=F.when(widened, F.lit(0)).otherwise(_argument(F.col("_args"), 2)))
+    return out.drop("_unsigned")
 
 
 def _f(t: Column, name: str) -> Column:
@@ -248,10 +260,9 @@ def lossy_columns(columns: DataFrame, engine: str) -> DataFrame:
     """
     if engine not in ("postgres", "mysql"):
         raise UnsupportedError(f"no type mapping back from {engine!r}")
-    staged = columns.withColumn("target_type", target_type(F.col("t"), engine))
-    back = pg_type(F.col("target_type"), F.lit(None).cast("array<string>")) if engine == "postgres" \
-        else mysql_type(F.col("target_type"))
-    both = staged.withColumn("_b", back)
+    staged = computed(columns, target_type=target_type(F.col("t"), engine))
+    back = map_pg_types if engine == "postgres" else map_mysql_types
+    both = back(staged, native="target_type", name="_b")
     a, b = F.col("t"), F.col("_b")
     checks = [
         (_f(a, "category") != _f(b, "category"), "category"),

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablebridge.operators import catalog as c, ddl, typemap as t
-from tablebridge.queries.registry import query, table
+from tablebridge.operators.verify import schema_diff
+from tablebridge.queries.registry import query
 from tablebridge.queries.snapshots import MYSQL, PG, mysql_catalog, oracle, pg_catalog
+from tablebridge.sources.scan import readable_select_list
 
 _PG_CATEGORY = """CASE q % 16 WHEN 0 THEN 'integer' WHEN 1 THEN 'bigint' WHEN 2 THEN 'decimal' WHEN 3 THEN 'varchar' WHEN 4 THEN 'text' WHEN 5 THEN 'timestamp' WHEN 6 THEN 'timestamp'
  WHEN 7 THEN 'boolean' WHEN 8 THEN 'double' WHEN 9 THEN 'json' WHEN 10 THEN 'uuid' WHEN 11 THEN 'enum' WHEN 12 THEN 'integer' WHEN 13 THEN 'varchar' WHEN 14 THEN 'unsupported' ELSE 'bit' END"""
@@ -93,7 +95,6 @@ SELECT source_id, schema_name, table_name, string_agg(item, ', ' ORDER BY attnum
  CASE WHEN q % 16 IN (11, 14, 15) THEN '"' || attname || '"::text AS "' || attname || '"' ELSE '"' || attname || '"' END AS item {_ATT})
 GROUP BY source_id, schema_name, table_name"""))
 def select_lists(spark, d):
-    from tablebridge.sources.scan import readable_select_list
     return readable_select_list(_columns(spark, d))
 
 
@@ -350,19 +351,14 @@ def ddl_spark(spark, d):
 
 
 @query("schema_diff_catalogs", oracle(PG, f"""
-SELECT {_SQL_KEY}, attname AS column_name, concat_ws(',', 'type changed', CASE WHEN q % 16 <= 1 AND disc < 0.01 THEN 'identity changed' END) AS changes
-{_ATT} WHERE q % 16 NOT IN (0, 1, 4, 7, 9, 14)
+SELECT {_SQL_KEY}, attname AS column_name, 'type changed' AS changes {_ATT} WHERE q % 16 IN (6, 10, 12, 13)
 UNION ALL SELECT {_SQL_KEY}, attname, 'identity changed' {_ATT} WHERE q % 16 <= 1 AND disc < 0.01"""))
 def diff_catalogs(spark, d):
     """The reflected catalogue against itself after a move to MySQL types and identities."""
     cols = _columns(spark, d)
     key = ["source_id", "schema_name", "table_name", "column_name"]
     here = cols.select(*key, "ordinal", t.to_pg_type(F.col("t")).alias("type"), "nullable", "identity")
-    there_t = t.mysql_type(t.to_mysql_type(F.col("t")))
-    there = cols.select(*key, "ordinal", t.to_pg_type(there_t).alias("type"), "nullable", F.when(F.col("identity").isNotNull(), "by_default").alias("identity"))
-    return c_diff(here, there, key)
-
-
-def c_diff(a, b, key):
-    from tablebridge.operators.verify import schema_diff
-    return schema_diff(a, b, key).select(*key, F.array_join("changes", ",").alias("changes"))
+    moved = t.map_mysql_types(t.computed(cols, moved_type=t.to_mysql_type(F.col("t"))), "moved_type", "moved")
+    there = moved.select(*key, "ordinal", t.to_pg_type(F.col("moved")).alias("type"), "nullable",
+                         F.when(F.col("identity").isNotNull(), "by_default").alias("identity"))
+    return schema_diff(here, there, key).select(*key, F.array_join("changes", ",").alias("changes"))
