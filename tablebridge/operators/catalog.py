@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablebridge.model import ReflectionError
-from tablebridge.operators.typemap import map_mysql_types, map_pg_types
+from tablebridge.operators.typemap import computed, map_mysql_types, map_pg_types
 
 TABLE_KEY = ["source_id", "schema_name", "table_name"]
 
@@ -132,17 +132,20 @@ def reflect_tables(cat: Catalog, scope: Scope = ALL) -> DataFrame:
     rel = _relations(cat, scope, ("r", "p"))
     key = F.when(F.col("relkind") == "p", F.col("partkeydef")).alias("partition_key")
     base = rel.select(*TABLE_KEY, key, "oid", "relispartition", F.nullif("comment", F.lit("")).alias("comment"))
+    return _with_parents(cat, base).select(*TABLE_KEY, "partition_key", "parent_schema", "parent_table", "comment")
+
+
+def _with_parents(cat: PgCatalog, base: DataFrame) -> DataFrame:
     if cat.inherits is None:
         none = F.lit(None).cast("string")
-        return base.select(*TABLE_KEY, "partition_key", none.alias("parent_schema"), none.alias("parent_table"), "comment")
+        return base.withColumns({"parent_schema": none, "parent_table": none})
     parent_ns = cat.namespace.select("source_id", F.col("oid").alias("relnamespace"), F.col("nspname").alias("parent_schema"))
     parents = (cat.class_.where("relkind = 'p'").select("source_id", F.col("oid").alias("inhparent"), "relnamespace",
                                                         F.col("relname").alias("parent_table"))
                .join(parent_ns, ["source_id", "relnamespace"]).drop("relnamespace"))
     links = (cat.inherits.join(parents, ["source_id", "inhparent"])
              .select("source_id", F.col("inhrelid").alias("oid"), F.lit(True).alias("relispartition"), "parent_schema", "parent_table"))
-    return (base.join(links, ["source_id", "oid", "relispartition"], "left")
-            .select(*TABLE_KEY, "partition_key", "parent_schema", "parent_table", "comment"))
+    return base.join(links, ["source_id", "oid", "relispartition"], "left")
 
 
 def reflect_enums(cat: PgCatalog, scope: Scope = ALL) -> DataFrame:
@@ -252,10 +255,15 @@ def reflect_foreign_keys(cat: Catalog, scope: Scope = ALL) -> DataFrame:
     return _pg_foreign_keys(cat, scope) if isinstance(cat, PgCatalog) else _mysql_foreign_keys(cat, scope)
 
 
-def _pg_foreign_keys(cat: PgCatalog, scope: Scope) -> DataFrame:
-    if cat.constraint is None:
-        return _empty(cat.class_, FK_SHAPE)
-    own = _attribute_names(cat).select("source_id", F.col("attrelid").alias("conrelid"), F.col("names").alias("own_names"))
+def _resolved(names: Column, numbers: Column, constraint: Column) -> Column:
+    found = _named(names, numbers)
+    gap = names.isNull() | F.exists(found, lambda x: x.isNull())
+    message = F.concat(F.lit("unresolved key column of "), constraint)
+    return F.when(gap, F.raise_error(message).cast("array<string>")).otherwise(found)
+
+
+def _fk_targets(cat: PgCatalog, constraints: DataFrame) -> DataFrame:
+    """Foreign keys with their referenced table and columns and both actions."""
     other = _attribute_names(cat).select("source_id", F.col("attrelid").alias("confrelid"), F.col("names").alias("ref_names"))
     ref_ns = cat.namespace.select("source_id", F.col("oid").alias("relnamespace"), F.col("nspname").alias("referenced_schema"))
     ref = (cat.class_.where("relkind IN ('r', 'p')")
@@ -266,17 +274,19 @@ def _pg_foreign_keys(cat: PgCatalog, scope: Scope) -> DataFrame:
         words = F.create_map(*[F.lit(x) for kv in PG_ACTIONS.items() for x in kv])
         return F.coalesce(F.try_element_at(words, F.col(code)), F.lit("NO ACTION"))
 
-    def resolved(names: str, numbers: str) -> Column:
-        found = _named(F.col(names), F.col(numbers))
-        message = F.concat(F.lit("unresolved key column of "), F.col("conname"))
-        gap = F.col(names).isNull() | F.exists(found, lambda x: x.isNull())
-        return F.when(gap, F.raise_error(message).cast("array<string>")).otherwise(found)
+    return (constraints.join(ref, ["source_id", "confrelid"]).join(other, ["source_id", "confrelid"], "left")
+            .withColumns({"referenced_columns": _resolved(F.col("ref_names"), F.col("confkey"), F.col("conname")),
+                          "on_delete": action("confdeltype"), "on_update": action("confupdtype")}))
+
 
-    return (_pg_constraints(cat, scope, "f").join(own, ["source_id", "conrelid"], "left")
-            .join(ref, ["source_id", "confrelid"]).join(other, ["source_id", "confrelid"], "left")
-            .select(*TABLE_KEY, F.col("conname").alias("constraint_name"), resolved("own_names", "conkey").alias("columns"),
-                    "referenced_schema", "referenced_table", resolved("ref_names", "confkey").alias("referenced_columns"),
-                    action("confdeltype").alias("on_delete"), action("confupdtype").alias("on_update")))
+def _pg_foreign_keys(cat: PgCatalog, scope: Scope) -> DataFrame:
+    if cat.constraint is None:
+        return _empty(cat.class_, FK_SHAPE)
+    own = _attribute_names(cat).select("source_id", F.col("attrelid").alias("conrelid"), F.col("names").alias("own_names"))
+    return (_fk_targets(cat, _pg_constraints(cat, scope, "f")).join(own, ["source_id", "conrelid"], "left")
+            .select(*TABLE_KEY, F.col("conname").alias("constraint_name"),
+                    _resolved(F.col("own_names"), F.col("conkey"), F.col("conname")).alias("columns"),
+                    "referenced_schema", "referenced_table", "referenced_columns", "on_delete", "on_update"))
 
 
 def _mysql_foreign_keys(cat: MysqlCatalog, scope: Scope) -> DataFrame:
@@ -340,10 +350,7 @@ def reflect_indexes(cat: Catalog, scope: Scope = ALL) -> DataFrame:
     return _pg_indexes(cat, scope) if isinstance(cat, PgCatalog) else _mysql_indexes(cat, scope)
 
 
-def _pg_indexes(cat: PgCatalog, scope: Scope) -> DataFrame:
-    if cat.index is None or cat.am is None:
-        return _empty(cat.class_, INDEX_SHAPE)
-    rel = _relations(cat, scope, ("r", "p")).select(*TABLE_KEY, F.col("oid").alias("indrelid"))
+def _plain_indexes(cat: PgCatalog) -> DataFrame:
     own = cat.class_.where("relkind IN ('i', 'I')").select(
         "source_id", F.col("oid").alias("indexrelid"), F.col("relname").alias("index_name"), F.col("relam").alias("amoid"))
     method = cat.am.select("source_id", F.col("oid").alias("amoid"), F.col("amname").alias("method"))
@@ -351,13 +358,24 @@ def _pg_indexes(cat: PgCatalog, scope: Scope) -> DataFrame:
     if cat.constraint is not None:
         backing = cat.constraint.where("conindid IS NOT NULL").select("source_id", F.col("conindid").alias("indexrelid"))
         plain = plain.join(backing, ["source_id", "indexrelid"], "left_anti")
-    names = _attribute_names(cat).withColumnRenamed("attrelid", "indrelid")
-    pairs = F.zip_with("indkey", "indoption", lambda k, o: F.struct(
-        F.try_element_at(F.col("names"), k.cast("int")).alias("name"),
+    return plain.join(own, ["source_id", "indexrelid"]).join(method, ["source_id", "amoid"])
+
+
+def _index_columns(names: Column, numbers: Column, options: Column) -> Column:
+    """Named key columns; expression keys (number 0) have no name and drop out."""
+    pairs = F.zip_with(numbers, options, lambda k, o: F.struct(
+        F.try_element_at(names, k.cast("int")).alias("name"),
         (F.coalesce(o.cast("int"), F.lit(0)).bitwiseAND(1) == 1).alias("descending")))
-    return (plain.join(rel, ["source_id", "indrelid"]).join(own, ["source_id", "indexrelid"])
-            .join(method, ["source_id", "amoid"]).join(names, ["source_id", "indrelid"])
-            .select(*TABLE_KEY, "index_name", F.filter(pairs, lambda x: x["name"].isNotNull()).alias("columns"),
+    return F.filter(pairs, lambda x: x["name"].isNotNull())
+
+
+def _pg_indexes(cat: PgCatalog, scope: Scope) -> DataFrame:
+    if cat.index is None or cat.am is None:
+        return _empty(cat.class_, INDEX_SHAPE)
+    rel = _relations(cat, scope, ("r", "p")).select(*TABLE_KEY, F.col("oid").alias("indrelid"))
+    names = _attribute_names(cat).withColumnRenamed("attrelid", "indrelid")
+    return (_plain_indexes(cat).join(rel, ["source_id", "indrelid"]).join(names, ["source_id", "indrelid"])
+            .select(*TABLE_KEY, "index_name", _index_columns(F.col("names"), F.col("indkey"), F.col("indoption")).alias("columns"),
                     F.col("indisunique").alias("is_unique"), "method"))
 
 
@@ -391,17 +409,22 @@ def trigger_events(bits: Column) -> Column:
     return F.array_compact(F.array(*[F.when(bits.bitwiseAND(bit) != 0, F.lit(word)) for bit, word in TRIGGER_EVENTS]))
 
 
+def _plain_triggers(cat: PgCatalog) -> DataFrame:
+    proc = cat.proc.select("source_id", F.col("oid").alias("tgfoid"), F.col("proname").alias("function_name"))
+    bits = F.col("tgtype").cast("int")
+    return (cat.trigger.where("NOT tgisinternal").join(proc, ["source_id", "tgfoid"])
+            .select("source_id", "tgrelid", F.col("tgname").alias("trigger_name"), trigger_timing(bits).alias("timing"),
+                    trigger_events(bits).alias("events"), "function_name", F.col("definition").alias("body")))
+
+
 def reflect_triggers(cat: Catalog, scope: Scope = ALL) -> DataFrame:
     """Timing and events from the bit mask or the words; bodies as they are."""
     if isinstance(cat, PgCatalog):
         if cat.trigger is None or cat.proc is None:
             return _empty(cat.class_, TRIGGER_SHAPE)
         rel = _relations(cat, scope, ("r", "p", "v", "m", "f")).select(*TABLE_KEY, F.col("oid").alias("tgrelid"))
-        proc = cat.proc.select("source_id", F.col("oid").alias("tgfoid"), F.col("proname").alias("function_name"))
-        bits = F.col("tgtype").cast("int")
-        return (cat.trigger.where("NOT tgisinternal").join(rel, ["source_id", "tgrelid"]).join(proc, ["source_id", "tgfoid"])
-                .select(*TABLE_KEY, F.col("tgname").alias("trigger_name"), trigger_timing(bits).alias("timing"),
-                        trigger_events(bits).alias("events"), "function_name", F.col("definition").alias("body")))
+        return (_plain_triggers(cat).join(rel, ["source_id", "tgrelid"])
+                .select(*TABLE_KEY, "trigger_name", "timing", "events", "function_name", "body"))
     if cat.triggers is None:
         return _empty(cat.tables, TRIGGER_SHAPE)
     rows = _mysql_user(scope.of(cat.triggers, "trigger_schema", "event_object_table"), "trigger_schema")
@@ -482,20 +505,31 @@ def reflect_comments(cat: Catalog, scope: Scope = ALL) -> DataFrame:
 def assemble_catalog(cat: Catalog, scope: Scope = ALL) -> DataFrame:
     """One row per table with everything about it nested.
 
-    All parts go through one union and one aggregation per table. A table's
-    parts are bounded by its engine (columns, keys, indexes); whole schemas
-    are never nested into a row, they stay grouped by their name columns.
+    A table's parts are bounded by its engine (columns, keys, indexes); whole
+    schemas are never nested into a row, they stay grouped by their name
+    columns.
     """
     tables = reflect_tables(cat, scope)
     if scope.table is not None and tables.isEmpty():
         raise ReflectionError(f"table {scope.schema}.{scope.table} not found")
+    return _assemble_pg(cat, scope) if isinstance(cat, PgCatalog) else _assemble_mysql(cat, scope, tables)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out
 
+
+def _assemble_mysql(cat: MysqlCatalog, scope: Scope, tables: DataFrame) -> DataFrame:
+    """All parts carry the table's names: one union, one aggregation."""
     def part(df: DataFrame, name: str, *fields: str) -> DataFrame:
         return df.select(*TABLE_KEY, F.struct(*fields).alias(name))
 
-    parts = [
+    union = _union([
         part(tables, "info", "partition_key", "parent_schema", "parent_table", "comment"),
-        part(reflect_columns(cat, scope), "columns", "ordinal", "column_name", "native_type", "nullable", "default_expr", "identity", "comment", "t"),
+        part(_mysql_columns(cat, scope), "columns", "ordinal", "column_name", "native_type", "nullable", "default_expr", "identity", "comment", "t"),
         part(reflect_primary_keys(cat, scope), "primary_keys", "constraint_name", "columns"),
         part(reflect_foreign_keys(cat, scope), "foreign_keys", "constraint_name", "columns", "referenced_schema", "referenced_table",
              "referenced_columns", "on_delete", "on_update"),
@@ -504,16 +538,94 @@ def assemble_catalog(cat: Catalog, scope: Scope = ALL) -> DataFrame:
         part(reflect_exclusion_constraints(cat, scope), "exclusion_constraints", "constraint_name", "definition"),
         part(reflect_indexes(cat, scope), "indexes", "index_name", "columns", "is_unique", "method"),
         part(reflect_triggers(cat, scope), "triggers", "trigger_name", "timing", "events", "function_name", "body"),
-    ]
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p, allowMissingColumns=True)
+    ])
     lists = ["columns", "foreign_keys", "unique_constraints", "check_constraints", "exclusion_constraints", "indexes", "triggers"]
     grouped = union.groupBy(*TABLE_KEY).agg(
         F.first("info", ignorenulls=True).alias("info"), F.first("primary_keys", ignorenulls=True).alias("primary_key"),
         *[F.array_sort(F.collect_list(n)).alias(n) for n in lists])
-    # Parts of relations that are not tables (view triggers) carry no info.
+    # Parts of relations that are not base tables carry no info.
     return grouped.where(F.col("info").isNotNull()).select(
         *TABLE_KEY, "columns", "primary_key", *lists[1:], F.col("info.partition_key").alias("partition_key"),
         F.col("info.parent_schema").alias("parent_schema"), F.col("info.parent_table").alias("parent_table"),
         F.col("info.comment").alias("comment"))
+
+
+def _assemble_pg(cat: PgCatalog, scope: Scope) -> DataFrame:
+    """The parts of each relation meet in one aggregation by its id.
+
+    Key and index columns are then named inside the row from the relation's
+    own attributes; only foreign keys look up another relation.
+    """
+    rel = _relations(cat, scope, ("r", "p")).withColumnRenamed("oid", "relid")
+    key = ["source_id", "relid"]
+
+    def within(df: DataFrame, column: str) -> DataFrame:
+        keyed = df.withColumn("relid", F.col(column))
+        return keyed if scope == ALL else keyed.join(rel.select(*key), key, "left_semi")
+
+    identity = F.when(F.col("attidentity") == "a", "always").when(F.col("attidentity") == "d", "by_default")
+    attributes = (within(cat.attribute.where("attnum > 0"), "attrelid")
+                  .join(rel.select(*key, "schema_name", "table_name"), key)
+                  .select(*key, "schema_name", "table_name", F.col("attnum").cast("int").alias("ordinal"), F.col("attname").alias("column_name"),
+                          "native_type", (~F.col("attnotnull")).alias("nullable"), "default_expr", identity.alias("identity"), "comment",
+                          "attisdropped"))
+    fields = ["ordinal", "column_name", "native_type", "nullable", "default_expr", "identity", "comment", "t"]
+    parts = [map_pg_types(attributes, reflect_enums(cat)).select(*key, F.struct(*fields, "attisdropped").alias("attribute"))]
+    if cat.constraint is not None:
+        con = within(cat.constraint.where("contype IN ('p', 'u', 'c', 'x')"), "conrelid")
+        parts.append(con.select(*key, F.struct(F.col("conname").alias("constraint_name"), "contype", "conkey", "definition").alias("con")))
+        parts.append(_fk_targets(cat, within(cat.constraint.where("contype = 'f'"), "conrelid")).select(*key, F.struct(
+            F.col("conname").alias("constraint_name"), "conkey", "referenced_schema", "referenced_table", "referenced_columns",
+            "on_delete", "on_update").alias("fk")))
+    if cat.index is not None and cat.am is not None:
+        parts.append(within(_plain_indexes(cat), "indrelid").select(*key, F.struct(
+            "index_name", "indkey", "indoption", F.col("indisunique").alias("is_unique"), "method").alias("ix")))
+    if cat.trigger is not None and cat.proc is not None:
+        parts.append(within(_plain_triggers(cat), "tgrelid").select(*key, F.struct(
+            "trigger_name", "timing", "events", "function_name", "body").alias("trigger")))
+    empty = {"con": "struct<constraint_name:string,contype:string,conkey:array<smallint>,definition:string>",
+             "fk": "struct<constraint_name:string,conkey:array<smallint>,referenced_schema:string,referenced_table:string,"
+                   "referenced_columns:array<string>,on_delete:string,on_update:string>",
+             "ix": "struct<index_name:string,indkey:array<smallint>,indoption:array<smallint>,is_unique:boolean,method:string>",
+             "trigger": "struct<trigger_name:string,timing:string,events:array<string>,function_name:string,body:string>"}
+    union = _union(parts)
+    for name, shape in empty.items():
+        if name not in union.columns:
+            union = union.withColumn(name, F.lit(None).cast(shape))
+    grouped = union.groupBy(*key).agg(*[F.array_sort(F.collect_list(n)).alias(n) for n in ("attribute", *empty)])
+    head = _with_parents(cat, rel.select(*TABLE_KEY, F.when(F.col("relkind") == "p", F.col("partkeydef")).alias("partition_key"),
+                                         F.col("relid").alias("oid"), "relispartition", F.nullif("comment", F.lit("")).alias("comment")))
+    # Joining first drops parts of relations that are not tables.
+    joined = head.withColumnRenamed("oid", "relid").join(grouped, key, "left")
+    entries = F.transform("attribute", lambda x: F.struct(x["ordinal"], x["column_name"]))
+    named = computed(joined, names=F.map_from_entries(entries))
+    names = F.col("names")
+
+    def known(numbers: Column) -> Column:
+        return F.array_compact(_named(names, numbers))
+
+    def of_kind(kind: str, shape) -> Column:
+        return F.transform(F.filter("con", lambda x: x["contype"] == kind), shape)
+
+    def keyed(x: Column) -> Column:
+        return F.struct(x["constraint_name"], known(x["conkey"]).alias("columns"))
+
+    def foreign(x: Column) -> Column:
+        return F.struct(x["constraint_name"], _resolved(names, x["conkey"], x["constraint_name"]).alias("columns"),
+                        *[x[n] for n in ("referenced_schema", "referenced_table", "referenced_columns", "on_delete", "on_update")])
+
+    live = F.transform(F.filter("attribute", lambda x: ~x["attisdropped"]), lambda x: F.struct(*[x[n] for n in fields]))
+    nested = {
+        "columns": live,
+        "foreign_keys": F.transform("fk", foreign),
+        "unique_constraints": of_kind("u", keyed),
+        "check_constraints": of_kind("c", lambda x: F.struct(x["constraint_name"], bare_check(x["definition"]).alias("expression"))),
+        "exclusion_constraints": of_kind("x", lambda x: F.struct(x["constraint_name"], x["definition"])),
+        "indexes": F.transform("ix", lambda x: F.struct(
+            x["index_name"], _index_columns(names, x["indkey"], x["indoption"]).alias("columns"), x["is_unique"], x["method"])),
+        "triggers": F.col("trigger"),
+    }
+    filled = {n: F.coalesce(c, F.array()).alias(n) for n, c in nested.items()}
+    columns = filled.pop("columns")
+    return named.select(*TABLE_KEY, columns, F.try_element_at(of_kind("p", keyed), F.lit(1)).alias("primary_key"), *filled.values(),
+                        "partition_key", "parent_schema", "parent_table", "comment")

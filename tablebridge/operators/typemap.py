@@ -29,6 +29,7 @@ PG_NAMES = {
     "interval": "interval", "uuid": "uuid",
     "json": "json", "jsonb": "json", "xml": "xml",
 }
+PG_TIMED_OR_BIT = "^(bit|bit varying|(time|timestamp)( with(out)? time zone)?)$"
 MYSQL_NAMES = {
     "tinyint": "smallint", "smallint": "smallint",
     "mediumint": "integer", "int": "integer", "integer": "integer",
@@ -147,8 +148,12 @@ def map_pg_types(columns: DataFrame, enum_labels: DataFrame | None = None, nativ
         return _pg_struct(parts.withColumn("_labels", F.lit(None).cast("array<string>")), name)
     bare = F.replace(F.col("_name"), F.lit('"'), F.lit(""))
     dotted = F.contains(bare, F.lit("."))
-    keyed = (parts.withColumn("_es", F.when(dotted, F.substring_index(bare, ".", 1)).otherwise(F.col("schema_name")))
-             .withColumn("_et", F.when(dotted, F.substring_index(bare, ".", -1)).otherwise(bare)))
+    schema = F.when(dotted, F.substring_index(bare, ".", 1)).otherwise(F.col("schema_name"))
+    builtin = F.col("_name").isin(*PG_NAMES) | F.regexp_like(F.col("_name"), F.lit(PG_TIMED_OR_BIT))
+    # Built-in types match no label; the table name spreads them over the join's
+    # partitions, where their few type names in a large schema would pile up.
+    keyed = computed(parts, _es=F.when(builtin, F.col("table_name")).otherwise(schema),
+                     _et=F.when(builtin, "").otherwise(F.substring_index(bare, ".", -1)))
     labels = enum_labels.select(F.col("source_id").alias("_e0"), F.col("schema_name").alias("_e1"),
                                 F.col("type_name").alias("_e2"), F.col("labels").alias("_labels"))
     on = (F.col("source_id") == F.col("_e0")) & (F.col("_es") == F.col("_e1")) & (F.col("_et") == F.col("_e2"))

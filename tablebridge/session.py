@@ -20,6 +20,7 @@ def local_session(cpus: int | str = "*", app: str = "tablebridge", **conf: str)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.sql.sources.fileCompressionFactor", "3.0")  # Parquet is smaller than its rows
         .config("spark.driver.memory", "16g")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
