@@ -13,6 +13,7 @@ from tablebridge.model import (CASCADE, NO_ACTION, REFERENTIAL_ACTIONS, RESTRICT
                                DdlError, ForeignKey, QueryError)
 from tablebridge.operators.constraints import any_null, pk_violations
 from tablebridge.session import stage
+from tablebridge.sources.batches import spread_key
 from tablebridge.sources.scan import col, require_columns
 
 
@@ -51,6 +52,23 @@ def _replace(child: DataFrame, columns: Sequence[str], hit: Column, values: Mapp
                           for c in child.columns if c != "_hit"])
 
 
+def _spread(df: DataFrame, columns: Sequence[str], keys: DataFrame, how: str) -> DataFrame:
+    """Join on nullable ``columns`` with ``keys`` (columns _k0, _k1, ...), one row per key.
+
+    Rows with a NULL key match nothing, but would all hash to one task. A
+    companion key takes the hash of the whole row there, and the hash of the
+    key everywhere else, on both sides.
+    """
+    names = _names(columns)
+    # A key the column's type cannot hold matches no row; the cast makes it NULL.
+    cast = {n: F.col(n).try_cast(df.schema[c].dataType) for n, c in zip(names, columns)}
+    typed = keys.select(*[F.when(t == F.col(n), t).alias(n) for n, t in cast.items()],
+                        *[c for c in keys.columns if c not in names])
+    right = typed.withColumn("_kh", F.xxhash64(*names))
+    left = df.withColumn("_h", F.when(any_null(columns), spread_key(df)).otherwise(F.xxhash64(*[col(c) for c in columns])))
+    return left.join(right, _pairs(columns, names) & (F.col("_h") == F.col("_kh")), how).drop("_h", "_kh")
+
+
 def apply_delete(parent: DataFrame, child: DataFrame, fk: ForeignKey, keys: DataFrame,
                  defaults: Mapping[str, str] | None = None, on_blocked: str = "error") -> ActionResult:
     """Delete the parent rows listed in ``keys`` (columns named as the referenced ones).
@@ -64,18 +82,18 @@ def apply_delete(parent: DataFrame, child: DataFrame, fk: ForeignKey, keys: Data
     require_columns(parent, fk.referenced_columns)
     require_columns(keys, fk.referenced_columns)
     doomed = _keys(keys, fk.referenced_columns).distinct()
-    on_parent, on_child = _pairs(fk.referenced_columns, doomed.columns), _pairs(fk.columns, doomed.columns)
-    survivors = parent.join(doomed, on_parent, "left_anti")
+    survivors = _spread(parent, fk.referenced_columns, doomed, "left_anti")
     nothing = child.where(F.lit(False))
     if fk.on_delete == CASCADE:
-        return ActionResult(survivors, child.join(doomed, on_child, "left_anti"), nothing)
+        return ActionResult(survivors, _spread(child, fk.columns, doomed, "left_anti"), nothing)
     # Only keys that were really parents touch a child.
     doomed = doomed.join(_keys(parent, fk.referenced_columns, "_p"),
                          reduce(lambda x, y: x & y, [F.col(f"_k{i}") == F.col(f"_p{i}")
                                                      for i in range(len(fk.columns))]), "left_semi")
     if fk.on_delete in (NO_ACTION, RESTRICT):
-        return _refuse(parent, child, survivors, child.join(doomed, on_child, "left_semi"), fk, on_blocked)
-    marked = child.join(doomed.withColumn("_hit", F.lit(True)), on_child, "left").drop(*doomed.columns)
+        blocked = child.join(doomed, _pairs(fk.columns, doomed.columns), "left_semi")
+        return _checked(parent, child, survivors, child, blocked, fk, on_blocked)
+    marked = _spread(child, fk.columns, doomed.withColumn("_hit", F.lit(True)), "left").drop(*doomed.columns)
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     if fk.on_delete == SET_NULL:
         nulls = {c: F.lit(None).cast(child.schema[c].dataType) for c in fk.columns}
@@ -88,10 +106,6 @@ def apply_delete(parent: DataFrame, child: DataFrame, fk: ForeignKey, keys: Data
     return _checked(parent, child, survivors, _replace(marked, fk.columns, hit, values), blocked, fk, on_blocked)
 
 
-def _refuse(parent, child, survivors, blocked, fk, on_blocked) -> ActionResult:
-    return _checked(parent, child, survivors, child, blocked, fk, on_blocked)
-
-
 def _checked(parent: DataFrame, child: DataFrame, new_parent: DataFrame, new_child: DataFrame,
              blocked: DataFrame, fk: ForeignKey, on_blocked: str) -> ActionResult:
     if blocked.isEmpty():
@@ -118,7 +132,7 @@ def apply_key_update(parent: DataFrame, child: DataFrame, fk: ForeignKey, mappin
                reduce(lambda x, y: x & y, [F.col(f"_k{i}") == F.col(f"_p{i}") for i in range(len(pairs))]), "left_semi")
 
     def rewritten(df: DataFrame, columns: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
-        joined = df.join(m, _pairs(columns, pairs), "left")
+        joined = _spread(df, columns, m, "left")
         hit = F.coalesce(F.col("_hit"), F.lit(False))
         return joined.select(*[F.when(hit, values[c]).otherwise(col(c)).alias(c) if c in values else col(c)
                                for c in df.columns])

@@ -350,7 +350,7 @@ def ddl_spark(spark, d):
     return ddl.render_ddl(c.assemble_catalog(pg_catalog(spark, d)), "spark")
 
 
-@query("schema_diff_catalogs", oracle(PG, f"""
+@query("schema_diff", oracle(PG, f"""
 SELECT {_SQL_KEY}, attname AS column_name, 'type changed' AS changes {_ATT} WHERE q % 16 IN (6, 10, 12, 13)
 UNION ALL SELECT {_SQL_KEY}, attname, 'identity changed' {_ATT} WHERE q % 16 <= 1 AND disc < 0.01"""))
 def diff_catalogs(spark, d):

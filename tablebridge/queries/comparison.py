@@ -111,19 +111,6 @@ def verify(spark, d):
     return v.verify_copy(_orig(spark, d), _copy(spark, d))
 
 
-@query("schema_diff", """
-WITH b AS (SELECT o_orderkey, o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY ALL)
-SELECT * FROM (VALUES ('o_custkey', 'removed', 'bigint', NULL), ('o_orderstatus', 'removed', 'string', NULL),
- ('o_totalprice', 'type changed,position changed', 'double', 'decimal(18,2)'), ('o_orderdate', 'position changed', 'timestamp_ntz', 'timestamp_ntz'),
- ('o_orderpriority', 'removed', 'string', NULL), ('priority', 'added', NULL, 'string')) x(column_name, changes, type_a, type_b)""")
-def structure(spark, d):
-    orders = table(spark, d, "orders")
-    other = orders.select("o_orderkey", "o_orderdate", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"),
-                          F.col("o_orderpriority").alias("priority"))
-    out = v.schema_diff(v.columns_frame(orders), v.columns_frame(other))
-    return out.withColumn("changes", F.array_join("changes", ","))
-
-
 _ZERO_SQL = """CASE WHEN event_type = 'view' THEN CAST('-0.0' AS DOUBLE) WHEN event_type = 'click' THEN CAST('0.0' AS DOUBLE)
  WHEN event_type = 'error' THEN CAST('NaN' AS DOUBLE) WHEN event_type = 'signup' THEN NULL ELSE value END"""
 

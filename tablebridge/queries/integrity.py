@@ -229,12 +229,23 @@ def cascade(spark, d):
     return out
 
 
-@query("discover_keys", """
-SELECT 'n_nationkey' AS key_columns, 1 AS width WHERE (SELECT count(*) = count(DISTINCT n_nationkey) FROM nation)
-UNION ALL SELECT 'n_name', 1 WHERE (SELECT count(*) = count(DISTINCT n_name) FROM nation)
-UNION ALL SELECT 'n_name,n_regionkey', 2 WHERE (SELECT count(*) > count(DISTINCT n_name) AND count(*) = count(DISTINCT (n_name, n_regionkey)) FROM nation)""")
+_KEY_SETS = [("o_orderkey",), ("o_custkey",), ("o_totalprice",), ("o_orderdate",), ("o_custkey", "o_totalprice"),
+             ("o_custkey", "o_orderdate"), ("o_totalprice", "o_orderdate")]
+
+
+def _key_sql() -> str:
+    """Every set that is unique and has no unique column in it."""
+    parts = []
+    for s in _KEY_SETS:
+        narrow = "".join(f" AND count(DISTINCT {c}) < count(*)" for c in s if len(s) > 1)
+        parts.append(f"SELECT '{','.join(s)}' AS key_columns, {len(s)} AS width WHERE "
+                     f"(SELECT count(DISTINCT ({', '.join(s)})) = count(*){narrow} FROM orders)")
+    return " UNION ALL ".join(parts)
+
+
+@query("discover_keys", _key_sql())
 def find_keys(spark, d):
-    return k.discover_keys(table(spark, d, "nation"), 2)
+    return k.discover_keys(table(spark, d, "orders"), 2, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
 
 
 @query("discover_keys_composite", """

@@ -22,13 +22,10 @@ def bulk(spark, d):
     """Two appends; the second brings other column names and goes by position."""
     path = staging_path(spark, "bulk")
     orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    rows = sink.bulk_write(orders, path) + sink.bulk_write(orders.toDF("a", "b", "c", "d"), path)
+    rows = sink.bulk_write(orders, path, "errorifexists") + sink.bulk_write(orders.toDF("a", "b", "c", "d"), path)
     return spark.read.parquet(path).withColumn("reported", F.lit(rows).cast("bigint"))
 
 
-_JSON_SQL = "CASE WHEN event_type = 'view' THEN '\"' || event_type || '\"' WHEN event_type = 'error' THEN NULL ELSE props END"
-
-
 @query("estimate_row_bytes", f"""
 SELECT event_id, 16 * 4 + length(event_type) + 16 + CASE WHEN event_type = 'view' THEN 36 WHEN event_type = 'error' THEN 16 ELSE 256 END AS row_bytes
 FROM events""")

@@ -161,19 +161,24 @@ def _sql_literal(value: Any) -> str:
     return str(value)
 
 
-def jdbc_tiled_scan(spark: SparkSession, url: str, table: str, column: str, tiles: Sequence[Tile],
-                    quote: str = '"', **options: str) -> DataFrame:
-    """A remote table read by one task and one bounded query per tile."""
+def jdbc_predicates(column: str, tiles: Sequence[Tile], quote: str = '"') -> list[str]:
+    """One WHERE text per tile; together they cover every row once."""
     name = quote + column.replace(quote, quote * 2) + quote
-    predicates = []
+    out = []
     for tile in tiles:
         parts = [f"{name} IS NULL"] if tile.is_null else []
         if tile.lower is not None:
             parts.append(f"{name} >= {_sql_literal(tile.lower)}")
         if tile.upper is not None:
             parts.append(f"{name} < {_sql_literal(tile.upper)}")
-        predicates.append(" AND ".join(parts) or f"{name} IS NOT NULL")
-    return spark.read.jdbc(url, table, predicates=predicates, properties=dict(options))
+        out.append(" AND ".join(parts) or f"{name} IS NOT NULL")
+    return out
+
+
+def jdbc_tiled_scan(spark: SparkSession, url: str, table: str, column: str, tiles: Sequence[Tile],
+                    quote: str = '"', **options: str) -> DataFrame:
+    """A remote table read by one task and one bounded query per tile."""
+    return spark.read.jdbc(url, table, predicates=jdbc_predicates(column, tiles, quote), properties=dict(options))
 
 
 def tile_coverage(df: DataFrame, column: str, tiles: Sequence[Tile]) -> DataFrame:
