@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tablebridge.functions.floats import bitwise_equal, has_floats, restore_zero_signs, zero_signs
+from tablebridge.functions.floats import FLOATS, bitwise_equal, has_floats, is_negative_zero, restore_zero_signs, zero_signs
 from tablebridge.model import QueryError
 from tablebridge.sources.scan import col, require_columns
 from tablebridge.sources.tiles import Tile, plan_key_tiles, tile_condition, tile_id_expr
@@ -110,28 +110,52 @@ def row_digest(df: DataFrame) -> Column:
     return F.md5(F.concat(*fields).cast("binary"))
 
 
-def table_fingerprint(df: DataFrame, tile: Column | None = None) -> DataFrame:
-    """Row count and two order-insensitive hash sums, overall or per ``tile``.
+def row_hashes(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes per row without making text of numbers.
 
-    Sums over 32-bit parts of each row's digest combine before any shuffle.
+    The engine's hash skips NULLs and merges both zeros, so a bit mask of each
+    goes in as well. Arrays and documents, whose inner NULLs it would skip too,
+    go in as their unambiguous text.
     """
-    digest = row_digest(df)
-    hashed = df.select(*([tile.alias("tile_id")] if tile is not None else []), digest.alias("_d"))
-
-    def lane(start: int) -> Column:
-        return F.sum(F.conv(F.substring("_d", start, 8), 16, 10).cast("decimal(20,0)"))
+    fields = df.schema.fields
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    cells = [cell_text(col(f.name), f.dataType) if isinstance(f.dataType, nested) else col(f.name) for f in fields]
+    flags = [c.isNull() for c in cells] + [is_negative_zero(col(f.name)) for f in fields if isinstance(f.dataType, FLOATS)]
+    masks = []
+    for start in range(0, len(flags), 60):
+        mask = F.lit(0).cast("bigint")
+        for i, flag in enumerate(flags[start:start + 60]):
+            mask = mask + F.when(flag, F.lit(1 << i).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+        masks.append(mask)
+    return [F.xxhash64(F.lit(seed), *cells, *masks) for seed in (1, 2)]
+
+
+def table_fingerprint(df: DataFrame, tile: Column | None = None, method: str = "md5") -> DataFrame:
+    """Row count and two order-insensitive hash sums, overall or per ``tile``.
 
-    aggs = [F.count(F.lit(1)).alias("rows"),
-            F.coalesce(lane(1).cast("string"), F.lit("0")).alias("hash_a"),
-            F.coalesce(lane(9).cast("string"), F.lit("0")).alias("hash_b")]
+    ``md5`` sums 32-bit parts of each row's digest and can be recomputed by
+    any engine; ``xxhash`` is faster and compares tables within Spark. The
+    sums combine before any shuffle and are exact for any number of rows.
+    """
+    if method == "md5":
+        hashed = df.select(*([tile.alias("tile_id")] if tile is not None else []), row_digest(df).alias("_d"))
+        parts = [F.conv(F.substring("_d", start, 8), 16, 10) for start in (1, 9)]
+    elif method == "xxhash":
+        one, two = row_hashes(df)
+        hashed = df.select(*([tile.alias("tile_id")] if tile is not None else []), one.alias("_a"), two.alias("_b"))
+        parts = [F.col("_a"), F.col("_b")]
+    else:
+        raise QueryError(f"unknown fingerprint method {method!r}")
+    sums = [F.coalesce(F.sum(p.cast("decimal(20,0)")).cast("string"), F.lit("0")) for p in parts]
+    aggs = [F.count(F.lit(1)).alias("rows"), sums[0].alias("hash_a"), sums[1].alias("hash_b")]
     return hashed.groupBy("tile_id").agg(*aggs) if tile is not None else hashed.agg(*aggs)
 
 
 def unequal_tiles(a: DataFrame, b: DataFrame, column: str, tiles: Sequence[Tile]) -> DataFrame:
     """Tiles whose fingerprints differ, missing ones included."""
     require_same_schema(a, b)
-    fa = table_fingerprint(a, tile_id_expr(a, column, tiles))
-    fb = table_fingerprint(b, tile_id_expr(b, column, tiles))
+    fa = table_fingerprint(a, tile_id_expr(a, column, tiles), "xxhash")
+    fb = table_fingerprint(b, tile_id_expr(b, column, tiles), "xxhash")
     named = [fb[c].alias(f"{c}_b") for c in ("rows", "hash_a", "hash_b")]
     joined = fa.join(fb.select(F.col("tile_id"), *named), "tile_id", "full_outer")
     same = (F.col("rows").eqNullSafe(F.col("rows_b")) & F.col("hash_a").eqNullSafe(F.col("hash_a_b"))
@@ -203,9 +227,9 @@ def schema_diff(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("column_name"
 def verify_copy(src: DataFrame, dst: DataFrame) -> DataFrame:
     """One row: schemas alike, counts alike, fingerprints alike, and the verdict."""
     alike = [(f.name, f.dataType) for f in src.schema.fields] == [(f.name, f.dataType) for f in dst.schema.fields]
-    a = table_fingerprint(src).select(F.col("rows").alias("rows_a"), F.col("hash_a").alias("h1"), F.col("hash_b").alias("h2"),
+    a = table_fingerprint(src, method="xxhash").select(F.col("rows").alias("rows_a"), F.col("hash_a").alias("h1"), F.col("hash_b").alias("h2"),
                                       F.lit(1).alias("_one"))
-    b = table_fingerprint(dst).select(F.col("rows").alias("rows_b"), F.col("hash_a").alias("h3"), F.col("hash_b").alias("h4"),
+    b = table_fingerprint(dst, method="xxhash").select(F.col("rows").alias("rows_b"), F.col("hash_a").alias("h3"), F.col("hash_b").alias("h4"),
                                       F.lit(1).alias("_one"))
     same = (F.col("h1") == F.col("h3")) & (F.col("h2") == F.col("h4"))
     return (a.join(b, "_one")

@@ -56,8 +56,13 @@ def test_types_must_match(spark):
 
 def test_fields_cannot_run_together(spark):
     pairs = [("ab", "c"), ("a", "bc"), ("", "abc"), ("abc", ""), (None, "abc"), ("-", "abc"), ("1:a", "bc")]
-    prints = {tuple(v.table_fingerprint(spark.createDataFrame([p], "x string, y string")).first()) for p in pairs}
-    assert len(prints) == len(pairs)
+    for method in ("md5", "xxhash"):
+        prints = {tuple(v.table_fingerprint(spark.createDataFrame([p], "x string, y string"), method=method).first()) for p in pairs}
+        assert len(prints) == len(pairs)
+    nulls = {tuple(v.table_fingerprint(spark.createDataFrame([(p,)], "x array<int>"), method="xxhash").first()) for p in ([1, None], [None, 1], [1], [], None)}
+    assert len(nulls) == 5
+    with pytest.raises(QueryError):
+        v.table_fingerprint(spark.range(1), method="crc")
 
 
 def test_variants_compare_by_content(spark):
