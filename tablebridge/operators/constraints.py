@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tablebridge.functions.values import lost_in, parse_schema
 from tablebridge.model import QueryError
-from tablebridge.sources.batches import spread_key
+from tablebridge.sources.batches import with_tie_break
 from tablebridge.sources.scan import col, require_columns
 from tablebridge.sources.tiles import sample_bounds, tuple_tile_expr
 
@@ -132,7 +132,7 @@ def exclusion_violations(df: DataFrame, eq_columns: Sequence[str], lower: str, u
     """
     require_columns(df, [*eq_columns, lower, upper, *order_by])
     rows = df.where(~any_null([*eq_columns, lower, upper]) & (col(lower) < col(upper)))
-    rows = rows.withColumn("_tie", spread_key(df))
+    rows = with_tie_break(rows, "_tie")
     ties = [*order_by, "_tie"]
     n = tiles or min(1024, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     axis = [lower, *ties]

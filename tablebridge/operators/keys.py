@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tablebridge.model import DdlError, Identity, QueryError, SequenceDef
 from tablebridge.operators.constraints import unique_violations
-from tablebridge.sources.batches import number_rows, spread_key
+from tablebridge.sources.batches import number_rows, with_tie_break
 from tablebridge.sources.scan import col, require_columns
 
 SKETCH_ERROR = 0.02
@@ -151,14 +151,14 @@ def clustered_write(df: DataFrame, path: str, columns: Sequence[str], descending
     """An index as physical layout: files in key order, each sorted.
 
     Min/max statistics then prune files and row groups for the index columns.
-    The ranges also split on a row hash, so a hot key fills many files.
+    The ranges also split on a tie break, so a hot key fills many files.
     """
     require_columns(df, columns)
     if unique and not unique_violations(df, columns).isEmpty():
         raise DdlError(f"the index columns {list(columns)} are not unique")
     flags = [*descending, *[False] * (len(columns) - len(descending))]
     order = [col(c).desc() if d else col(c).asc() for c, d in zip(columns, flags)]
-    (df.withColumn("_spread", spread_key(df)).repartitionByRange(*order, "_spread")
+    (with_tie_break(df).repartitionByRange(*order, "_spread")
      .sortWithinPartitions(*order, "_spread").drop("_spread").write.mode(mode).parquet(path))
 
 

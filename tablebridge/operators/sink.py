@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 from tablebridge.functions.text import copy_line
 from tablebridge.functions.values import split_timestamps
 from tablebridge.model import BulkWriteError, UnsupportedError
-from tablebridge.sources.batches import spread_key
+from tablebridge.sources.batches import with_tie_break
 from tablebridge.sources.scan import bound_literal, col, require_columns
 
 # Batch limits of the two bulk paths (fixed values).
@@ -120,7 +120,7 @@ def batch_ends(sizes: np.ndarray, max_rows: int, budget: int, rows: int, held: i
 def _plan(df: DataFrame, size: Column, order_by: Sequence[str], max_rows: int, budget: int) -> DataFrame:
     require_columns(df, order_by)
     keys = [col(c) for c in order_by]
-    sized = df.select(*keys, size.alias("_size"), spread_key(df).alias("_spread"))
+    sized = with_tie_break(df.select(*keys, size.alias("_size")))
     ordered = (sized.repartitionByRange(*keys, "_spread").sortWithinPartitions(*keys, "_spread").select("_size"))
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

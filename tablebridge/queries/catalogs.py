@@ -301,6 +301,22 @@ def assembled(spark, d):
                       F.size("triggers").alias("triggers"), "partition_key")
 
 
+@query("assemble_catalog_mysql", oracle(MYSQL, """
+SELECT x.source_id, x.table_schema AS schema_name, x.table_name, (SELECT coalesce(string_agg(column_name, ',' ORDER BY ordinal_position), '') FROM my_columns m
+  WHERE m.source_id = x.source_id AND m.table_schema = x.table_schema AND m.table_name = x.table_name) AS columns,
+ CASE WHEN k.rel IS NOT NULL THEN 'c' || k2 || CASE WHEN k1 <> k2 THEN ',c' || k1 ELSE '' END END AS primary_key, (p.parent IS NOT NULL)::INTEGER AS foreign_keys,
+ coalesce(price > 200000, FALSE)::INTEGER AS uniques, (k.rel IS NOT NULL)::INTEGER AS checks, (k.rel IS NOT NULL)::INTEGER AS indexes, (k.rel IS NOT NULL)::INTEGER AS triggers,
+ nullif(table_comment, '') AS comment
+FROM my_tables x LEFT JOIN k ON k.source_id = x.source_id AND 't_' || k.rel = x.table_name AND 'app_' || k.custkey = x.table_schema
+LEFT JOIN parents p ON p.source_id = k.source_id AND p.custkey = k.custkey WHERE x.table_type = 'BASE TABLE' AND x.table_schema <> 'mysql'"""))
+def assembled_mysql(spark, d):
+    cat = c.assemble_catalog(mysql_catalog(spark, d))
+    return cat.select("source_id", "schema_name", "table_name", F.array_join(F.transform("columns", lambda x: x["column_name"]), ",").alias("columns"),
+                      F.array_join("primary_key.columns", ",").alias("primary_key"), F.size("foreign_keys").alias("foreign_keys"),
+                      F.size("unique_constraints").alias("uniques"), F.size("check_constraints").alias("checks"), F.size("indexes").alias("indexes"),
+                      F.size("triggers").alias("triggers"), "comment")
+
+
 def _ddl_sql(engine: str, quote: str, types: str, native: str) -> str:
     def q(text: str) -> str:
         return f"'{quote}' || {text} || '{quote}'"

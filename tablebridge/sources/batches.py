@@ -19,18 +19,37 @@ def spread_key(df: DataFrame) -> Column:
     return F.xxhash64(*usable)
 
 
+SAMPLE_ROWS, HEAVY_COPIES = 4000, 20
+
+
+def with_tie_break(df: DataFrame, name: str = "_spread") -> DataFrame:
+    """Add a number that splits the rows of one key, copies of one row included.
+
+    A hash of the whole row splits everything but exact copies. Whether some
+    row makes up half a percent of the table or more shows in a fixed-size
+    sample; only then the rows are staged with a random number, which is
+    frozen there and so stays the same when a lost task runs again.
+    """
+    hashed = df.withColumn(name, spread_key(df))
+    sample = hashed.select(name).orderBy(F.rand(11)).limit(SAMPLE_ROWS)
+    heavy = sample.groupBy(name).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HEAVY_COPIES)
+    if heavy.isEmpty():
+        return hashed
+    return stage(df.withColumn(name, (F.rand() * 2**62).cast("bigint")), "spread")
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
     """Consecutive 0-based numbers in the order of ``order_by``.
 
-    One range shuffle sorts the rows; its ranges also split on a row hash, so
-    a key held by a third of the rows still spreads over many tasks. The
+    One range shuffle sorts the rows; its ranges also split on a tie break,
+    so a key held by a third of the rows still spreads over many tasks. The
     sorted rows are staged once with their place in their range, which fixes
     the ranges for good; a second pass reads the places alone and gives each
     range its offset. The offset frame has one row per range.
     """
     require_columns(df, order_by)
     keys = [col(c) for c in order_by]
-    ranged = (df.withColumn("_spread", spread_key(df))
+    ranged = (with_tie_break(df)
               .repartitionByRange(*keys, "_spread")
               .sortWithinPartitions(*keys, "_spread")
               .drop("_spread")

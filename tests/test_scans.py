@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tablebridge.model import QueryError, UnsupportedError
 from tablebridge.sources import scan, tiles
-from tablebridge.sources.batches import batch_rows, number_rows
+from tablebridge.sources.batches import batch_rows, number_rows, with_tie_break
 from tablebridge.sources.tiles import Tile
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -171,6 +171,17 @@ def test_hot_key_is_numbered_in_many_tasks(spark):
     assert out.agg(F.max("row_index")).first()[0] == 39_999
 
 
+def test_copies_of_one_row_spread_over_tasks(spark):
+    """A third of the rows are one row: its copies must not land in one range."""
+    copies = spark.range(0, 6000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    tied = with_tie_break(copies)
+    ranged = tied.repartitionByRange(8, "k", "_spread").withColumn("p", F.spark_partition_id())
+    assert ranged.where("k = -1").select("p").distinct().count() > 1
+    out = number_rows(copies, ["k"])
+    assert sorted(r.row_index for r in out.collect()) == list(range(6000))
+    assert out.where("k = -1").agg(F.max("row_index")).first()[0] == 1999
+
+
 def test_batch_size_is_checked(opts):
     with pytest.raises(QueryError):
         batch_rows(opts, ["id"], 0)
