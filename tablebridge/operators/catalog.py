@@ -289,6 +289,11 @@ def _pg_foreign_keys(cat: PgCatalog, scope: Scope) -> DataFrame:
                     "referenced_schema", "referenced_table", "referenced_columns", "on_delete", "on_update"))
 
 
+def _mysql_action(rule: str) -> Column:
+    word = F.upper(rule)
+    return F.when(word.isin(*MYSQL_ACTIONS), word).otherwise("NO ACTION")
+
+
 def _mysql_foreign_keys(cat: MysqlCatalog, scope: Scope) -> DataFrame:
     if cat.key_column_usage is None or cat.referential_constraints is None:
         return _empty(cat.tables, FK_SHAPE)
@@ -296,10 +301,6 @@ def _mysql_foreign_keys(cat: MysqlCatalog, scope: Scope) -> DataFrame:
         F.col("referenced_table_name").isNotNull())
     rules = cat.referential_constraints.select("source_id", "constraint_schema", "table_name", "constraint_name", "update_rule", "delete_rule")
 
-    def action(rule: str) -> Column:
-        word = F.upper(rule)
-        return F.when(word.isin(*MYSQL_ACTIONS), word).otherwise("NO ACTION")
-
     grouped = (uses.groupBy("source_id", "constraint_schema", F.col("table_schema").alias("schema_name"), "table_name", "constraint_name",
                             F.col("referenced_table_schema").alias("referenced_schema"), F.col("referenced_table_name").alias("referenced_table"))
                .agg(_in_order("ordinal_position", "column_name", "referenced_column_name").alias("pairs")))
@@ -307,7 +308,7 @@ def _mysql_foreign_keys(cat: MysqlCatalog, scope: Scope) -> DataFrame:
             .select(*TABLE_KEY, "constraint_name", F.transform("pairs", lambda x: x["column_name"]).alias("columns"),
                     "referenced_schema", "referenced_table",
                     F.transform("pairs", lambda x: x["referenced_column_name"]).alias("referenced_columns"),
-                    action("delete_rule").alias("on_delete"), action("update_rule").alias("on_update")))
+                    _mysql_action("delete_rule").alias("on_delete"), _mysql_action("update_rule").alias("on_update")))
 
 
 def bare_check(definition: Column) -> Column:
@@ -350,12 +351,12 @@ def reflect_indexes(cat: Catalog, scope: Scope = ALL) -> DataFrame:
     return _pg_indexes(cat, scope) if isinstance(cat, PgCatalog) else _mysql_indexes(cat, scope)
 
 
-def _plain_indexes(cat: PgCatalog) -> DataFrame:
+def _plain_indexes(cat: PgCatalog, backing_too: bool = False) -> DataFrame:
     own = cat.class_.where("relkind IN ('i', 'I')").select(
         "source_id", F.col("oid").alias("indexrelid"), F.col("relname").alias("index_name"), F.col("relam").alias("amoid"))
     method = cat.am.select("source_id", F.col("oid").alias("amoid"), F.col("amname").alias("method"))
     plain = cat.index.where("NOT indisprimary")
-    if cat.constraint is not None:
+    if cat.constraint is not None and not backing_too:
         backing = cat.constraint.where("conindid IS NOT NULL").select("source_id", F.col("conindid").alias("indexrelid"))
         plain = plain.join(backing, ["source_id", "indexrelid"], "left_anti")
     return plain.join(own, ["source_id", "indexrelid"]).join(method, ["source_id", "amoid"])
@@ -379,6 +380,12 @@ def _pg_indexes(cat: PgCatalog, scope: Scope) -> DataFrame:
                     F.col("indisunique").alias("is_unique"), "method"))
 
 
+def _descending(statistics: DataFrame) -> Column:
+    """``collation`` is D for a descending key; older snapshots do not have it."""
+    collation = F.col("collation") if "collation" in statistics.columns else F.lit("A")
+    return F.coalesce(collation == "D", F.lit(False))
+
+
 def _mysql_indexes(cat: MysqlCatalog, scope: Scope) -> DataFrame:
     if cat.statistics is None:
         return _empty(cat.tables, INDEX_SHAPE)
@@ -387,8 +394,7 @@ def _mysql_indexes(cat: MysqlCatalog, scope: Scope) -> DataFrame:
         backing = cat.table_constraints.where("constraint_type = 'UNIQUE'").select(
             "source_id", "table_schema", "table_name", F.col("constraint_name").alias("index_name"))
         rows = rows.join(backing, ["source_id", "table_schema", "table_name", "index_name"], "left_anti")
-    collation = F.col("collation") if "collation" in rows.columns else F.lit("A")
-    parts = rows.withColumn("descending", F.coalesce(collation == "D", F.lit(False)))
+    parts = rows.withColumn("descending", _descending(rows))
     return (parts.groupBy("source_id", F.col("table_schema").alias("schema_name"), "table_name", "index_name",
                           (F.col("non_unique") == 0).alias("is_unique"), F.col("index_type").alias("method"))
             .agg(F.transform(_in_order("seq_in_index", "column_name", "descending"),
@@ -522,32 +528,100 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+MYSQL_PARTS = {
+    "column": "struct<ordinal:int,column_name:string>",
+    "stat": "struct<index_name:string,seq:bigint,column_name:string,non_unique:bigint,index_type:string,descending:boolean>",
+    "con": "struct<constraint_name:string,constraint_type:string>",
+    "usage": "struct<constraint_name:string,pos:bigint,column_name:string,referenced_schema:string,referenced_table:string,"
+             "referenced_column:string>",
+    "rule": "struct<constraint_name:string,on_delete:string,on_update:string>",
+    "clause": "struct<constraint_name:string,expression:string>",
+    "trigger": "struct<trigger_name:string,timing:string,events:array<string>,function_name:string,body:string>",
+}
+
+
 def _assemble_mysql(cat: MysqlCatalog, scope: Scope, tables: DataFrame) -> DataFrame:
-    """All parts carry the table's names: one union, one aggregation."""
-    def part(df: DataFrame, name: str, *fields: str) -> DataFrame:
-        return df.select(*TABLE_KEY, F.struct(*fields).alias(name))
-
-    union = _union([
-        part(tables, "info", "partition_key", "parent_schema", "parent_table", "comment"),
-        part(_mysql_columns(cat, scope), "columns", "ordinal", "column_name", "native_type", "nullable", "default_expr", "identity", "comment", "t"),
-        part(reflect_primary_keys(cat, scope), "primary_keys", "constraint_name", "columns"),
-        part(reflect_foreign_keys(cat, scope), "foreign_keys", "constraint_name", "columns", "referenced_schema", "referenced_table",
-             "referenced_columns", "on_delete", "on_update"),
-        part(reflect_unique_constraints(cat, scope), "unique_constraints", "constraint_name", "columns"),
-        part(reflect_check_constraints(cat, scope), "check_constraints", "constraint_name", "expression"),
-        part(reflect_exclusion_constraints(cat, scope), "exclusion_constraints", "constraint_name", "definition"),
-        part(reflect_indexes(cat, scope), "indexes", "index_name", "columns", "is_unique", "method"),
-        part(reflect_triggers(cat, scope), "triggers", "trigger_name", "timing", "events", "function_name", "body"),
-    ])
-    lists = ["columns", "foreign_keys", "unique_constraints", "check_constraints", "exclusion_constraints", "indexes", "triggers"]
-    grouped = union.groupBy(*TABLE_KEY).agg(
-        F.first("info", ignorenulls=True).alias("info"), F.first("primary_keys", ignorenulls=True).alias("primary_key"),
-        *[F.array_sort(F.collect_list(n)).alias(n) for n in lists])
+    """The rows of all views meet once per table; keys and indexes form inside the row.
+
+    An engine allows 64 indexes of 16 columns, so the arrays stay short.
+    """
+    def part(df: DataFrame, name: str, *fields: Column | str, schema: str = "schema_name") -> DataFrame:
+        return df.select("source_id", F.col(schema).alias("schema_name"), "table_name", F.struct(*fields).alias(name))
+
+    def scoped(df: DataFrame | None, schema: str = "table_schema") -> DataFrame | None:
+        return None if df is None else _mysql_user(scope.of(df, schema, "table_name"), schema)
+
+    fields = ["ordinal", "column_name", "native_type", "nullable", "default_expr", "identity", "comment", "t"]
+    parts = [part(tables, "info", "partition_key", "parent_schema", "parent_table", "comment"),
+             part(_mysql_columns(cat, scope), "column", *fields)]
+    stats, cons, uses = scoped(cat.statistics), scoped(cat.table_constraints), scoped(cat.key_column_usage)
+    rules, clauses = scoped(cat.referential_constraints, "constraint_schema"), scoped(cat.check_constraints, "constraint_schema")
+    if stats is not None:
+        parts.append(part(stats, "stat", "index_name", F.col("seq_in_index").alias("seq"), "column_name", "non_unique", "index_type",
+                          _descending(stats).alias("descending"), schema="table_schema"))
+    if cons is not None:
+        parts.append(part(cons, "con", "constraint_name", "constraint_type", schema="table_schema"))
+    if uses is not None:
+        parts.append(part(uses, "usage", "constraint_name", F.col("ordinal_position").alias("pos"), "column_name",
+                          F.col("referenced_table_schema").alias("referenced_schema"), F.col("referenced_table_name").alias("referenced_table"),
+                          F.col("referenced_column_name").alias("referenced_column"), schema="table_schema"))
+    if rules is not None:
+        parts.append(part(rules, "rule", "constraint_name", _mysql_action("delete_rule").alias("on_delete"),
+                          _mysql_action("update_rule").alias("on_update"), schema="constraint_schema"))
+    if clauses is not None:
+        parts.append(part(clauses, "clause", "constraint_name", F.col("check_clause").alias("expression"), schema="constraint_schema"))
+    parts.append(part(reflect_triggers(cat, scope), "trigger", "trigger_name", "timing", "events", "function_name", "body"))
+    union = _union(parts)
+    for name, shape in MYSQL_PARTS.items():
+        if name not in union.columns:
+            union = union.withColumn(name, F.lit(None).cast(shape))
+    grouped = union.groupBy(*TABLE_KEY).agg(F.first("info", ignorenulls=True).alias("info"),
+                                            *[F.array_sort(F.collect_list(n)).alias(n) for n in MYSQL_PARTS])
+
+    def label(rows: str) -> str:
+        return "index_name" if rows == "stat" else "constraint_name"
+
+    def names_where(rows: str, test) -> Column:
+        return F.array_distinct(F.transform(F.filter(rows, test), lambda x: x[label(rows)]))
+
+    def named(rows: str, name: Column) -> Column:
+        return F.filter(rows, lambda x: x[label(rows)] == name)
+
     # Parts of relations that are not base tables carry no info.
-    return grouped.where(F.col("info").isNotNull()).select(
-        *TABLE_KEY, "columns", "primary_key", *lists[1:], F.col("info.partition_key").alias("partition_key"),
-        F.col("info.parent_schema").alias("parent_schema"), F.col("info.parent_table").alias("parent_table"),
-        F.col("info.comment").alias("comment"))
+    staged = computed(
+        grouped.where(F.col("info").isNotNull()),
+        unique_names=names_where("con", lambda x: x["constraint_type"] == "UNIQUE"),
+        check_names=names_where("con", lambda x: x["constraint_type"] == "CHECK"),
+        fk_names=F.array_intersect(names_where("usage", lambda x: x["referenced_table"].isNotNull()), F.transform("rule", lambda x: x["constraint_name"])))
+    index_names = names_where("stat", lambda x: (x["index_name"] != "PRIMARY") & ~F.array_contains("unique_names", x["index_name"]))
+
+    def foreign(n: Column) -> Column:
+        pairs = F.filter("usage", lambda x: (x["constraint_name"] == n) & x["referenced_table"].isNotNull())
+        rule = named("rule", n)[0]
+        return F.struct(n.alias("constraint_name"), F.transform(pairs, lambda x: x["column_name"]).alias("columns"),
+                        pairs[0]["referenced_schema"].alias("referenced_schema"), pairs[0]["referenced_table"].alias("referenced_table"),
+                        F.transform(pairs, lambda x: x["referenced_column"]).alias("referenced_columns"),
+                        rule["on_delete"].alias("on_delete"), rule["on_update"].alias("on_update"))
+
+    def index(n: Column) -> Column:
+        rows = named("stat", n)
+        cols = F.transform(rows, lambda x: F.struct(x["column_name"].alias("name"), x["descending"].alias("descending")))
+        return F.struct(n.alias("index_name"), cols.alias("columns"), (rows[0]["non_unique"] == 0).alias("is_unique"),
+                        rows[0]["index_type"].alias("method"))
+
+    primary = F.transform(named("stat", F.lit("PRIMARY")), lambda x: x["column_name"])
+    uniques = F.transform("unique_names", lambda n: F.struct(
+        n.alias("constraint_name"), F.transform(named("usage", n), lambda x: x["column_name"]).alias("columns")))
+    return staged.select(
+        *TABLE_KEY, F.col("column").alias("columns"),
+        F.when(F.size(primary) > 0, F.struct(F.lit("PRIMARY").alias("constraint_name"), primary.alias("columns"))).alias("primary_key"),
+        F.transform("fk_names", foreign).alias("foreign_keys"),
+        F.filter(uniques, lambda x: F.size(x["columns"]) > 0).alias("unique_constraints"),
+        F.filter("clause", lambda x: F.array_contains("check_names", x["constraint_name"])).alias("check_constraints"),
+        F.array().cast("array<struct<constraint_name:string,definition:string>>").alias("exclusion_constraints"),
+        F.transform(index_names, index).alias("indexes"), F.col("trigger").alias("triggers"),
+        F.col("info.partition_key").alias("partition_key"), F.col("info.parent_schema").alias("parent_schema"),
+        F.col("info.parent_table").alias("parent_table"), F.col("info.comment").alias("comment"))
 
 
 def _assemble_pg(cat: PgCatalog, scope: Scope) -> DataFrame:
@@ -573,20 +647,21 @@ def _assemble_pg(cat: PgCatalog, scope: Scope) -> DataFrame:
     parts = [map_pg_types(attributes, reflect_enums(cat)).select(*key, F.struct(*fields, "attisdropped").alias("attribute"))]
     if cat.constraint is not None:
         con = within(cat.constraint.where("contype IN ('p', 'u', 'c', 'x')"), "conrelid")
-        parts.append(con.select(*key, F.struct(F.col("conname").alias("constraint_name"), "contype", "conkey", "definition").alias("con")))
+        parts.append(con.select(*key, F.struct(F.col("conname").alias("constraint_name"), "contype", "conkey", "definition", "conindid").alias("con")))
         parts.append(_fk_targets(cat, within(cat.constraint.where("contype = 'f'"), "conrelid")).select(*key, F.struct(
             F.col("conname").alias("constraint_name"), "conkey", "referenced_schema", "referenced_table", "referenced_columns",
             "on_delete", "on_update").alias("fk")))
     if cat.index is not None and cat.am is not None:
-        parts.append(within(_plain_indexes(cat), "indrelid").select(*key, F.struct(
-            "index_name", "indkey", "indoption", F.col("indisunique").alias("is_unique"), "method").alias("ix")))
+        # A constraint's index belongs to its own table, so the row itself can tell.
+        parts.append(within(_plain_indexes(cat, backing_too=True), "indrelid").select(*key, F.struct(
+            "index_name", "indkey", "indoption", F.col("indisunique").alias("is_unique"), "method", "indexrelid").alias("ix")))
     if cat.trigger is not None and cat.proc is not None:
         parts.append(within(_plain_triggers(cat), "tgrelid").select(*key, F.struct(
             "trigger_name", "timing", "events", "function_name", "body").alias("trigger")))
-    empty = {"con": "struct<constraint_name:string,contype:string,conkey:array<smallint>,definition:string>",
+    empty = {"con": "struct<constraint_name:string,contype:string,conkey:array<smallint>,definition:string,conindid:bigint>",
              "fk": "struct<constraint_name:string,conkey:array<smallint>,referenced_schema:string,referenced_table:string,"
                    "referenced_columns:array<string>,on_delete:string,on_update:string>",
-             "ix": "struct<index_name:string,indkey:array<smallint>,indoption:array<smallint>,is_unique:boolean,method:string>",
+             "ix": "struct<index_name:string,indkey:array<smallint>,indoption:array<smallint>,is_unique:boolean,method:string,indexrelid:bigint>",
              "trigger": "struct<trigger_name:string,timing:string,events:array<string>,function_name:string,body:string>"}
     union = _union(parts)
     for name, shape in empty.items():
@@ -621,7 +696,7 @@ def _assemble_pg(cat: PgCatalog, scope: Scope) -> DataFrame:
         "unique_constraints": of_kind("u", keyed),
         "check_constraints": of_kind("c", lambda x: F.struct(x["constraint_name"], bare_check(x["definition"]).alias("expression"))),
         "exclusion_constraints": of_kind("x", lambda x: F.struct(x["constraint_name"], x["definition"])),
-        "indexes": F.transform("ix", lambda x: F.struct(
+        "indexes": F.transform(F.filter("ix", lambda x: ~F.exists("con", lambda y: y["conindid"].eqNullSafe(x["indexrelid"]))), lambda x: F.struct(
             x["index_name"], _index_columns(names, x["indkey"], x["indoption"]).alias("columns"), x["is_unique"], x["method"])),
         "triggers": F.col("trigger"),
     }

@@ -202,3 +202,53 @@ def test_catalogue_diff(pg):
     changed = cols.withColumn("nullable", F.when(F.col("column_name") == "code", F.lit(True)).otherwise(F.col("nullable"))).where("column_name <> 'parent_id'")
     key = ["source_id", "schema_name", "table_name", "column_name"]
     assert {r.column_name: r.changes for r in schema_diff(cols, changed, key).collect()} == {"code": ["nullability changed"], "parent_id": ["removed"]}
+
+
+@pytest.fixture(scope="module")
+def mysql(spark):
+    f = spark.createDataFrame
+    return c.MysqlCatalog(
+        tables=f([("s", "app", "parent", "BASE TABLE", ""), ("s", "app", "child", "BASE TABLE", "kids"), ("s", "app", "v", "VIEW", ""), ("s", "mysql", "user", "BASE TABLE", "")],
+                 "source_id string, table_schema string, table_name string, table_type string, table_comment string"),
+        columns=f([("s", "app", "parent", "id", 1, "int(10) unsigned", "NO", None, "auto_increment", ""), ("s", "app", "child", "b", 2, "varchar(9)", "YES", "'x'", "", "about b"),
+                   ("s", "app", "child", "a", 1, "bigint unsigned", "NO", None, "", ""), ("s", "app", "v", "z", 1, "int", "YES", None, "", "")],
+                  "source_id string, table_schema string, table_name string, column_name string, ordinal_position long, column_type string, is_nullable string, column_default string, extra string, column_comment string"),
+        statistics=f([("s", "app", "child", "PRIMARY", 2, "a", 0, "BTREE", "A"), ("s", "app", "child", "PRIMARY", 1, "b", 0, "BTREE", "A"), ("s", "app", "child", "u", 1, "b", 0, "BTREE", "A"),
+                      ("s", "app", "child", "ix", 2, "b", 1, "HASH", "A"), ("s", "app", "child", "ix", 1, "a", 1, "HASH", "D")],
+                     "source_id string, table_schema string, table_name string, index_name string, seq_in_index long, column_name string, non_unique long, index_type string, collation string"),
+        key_column_usage=f([("s", "app", "u", "app", "child", "b", 1, None, None, None), ("s", "app", "fk", "app", "child", "a", 2, "app", "parent", "q"), ("s", "app", "fk", "app", "child", "b", 1, "app", "parent", "p"),
+                            ("s", "app", "norule", "app", "child", "a", 1, "app", "parent", "q")],
+                           "source_id string, constraint_schema string, constraint_name string, table_schema string, table_name string, column_name string, ordinal_position long, referenced_table_schema string, referenced_table_name string, referenced_column_name string"),
+        referential_constraints=f([("s", "app", "fk", "child", "cascade", "SET NULL"), ("s", "app", "fk", "parent", "RESTRICT", "RESTRICT")],
+                                  "source_id string, constraint_schema string, constraint_name string, table_name string, update_rule string, delete_rule string"),
+        table_constraints=f([("s", "app", "app", "child", "u", "UNIQUE"), ("s", "app", "app", "child", "ck", "CHECK")],
+                            "source_id string, constraint_schema string, table_schema string, table_name string, constraint_name string, constraint_type string"),
+        check_constraints=f([("s", "app", "child", "ck", "(a > 0)"), ("s", "app", "parent", "ck", "(id > 0)")], "source_id string, constraint_schema string, table_name string, constraint_name string, check_clause string"),
+        triggers=f([("s", "app", "child", "tr", "before", "update", "SET x")], "source_id string, trigger_schema string, event_object_table string, trigger_name string, action_timing string, event_manipulation string, action_statement string"))
+
+
+def test_mysql_assembly_equals_the_parts(mysql):
+    whole = by_table(c.assemble_catalog(mysql))
+    assert set(whole) == {("s", "parent"), ("s", "child")}
+    child, key = whole["s", "child"], ("source_id", "schema_name", "table_name")
+    assert [(x.column_name, x.nullable, x.default_expr, x.comment, x.t.category) for x in child.columns] == [("a", False, None, None, "decimal"), ("b", True, "'x'", "about b", "varchar")]
+    assert whole["s", "parent"].columns[0].identity == "by_default" and whole["s", "parent"].foreign_keys == []
+    for name, reflect in (("foreign_keys", c.reflect_foreign_keys), ("unique_constraints", c.reflect_unique_constraints), ("check_constraints", c.reflect_check_constraints),
+                          ("indexes", c.reflect_indexes), ("triggers", c.reflect_triggers)):
+        flat = [{k: v for k, v in r.asDict(True).items() if k not in key} for r in reflect(mysql).collect()]
+        assert [x.asDict(True) for x in child[name]] == flat, name
+    assert child.primary_key.columns == c.reflect_primary_keys(mysql).first().columns == ["b", "a"]
+    fk = child.foreign_keys[0]
+    assert (fk.columns, fk.referenced_columns, fk.on_delete, fk.on_update) == (["b", "a"], ["p", "q"], "SET NULL", "CASCADE")
+    assert [tuple(x) for x in child.indexes[0].columns] == [("a", True), ("b", False)]
+    assert (child.triggers[0].timing, child.triggers[0].events, child.comment) == ("BEFORE", ["UPDATE"], "kids")
+    bare = c.MysqlCatalog(mysql.tables, mysql.columns)
+    assert by_table(c.assemble_catalog(bare))["s", "child"].indexes == []
+    with pytest.raises(ReflectionError):
+        c.assemble_catalog(mysql, c.Scope("app", "v"))
+
+
+def test_mysql_catalogue_renders_for_postgres(mysql):
+    out = ddl.render_ddl(c.assemble_catalog(mysql, c.Scope("app", "child")), "postgres").orderBy("phase").collect()
+    assert out[0].statement == ('CREATE TABLE "app"."child" (\n  "a" numeric(20,0) NOT NULL,\n  "b" character varying(9) DEFAULT \'x\',\n  PRIMARY KEY ("b", "a")\n)')
+    assert [r.phase for r in out] == [1, 2, 3, 5, 6]
