@@ -45,6 +45,20 @@ def _equal_width(lo: Any, hi: Any, n: int) -> list[Any]:
     return [lo + (hi - lo) * i / n for i in range(1, n)]
 
 
+_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
+
+
+def _outgoing(c: Column, data_type: T.DataType) -> Column:
+    """Instants leave Spark as microseconds, free of the driver's own time zone."""
+    return F.unix_micros(c) if isinstance(data_type, T.TimestampType) else c
+
+
+def _incoming(value: Any, data_type: T.DataType) -> Any:
+    if value is not None and isinstance(data_type, T.TimestampType):
+        return _EPOCH + dt.timedelta(microseconds=value)
+    return value
+
+
 def plan_key_tiles(df: DataFrame, column: str, n: int, method: str = "quantile",
                    accuracy: int = 10_000) -> list[Tile]:
     """Boundaries for ``n`` ranges over ``column`` plus the NULL tile.
@@ -61,13 +75,15 @@ def plan_key_tiles(df: DataFrame, column: str, n: int, method: str = "quantile",
         return tiles_from_bounds([])
     data_type = df.schema[column].dataType
     if method == "equal_width":
-        lo, hi = df.agg(F.min(col(column)), F.max(col(column))).first()
+        key = _outgoing(col(column), data_type)
+        lo, hi = (_incoming(v, data_type) for v in df.agg(F.min(key), F.max(key)).first())
         bounds = [] if lo is None else _equal_width(lo, hi, n)
     elif method == "quantile" and isinstance(data_type, T.StringType):
         bounds = [b[0] for b in sample_bounds(df, [column], n)]
     elif method == "quantile":
         shares = [i / n for i in range(1, n)]
-        bounds = df.agg(F.percentile_approx(col(column), shares, accuracy)).first()[0] or []
+        found = df.agg(F.percentile_approx(_outgoing(col(column), data_type), shares, accuracy)).first()[0] or []
+        bounds = [_incoming(v, data_type) for v in found]
     else:
         raise QueryError(f"unknown tiling method {method!r}")
     return tiles_from_bounds(sorted(set(bounds)))
@@ -78,10 +94,11 @@ def sample_bounds(df: DataFrame, columns: Sequence[str], n: int, per_tile: int =
 
     The driver sees ``n * per_tile`` keys however large the table is.
     """
-    taken = (df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(columns)])
+    types = [df.schema[c].dataType for c in columns]
+    taken = (df.select(*[_outgoing(col(c), t).alias(f"k{i}") for i, (c, t) in enumerate(zip(columns, types))])
              .orderBy(F.rand(seed)).limit(n * per_tile))
     keys = [f"k{i}" for i in range(len(columns))]
-    ordered = [tuple(r) for r in taken.orderBy(*keys).collect()]
+    ordered = [tuple(_incoming(v, t) for v, t in zip(r, types)) for r in taken.orderBy(*keys).collect()]
     picks = [ordered[i * len(ordered) // n] for i in range(1, n)] if ordered else []
     return list(dict.fromkeys(p for p in picks if all(v is not None for v in p)))
 
@@ -92,6 +109,8 @@ def literal_sql(value: Any, data_type: T.DataType) -> str:
         return f"CAST(NULL AS {data_type.simpleString()})"
     if isinstance(value, str):
         return f"decode(X'{value.encode().hex()}', 'UTF-8')"
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{bytes(value).hex()}'"
     text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else str(value)
     return f"CAST('{text}' AS {data_type.simpleString()})"
 

@@ -136,6 +136,27 @@ def test_text_tiles_with_quotes(spark):
         assert tiles.scan_tile(df, "k", t).count() == tiles.tiled_scan(df, "k", planned).where(F.col("tile_id") == t.tile_id).count()
 
 
+@pytest.mark.parametrize("method", ["quantile", "equal_width"])
+@pytest.mark.parametrize("key", ["timestamp_micros(id * 3600000000)", "cast(timestamp_micros(id * 3600000000) AS timestamp_ntz)", "date_add(DATE'2024-01-01', cast(id AS int))",
+                                 "cast(id / 7 AS decimal(12,3))", "cast(id AS double) / 3", "cast(id AS smallint)"])
+def test_tiles_over_other_types(spark, key, method):
+    df = spark.range(200).selectExpr(f"{key} AS k")
+    planned = tiles.plan_key_tiles(df, "k", 5, method)
+    assert len(planned) == 6
+    counts = {r.tile_id: r.rows for r in tiles.tile_coverage(df, "k", planned).collect()}
+    assert sum(counts.values()) == 200 and max(counts.values()) <= 60
+    assert {t.tile_id: tiles.scan_tile(df, "k", t).count() for t in planned} == counts
+
+
+def test_composite_tiles_over_bytes_and_instants(spark):
+    df = spark.range(300).selectExpr("encode(string(id % 9), 'UTF-8') AS b", "timestamp_micros(id) AS t")
+    bounds = tiles.sample_bounds(df, ["b", "t"], 4)
+    tagged = df.withColumn("tile", tiles.tuple_tile_expr(df, ["b", "t"], bounds))
+    spans = tagged.groupBy("tile").agg(F.min(F.struct("b", "t")).alias("lo"), F.max(F.struct("b", "t")).alias("hi"), F.count(F.lit(1)).alias("n")).orderBy("tile").collect()
+    assert sum(r.n for r in spans) == 300 and len(spans) > 1
+    assert all((bytes(x.hi.b), x.hi.t) < (bytes(y.lo.b), y.lo.t) for x, y in zip(spans, spans[1:]))
+
+
 def test_tile_count_is_checked(opts):
     for n in (0, tiles.MAX_TILES + 1):
         with pytest.raises(QueryError):
