@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablebridge.llm import quality_rules
+from tablebridge.llm import licenses, quality_rules
 from tablebridge.queries.registry import query, table
 
 
@@ -33,3 +33,39 @@ FROM b"""
 @query("op9_quality_rules", OP9_SQL)
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"))
+
+
+# Words after lower-casing A to Z alone.
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+_TEMPLATE_ROWS = ", ".join(
+    f"({i}, '{t.label}', string_split('{t.phrase}', ' '), {t.pairs}, {t.needed}, {str(t.base).lower()})"
+    for i, t in enumerate(licenses.TEMPLATES))
+
+OP4_SQL = rf"""
+WITH t(number, label, w, pairs, needed, base) AS (VALUES {_TEMPLATE_ROWS}),
+tp AS (SELECT number, i - 1 AS place, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT number, w, unnest(range(1, len(w))) AS i FROM t)),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents),
+dp AS (SELECT doc_id, i - 1 AS pos, w[i] || ' ' || w[i + 1] AS pair FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS i FROM d)),
+v AS (SELECT doc_id, number, pos - place AS diagonal, list(DISTINCT place) AS places, min(pos) AS f, max(pos) + 1 AS l
+      FROM dp JOIN tp USING (pair) GROUP BY doc_id, number, diagonal),
+n AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w > 2 THEN 1 ELSE 0 END AS new FROM v WINDOW w AS (PARTITION BY doc_id, number ORDER BY diagonal)),
+m AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, number ORDER BY diagonal) AS span FROM n),
+s AS (SELECT doc_id, label, base, pairs, needed, len(list_distinct(flatten(list(places)))) AS voted, max(l) - min(f) AS length,
+        count(*) FILTER (base AND len(places) = pairs) AS n_base, min(diagonal) FILTER (base AND len(places) = pairs) AS fw,
+        max(diagonal) FILTER (base AND len(places) = pairs) AS lw
+      FROM m JOIN t USING (number) GROUP BY doc_id, number, span, label, base, pairs, needed),
+x AS (SELECT *, voted >= needed AND length >= needed AND length <= pairs + 4 AS verified FROM s),
+a AS (SELECT doc_id, sum(n_base) AS n_base, min(fw) AS fw, max(lw) AS lw,
+        array_to_string(list_sort(list(DISTINCT label) FILTER (n_base > 0)), ',') AS bl,
+        array_to_string(list_sort(list(DISTINCT label) FILTER (n_base > 0 OR (verified AND NOT base))), ',') AS al,
+        max(CASE WHEN n_base > 0 OR verified THEN voted / pairs ELSE voted / (2 * pairs) END) AS score FROM x GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, fw AS first_word, lw AS last_word,
+  coalesce(bl, '') AS base_labels, coalesce(al, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN a USING (doc_id)"""
+
+
+@query("op4_license_scan", OP4_SQL)
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
