@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablebridge.llm import decontaminate, licenses, quality_rules
+from tablebridge.llm import bpe, decontaminate, licenses, quality_rules
 from tablebridge.queries.registry import query, table
 
 
@@ -89,3 +90,8 @@ FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)"""
 @query("op1_decontamination", OP1_SQL)
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("digest")
+
+
+@query("op7_bpe")
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
