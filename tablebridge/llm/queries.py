@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablebridge.llm import bpe, decontaminate, licenses, quality_rules
+from tablebridge.llm import bpe, decontaminate, licenses, quality_rules, token_files
 from tablebridge.queries.registry import query, table
+from tablebridge.session import staging_path
 
 
 # The words of the texts as the contract writes them; S also holds for lines and rules.
@@ -95,3 +96,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_bpe")
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "tokens")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return token_files.token_report(spark, path)
