@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablebridge.llm import bpe, decontaminate, licenses, quality_rules, token_files
+from tablebridge.llm import bpe, decontaminate, licenses, near_copies, quality_rules, token_files
 from tablebridge.queries.registry import query, table
 from tablebridge.session import staging_path
 
@@ -103,3 +103,8 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "tokens")
     token_files.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return token_files.token_report(spark, path)
+
+
+@query("op6_jaccard_join")
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_copies(table(spark, sf_dir, "documents"))
