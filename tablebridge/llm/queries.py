@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablebridge.llm import bpe, decontaminate, licenses, near_copies, quality_rules, token_files
+from tablebridge.llm import bpe, decontaminate, licenses, near_copies, quality_rules, token_files, toxicity
 from tablebridge.queries.registry import query, table
 from tablebridge.session import staging_path
 
@@ -108,3 +108,9 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_jaccard_join")
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
