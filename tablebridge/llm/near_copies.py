@@ -17,7 +17,7 @@ from cheap to dear:
    the largest overlap that bitmaps and sizes allow is below what a link needs, or all below
    is one component. Cells of more than CELL nodes are cut into blocks and every pair of
    blocks is a cell, so no task holds an unbounded cell.
-5. Pairs of nodes that pass are compared exactly.
+5. Pairs that pass in as many cells as prefixes of linked sets must share are compared exactly.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A null or wordless text has an empty
 set, links with nothing and is its own component. Repeated rows and ids get a result each;
@@ -171,7 +171,7 @@ def verified(pairs: DataFrame, docs: DataFrame, signed: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.int64()), "own": pa.array(own_sets, pa.binary())})
 
     found = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(sets, "key bigint, own binary")
-    kept = stage(found.join(wanted, "key", "left_semi"), "sets").dropDuplicates(["key"])
+    kept = stage(found, "sets")  # a key that two tasks held only repeats links
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -249,14 +249,21 @@ class SignatureTrees:
 
 
 def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (cell, key, n, comp, bits), sorted by cell, to pairs (a, b) of keys that could link."""
+    """Rows (cell, key, n, comp, bits), sorted by cell, to pairs (a, b) of keys that could link.
+
+    ``shared`` is the number of prefix shingles that a pair must share to link.
+    """
     def joined(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         keys = rows.column("key").to_numpy()
         bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint64).reshape(len(keys), BITS // 64)
         trees = SignatureTrees(rows.column("cell").to_numpy(), rows.column("n").to_numpy(), rows.column("comp").to_numpy(), bits)
         for i, j in trees.pairs():
-            pairs = np.unique(np.sort(np.stack([keys[i], keys[j]], axis=1), axis=1), axis=0)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+            # Beyond the prefix of one of the two, a pair has at most what that set has left in common.
+            n = trees.levels[0]["low"]
+            left = np.maximum(-(-PERCENT * n[i] // 100), -(-PERCENT * n[j] // 100)) - 1
+            shared = np.maximum(1, -(-PERCENT * (n[i] + n[j]) // (100 + PERCENT)) - left)
+            pairs = np.sort(np.stack([keys[i], keys[j]], axis=1), axis=1)
+            yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "shared": pa.array(shared)})
 
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -276,7 +283,11 @@ def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def meeting(nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of keys of different components that share a prefix shingle and could link."""
+    """Pairs (a, b) of keys of different components that share prefix shingles and could link.
+
+    A pair meets in the cell of each prefix shingle that both have. (Repeated nodes and blocks
+    only count a meeting more than once, which keeps a pair.)
+    """
     spark = nodes.sparkSession
     live = stage(
         nodes.select(F.explode("prefix").alias("shingle"), "comp").groupBy("shingle")
@@ -299,7 +310,9 @@ def meeting(nodes: DataFrame) -> DataFrame:
     cells = met.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         F.when(F.col("blocks") == 1, F.col("shingle")).otherwise(
             F.xxhash64("shingle", F.least("block", "other"), F.greatest("block", "other"))).alias("cell"), "key", "n", "comp", "bits")
-    return cells.repartition("cell").sortWithinPartitions("cell", "comp", "n").mapInArrow(tree_pairs, "a bigint, b bigint").distinct()
+    return cells.repartition("cell").sortWithinPartitions("cell", "comp", "n").mapInArrow(
+        tree_pairs, "a bigint, b bigint, shared bigint").groupBy("a", "b").agg(F.count("*").alias("n"), F.min("shared").alias("shared")).filter(
+        F.col("n") >= F.col("shared")).select("a", "b")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
