@@ -24,12 +24,9 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.uint64)
     # The widest of the next k values, for growing k, decides which selectors fit at each place.
     escaped = values >= np.uint64(1 << 60)
-    width = np.full(n, 61, dtype=np.uint8)
-    for bits in range(60, -1, -1):
-        fits = values < np.uint64(1 << bits)
-        if not fits.any():
-            break
-        width[fits] = max(bits, 1)
+    # frexp gives the bits of what a double holds exactly; larger values count as 60
+    width = np.where(values < np.uint64(1 << 52), np.maximum(np.frexp(values.astype(np.float64))[1], 1), 60).astype(np.uint8)
+    width[escaped] = 61
     chosen = np.full(n, len(COUNTS) - 1, dtype=np.uint8)
     widest, k = width.copy(), 1
     for selector in range(len(COUNTS) - 2, -1, -1):
@@ -46,9 +43,10 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             break
         chosen[:len(fits)][fits] = selector
     step = COUNTS[chosen].tolist()
-    heads, i = [], 0
+    heads: list[int] = []
+    add, i = heads.append, 0
     while i < n:
-        heads.append(i)
+        add(i)
         i += step[i]
     head = np.array(heads, dtype=np.int64)
     selector = chosen[head]

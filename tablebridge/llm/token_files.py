@@ -13,103 +13,136 @@ written as often as they occur. An empty table gives an empty folder. No other c
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import regex
 import tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablebridge.llm.bpe import read_tokenizer
 from tablebridge.llm.simple8b import from_block, to_block
+from tablebridge.llm.words import byte_hashes, chunks
 
 END_ID = 0
 BLOCK_IDS = 1 << 16  # a block ends with the document that reaches this many ids
-CHUNK_CHARS = 1 << 20  # texts are split into pieces so many characters at a time
-CACHED_PIECES = 250_000
+KNOWN_PIECES = 1_000_000  # pieces that a task remembers, about 30 bytes each
 JOINED = 500  # new words that are encoded in one string
 
-# The pattern that byte-level tokenizers split by, and the same for texts of ASCII and Latin-1 letters.
-_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_PLAIN_TEXT = rf"[\x00-\x7f{_LETTERS}]*"
-_PLAIN_PIECES = (
-    rf" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^ \t-\r0-9{_LETTERS}]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
+_SPACE, _LETTER, _DIGIT, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, dtype=np.uint8)
+_KIND[[0x20, *range(0x09, 0x0E)]] = _SPACE
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = _LETTER
+_KIND[0x30:0x3A] = _DIGIT
+
+
+def _next(x: np.ndarray) -> np.ndarray:
+    out = np.zeros_like(x)
+    out[:-1] = x[1:]
+    return out
+
+
+def plain_texts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether each text has only ASCII and Latin-1 letters, no English contraction and no special token."""
+    before = np.zeros_like(data)
+    before[1:] = data[:-1]
+    latin = (data == 0xC3) | (before == 0xC3) & (data != 0x97) & (data != 0xB7)
+    after = _next(data)
+    odd = (data >= 0x80) & ~latin | (data == ord("'")) & np.isin(after, list(b"stmdrvl")) | (data == ord("<")) & (after == ord("|"))
+    seen = np.concatenate([[0], np.cumsum(odd)])[offsets]
+    return np.diff(seen) == 0
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the pieces of plain texts begin.
+
+    A piece is a run of letters, digits, white space or other characters. The last character
+    of white space before another run stands alone, or leads that run if it is a blank.
+    """
+    kind = _KIND[data]
+    start = np.ones(len(data), dtype=bool)
+    start[1:] = kind[1:] != kind[:-1]
+    first = offsets[:-1][offsets[:-1] < len(data)]
+    start[first] = True
+    behind = np.flatnonzero(start[1:] & (kind[1:] != _SPACE) & (kind[:-1] == _SPACE)) + 1
+    led = np.zeros(len(data), dtype=bool)
+    led[first] = True
+    behind = behind[~led[behind]]  # white space of the text before does not count
+    start[behind - 1] = True
+    start[behind[data[behind - 1] == 0x20]] = False
+    return np.flatnonzero(start)
 
 
 class ByteBpe:
-    """The tokenizers library, asked once for each distinct piece of text."""
+    """The tokenizers library with a byte-level vocabulary, asked once for each distinct piece of plain texts.
+
+    Pieces are told apart by 64-bit hashes. Texts that are not plain go through the library whole.
+    """
 
     def __init__(self, file: str):
         self.library = tokenizers.Tokenizer.from_str(file)
-        self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.pieces = regex.compile(_PIECES.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         # Ids whose string begins with a space, and so with a word.
         self.opens = np.zeros(self.library.get_vocab_size(), dtype=bool)
         self.opens[[i for s, i in self.library.get_vocab().items() if s[0] == "Ġ"]] = True
-        self.plain, self.plain_pieces = re.compile(_PLAIN_TEXT), re.compile(_PLAIN_PIECES)
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids, self.begin = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
-
-    def _split(self, text: str) -> list[str]:
-        return (self.plain_pieces if self.plain.fullmatch(text) else self.pieces).findall(text)
-
-    def _learn(self, pieces: list[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self.place]
-        if not new:
-            return
-        # Words behind one space fall apart again when they are joined, so one call encodes many.
-        joinable = [p[0] == " " and p[1:].isalpha() for p in new]
-        words, others = list(compress(new, joinable)), [p for p, j in zip(new, joinable, strict=True) if not j]
-        ids, lengths = [], []
-        for e in self.library.encode_batch_fast(["".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)], add_special_tokens=False):
-            ids.append(np.array(e.ids, dtype=np.uint32))
-            lengths.append(np.diff(np.append(np.flatnonzero(self.opens[ids[-1]]), len(ids[-1]))))
-        for e in self.library.encode_batch_fast(others, add_special_tokens=False):
-            ids.append(np.array(e.ids, dtype=np.uint32))
-            lengths.append([len(e.ids)])
-        self.place |= {p: i for i, p in enumerate(words + others, len(self.place))}
-        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(np.concatenate(lengths))])
-        self.ids = np.concatenate([self.ids, *ids])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, number of ids of each text)."""
-        if len(self.place) > CACHED_PIECES:
+        self.known, self.begin, self.length = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype=np.uint32)
+
+    def _whole(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        ids = [np.array(e.ids, dtype=np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return ids, [np.array([len(x)]) for x in ids]
+
+    def _learn(self, hashes: np.ndarray, pieces: list[str]) -> None:
+        # Words behind one blank fall apart again when they are joined, so one call encodes many.
+        joinable = np.array([p[0] == " " and p[1:].isalpha() for p in pieces], dtype=bool)
+        words, others = list(compress(pieces, joinable)), list(compress(pieces, ~joinable))
+        ids, _ = self._whole(["".join(words[i:i + JOINED]) for i in range(0, len(words), JOINED)])
+        lengths = [np.diff(np.append(np.flatnonzero(self.opens[x]), len(x))) for x in ids]
+        more, singly = self._whole(others)
+        length = np.concatenate([*lengths, *singly])
+        begin = len(self.ids) + np.cumsum(length) - length
+        self.ids = np.concatenate([self.ids, *ids, *more])
+        known = np.concatenate([self.known, hashes[joinable], hashes[~joinable]])
+        order = np.argsort(known)
+        self.known = known[order]
+        self.begin, self.length = np.concatenate([self.begin, begin])[order], np.concatenate([self.length, length])[order]
+
+    def _places(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        hashes, at, back = np.unique(byte_hashes(data, start, end), return_index=True, return_inverse=True)
+        if len(self.known) > KNOWN_PIECES:
             self._forget()
-        split = [None if any(s in t for s in self.specials) else self._split(t) for t in texts]
-        pieces = [p for s in split for p in s or ()]
-        self._learn(pieces)
-        at = np.fromiter(map(self.place.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        length = self.begin[at + 1] - self.begin[at]
+        place = np.minimum(np.searchsorted(self.known, hashes), max(0, len(self.known) - 1))
+        new = np.ones(len(hashes), dtype=bool) if not len(self.known) else self.known[place] != hashes
+        if new.any():
+            raw = data.tobytes()
+            self._learn(hashes[new], [raw[s:e].decode() for s, e in zip(start[at[new]].tolist(), end[at[new]].tolist(), strict=True)])
+            place = np.searchsorted(self.known, hashes)
+        return place[back]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each text) of UTF-8 texts."""
+        plain = plain_texts(data, offsets)
+        start = piece_starts(data, offsets)
+        end = np.append(start[1:], len(data))
+        text = np.searchsorted(offsets, start, side="right") - 1
+        own = plain[text]
+        place = self._places(data, start[own], end[own])
+        length, begin = self.length[place], self.begin[place]
         ends = np.cumsum(length)
-        ids = self.ids[np.repeat(self.begin[at] - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
-        edge = np.concatenate([[0], ends])[np.cumsum([0, *(len(s or ()) for s in split)])]
-        parts, counts = [], np.diff(edge)
-        if all(s is not None for s in split):
+        ids = self.ids[np.repeat(begin - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)]
+        counts = np.bincount(text[own], weights=length, minlength=len(plain)).astype(np.int64)
+        if plain.all():
             return ids, counts
-        for i, s in enumerate(split):  # special tokens cut a text before it is split
-            own = ids[edge[i]:edge[i + 1]] if s is not None else np.array(self.library.encode(texts[i], add_special_tokens=False).ids, dtype=np.uint32)
-            counts[i] = len(own)
-            parts.append(own)
-        return np.concatenate(parts), counts
-
-
-def _runs(texts: list[str]) -> Iterator[tuple[int, int]]:
-    """Consecutive texts of about CHUNK_CHARS characters."""
-    a, size = 0, 0
-    for b, text in enumerate(texts, 1):
-        size += len(text)
-        if size >= CHUNK_CHARS or b == len(texts):
-            yield a, b
-            a, size = b, 0
+        edge = np.concatenate([[0], np.cumsum(counts)])
+        odd = np.flatnonzero(~plain)
+        whole = dict(zip(odd.tolist(), self._whole([data[offsets[i]:offsets[i + 1]].tobytes().decode() for i in odd])[0], strict=True))
+        parts = [whole[i] if i in whole else ids[edge[i]:edge[i + 1]] for i in range(len(plain))]
+        return np.concatenate(parts), np.array([len(x) for x in parts], dtype=np.int64)
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, path: str) -> None:
@@ -122,7 +155,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str) -> None:
         values: list[np.ndarray] = []
         doc_ids: list = []
         counts: list[int] = []
-        before, part = 0, None
+        before, part, end_id = 0, None, np.array([END_ID], dtype=np.uint32)
 
         def block() -> pa.RecordBatch:
             nonlocal before
@@ -140,16 +173,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str) -> None:
             doc_type = batch.schema.field("doc_id").type
             if batch.num_rows:
                 part = batch.column("part")[0].as_py()
-            texts = batch.column("text").fill_null("").to_pylist()
-            keys = batch.column("doc_id").to_pylist()
-            for a, b in _runs(texts):
-                ids, n = bpe.encode(texts[a:b])
+            for a, b, data, offsets in chunks(batch.column("text")):
+                ids, n = bpe.encode(data, offsets)
                 edge = np.concatenate([[0], np.cumsum(n)])
-                for i in range(b - a):
-                    values.append(np.append(ids[edge[i]:edge[i + 1]], np.uint32(END_ID)))
-                    doc_ids.append(keys[a + i])
+                for i, key in enumerate(batch.column("doc_id").slice(a, b - a).to_pylist()):
+                    values += [ids[edge[i]:edge[i + 1]], end_id]
+                    doc_ids.append(key)
                     counts.append(int(n[i]) + 1)
-                    if sum(counts[-1:]) >= BLOCK_IDS or len(counts) % 64 == 0 and sum(counts) >= BLOCK_IDS:
+                    if counts[-1] >= BLOCK_IDS or len(counts) % 16 == 0 and sum(counts) >= BLOCK_IDS:
                         yield block()
         if counts:
             yield block()
@@ -180,10 +211,13 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _with_first(files: DataFrame) -> DataFrame:
-    """Blocks with the number of ids before them in the corpus; one total for each task that wrote."""
+    """Blocks with the number of ids before them in the corpus.
+
+    There is one offset for each task that wrote, which bounds what is broadcast.
+    """
     totals = files.groupBy("part").agg(F.sum("n_ids").alias("n"))
     offsets = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("offset"))
-    return files.join(offsets, "part").select((F.col("offset") + F.col("before")).alias("first"), "doc_ids", "block")
+    return files.join(F.broadcast(offsets), "part").select((F.col("offset") + F.col("before")).alias("first"), "doc_ids", "block")
 
 
 def token_report(spark: SparkSession, path: str) -> DataFrame:

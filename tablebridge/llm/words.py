@@ -51,7 +51,8 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each run of bytes."""
     length = end - start
     out = np.full(len(start), _SEED, dtype=np.uint64)
     left = np.flatnonzero(length <= _LONG_WORD)
@@ -94,7 +95,7 @@ def split_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray = ALNU
     before[edges[edges < len(word)]] = False
     after[edges[edges > 0] - 1] = False
     start, end = np.flatnonzero(word & ~before), np.flatnonzero(word & ~after) + 1
-    return Words(data, start, end, np.searchsorted(start, offsets), _hashes(data, start, end))
+    return Words(data, start, end, np.searchsorted(start, offsets), byte_hashes(data, start, end))
 
 
 def ngrams(w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
