@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablebridge.llm import bpe, decontaminate, licenses, near_copies, quality_rules, token_files, toxicity
+from tablebridge.llm import bpe, decontaminate, licenses, line_crf, near_copies, quality_rules, token_files, toxicity
 from tablebridge.queries.registry import query, table
 from tablebridge.session import staging_path
 
@@ -114,3 +114,9 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score_toxicity(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op5_line_crf")
+def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return line_crf.score_quality(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
