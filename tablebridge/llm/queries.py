@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablebridge.llm import bpe, decontaminate, licenses, line_crf, near_copies, quality_rules, token_files, toxicity
+from tablebridge.llm import bpe, decontaminate, licenses, line_crf, near_copies, pii, quality_rules, secrets, token_files, toxicity
 from tablebridge.queries.registry import query, table
 from tablebridge.session import staging_path
 
@@ -120,3 +120,15 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return line_crf.score_quality(docs, line_crf.train(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op2_pii")
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.scan_pii(docs, pii.train(docs))
+
+
+@query("op10_secret_scan")
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan_secrets(docs, secrets.train(docs))
