@@ -35,18 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tablebridge.llm.batches import stage
 from tablebridge.llm.components import components
 from tablebridge.llm.words import SPACED, chunks, mixed, shingle_sets, split_words
-from tablebridge.session import stage
 
 SHINGLE = 4
 PERCENT = 85
 BITS = 1024  # of a node's bitmap
 SEEDS = 8  # minimum hashes that find the first links
 AGREE = 2  # of them must name the same node
-SLOT_BITS = 20  # the table of frequencies has a million slots
+SLOT_BITS = 22  # the table of frequencies has four million slots
 LIVE_BITS = 24  # filters of fixed size, two megabytes
-OFTEN = 8  # a shingle of fewer documents in a batch is not counted there
+OFTEN = 3  # a shingle of fewer documents in a batch is not counted there
 CELL = 4096
 FANOUT = 4
 PAIRS_AT_ONCE = 8192
@@ -86,7 +86,7 @@ def _frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def frequencies(docs: DataFrame) -> np.ndarray:
-    """log2 of the counts of frequent shingles by slot; a megabyte, whatever the input."""
+    """log2 of the counts of frequent shingles by slot; four megabytes, whatever the input."""
     counts = docs.select("text").mapInArrow(_frequent, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
     out = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
     for slot, n in counts.toLocalIterator():

@@ -23,13 +23,14 @@ import tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tablebridge.llm.batches import small_batches
 from tablebridge.llm.bpe import read_tokenizer
 from tablebridge.llm.simple8b import from_block, to_block
 from tablebridge.llm.words import byte_hashes, chunks
 
 END_ID = 0
 BLOCK_IDS = 1 << 16  # a block ends with the document that reaches this many ids
-KNOWN_PIECES = 1_000_000  # pieces that a task remembers, about 30 bytes each
+KNOWN_PIECES = 500_000  # pieces that a task remembers, about 30 bytes each
 JOINED = 500  # new words that are encoded in one string
 
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
@@ -185,13 +186,13 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str) -> None:
         if counts:
             yield block()
 
-    (
+    ordered = (
         docs.select("doc_id", "text", F.xxhash64("text").alias("digest"), F.monotonically_increasing_id().alias("row"))
         .repartitionByRange("doc_id", "digest", "row").sortWithinPartitions("doc_id", "digest", "row")
         .select(F.spark_partition_id().alias("part"), "doc_id", "text")
-        .mapInArrow(blocks, f"part int, before bigint, n_ids bigint, doc_ids array<{kind}>, block binary")
-        .write.parquet(path)
     )
+    with small_batches(docs.sparkSession):
+        ordered.mapInArrow(blocks, f"part int, before bigint, n_ids bigint, doc_ids array<{kind}>, block binary").write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:

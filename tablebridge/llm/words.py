@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20  # texts handled at once; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 20  # texts handled at once; a longer text is a chunk of its own
 _LONG_WORD = 64  # bytes; longer words are hashed one by one
 _SEED, _PRIME, _MIX = np.uint64(0xCBF29CE484222325), np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
 
