@@ -19,6 +19,7 @@ import json
 import unicodedata
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -136,18 +137,23 @@ def encode_column(docs: DataFrame, tokenizer: str) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_per_batch(docs.sparkSession, read_tokenizer(tokenizer), ids), f"doc_id {kind}, ids array<int>")
 
 
-def round_trip(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Per row: doc_id, n_tokens and the SHA-256 of the ids and of the text decoded from them."""
+def round_trip(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataFrame:
+    """Per row: doc_id, n_tokens and the SHA-256 of the ids and of the text decoded from them; on demand the ids."""
 
     def digests(bpe: WordBpe, texts: pa.Array) -> dict[str, pa.Array]:
-        count, ids, decoded = [], [], []
+        count, ids, decoded, lists = [], [], [], []
         for text in texts:
             pieces = bpe.encoded(text.as_py() or "")
+            written = " ".join([p[1] for p in pieces])
             count.append(sum(p[0] for p in pieces))
-            ids.append(hashlib.sha256(" ".join([p[1] for p in pieces]).encode()).hexdigest())
+            ids.append(hashlib.sha256(written.encode()).hexdigest())
             decoded.append(hashlib.sha256(" ".join([p[2] for p in pieces]).encode()).hexdigest())
-        return {"n_tokens": pa.array(count, pa.int64()), "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(decoded, pa.string())}
+            if with_ids:
+                lists.append(np.array(written.split(), dtype=np.int32))
+        columns = {"n_tokens": pa.array(count, pa.int64()), "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(decoded, pa.string())}
+        return columns | ({"ids": pa.array(lists, pa.list_(pa.int32()))} if with_ids else {})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(
-        _per_batch(docs.sparkSession, read_tokenizer(tokenizer), digests), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        _per_batch(docs.sparkSession, read_tokenizer(tokenizer), digests),
+        f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string{', ids array<int>' if with_ids else ''}")

@@ -176,7 +176,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, columns unchanged."""
-    bad = contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("id"), "digest").distinct()
+    # Written first, so that Spark knows its size when it chooses how to join.
+    bad = stage(contamination(docs, benchmark).filter("contaminated").select(F.col("doc_id").alias("id"), "digest").distinct(), "contaminated")
     rows = docs.select(F.struct("*").alias("row"))
     same = F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64("row.text") == F.col("digest"))
     return rows.join(bad, same, "left_anti").select("row.*")

@@ -336,6 +336,7 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
 
     Of rows with equal ids in one group all stay or go together; rows with a null id stay.
     """
-    gone = near_copies(docs).filter("doc_id > component_id").select(F.col("doc_id").alias("id")).distinct()
+    # Written first, so that Spark knows its size when it chooses how to join.
+    gone = stage(near_copies(docs).filter("doc_id > component_id").select(F.col("doc_id").alias("id")).distinct(), "gone")
     rows = docs.select(F.struct("*").alias("row"))
     return rows.join(gone, F.col("row.doc_id") == F.col("id"), "left_anti").select("row.*")
