@@ -13,6 +13,7 @@ written as often as they occur. An empty table gives an empty folder. No other c
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import compress
@@ -152,6 +153,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str) -> None:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core already
         bpe = ByteBpe(shared.value)
         values: list[np.ndarray] = []
         doc_ids: list = []
