@@ -1,0 +1,237 @@
+"""Operators that compare texts or learn from labels, and the pipeline, on edge cases and by brute force."""
+
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+import corpus_pipeline
+from edges import LONG, PLAIN, ROWS, edge_docs, frame, no_docs, prose, rows_of
+from tablebridge.llm import char_cnn, components, decontaminate, labelled, line_crf, near_copies, toxicity, words
+
+
+# --- words ---
+
+@pytest.mark.parametrize("inside,pattern", [(words.ALNUM, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), (words.SPACED, r"[^\x20\x09-\x0D]+")])
+def test_words_equal_the_pattern(inside, pattern):
+    r = random.Random(0)
+    parts = ["a", "B9", "é", " ", "\n", "-", "İ", "漢", "\x7f", "\x0b", "_", "", "x" * 80]
+    texts = [None, "", *["".join(r.choices(parts, k=r.randint(0, 12))) for _ in range(800)]]
+    column = pa.array(texts)
+    for a, b, data, offsets in words.chunks(column.slice(1)):
+        w = words.split_words(data, offsets, inside)
+        for i in range(a, b):
+            lowered = re.sub("[A-Z]+", lambda m: m[0].lower(), texts[i + 1])
+            assert [x.decode() for x in w.span(w.first[i - a], w.first[i - a + 1])] == re.findall(pattern, lowered)
+
+
+def shingles(text):
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+    return {tuple(found[k:k + 4]) for k in range(max(1, len(found) - 3))} if found else set()
+
+
+# --- decontamination ---
+
+def brute_contamination(docs, items):
+    def split(t):
+        return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]+", lambda m: m[0].lower(), t or ""))
+
+    windows = {}
+    for item, text in items:
+        w = split(text)
+        n = min(13, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            windows.setdefault(tuple(w[k:k + n]), set()).add(str(item))
+    out = []
+    for i, text in docs:
+        w, hit, found = split(text), set(), set()
+        for n in {len(x) for x in windows}:
+            for k in range(len(w) - n + 1):
+                if own := windows.get(tuple(w[k:k + n])):
+                    hit |= set(range(k, k + n))
+                    found |= own
+        out.append((i, len(w), len(hit), len(found), bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out, key=repr)
+
+
+def test_contamination_by_brute_force(spark):
+    r = random.Random(8)
+    vocabulary = ["aa", "b", "Cc", "é", "dd", "e"]
+    items = [(k, " ".join(r.choices(vocabulary, k=r.choice((0, 1, 2, 5, 12, 13, 14, 30))))) for k in range(30)] + [(30, None), (31, "b b b"), (32, "b b b")]
+    docs = []
+    for k in range(60):
+        text = " ".join(r.choices(vocabulary + ["ff", "gg", "hh"], k=r.randint(0, 60)))
+        docs.append((k, text + " " + (r.choice(items)[1] or "") + " zz " + text[:40]))
+    docs += [(7, docs[7][1]), (60, None), (61, "")]
+    benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, digest string")
+    out = decontaminate.contamination(frame(spark, docs), benchmark)
+    assert rows_of(out, "doc_id", "n_words", "n_hit", "n_items", "contaminated") == brute_contamination(docs, items)
+
+
+def test_contamination_edges(spark):
+    items = spark.createDataFrame([(1, PLAIN), (None, LONG), (2, None)], "item_id long, text string")
+    docs = edge_docs(spark)
+    out = decontaminate.contamination(docs, items)
+    assert out.count() == len(ROWS) and out.filter("contaminated").count() == 5
+    kept = decontaminate.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns and kept.count() == len(ROWS) - 5
+    assert decontaminate.contamination(docs, items.limit(0)).filter("contaminated").count() == 0
+    assert decontaminate.contamination(no_docs(spark), items).count() == 0
+
+
+# --- near copies ---
+
+def brute_components(docs):
+    sets = [shingles(t) for _, t in docs]
+    group = list(range(len(docs)))
+
+    def find(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for a in range(len(docs)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                group[find(a)] = find(b)
+    least = {}
+    for k, (i, _) in enumerate(docs):
+        if i is not None:
+            least[find(k)] = min(i, least.get(find(k), i))
+    return sorted(((i, len(sets[k]), least.get(find(k), i) if sets[k] else i) for k, (i, _) in enumerate(docs)), key=repr)
+
+
+def near_docs():
+    r = random.Random(6)
+    passage, docs = prose(50, 60), []
+    for k in range(12):
+        base = prose(100 + k, r.choice((3, 12, 40, 200, 1500))).split()
+        for _ in range(r.randint(1, 9)):
+            own = list(base)
+            for _ in range(r.randint(0, max(1, len(own) // 60))):
+                own[r.randrange(len(own))] = r.choice(("new", "word", "here"))
+            docs.append((len(docs), " ".join(own) + (" " + passage if r.random() < 0.5 else "")))
+    return docs + [(1000 + k, passage + f" tail{k}") for k in range(8)]
+
+
+def test_near_copies_by_brute_force(spark, monkeypatch):
+    docs = near_docs()
+    expected = brute_components(docs)
+    assert len({c for *_, c in expected}) < len(docs) - 10
+    assert rows_of(near_copies.near_copies(frame(spark, docs).repartition(3)), "doc_id", "n_shingles", "component_id") == expected
+    # tiny cells: every cell is cut into blocks
+    monkeypatch.setattr(near_copies, "CELL", 2)
+    monkeypatch.setattr(near_copies, "AGREE", 9)  # and no first links
+    assert rows_of(near_copies.near_copies(frame(spark, docs)), "doc_id", "n_shingles", "component_id") == expected
+
+
+def test_near_copies_edges(spark):
+    docs = edge_docs(spark)
+    out = near_copies.near_copies(docs)
+    assert rows_of(out, "doc_id", "n_shingles", "component_id") == brute_components(ROWS)
+    kept = near_copies.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    assert rows_of(kept, "doc_id") == sorted([(1,), (2,), (3,), (4,), (4,), (5,), (5,), (None,), (None,), (6,), (8,)], key=repr)
+    assert near_copies.near_copies(no_docs(spark)).count() == 0
+
+
+def test_trees_lose_no_pair():
+    r = np.random.default_rng(3)
+    base = r.random((6, 1024)) < 0.3
+    bits = np.concatenate([b ^ (r.random((20, 1024)) < 0.01) for b in base])
+    n = bits.sum(axis=1).astype(np.int64)
+    packed = np.frombuffer(np.packbits(bits, axis=1).tobytes(), dtype=np.uint64).reshape(len(bits), 16)
+    comp = np.arange(len(bits), dtype=np.int64) // 2
+    tree = near_copies.SignatureTrees(np.zeros(len(bits), dtype=np.int64), n, comp, packed)
+    found = {(int(a), int(b)) for i, j in tree.pairs() for a, b in zip(i, j, strict=True)}
+    common = bits.astype(int) @ bits.T.astype(int)
+    linked = {(a, b) for b in range(len(bits)) for a in range(b)
+              if comp[a] != comp[b] and 100 * common[a, b] >= 85 * (n[a] + n[b] - common[a, b])}
+    assert linked and linked <= found and len(found) < len(bits) * (len(bits) - 1) / 4
+
+
+def test_components_of_chains(spark):
+    chain = [(i, i + 1) for i in range(100, 160)]
+    links = spark.createDataFrame([*chain, (7, 5), (5, 9), (3, 3), (5, 7), (None, 4)], "a long, b long")
+    got = dict(rows_of(components.components(links), "node", "component"))
+    assert got == {**{i: 100 for i in range(100, 161)}, 5: 5, 7: 5, 9: 5}
+    assert components.components(links.limit(0)).count() == 0
+
+
+# --- labels ---
+
+def test_folds_and_samples(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(None, 1), (7, None)], "doc_id long, toxic int")
+    docs = frame(spark, [(i, f"text {i}") for i in range(400)])
+    rows = labelled.training_rows(docs, labels, "toxic", 1_000).collect()
+    assert {r.doc_id for r in rows} == {i for i in range(400) if zlib.crc32(str(i).encode()) % 5}
+    assert len(labelled.training_rows(docs, labels, "toxic", 50).collect()) < 100
+
+
+def accuracy(spark, df, sf_dir, column):
+    rows = df.join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id").filter("held_out").select("score", "predicted", column).collect()
+    return np.mean([r.predicted == r[column] for r in rows]), rows
+
+
+@pytest.mark.parametrize("train,score,column,least", [
+    (toxicity.train, toxicity.score_toxicity, "toxic", 0.95), (line_crf.train, line_crf.score_quality, "quality", 0.96)])
+def test_classifiers_on_the_held_out_fold(spark, sf, train, score, column, least):
+    big = f"{sf.rsplit('/', 1)[0]}/sf0.1"
+    docs = spark.read.parquet(f"{big}/documents.parquet")
+    model = train(docs, spark.read.parquet(f"{big}/labels.parquet"))
+    right, rows = accuracy(spark, score(docs, model), big, column)
+    assert right >= least and all(0 <= r.score <= 1 for r in rows)
+    edges = score(edge_docs(spark), model)
+    assert edges.count() == len(ROWS) and edges.filter("score IS NULL OR held_out IS NULL").count() == 0
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert train(docs, labels) is None
+    assert score(edge_docs(spark), None).filter("score = 0").count() == len(ROWS)
+    assert score(no_docs(spark), model).count() == 0
+
+
+def test_marginals_by_enumeration():
+    r = np.random.default_rng(1)
+    features, weights, moves = r.normal(size=(5, 3)), r.normal(size=3), r.normal(size=(2, 2))
+    text = np.array([0, 0, 0, 1, 1])
+    p, pairs = line_crf.marginals(features, text, weights, moves)
+    emit = features @ weights
+    expected = np.zeros(5)
+    for rows in ([0, 1, 2], [3, 4]):
+        total = 0.0
+        for code in range(2 ** len(rows)):
+            y = [(code >> k) & 1 for k in range(len(rows))]
+            weight = np.exp(sum(emit[i] for i, v in zip(rows, y, strict=True) if v) + sum(moves[a, b] for a, b in zip(y, y[1:], strict=False)))
+            total += weight
+            for i, v in zip(rows, y, strict=True):
+                expected[i] += weight * v
+        expected[rows] /= total
+    assert np.allclose(p[:, 1], expected) and np.isclose(pairs.sum(), 3)
+
+
+def test_network_gradient_learns():
+    r = random.Random(2)
+    texts = ["".join(r.choices("abcdef0123456789", k=30)) for _ in range(150)] + ["".join(r.choices("ghijklm", k=30)) for _ in range(150)]
+    x, y = char_cnn.encode(texts, 40), np.repeat([1, 0], 150)
+    net = char_cnn.fit(x, y, 8)
+    assert np.mean((char_cnn.margins(net, x, 8) > 0) == y) > 0.98
+
+
+# --- pipeline ---
+
+def test_pipeline_by_brute_force(spark, sf):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    from tablebridge.llm.queries import op9_quality_rules
+    left = {r.doc_id: docs[r.doc_id] for r in op9_quality_rules(spark, sf).collect() if r.kept}
+    left = {i: left[i] for i, _, c in brute_components(sorted(left.items())) if i == c}
+    left = {i: left[i] for i, *_, bad in brute_contamination(left.items(), items) if not bad}
+    out = corpus_pipeline.run(spark, sf)
+    assert {r.doc_id for r in out.collect()} == set(left) and out.count() == len(left)
+    assert len(corpus_pipeline.STAGES) == 5
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        empty = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
+        assert step(spark, empty, sf).columns == empty.columns
