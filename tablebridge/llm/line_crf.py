@@ -60,7 +60,7 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     breaks = np.flatnonzero(data == 10)
     start = np.unique(np.concatenate([offsets[:-1], breaks + 1]))
     start = start[start < len(data)]
-    end = np.append(start[1:], len(data))
+    end = np.append(start[1:], len(data))[:len(start)]
     end = np.where(data[end - 1] == 10, end - 1, end)  # no start is at the end of the data, so no run is empty
     w = split_words(data, offsets, SPACED)
     low, high = np.searchsorted(w.start, start), np.searchsorted(w.start, end)

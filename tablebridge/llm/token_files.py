@@ -130,7 +130,7 @@ class ByteBpe:
         """(ids, number of ids of each text) of UTF-8 texts."""
         plain = plain_texts(data, offsets)
         start = piece_starts(data, offsets)
-        end = np.append(start[1:], len(data))
+        end = np.append(start[1:], len(data))[:len(start)]
         text = np.searchsorted(offsets, start, side="right") - 1
         own = plain[text]
         place = self._places(data, start[own], end[own])
