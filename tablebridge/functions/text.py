@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablebridge.functions.values import utc_wall_clock
 from tablebridge.model import UnsupportedError
-from tablebridge.sources.scan import col
+from tablebridge.sources.scan import KEEP_NULLS, col
 
 NULL_MARK = "\\N"
 
@@ -56,7 +56,7 @@ def plain_text(c: Column, data_type: T.DataType) -> Column:
     if isinstance(data_type, T.TimeType):
         return wall_clock_text(c)
     if isinstance(data_type, (T.VariantType, T.StructType, T.MapType)):
-        return F.to_json(c)
+        return F.to_json(c, KEEP_NULLS)
     if isinstance(data_type, (T.IntegralType, T.DecimalType, T.StringType, T.DateType)):
         return c.cast("string")
     raise UnsupportedError(f"no text form for {data_type.simpleString()}")

@@ -62,6 +62,11 @@ def lost_in(c: Column, tried: Column, source: T.DataType, target: T.DataType) ->
     exact = (T.IntegralType, T.DecimalType)
     if isinstance(source, T.NumericType) and isinstance(target, exact):
         return tried.isNull() | (tried != c)
+    if isinstance(target, (T.CharType, T.VarcharType)):
+        return F.length(c.cast("string")) > target.length
+    narrowed = isinstance(source, T.NumericType) and isinstance(target, (T.DoubleType, T.FloatType))
+    if narrowed or isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(target, T.DateType):
+        return tried.isNull() | ~tried.try_cast(source).eqNullSafe(c)
     if isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType):
         pair = F.zip_with(c, tried, lambda x, y: x.isNotNull() & lost_in(x, y, source.elementType, target.elementType))
         return tried.isNull() | F.exists(pair, lambda e: e)

@@ -149,7 +149,12 @@ def _with_parents(cat: PgCatalog, base: DataFrame) -> DataFrame:
 
 
 def reflect_enums(cat: PgCatalog, scope: Scope = ALL) -> DataFrame:
-    """Labels per enum type in sort order, keyed by schema and type."""
+    """Labels per enum type in sort order, keyed by schema and type; the engine's own schemas are left out."""
+    return _enum_labels(cat, scope).where(_user_schema(F.col("schema_name")))
+
+
+def _enum_labels(cat: PgCatalog, scope: Scope = ALL) -> DataFrame:
+    """Labels of the enum types of all schemas, which columns of any schema can name."""
     shape = "source_id string, schema_name string, type_name string, labels array<string>"
     if cat.enum is None or cat.type_ is None:
         return _empty(cat.class_, shape)
@@ -170,7 +175,7 @@ def _pg_columns(cat: PgCatalog, scope: Scope, kinds: tuple[str, ...]) -> DataFra
         *TABLE_KEY, F.col("attname").alias("column_name"), F.col("attnum").cast("int").alias("ordinal"), "native_type",
         (~F.col("attnotnull")).alias("nullable"), "default_expr", identity.alias("identity"), "comment")
     # Enum types of other schemas can be named, so labels are not scoped.
-    return map_pg_types(flat, reflect_enums(cat))
+    return map_pg_types(flat, _enum_labels(cat))
 
 
 def reflect_columns(cat: Catalog, scope: Scope = ALL) -> DataFrame:
@@ -644,7 +649,7 @@ def _assemble_pg(cat: PgCatalog, scope: Scope) -> DataFrame:
                           "native_type", (~F.col("attnotnull")).alias("nullable"), "default_expr", identity.alias("identity"), "comment",
                           "attisdropped"))
     fields = ["ordinal", "column_name", "native_type", "nullable", "default_expr", "identity", "comment", "t"]
-    parts = [map_pg_types(attributes, reflect_enums(cat)).select(*key, F.struct(*fields, "attisdropped").alias("attribute"))]
+    parts = [map_pg_types(attributes, _enum_labels(cat)).select(*key, F.struct(*fields, "attisdropped").alias("attribute"))]
     if cat.constraint is not None:
         con = within(cat.constraint.where("contype IN ('p', 'u', 'c', 'x')"), "conrelid")
         parts.append(con.select(*key, F.struct(F.col("conname").alias("constraint_name"), "contype", "conkey", "definition", "conindid").alias("con")))

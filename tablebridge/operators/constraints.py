@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tablebridge.functions.values import lost_in, parse_schema
 from tablebridge.model import QueryError
-from tablebridge.sources.batches import with_tie_break
+from tablebridge.sources.batches import tie_columns, with_tie_break
 from tablebridge.sources.scan import col, require_columns
 from tablebridge.sources.tiles import sample_bounds, tuple_tile_expr
 
-INLINE_LABELS = 200
+
+ROWS_PER_TILE = 4_000_000  # of an overlap check, where the session asks for fewer tiles
 
 
 def any_null(columns: Sequence[str]) -> Column:
@@ -38,11 +39,16 @@ def unique_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1))
 
 
-def rows_with_keys(df: DataFrame, keys: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The full rows behind a frame of violating keys (NULL keys included)."""
+def rows_with_keys(df: DataFrame, keys: DataFrame, columns: Sequence[str], null_keys: bool = True) -> DataFrame:
+    """The full rows behind a frame of violating keys.
+
+    Where no key of the frame holds a NULL, ``null_keys=False`` leaves rows
+    with a NULL out before the join, so they never meet in one task.
+    """
     k = keys.select(*[col(c).alias(f"_k{i}") for i, c in enumerate(columns)])
-    on = reduce(lambda x, y: x & y, [col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(columns)])
-    return df.join(k, on, "left_semi")
+    pairs = [(col(c), F.col(f"_k{i}")) for i, c in enumerate(columns)]
+    on = reduce(lambda x, y: x & y, [a.eqNullSafe(b) if null_keys else a == b for a, b in pairs])
+    return (df if null_keys else df.where(~any_null(columns))).join(k, on, "left_semi")
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, columns: Sequence[str], ref_columns: Sequence[str]) -> DataFrame:
@@ -64,7 +70,7 @@ def orphan_keys(child: DataFrame, parent: DataFrame, columns: Sequence[str], ref
 
 def fk_violations(child: DataFrame, parent: DataFrame, columns: Sequence[str], ref_columns: Sequence[str]) -> DataFrame:
     """Child rows without a parent; a NULL in any column passes (MATCH SIMPLE)."""
-    return rows_with_keys(child, orphan_keys(child, parent, columns, ref_columns), columns)
+    return rows_with_keys(child, orphan_keys(child, parent, columns, ref_columns), columns, null_keys=False)
 
 
 def check_violations(df: DataFrame, checks: Mapping[str, str]) -> DataFrame:
@@ -86,18 +92,17 @@ def not_null_violations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def enum_violations(df: DataFrame, column: str, labels: Sequence[str] | DataFrame) -> DataFrame:
     """Rows whose value is none of the labels; NULL passes.
 
-    ``labels`` is a list, or a one-column frame for a large domain.
+    ``labels`` is a list, or a one-column frame for a large domain. A NULL
+    among the labels allows nothing more.
     """
     require_columns(df, [column])
     if isinstance(labels, DataFrame):
         known = labels.select(labels.columns[0]).toDF("_label")
         bad = (df.where(col(column).isNotNull()).groupBy(col(column)).agg(F.count(F.lit(1)))
                .join(known, col(column) == F.col("_label"), "left_anti"))
-        return rows_with_keys(df, bad, [column])
-    if len(labels) > INLINE_LABELS:
-        frame = df.sparkSession.createDataFrame([(v,) for v in labels], "label string")
-        return enum_violations(df, column, frame)
-    return df.where(~col(column).isin(*labels)) if labels else df.where(col(column).isNotNull())
+        return rows_with_keys(df, bad, [column], null_keys=False)
+    known = [v for v in labels if v is not None]
+    return df.where(~col(column).isin(*known)) if known else df.where(col(column).isNotNull())
 
 
 def domain_misfit(c: Column, source: T.DataType, target: T.DataType) -> Column:
@@ -133,8 +138,8 @@ def exclusion_violations(df: DataFrame, eq_columns: Sequence[str], lower: str, u
     require_columns(df, [*eq_columns, lower, upper, *order_by])
     rows = df.where(~any_null([*eq_columns, lower, upper]) & (col(lower) < col(upper)))
     rows = with_tie_break(rows, "_tie")
-    ties = [*order_by, "_tie"]
-    n = tiles or min(1024, max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    ties = [*order_by, *tie_columns("_tie")]
+    n = tiles or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // ROWS_PER_TILE)
     axis = [lower, *ties]
     tiled = rows.withColumn("_tile", tuple_tile_expr(rows, axis, sample_bounds(rows, axis, n)))
     keys = [col(c) for c in eq_columns]
@@ -147,4 +152,4 @@ def exclusion_violations(df: DataFrame, eq_columns: Sequence[str], lower: str, u
     before = Window.partitionBy(*keys, "_tile").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return (both.withColumn("prior_upper", F.max("_end").over(before))
             .where((F.col("_carry") == 0) & (F.col("prior_upper") > col(lower)))
-            .drop("_tile", "_tie", "_end", "_carry"))
+            .drop("_tile", *tie_columns("_tie"), "_end", "_carry"))

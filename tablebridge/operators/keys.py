@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tablebridge.model import DdlError, Identity, QueryError, SequenceDef
 from tablebridge.operators.constraints import unique_violations
-from tablebridge.sources.batches import number_rows, with_tie_break
+from tablebridge.sources.batches import number_rows, tie_columns, with_tie_break
 from tablebridge.sources.scan import col, require_columns
 
 SKETCH_ERROR = 0.02
@@ -158,8 +158,8 @@ def clustered_write(df: DataFrame, path: str, columns: Sequence[str], descending
         raise DdlError(f"the index columns {list(columns)} are not unique")
     flags = [*descending, *[False] * (len(columns) - len(descending))]
     order = [col(c).desc() if d else col(c).asc() for c, d in zip(columns, flags)]
-    (with_tie_break(df).repartitionByRange(*order, "_spread")
-     .sortWithinPartitions(*order, "_spread").drop("_spread").write.mode(mode).parquet(path))
+    (with_tie_break(df).repartitionByRange(*order, *tie_columns())
+     .sortWithinPartitions(*order, *tie_columns()).drop(*tie_columns()).write.mode(mode).parquet(path))
 
 
 def bucketed_write(df: DataFrame, table: str, columns: Sequence[str], buckets: int, sort: bool = True,

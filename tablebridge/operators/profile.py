@@ -42,4 +42,6 @@ def profile_table(df: DataFrame, exact: bool = False) -> DataFrame:
         for i, (f, simple) in enumerate(zip(fields, flat)) if simple])))
     counts = (cells.where(F.col("v").isNotNull()).distinct().groupBy("ordinal")
               .agg(F.count(F.lit(1)).alias("distinct_values")))
-    return profile.join(counts, "ordinal", "left").select(*profile.columns, "distinct_values")
+    nested = [i + 1 for i, simple in enumerate(flat) if not simple]
+    found = F.when(~F.col("ordinal").isin(nested) if nested else F.lit(True), F.coalesce("distinct_values", F.lit(0)))
+    return profile.join(counts, "ordinal", "left").select(*profile.columns, found.alias("distinct_values"))

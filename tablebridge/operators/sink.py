@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F, types as
 from tablebridge.functions.text import copy_line
 from tablebridge.functions.values import split_timestamps
 from tablebridge.model import BulkWriteError, UnsupportedError
-from tablebridge.sources.batches import with_tie_break
-from tablebridge.sources.scan import bound_literal, col, require_columns
+from tablebridge.sources.batches import tie_columns, with_tie_break
+from tablebridge.sources.scan import KEEP_NULLS, bound_literal, col, require_columns
 
 # Batch limits of the two bulk paths (fixed values).
 INSERT_TARGET_ROWS = 500
@@ -121,7 +121,8 @@ def _plan(df: DataFrame, size: Column, order_by: Sequence[str], max_rows: int, b
     require_columns(df, order_by)
     keys = [col(c) for c in order_by]
     sized = with_tie_break(df.select(*keys, size.alias("_size")))
-    ordered = (sized.repartitionByRange(*keys, "_spread").sortWithinPartitions(*keys, "_spread").select("_size"))
+    ordered = (sized.repartitionByRange(*keys, *tie_columns())
+               .sortWithinPartitions(*keys, *tie_columns()).select("_size"))
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, number, rows, held = TaskContext.get().partitionId(), 0, 0, 0
@@ -180,7 +181,7 @@ def adapt_for_target(df: DataFrame, engine: str, arrays: str = "error") -> DataF
     if with_arrays and arrays != "json":
         raise UnsupportedError(f"mysql has no array type: {with_arrays}")
     plain = split_timestamps(df)
-    return plain.select(*[F.to_json(col(c)).alias(c) if c in with_arrays else col(c) for c in plain.columns])
+    return plain.select(*[F.to_json(col(c), KEEP_NULLS).alias(c) if c in with_arrays else col(c) for c in plain.columns])
 
 
 @dataclass(frozen=True)

@@ -50,7 +50,8 @@ def constraint_report(tables: Mapping[str, DataFrame], declared: Mapping[str, Se
             if isinstance(rule, CheckRule):
                 bad = ~F.expr(f"({rule.expression})")
             elif isinstance(rule, EnumDomain):
-                bad = ~col(rule.column).isin(*rule.labels)
+                known = [v for v in rule.labels if v is not None]  # a NULL label allows nothing more
+                bad = ~col(rule.column).isin(*known) if known else col(rule.column).isNotNull()
             else:
                 bad = c.any_null(rule.columns)
             shared.append(F.count_if(bad).alias(f"v{i}"))

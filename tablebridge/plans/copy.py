@@ -14,7 +14,7 @@ from tablebridge.functions.values import canonicalize
 from tablebridge.model import BulkWriteError
 from tablebridge.operators.sink import adapt_for_target, bulk_write
 from tablebridge.operators.verify import merge_ranges, verify_copy
-from tablebridge.sources.scan import key_range_scan, project, scan_table
+from tablebridge.sources.scan import col, key_range_scan, project, scan_table
 from tablebridge.sources.tiles import Tile, tile_condition, tile_id_expr
 
 
@@ -52,36 +52,60 @@ def copy_table(spark: SparkSession, src: str | DataFrame, dst: str, columns: Seq
     return CopyResult(written, check)
 
 
-def finished_tiles(spark: SparkSession, ledger: str) -> set[int]:
+LEDGER = "tile_id int, key_column string, lower string, upper string, is_null boolean, rows bigint"
+
+
+def _line(column: str, tile: Tile) -> tuple:
+    """What makes a tile the same tile in another run: its number, column and bounds."""
+    lower, upper = (None if v is None else repr(v) for v in (tile.lower, tile.upper))
+    return tile.tile_id, column, lower, upper, tile.is_null
+
+
+def finished_tiles(spark: SparkSession, ledger: str) -> set[tuple]:
     try:
-        return {r.tile_id for r in spark.read.parquet(ledger).select("tile_id").distinct().collect()}
+        lines = spark.read.schema(LEDGER).parquet(ledger).drop("rows").distinct().collect()
     except AnalysisException:
         return set()
+    return {tuple(r) for r in lines}
 
 
-def copy_tiled(src: DataFrame, column: str, tiles: Sequence[Tile], dst: str, ledger: str, per_commit: int = 64) -> int:
+def copy_tiled(src: DataFrame, column: str, tiles: Sequence[Tile], dst: str, ledger: str, per_commit: int | None = None) -> int:
     """Copy the tiles that the ledger does not list; returns the tiles copied now.
 
-    Each commit covers up to ``per_commit`` neighbouring tiles: their ranges
-    reach the source as filters, and only their partitions of ``dst`` are
-    replaced, so repeating a commit after a crash changes nothing. The ledger
-    gets its lines after the data is published. Driver state is the tile plan.
+    The ledger keeps each tile's bounds, so it only speaks for a plan that
+    holds those very tiles: with another plan the copy starts over and both
+    target and ledger are replaced. All pending tiles are one commit unless
+    ``per_commit`` asks for smaller ones of neighbouring tiles. A commit's
+    ranges reach the source as filters and only its partitions of ``dst`` are
+    replaced, so repeating it after a crash changes nothing. The ledger gets
+    its lines after the data is published and counted against the source.
+    Driver state is the tile plan.
     """
     spark = src.sparkSession
     done = finished_tiles(spark, ledger)
-    pending = [t for t in sorted(tiles, key=lambda t: t.tile_id) if t.tile_id not in done]
+    changed = not done <= {_line(column, t) for t in tiles}
+    pending = [t for t in sorted(tiles, key=lambda t: t.tile_id) if changed or _line(column, t) not in done]
     tagged = src.withColumn("tile_id", tile_id_expr(src, column, tiles))
-    for start in range(0, len(pending), per_commit):
-        wave = pending[start:start + per_commit]
+    step = per_commit or max(1, len(pending))
+    for start in range(0, len(pending), step):
+        wave = pending[start:start + step]
         ids = [t.tile_id for t in wave]
         within = reduce(lambda x, y: x | y, [tile_condition(src, column, t) for t in merge_ranges(wave)])
+        fresh = changed and not start
         (tagged.where(within).hint("rebalance", "tile_id").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("tile_id").parquet(dst))
-        counted = spark.createDataFrame([(i,) for i in ids], "tile_id int")
+         .option("partitionOverwriteMode", "static" if fresh else "dynamic").partitionBy("tile_id").parquet(dst))
+        expected = _rows_per_tile(src.select(col(column)).withColumn("tile_id", tile_id_expr(src, column, tiles)).where(within))
         try:
-            written = spark.read.parquet(dst).where(F.col("tile_id").isin(ids)).groupBy("tile_id").agg(F.count(F.lit(1)).alias("rows"))
-            lines = counted.join(written, "tile_id", "left").select("tile_id", F.coalesce("rows", F.lit(0)).alias("rows"))
+            written = _rows_per_tile(spark.read.parquet(dst).where(F.col("tile_id").isin(ids)))
         except AnalysisException:  # nothing was written yet: all tiles so far are empty
-            lines = counted.withColumn("rows", F.lit(0).cast("bigint"))
-        lines.coalesce(1).write.mode("append").parquet(ledger)
+            written = {}
+        if written != expected:
+            raise BulkWriteError(f"tiles of {dst} hold other row counts than their source: {written} against {expected}")
+        lines = spark.createDataFrame([(*_line(column, t), written.get(t.tile_id, 0)) for t in wave], LEDGER)
+        lines.coalesce(1).write.mode("overwrite" if fresh else "append").parquet(ledger)
     return len(pending)
+
+
+def _rows_per_tile(df: DataFrame) -> dict[int, int]:
+    """One number for each tile of the plan."""
+    return {r.tile_id: r.n for r in df.groupBy("tile_id").agg(F.count(F.lit(1)).alias("n")).collect()}

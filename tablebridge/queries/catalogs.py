@@ -15,11 +15,11 @@ _PG_CATEGORY = """CASE q % 16 WHEN 0 THEN 'integer' WHEN 1 THEN 'bigint' WHEN 2
 _MY_CATEGORY = """CASE q % 16 WHEN 0 THEN 'integer' WHEN 1 THEN 'decimal' WHEN 2 THEN 'decimal' WHEN 3 THEN 'varchar' WHEN 4 THEN 'text' WHEN 5 THEN 'timestamp' WHEN 6 THEN 'timestamp'
  WHEN 7 THEN 'boolean' WHEN 8 THEN 'double' WHEN 9 THEN 'json' WHEN 10 THEN 'char' WHEN 11 THEN 'enum' WHEN 12 THEN 'unsupported' WHEN 13 THEN 'bigint' WHEN 14 THEN 'geometry' ELSE 'bit' END"""
 _TO_MYSQL = """CASE q % 16 WHEN 0 THEN 'int' WHEN 1 THEN 'bigint' WHEN 2 THEN 'decimal(' || (q + 5) || ',2)' WHEN 3 THEN 'varchar(' || q || ')' WHEN 4 THEN 'text' WHEN 5 THEN 'datetime' WHEN 6 THEN 'datetime(3)'
- WHEN 7 THEN 'tinyint(1)' WHEN 8 THEN 'double' WHEN 9 THEN 'json' WHEN 10 THEN 'char(36)' WHEN 11 THEN 'enum(''happy'', ''sad'', ''it''''s ' || custkey || ''')' WHEN 12 THEN 'json' WHEN 13 THEN 'json' WHEN 14 THEN 'inet'
+ WHEN 7 THEN 'tinyint(1)' WHEN 8 THEN 'double' WHEN 9 THEN 'json' WHEN 10 THEN 'char(36)' WHEN 11 THEN 'enum(''petrol'', ''diesel'', ''it''''s ' || custkey || ''')' WHEN 12 THEN 'json' WHEN 13 THEN 'json' WHEN 14 THEN 'cidr'
  ELSE 'bit(' || q || ')' END"""
 _TO_PG = """CASE q % 16 WHEN 0 THEN 'integer' WHEN 1 THEN 'bigint' WHEN 2 THEN 'numeric(' || (q + 5) || ',2)' WHEN 3 THEN 'character varying(' || q || ')' WHEN 4 THEN 'text' WHEN 5 THEN 'timestamp without time zone'
  WHEN 6 THEN 'timestamp(3) with time zone' WHEN 7 THEN 'boolean' WHEN 8 THEN 'double precision' WHEN 9 THEN 'jsonb' WHEN 10 THEN 'uuid' WHEN 11 THEN 'text' WHEN 12 THEN 'integer[]'
- WHEN 13 THEN 'character varying(' || q || ')[][]' WHEN 14 THEN 'inet' ELSE 'bit(' || q || ')' END"""
+ WHEN 13 THEN 'character varying(' || q || ')[][]' WHEN 14 THEN 'cidr' ELSE 'bit(' || q || ')' END"""
 _TO_SPARK = """CASE q % 16 WHEN 0 THEN 'int' WHEN 1 THEN 'bigint' WHEN 2 THEN CASE WHEN q + 5 > 38 THEN 'string' ELSE 'decimal(' || (q + 5) || ',2)' END WHEN 3 THEN 'varchar(' || q || ')' WHEN 4 THEN 'string' WHEN 5 THEN 'timestamp_ntz'
  WHEN 6 THEN 'timestamp' WHEN 7 THEN 'boolean' WHEN 8 THEN 'double' WHEN 9 THEN 'variant' WHEN 10 THEN 'string' WHEN 11 THEN 'string' WHEN 12 THEN 'array<int>' WHEN 13 THEN 'array<array<varchar(' || q || ')>>'
  WHEN 14 THEN 'string' ELSE 'string' END"""
@@ -38,8 +38,8 @@ def _columns(spark, d):
 @query("map_pg_types", oracle(PG, f"""
 SELECT {_SQL_KEY}, attname AS column_name, {_PG_CATEGORY} AS category, CASE WHEN q % 16 IN (3, 13, 15) THEN q END AS length,
  CASE q % 16 WHEN 2 THEN q + 5 WHEN 6 THEN 3 END AS precision, CASE WHEN q % 16 = 2 THEN 2 END AS scale, CASE q % 16 WHEN 5 THEN FALSE WHEN 6 THEN TRUE END AS tz,
- CASE q % 16 WHEN 12 THEN 1 WHEN 13 THEN 2 ELSE 0 END AS dims, CASE WHEN q % 16 = 11 THEN 'happy|sad|it''s ' || custkey END AS labels,
- CASE WHEN q % 16 = 14 THEN 'inet' END AS native, CASE WHEN q % 16 = 9 THEN TRUE END AS binary_json {_ATT}"""))
+ CASE q % 16 WHEN 12 THEN 1 WHEN 13 THEN 2 ELSE 0 END AS dims, CASE WHEN q % 16 = 11 THEN 'petrol|diesel|it''s ' || custkey END AS labels,
+ CASE WHEN q % 16 = 14 THEN 'cidr' END AS native, CASE WHEN q % 16 = 9 THEN TRUE END AS binary_json {_ATT}"""))
 def pg_types(spark, d):
     return _columns(spark, d).select("source_id", "schema_name", "table_name", "column_name", "t.category", "t.length", "t.precision", "t.scale", "t.tz",
                                      "t.dims", F.array_join("t.labels", "|").alias("labels"), "t.native", F.col("t.binary").alias("binary_json"))
@@ -85,7 +85,7 @@ def losses(spark, d):
 
 @query("type_inventory", oracle(PG, f"""
 SELECT category, dims, unsupported_type, count(*) AS columns FROM (SELECT {_PG_CATEGORY} AS category, CASE q % 16 WHEN 12 THEN 1 WHEN 13 THEN 2 ELSE 0 END AS dims,
- CASE WHEN q % 16 = 14 THEN 'inet' END AS unsupported_type {_ATT}) GROUP BY ALL"""))
+ CASE WHEN q % 16 = 14 THEN 'cidr' END AS unsupported_type {_ATT}) GROUP BY ALL"""))
 def inventory(spark, d):
     return t.type_inventory(_columns(spark, d))
 
@@ -233,7 +233,7 @@ def triggers_mysql(spark, d):
     return _joined(c.reflect_triggers(mysql_catalog(spark, d)), "events")
 
 
-@query("reflect_enums", oracle(PG, "SELECT source_id, nspname AS schema_name, 'mood' AS type_name, 'happy|sad|it''s ' || oid AS labels FROM pg_namespace"))
+@query("reflect_enums", oracle(PG, "SELECT source_id, nspname AS schema_name, 'fuel' AS type_name, 'petrol|diesel|it''s ' || oid AS labels FROM pg_namespace WHERE nspname NOT IN ('pg_catalog', 'information_schema') AND nspname NOT LIKE 'pg\\_toast%' ESCAPE '\\' AND nspname NOT LIKE 'pg\\_temp%' ESCAPE '\\'"))
 def enums(spark, d):
     return c.reflect_enums(pg_catalog(spark, d)).withColumn("labels", F.array_join("labels", "|"))
 

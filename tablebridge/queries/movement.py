@@ -123,10 +123,11 @@ WITH o AS (SELECT *, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END
  e AS (SELECT min(k) AS lo, max(k) AS hi FROM o), b AS (SELECT lo + (i * (hi - lo + 1)) // 12 AS bound FROM e, range(1, 12) r(i))
 SELECT o_orderkey, k, o_totalprice, CASE WHEN k IS NULL THEN -1 ELSE (SELECT count(*) FROM b WHERE bound <= k) END::INTEGER AS tile_id FROM o""")
 def tiled_copy(spark, d):
-    """A first run copies some tiles, a second run only the missing ones."""
+    """A first run copies a tile of another plan, a second starts over, a third copies only the missing tiles."""
     orders = table(spark, d, "orders").select("o_orderkey", F.expr("CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS k"), "o_totalprice")
     plan = plan_key_tiles(orders, "k", 12, "equal_width")
     path, ledger = staging_path(spark, "tiled"), staging_path(spark, "ledger")
+    copy_tiled(orders, "k", plan_key_tiles(orders, "k", 3, "equal_width")[:1], path, ledger)
     first = copy_tiled(orders, "k", plan[:5], path, ledger, per_commit=4)
     second = copy_tiled(orders, "k", plan, path, ledger, per_commit=4)
     if (first, second) != (5, len(plan) - 5):

@@ -20,7 +20,7 @@ from tablebridge.session import stage
 PG_NATIVE = """CASE q % 16 WHEN 0 THEN 'integer' WHEN 1 THEN 'bigint' WHEN 2 THEN 'numeric(' || CAST(q + 5 AS STRING) || ',2)'
  WHEN 3 THEN 'character varying(' || CAST(q AS STRING) || ')' WHEN 4 THEN 'text' WHEN 5 THEN 'timestamp without time zone'
  WHEN 6 THEN 'timestamp(3) with time zone' WHEN 7 THEN 'boolean' WHEN 8 THEN 'double precision' WHEN 9 THEN 'jsonb' WHEN 10 THEN 'uuid'
- WHEN 11 THEN 'mood' WHEN 12 THEN 'integer[]' WHEN 13 THEN 'character varying(' || CAST(q AS STRING) || ')[][]' WHEN 14 THEN 'inet'
+ WHEN 11 THEN 'fuel' WHEN 12 THEN 'integer[]' WHEN 13 THEN 'character varying(' || CAST(q AS STRING) || ')[][]' WHEN 14 THEN 'cidr'
  ELSE 'bit varying(' || CAST(q AS STRING) || ')' END"""
 MYSQL_NATIVE = """CASE q % 16 WHEN 0 THEN 'int(11)' WHEN 1 THEN 'bigint(20) unsigned' WHEN 2 THEN 'decimal(' || CAST(q + 5 AS STRING) || ',2)'
  WHEN 3 THEN 'varchar(' || CAST(q AS STRING) || ')' WHEN 4 THEN 'longtext' WHEN 5 THEN 'datetime(6)' WHEN 6 THEN 'timestamp' WHEN 7 THEN 'tinyint(1)'
@@ -65,9 +65,9 @@ PG = {
  UNION ALL SELECT source_id, rel + 2000000000, rel, k2, k1, TRUE, TRUE FROM k""",
     "am": "SELECT source_id, CAST(403 AS BIGINT) AS oid, 'btree' AS amname FROM sources UNION ALL SELECT source_id, 405, 'hash' FROM sources",
     "inherits": "SELECT k.source_id, k.rel AS inhrelid, p.parent AS inhparent FROM k JOIN parents p ON p.source_id = k.source_id AND p.custkey = k.custkey WHERE k.status = 'O'",
-    "enum": """SELECT source_id, oid + 500000000 AS enumtypid, 'sad' AS enumlabel, CAST(2 AS FLOAT) AS enumsortorder FROM ns
- UNION ALL SELECT source_id, oid + 500000000, 'happy', 1 FROM ns UNION ALL SELECT source_id, oid + 500000000, 'it''s ' || CAST(oid AS STRING), 3 FROM ns""",
-    "type_": "SELECT source_id, oid + 500000000 AS oid, 'mood' AS typname, oid AS typnamespace FROM ns",
+    "enum": """SELECT source_id, oid + 500000000 AS enumtypid, 'diesel' AS enumlabel, CAST(2 AS FLOAT) AS enumsortorder FROM ns
+ UNION ALL SELECT source_id, oid + 500000000, 'petrol', 1 FROM ns UNION ALL SELECT source_id, oid + 500000000, 'it''s ' || CAST(oid AS STRING), 3 FROM ns""",
+    "type_": "SELECT source_id, oid + 500000000 AS oid, 'fuel' AS typname, oid AS typnamespace FROM ns",
     "trigger": """SELECT source_id, rel * 10 + 6 AS oid, rel AS tgrelid, 'tr_' || CAST(rel AS STRING) AS tgname,
  CASE WHEN price < 100000 THEN 7 WHEN price < 200000 THEN 29 WHEN price < 300000 THEN 32 ELSE 69 END AS tgtype, k1 > 1 AS tgisinternal, custkey AS tgfoid,
  'CREATE TRIGGER tr_' || CAST(rel AS STRING) AS definition FROM k""",

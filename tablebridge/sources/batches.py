@@ -19,23 +19,19 @@ def spread_key(df: DataFrame) -> Column:
     return F.xxhash64(*usable)
 
 
-SAMPLE_ROWS, HEAVY_COPIES = 4000, 20
-
-
 def with_tie_break(df: DataFrame, name: str = "_spread") -> DataFrame:
-    """Add a number that splits the rows of one key, copies of one row included.
+    """Add two numbers that split the rows of one key, copies of one row included.
 
-    A hash of the whole row splits everything but exact copies. Whether some
-    row makes up half a percent of the table or more shows in a fixed-size
-    sample; only then the rows are staged with a random number, which is
-    frozen there and so stays the same when a lost task runs again.
+    ``name`` is a hash of the whole row and splits everything but exact copies;
+    ``name``_part is the task a row is read in and splits those, so copies stay
+    together only as far as one input split holds them. Neither depends on the
+    order of rows within a task, so both are the same when a lost task runs again.
     """
-    hashed = df.withColumn(name, spread_key(df))
-    sample = hashed.select(name).orderBy(F.rand(11)).limit(SAMPLE_ROWS)
-    heavy = sample.groupBy(name).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= HEAVY_COPIES)
-    if heavy.isEmpty():
-        return hashed
-    return stage(df.withColumn(name, (F.rand() * 2**62).cast("bigint")), "spread")
+    return df.withColumns({name: spread_key(df), f"{name}_part": F.spark_partition_id()})
+
+
+def tie_columns(name: str = "_spread") -> list[str]:
+    return [name, f"{name}_part"]
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
@@ -50,9 +46,9 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_index")
     require_columns(df, order_by)
     keys = [col(c) for c in order_by]
     ranged = (with_tie_break(df)
-              .repartitionByRange(*keys, "_spread")
-              .sortWithinPartitions(*keys, "_spread")
-              .drop("_spread")
+              .repartitionByRange(*keys, *tie_columns())
+              .sortWithinPartitions(*keys, *tie_columns())
+              .drop(*tie_columns())
               .withColumn("_place", F.monotonically_increasing_id()))
     staged = stage(ranged, "numbered")
     part = F.shiftright(F.col("_place"), _SHIFT)

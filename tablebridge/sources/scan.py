@@ -148,6 +148,9 @@ def iter_rows(df: DataFrame, batch_size: int = 1000) -> Iterator[list[Row]]:
     return batches()
 
 
+KEEP_NULLS = {"ignoreNullFields": "false"}  # a NULL member of a struct is part of the value
+
+
 def reads_natively(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.ArrayType):
         return reads_natively(data_type.elementType)
@@ -161,11 +164,11 @@ def readable_projection(df: DataFrame) -> DataFrame:
         if reads_natively(f.dataType):
             return col(f.name)
         if isinstance(f.dataType, (T.VariantType, T.MapType, T.StructType)):
-            return F.to_json(col(f.name)).alias(f.name)
+            return F.to_json(col(f.name), KEEP_NULLS).alias(f.name)
         if isinstance(f.dataType, T.ArrayType):
             return F.to_json(F.transform(col(f.name), lambda x: x.cast("string"))).alias(f.name) \
                 if not isinstance(f.dataType.elementType, (T.MapType, T.StructType, T.VariantType)) \
-                else F.to_json(col(f.name)).alias(f.name)
+                else F.to_json(col(f.name), KEEP_NULLS).alias(f.name)
         return col(f.name).cast("string").alias(f.name)
 
     return df.select(*[readable(f) for f in df.schema.fields])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -90,15 +91,18 @@ def plan_key_tiles(df: DataFrame, column: str, n: int, method: str = "quantile",
 
 
 def sample_bounds(df: DataFrame, columns: Sequence[str], n: int, per_tile: int = 20, seed: int = 7) -> list[tuple]:
-    """At most ``n - 1`` ascending boundary tuples from a fixed-size uniform sample.
+    """At most ``n - 1`` ascending boundary tuples from a uniform sample.
 
-    The driver sees ``n * per_tile`` keys however large the table is.
+    The driver sees about ``n * per_tile`` keys however large the table is:
+    each task keeps the share of its rows that makes so many, and none gathers
+    the keys of all tasks.
     """
     types = [df.schema[c].dataType for c in columns]
-    taken = (df.select(*[_outgoing(col(c), t).alias(f"k{i}") for i, (c, t) in enumerate(zip(columns, types))])
-             .orderBy(F.rand(seed)).limit(n * per_tile))
-    keys = [f"k{i}" for i in range(len(columns))]
-    ordered = [tuple(_incoming(v, t) for v, t in zip(r, types)) for r in taken.orderBy(*keys).collect()]
+    keys = df.select(*[_outgoing(col(c), t).alias(f"k{i}") for i, (c, t) in enumerate(zip(columns, types))])
+    total, wanted = df.count(), n * per_tile
+    taken = keys if total <= wanted else keys.sample(fraction=wanted / total, seed=seed)
+    found = sorted(taken.collect(), key=lambda r: [(v is not None, v) for v in r])
+    ordered = [tuple(_incoming(v, t) for v, t in zip(r, types)) for r in found]
     picks = [ordered[i * len(ordered) // n] for i in range(1, n)] if ordered else []
     return list(dict.fromkeys(p for p in picks if all(v is not None for v in p)))
 
@@ -171,25 +175,33 @@ def scan_tile(df: DataFrame, column: str, tile: Tile) -> DataFrame:
     return df.where(tile_condition(df, column, tile))
 
 
-def _sql_literal(value: Any) -> str:
-    if isinstance(value, (dt.datetime, dt.date)):
-        kind = "TIMESTAMP" if isinstance(value, dt.datetime) else "DATE"
-        return f"{kind} '{value.isoformat(sep=' ') if kind == 'TIMESTAMP' else value.isoformat()}'"
-    if isinstance(value, str):
-        return "'" + value.replace("'", "''") + "'"
-    return str(value)
+def _sql_literal(value: Any, mysql: bool) -> str:
+    """A literal both engines read; MySQL also takes a backslash in text for an escape."""
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return str(value)
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{bytes(value).hex()}'" if mysql else f"'\\x{bytes(value).hex()}'::bytea"
+    kind = {dt.datetime: "TIMESTAMP ", dt.date: "DATE ", dt.time: "TIME "}.get(type(value), "")
+    text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else value.isoformat() if kind else str(value)
+    text = text.replace("'", "''")
+    return kind + "'" + (text.replace("\\", "\\\\") if mysql else text) + "'"
 
 
 def jdbc_predicates(column: str, tiles: Sequence[Tile], quote: str = '"') -> list[str]:
-    """One WHERE text per tile; together they cover every row once."""
+    """One WHERE text per tile; together they cover every row once.
+
+    A backtick as ``quote`` stands for MySQL, whose text literals differ.
+    """
     name = quote + column.replace(quote, quote * 2) + quote
     out = []
     for tile in tiles:
         parts = [f"{name} IS NULL"] if tile.is_null else []
         if tile.lower is not None:
-            parts.append(f"{name} >= {_sql_literal(tile.lower)}")
+            parts.append(f"{name} >= {_sql_literal(tile.lower, quote == '`')}")
         if tile.upper is not None:
-            parts.append(f"{name} < {_sql_literal(tile.upper)}")
+            parts.append(f"{name} < {_sql_literal(tile.upper, quote == '`')}")
         out.append(" AND ".join(parts) or f"{name} IS NOT NULL")
     return out
 

@@ -55,8 +55,11 @@ def test_checks_pass_on_null(spark):
 def test_enum_and_domain(spark):
     df = spark.createDataFrame([("a", 300), ("b", 1), (None, 2)], "e string, n int")
     assert rows(c.enum_violations(df, "e", ["a"])) == [("b", 1)]
-    labels = [f"l{i}" for i in range(c.INLINE_LABELS + 1)] + ["a"]
-    assert rows(c.enum_violations(df, "e", labels)) == [("b", 1)]
+    for many in (0, 300):
+        labels = [f"l{i}" for i in range(many)] + ["a", None]
+        assert rows(c.enum_violations(df, "e", labels)) == [("b", 1)]
+        assert rows(c.enum_violations(df, "e", spark.createDataFrame([(v,) for v in labels], "label string"))) == [("b", 1)]
+    assert c.enum_violations(df, "e", [None]).count() == 2
     bad = c.domain_violations(df.withColumn("x", F.lit("toolong")), "n tinyint, x varchar(3)")
     assert {(x.n, tuple(x.misfit_columns)) for x in bad.collect()} == {(300, ("n", "x")), (1, ("x",)), (2, ("x",))}
 

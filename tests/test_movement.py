@@ -10,7 +10,7 @@ from tablebridge.functions.text import copy_line
 from tablebridge.operators import evolve as e, sink
 from tablebridge.operators.verify import multiset_diff, table_diff
 from tablebridge.plans.copy import copy_table, copy_tiled, finished_tiles
-from tablebridge.sources.tiles import plan_key_tiles
+from tablebridge.sources.tiles import plan_key_tiles, tiles_from_bounds
 from tablebridge.streaming.incremental import batch_counts, stream_copy, stream_scan
 
 
@@ -126,7 +126,7 @@ def test_tiled_copy_restarts(spark, tmp_path):
     src = spark.range(0, 1000).select(F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id")).alias("k"), (F.col("id") * 2).alias("v"))
     tiles, dst, ledger = plan_key_tiles(src, "k", 6), f"{tmp_path}/d", f"{tmp_path}/l"
     assert copy_tiled(src, "k", tiles[:2], dst, ledger, 1) == 2
-    assert finished_tiles(spark, ledger) == {t.tile_id for t in tiles[:2]}
+    assert {line[0] for line in finished_tiles(spark, ledger)} == {t.tile_id for t in tiles[:2]}
     # A commit that died before its ledger line left stray rows: they are replaced.
     src.limit(9).withColumn("tile_id", F.lit(tiles[3].tile_id)).write.mode("append").partitionBy("tile_id").parquet(dst)
     assert copy_tiled(src, "k", tiles, dst, ledger, 3) == len(tiles) - 2
@@ -143,6 +143,16 @@ def test_empty_tile_is_finished(spark, tmp_path):
     assert copy_tiled(src, "k", tiles, f"{tmp_path}/d", f"{tmp_path}/l") == 0
 
 
+def test_tiled_copy_starts_over_with_another_plan(spark, tmp_path):
+    src = spark.range(100).withColumnRenamed("id", "k")
+    dst, ledger = f"{tmp_path}/d", f"{tmp_path}/l"
+    assert copy_tiled(src, "k", tiles_from_bounds([50], null_tile=False)[:1], dst, ledger) == 1
+    plan = tiles_from_bounds([20, 80], null_tile=False)
+    assert copy_tiled(src, "k", plan, dst, ledger, per_commit=2) == 3
+    assert sorted(r.k for r in spark.read.parquet(dst).collect()) == list(range(100))
+    assert copy_tiled(src, "k", plan, dst, ledger) == 0
+
+
 def test_partitions(spark, three, tmp_path):
     spec = sink.RangePartitions("id", [("low", None, 2), ("high", 2, 3)])
     with pytest.raises(Exception, match="no partition for value 3"):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tablebridge.model import QueryError, UnsupportedError
 from tablebridge.sources import scan, tiles
-from tablebridge.sources.batches import batch_rows, number_rows, with_tie_break
+from tablebridge.sources.batches import batch_rows, number_rows, tie_columns, with_tie_break
 from tablebridge.sources.tiles import Tile
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -170,6 +170,11 @@ def test_jdbc_predicates_cover_the_table():
     assert tiles.jdbc_predicates('a"b', planned) == ['"a""b" < 10', '"a""b" >= 10 AND "a""b" < 20', '"a""b" >= 20', '"a""b" IS NULL']
     assert tiles.jdbc_predicates("d", [Tile(0, dt.date(2024, 1, 1), dt.datetime(2024, 2, 1))], "`") == \
         ["`d` >= DATE '2024-01-01' AND `d` < TIMESTAMP '2024-02-01 00:00:00'"]
+    text, key = [Tile(0, "a\\'", None)], uuid.UUID(int=7)
+    assert tiles.jdbc_predicates("t", text) == ["\"t\" >= 'a\\'''"]
+    assert tiles.jdbc_predicates("t", text, "`") == ["`t` >= 'a\\\\'''"]
+    assert tiles.jdbc_predicates("t", [Tile(0, dt.time(9, 30), True)]) == ["\"t\" >= TIME '09:30:00' AND \"t\" < TRUE"]
+    assert tiles.jdbc_predicates("t", [Tile(0, key, None)]) == [f"\"t\" >= '{key}'"]
     assert tiles.jdbc_predicates("t", [Tile(0)]) == ['"t" IS NOT NULL']
 
 
@@ -196,7 +201,7 @@ def test_copies_of_one_row_spread_over_tasks(spark):
     """A third of the rows are one row: its copies must not land in one range."""
     copies = spark.range(0, 6000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
     tied = with_tie_break(copies)
-    ranged = tied.repartitionByRange(8, "k", "_spread").withColumn("p", F.spark_partition_id())
+    ranged = tied.repartitionByRange(8, "k", *tie_columns()).withColumn("p", F.spark_partition_id())
     assert ranged.where("k = -1").select("p").distinct().count() > 1
     out = number_rows(copies, ["k"])
     assert sorted(r.row_index for r in out.collect()) == list(range(6000))
