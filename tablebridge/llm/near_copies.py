@@ -11,13 +11,14 @@ from cheap to dear:
    shape the order, so their being approximate costs no link.
 3. Nodes with equal minimum hashes are compared with one of them, and the links found are
    gathered into components, so large groups of near copies shrink before the exact join.
-4. Nodes that share a prefix shingle but no component meet in a cell. The cell's nodes form
-   a signature tree: each tree node holds the OR (and the AND) of the bitmaps below it, the
-   range of set sizes and of components. Two tree nodes are traversed together and left when
-   the largest overlap that bitmaps and sizes allow is below what a link needs, or all below
-   is one component. Cells of more than CELL nodes are cut into blocks and every pair of
-   blocks is a cell, so no task holds an unbounded cell.
-5. Pairs that pass in as many cells as prefixes of linked sets must share are compared exactly.
+4. Nodes that share a prefix shingle meet in the cell of the least such node; cells of one
+   component end here. The cell's nodes form a signature tree: each tree node holds the OR
+   (and the AND) of the bitmaps below it, the range of set sizes and of components. Two tree
+   nodes are traversed together and left when the largest overlap that bitmaps and sizes
+   allow is below what a link needs, or all below is one component. Cells of more than CELL
+   nodes are cut into blocks and every pair of blocks is a cell, so no task holds an
+   unbounded cell.
+5. Pairs that share as many prefix shingles as linked sets must share are compared exactly.
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after lower-casing A-Z. A null or wordless text has an empty
 set, links with nothing and is its own component. Repeated rows and ids get a result each;
@@ -43,7 +44,7 @@ SHINGLE = 4
 PERCENT = 85
 BITS = 1024  # of a node's bitmap
 SEEDS = 8  # minimum hashes that find the first links
-AGREE = 2  # of them must name the same node
+AGREE = 5  # of them must name the same node
 SLOT_BITS = 22  # the table of frequencies has four million slots
 LIVE_BITS = 24  # filters of fixed size, two megabytes
 OFTEN = 3  # a shingle of fewer documents in a batch is not counted there
@@ -249,49 +250,61 @@ class SignatureTrees:
 
 
 def tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (cell, key, n, comp, bits), sorted by cell, to pairs (a, b) of keys that could link.
+    """Rows (cell, key, n, comp, bits, shingles), sorted by cell, to pairs (a, b) of keys that could link.
 
-    ``shared`` is the number of prefix shingles that a pair must share to link.
+    ``met`` is the number of the cell's shingles that both hold, ``needed`` the number of
+    prefix shingles that two linked sets of these sizes must share.
     """
     def joined(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys = rows.column("key").to_numpy()
+        keys, n = rows.column("key").to_numpy(), rows.column("n").to_numpy()
         bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint64).reshape(len(keys), BITS // 64)
-        trees = SignatureTrees(rows.column("cell").to_numpy(), rows.column("n").to_numpy(), rows.column("comp").to_numpy(), bits)
-        for i, j in trees.pairs():
+        held = rows.column("shingles")
+        edges, values = np.concatenate([[0], np.cumsum(held.value_lengths().to_numpy())]), held.flatten().to_numpy()
+        for i, j in SignatureTrees(rows.column("cell").to_numpy(), n, rows.column("comp").to_numpy(), bits).pairs():
+            met = [len(np.intersect1d(values[edges[x]:edges[x + 1]], values[edges[y]:edges[y + 1]], assume_unique=True))
+                   for x, y in zip(i.tolist(), j.tolist(), strict=True)]
             # Beyond the prefix of one of the two, a pair has at most what that set has left in common.
-            n = trees.levels[0]["low"]
             left = np.maximum(-(-PERCENT * n[i] // 100), -(-PERCENT * n[j] // 100)) - 1
-            shared = np.maximum(1, -(-PERCENT * (n[i] + n[j]) // (100 + PERCENT)) - left)
+            needed = np.maximum(1, -(-PERCENT * (n[i] + n[j]) // (100 + PERCENT)) - left)
             pairs = np.sort(np.stack([keys[i], keys[j]], axis=1), axis=1)
-            yield pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "shared": pa.array(shared)})
+            out = pa.RecordBatch.from_pydict({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "met": pa.array(met, pa.int64()), "needed": pa.array(needed)})
+            yield out.filter(pa.array(np.array(met, dtype=np.int64) > 0))
 
     held: list[pa.RecordBatch] = []
+
+    def flushed() -> Iterator[pa.RecordBatch]:
+        if held:
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()
+            held.clear()
+            for part in rows:
+                yield from joined(part)
+
     for batch in batches:
         cells = batch.column("cell").to_numpy()
-        cut = int(np.flatnonzero(cells != cells[-1])[-1]) + 1 if len(cells) and (cells != cells[-1]).any() else 0
+        if not len(cells):
+            continue
+        if held and held[-1].column("cell")[-1].as_py() != cells[0]:
+            yield from flushed()
+        last = np.flatnonzero(cells != cells[-1])
+        cut = int(last[-1]) + 1 if last.size else 0
         if cut:
             held.append(batch.slice(0, cut))
-            yield from joined(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-            held = []
-        if len(cells) > cut:
-            if held and held[-1].column("cell")[-1].as_py() != cells[cut]:
-                yield from joined(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
-                held = []
-            held.append(batch.slice(cut))
-    if held:
-        yield from joined(pa.Table.from_batches(held).combine_chunks().to_batches()[0])
+            yield from flushed()
+        held.append(batch.slice(cut))  # its last cell may go on in the next batch
+    yield from flushed()
 
 
-def meeting(nodes: DataFrame) -> DataFrame:
+def meeting(nodes: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs (a, b) of keys of different components that share prefix shingles and could link.
 
-    A pair meets in the cell of each prefix shingle that both have. (Repeated nodes and blocks
-    only count a meeting more than once, which keeps a pair.)
+    The shingles whose least node is the same share a cell, which holds each of its nodes once.
+    A pair's meetings are summed over its cells. (Nodes held by several tasks, and cells cut
+    into blocks, only count a meeting more than once, which keeps a pair.)
     """
     spark = nodes.sparkSession
     live = stage(
-        nodes.select(F.explode("prefix").alias("shingle"), "comp").groupBy("shingle")
-        .agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n")).filter("low < high").select("shingle", "n"), "live")
+        nodes.select(F.explode("prefix").alias("shingle"), "key").groupBy("shingle")
+        .agg(F.min("key").alias("owner"), F.max("key").alias("other")).filter("owner < other").select("shingle", "owner"), "live")
     shared = spark.sparkContext.broadcast(slot_filter(live.select("shingle")))
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,18 +314,23 @@ def meeting(nodes: DataFrame) -> DataFrame:
             row = np.repeat(np.arange(batch.num_rows), prefix.value_lengths().to_numpy())
             values = prefix.flatten().to_numpy()
             good = keep[_top(values.view(np.uint64), LIVE_BITS)]
-            rows = pa.array(row[good])
-            yield pa.RecordBatch.from_pydict({"shingle": pa.array(values[good])} | {c: batch.column(c).take(rows) for c in ("key", "n", "comp", "bits")})
-
-    met = nodes.select("key", "n", "comp", "bits", "prefix").mapInArrow(passing, "shingle bigint, key bigint, n bigint, comp bigint, bits binary").join(
-        live.select("shingle", F.ceil(F.col("n") / CELL).cast("int").alias("blocks")), "shingle")
+            yield pa.RecordBatch.from_pydict({"shingle": pa.array(values[good]), "key": batch.column("key").take(pa.array(row[good]))})
+
+    held = (
+        nodes.select("key", "prefix").mapInArrow(passing, "shingle bigint, key bigint").join(live, "shingle")
+        .groupBy("owner", "key").agg(F.collect_set("shingle").alias("shingles"))
+        .join(nodes.select("key", "n", "bits").join(comps, "key", "left").withColumn("comp", F.coalesce("comp", "key")), "key")
+    )
+    held = stage(held, "cells")
+    sizes = held.groupBy("owner").agg(F.count("*").alias("nodes"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select(
+        "owner", F.ceil(F.col("nodes") / CELL).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("key"), F.col("blocks"))
-    cells = met.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        F.when(F.col("blocks") == 1, F.col("shingle")).otherwise(
-            F.xxhash64("shingle", F.least("block", "other"), F.greatest("block", "other"))).alias("cell"), "key", "n", "comp", "bits")
+    cells = held.join(sizes, "owner").withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.when(F.col("blocks") == 1, F.col("owner")).otherwise(
+            F.xxhash64("owner", F.least("block", "other"), F.greatest("block", "other"))).alias("cell"), "key", "n", "comp", "bits", "shingles")
     return cells.repartition("cell").sortWithinPartitions("cell", "comp", "n").mapInArrow(
-        tree_pairs, "a bigint, b bigint, shared bigint").groupBy("a", "b").agg(F.count("*").alias("n"), F.min("shared").alias("shared")).filter(
-        F.col("n") >= F.col("shared")).select("a", "b")
+        tree_pairs, "a bigint, b bigint, met bigint, needed bigint").groupBy("a", "b").agg(F.sum("met").alias("met"), F.min("needed").alias("needed")).filter(
+        F.col("met") >= F.col("needed")).select("a", "b")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
@@ -321,8 +339,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
     nodes = signed.filter(F.size("prefix") > 0)
     near = verified(first_links(nodes), docs, signed)
     groups = components(near).select(F.col("node").alias("key"), F.col("component").alias("comp"))
-    with_comp = stage(nodes.join(groups, "key", "left").select("key", "n", "bits", "prefix", F.coalesce("comp", "key").alias("comp")), "nodes")
-    links = verified(meeting(with_comp), docs, signed)
+    links = verified(meeting(nodes, groups), docs, signed)
     labels = components(near.union(links)).select(F.col("node").alias("key"), F.col("component").alias("comp"))
     placed = stage(
         signed.select("doc_id", "n", "key").join(labels, "key", "left").select("doc_id", "n", F.coalesce("comp", "key").alias("comp")), "placed")
