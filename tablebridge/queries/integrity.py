@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from tablebridge import model as m
@@ -85,6 +87,22 @@ def enum(spark, d):
     return c.enum_violations(table(spark, d, "events").select("event_id", "event_type"), "event_type", ["view", "click", "purchase"])
 
 
+@query("enum_violations_null_label", "SELECT event_id, event_type FROM events WHERE event_type NOT IN ('view', 'click', 'purchase')")
+def enum_null_label(spark, d):
+    """A NULL among three hundred labels allows nothing more."""
+    labels = ["view", None, "click", "purchase", *[f"label {i}" for i in range(300)]]
+    return c.enum_violations(table(spark, d, "events").select("event_id", "event_type"), "event_type", labels)
+
+
+@query("fk_violations_mostly_null", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 1 END AS o_custkey FROM orders
+WHERE o_orderkey % 5 = 0 AND o_custkey + 1 NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""")
+def fk_null(spark, d):
+    """Four fifths of the foreign keys are NULL and pass."""
+    orders = table(spark, d, "orders").select("o_orderkey", F.expr("CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 1 END AS o_custkey"))
+    return c.fk_violations(orders, table(spark, d, "customer").where("c_mktsegment = 'BUILDING'"), ["o_custkey"], ["c_custkey"])
+
+
 @query("enum_violations_frame", """
 SELECT p_partkey, p_brand FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size = 50)""")
 def enum_frame(spark, d):
@@ -229,8 +247,8 @@ def cascade(spark, d):
     return out
 
 
-_KEY_SETS = [("o_orderkey",), ("o_custkey",), ("o_totalprice",), ("o_orderdate",), ("o_custkey", "o_totalprice"),
-             ("o_custkey", "o_orderdate"), ("o_totalprice", "o_orderdate")]
+_ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+_KEY_SETS = [s for width in (1, 2) for s in combinations(_ORDER_COLS, width)]
 
 
 def _key_sql() -> str:
@@ -245,15 +263,19 @@ def _key_sql() -> str:
 
 @query("discover_keys", _key_sql())
 def find_keys(spark, d):
-    return k.discover_keys(table(spark, d, "orders"), 2, ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    return k.discover_keys(table(spark, d, "orders"), 2)
 
 
 @query("discover_keys_composite", """
 SELECT 'conv_id,turn' AS key_columns, 2 AS width WHERE (SELECT count(*) = count(DISTINCT (conv_id, turn)) FROM conversations)
 UNION ALL SELECT 'conv_id,role', 2 WHERE (SELECT count(*) = count(DISTINCT (conv_id, role)) FROM conversations)
-UNION ALL SELECT 'turn,role', 2 WHERE (SELECT count(*) = count(DISTINCT (turn, role)) FROM conversations)""")
+UNION ALL SELECT 'turn,role', 2 WHERE (SELECT count(*) = count(DISTINCT (turn, role)) FROM conversations)
+UNION ALL SELECT 'conv_id,text', 2 WHERE (SELECT count(*) = count(DISTINCT (conv_id, text)) AND count(*) > count(DISTINCT text) FROM conversations)
+UNION ALL SELECT 'turn,text', 2 WHERE (SELECT count(*) = count(DISTINCT (turn, text)) AND count(*) > count(DISTINCT text) FROM conversations)
+UNION ALL SELECT 'role,text', 2 WHERE (SELECT count(*) = count(DISTINCT (role, text)) AND count(*) > count(DISTINCT text) FROM conversations)
+UNION ALL SELECT 'text', 1 WHERE (SELECT count(*) = count(DISTINCT text) FROM conversations)""")
 def find_composite(spark, d):
-    return k.discover_keys(table(spark, d, "conversations"), 2, ["conv_id", "turn", "role"])
+    return k.discover_keys(table(spark, d, "conversations"), 2)
 
 
 @query("discover_foreign_keys", """
@@ -335,11 +357,14 @@ def report(spark, d):
 @query("profile_table", """
 SELECT 'c_custkey' AS column_name, 1 AS ordinal, 'bigint' AS type, count(*) AS rows, 0 AS nulls, min(c_custkey)::VARCHAR AS min_value,
  max(c_custkey)::VARCHAR AS max_value, NULL::INTEGER AS max_length, count(DISTINCT c_custkey) AS distinct_values FROM customer
-UNION ALL SELECT 'c_nationkey', 2, 'int', count(*), 0, min(c_nationkey)::VARCHAR, max(c_nationkey)::VARCHAR, NULL, count(DISTINCT c_nationkey) FROM customer
-UNION ALL SELECT 'segment', 3, 'string', count(*), count(*) - count(nullif(c_mktsegment, 'BUILDING')), min(nullif(c_mktsegment, 'BUILDING')),
+UNION ALL SELECT 'c_name', 2, 'string', count(*), 0, min(c_name), max(c_name), max(length(c_name)), count(DISTINCT c_name) FROM customer
+UNION ALL SELECT 'c_nationkey', 3, 'int', count(*), 0, min(c_nationkey)::VARCHAR, max(c_nationkey)::VARCHAR, NULL, count(DISTINCT c_nationkey) FROM customer
+UNION ALL SELECT 'c_mktsegment', 5, 'string', count(*), count(*) - count(nullif(c_mktsegment, 'BUILDING')), min(nullif(c_mktsegment, 'BUILDING')),
  max(nullif(c_mktsegment, 'BUILDING')), max(length(nullif(c_mktsegment, 'BUILDING'))), count(DISTINCT nullif(c_mktsegment, 'BUILDING')) FROM customer
-UNION ALL SELECT 'c_acctbal', 4, 'double', count(*), 0, min(c_acctbal)::VARCHAR, max(c_acctbal)::VARCHAR, NULL, count(DISTINCT c_acctbal) FROM customer""")
+UNION ALL SELECT 'c_acctbal', 4, 'double', count(*), 0, min(c_acctbal)::VARCHAR, max(c_acctbal)::VARCHAR, NULL, count(DISTINCT c_acctbal) FROM customer
+UNION ALL SELECT 'empty', 6, 'string', count(*), count(*), NULL, NULL, NULL, 0 FROM customer""")
 def profile(spark, d):
-    customer = table(spark, d, "customer").select("c_custkey", "c_nationkey",
-                                                  F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"), "c_acctbal")
+    """The whole table, one column with NULLs and a column of nothing else."""
+    customer = table(spark, d, "customer").withColumns({
+        "c_mktsegment": F.nullif("c_mktsegment", F.lit("BUILDING")), "empty": F.lit(None).cast("string")})
     return p.profile_table(customer, exact=True)

@@ -98,10 +98,19 @@ def coverage_quantile(spark, d):
 
 
 @query("batch_rows", """
-SELECT event_id, user_id, row_number() OVER (ORDER BY event_id) - 1 AS row_index,
+SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS row_index,
        (row_number() OVER (ORDER BY event_id) - 1) // 1000 AS batch_id FROM events""")
 def batches(spark, d):
-    return batch_rows(table(spark, d, "events").select("event_id", "user_id"), ["event_id"], 1000)
+    return batch_rows(table(spark, d, "events"), ["event_id"], 1000)
+
+
+@query("batch_rows_copies", """
+WITH c AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS k FROM lineitem)
+SELECT k, row_number() OVER (ORDER BY k) - 1 AS row_index, (row_number() OVER (ORDER BY k) - 1) // 500 AS batch_id FROM c""")
+def batches_of_copies(spark, d):
+    """A third of the rows are copies of one."""
+    copies = table(spark, d, "lineitem").select(F.expr("CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END AS k"))
+    return batch_rows(copies, ["k"], 500)
 
 
 @query("batch_rows_composite", """
