@@ -105,7 +105,19 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_report(spark, path)
 
 
-@query("op6_jaccard_join")
+OP6_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_S}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+c AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y USING (g) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN c ca ON ca.doc_id = a JOIN c cb ON cb.doc_id = b WHERE 100 * k >= 85 * (ca.n + cb.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, min(b) AS component_id FROM r JOIN d ON d.doc_id = r.a LEFT JOIN c USING (doc_id) GROUP BY doc_id, n"""
+
+
+@query("op6_jaccard_join", OP6_SQL)
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
 
