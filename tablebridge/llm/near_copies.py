@@ -10,7 +10,9 @@ from cheap to dear:
    Frequencies come from counts over all documents in a table of fixed size; they only
    shape the order, so their being approximate costs no link.
 3. Nodes with equal minimum hashes are compared with one of them, and the links found are
-   gathered into components, so large groups of near copies shrink before the exact join.
+   gathered into components; then one node of each component is compared with one of the
+   first that has the same minimum hash. So large groups of near copies shrink before the
+   exact join.
 4. Nodes that share a prefix shingle meet in the cell of the least such node; cells of one
    component end here. The cell's nodes form a signature tree: each tree node holds the OR
    (and the AND) of the bitmaps below it, the range of set sizes and of components. Two tree
@@ -196,6 +198,28 @@ def first_links(nodes: DataFrame) -> DataFrame:
         F.col("center").alias("a"), F.col("key").alias("b")).agg(F.countDistinct("seed").alias("n")).filter(F.col("n") >= AGREE).select("a", "b")
 
 
+def further_links(nodes: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs of nodes with an equal minimum hash, one of each component that has it and one of the first such component.
+
+    As many pairs as there are hashes at most. Pairs whose bitmaps and sizes rule a link out are left away.
+    """
+    rows = nodes.join(comps, "key", "left").select("key", F.coalesce("comp", "key").alias("comp"), F.posexplode("least").alias("seed", "hash"))
+    ends = rows.groupBy("seed", "hash", "comp").agg(F.max("key").alias("key"))
+    firsts = ends.groupBy("seed", "hash").agg(F.min(F.struct("comp", "key")).alias("first"), F.max("comp").alias("last")).filter("first.comp < last")
+    pairs = ends.join(firsts, ["seed", "hash"]).filter("comp > first.comp").select(
+        F.least("key", "first.key").alias("a"), F.greatest("key", "first.key").alias("b")).distinct()
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+            p, q = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint64).reshape(-1, BITS // 64) for c in ("bits_a", "bits_b"))
+            most = np.minimum(x - np.bitwise_count(p & ~q).sum(axis=1, dtype=np.int64), y - np.bitwise_count(q & ~p).sum(axis=1, dtype=np.int64))
+            yield batch.select(["a", "b"]).filter(pa.array((100 + PERCENT) * most >= PERCENT * (x + y)))
+
+    known = nodes.select("key", "n", "bits")
+    return pairs.join(known.toDF("a", "n_a", "bits_a"), "a").join(known.toDF("b", "n_b", "bits_b"), "b").mapInArrow(possible, "a bigint, b bigint").distinct()
+
+
 class SignatureTrees:
     """The trees of many cells at once, level by level; level 0 holds the nodes themselves."""
 
@@ -339,6 +363,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
     nodes = signed.filter(F.size("prefix") > 0)
     near = verified(first_links(nodes), docs, signed)
     groups = components(near).select(F.col("node").alias("key"), F.col("component").alias("comp"))
+    near = near.union(verified(further_links(nodes, groups), docs, signed))
+    groups = components(near).select(F.col("node").alias("key"), F.col("component").alias("comp"))
     links = verified(meeting(nodes, groups), docs, signed)
     labels = components(near.union(links)).select(F.col("node").alias("key"), F.col("component").alias("comp"))
     placed = stage(
