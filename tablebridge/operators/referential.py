@@ -168,7 +168,7 @@ class Link:
 
 
 def cascade_closure(tables: Mapping[str, DataFrame], links: Sequence[Link], root: str, doomed: DataFrame,
-                    keys: Mapping[str, Sequence[str]], max_rounds: int = 1000) -> dict[str, DataFrame]:
+                    keys: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
     """Rows of every table that a cascading delete from ``root`` removes.
 
     ``doomed`` are the root rows to delete; ``keys`` names each table's
@@ -187,7 +187,7 @@ def cascade_closure(tables: Mapping[str, DataFrame], links: Sequence[Link], root
             hits = [_reached(tables[name], gone[l.parent], l) for l in links if l.child == name and l.parent in gone]
             gone[name] = hits[0] if len(hits) == 1 else _union_distinct(hits, keys[name])
         return gone
-    return _cyclic_closure(tables, links, root, doomed, keys, max_rounds)
+    return _cyclic_closure(tables, links, root, doomed, keys)
 
 
 def _reached(child: DataFrame, gone_parent: DataFrame, link: Link) -> DataFrame:
@@ -220,11 +220,11 @@ def _topological(root: str, links: Sequence[Link]) -> list[str] | None:
     return order[::-1] if visit(root) else None
 
 
-def _cyclic_closure(tables, links, root, doomed, keys, max_rounds) -> dict[str, DataFrame]:
+def _cyclic_closure(tables, links, root, doomed, keys) -> dict[str, DataFrame]:
     first = tables[root].join(_keys(doomed, keys[root]).distinct(), _pairs(keys[root], _names(keys[root])), "left_semi")
     fresh = {root: stage(first, "cascade")}
     gone = dict(fresh)
-    for _ in range(max_rounds):
+    while True:
         reached: dict[str, list[DataFrame]] = {}
         for link in links:
             if link.parent in fresh:
@@ -242,4 +242,3 @@ def _cyclic_closure(tables, links, root, doomed, keys, max_rounds) -> dict[str,
             return gone
         for name, new in fresh.items():
             gone[name] = gone[name].unionByName(new) if name in gone else new
-    raise QueryError(f"the cascade did not settle in {max_rounds} rounds")
