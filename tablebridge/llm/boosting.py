@@ -11,14 +11,15 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2, l2: float = 1.0) -> list[list[tuple]]:
+def boost(x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 3, rate: float = 0.2, l2: float = 1.0,
+          weight: np.ndarray | float = 1.0) -> list[list[tuple]]:
     """Trees on the logistic loss; a tree is a list of (feature, cut, left, right) or (-1, value, 0, 0) nodes."""
     cuts = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1], method="lower")) for c in x.T]
     bins = np.stack([np.searchsorted(q, c, side="left") for q, c in zip(cuts, x.T, strict=True)], axis=1)
     margin, trees = np.zeros(len(y)), []
     for _ in range(rounds):
         p = sigmoid(margin)
-        g, h = y - p, p * (1 - p) + 1e-6
+        g, h = weight * (y - p), weight * p * (1 - p) + 1e-6
         tree: list[tuple] = []
 
         def grow(rows: np.ndarray, left_depth: int) -> int:
@@ -68,18 +69,19 @@ def margins(trees: list[list[tuple]], x: np.ndarray) -> np.ndarray:
     return sum((_tree(t, x) for t in trees), np.zeros(len(x)))
 
 
-def platt(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray | float = 1.0) -> tuple[float, float]:
     """Slope and offset that turn margins into probabilities."""
     x, b = np.stack([margin, np.ones(len(margin))], axis=1), np.array([1.0, 0.0])
     for _ in range(25):
         p = sigmoid(x @ b)
-        b += np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + 0.1 * np.eye(2), x.T @ (y - p) - 0.1 * (b - [1, 0]))
+        b += np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + 0.1 * np.eye(2), x.T @ (weight * (y - p)) - 0.1 * (b - [1, 0]))
     return float(b[0]), float(b[1])
 
 
-def least_threshold(p: np.ndarray, y: np.ndarray, precision: float, lowest: float) -> float:
+def least_threshold(p: np.ndarray, y: np.ndarray, precision: float, lowest: float, weight: np.ndarray | None = None) -> float:
     """The least threshold, at least ``lowest``, at which what passes has the precision; above 1 if there is none."""
     order = np.argsort(-p, kind="stable")
-    right = np.cumsum(y[order]) / np.arange(1, len(p) + 1)
+    w = np.ones(len(p)) if weight is None else weight[order]
+    right = np.cumsum(w * y[order]) / np.cumsum(w)
     good = np.flatnonzero((right >= precision) & (p[order] >= lowest) & np.append(p[order][1:] != p[order][:-1], True)) if len(p) else []
     return float(p[order][good[-1]]) if len(good) else 2.0

@@ -9,9 +9,10 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tokenizers
+from pyspark.sql import functions as F
 
 from edges import LONG, PLAIN, ROWS, edge_docs, frame, no_docs, prose, rows_of
-from tablebridge.llm import bpe, licenses, pii, quality_rules, secrets, simple8b, token_files
+from tablebridge.llm import boosting, bpe, licenses, pii, quality_rules, secrets, simple8b, token_files
 
 
 def sha(text):
@@ -201,6 +202,30 @@ def test_pii_adds_what_strict_patterns_drop(spark, sf):
     assert spans[3].spans == spans[4].spans == "" and spans[3].base_sha256 == sha("")
 
 
+def test_pii_learns_behind_texts_full_of_numbers(spark, sf):
+    docs = spark.read.parquet(f"{sf.rsplit('/', 1)[0]}/sf0.1/documents.parquet").select("text")
+    numbers = [" ".join(str(r.randint(10**6, 10**7 - 1)) for _ in range(8_000)) for r in map(random.Random, range(3))]
+    assert sum(len(pii.candidates(t)) for t in numbers) > pii.MAX_CANDIDATES
+    model = pii.train(spark.createDataFrame([(t,) for t in numbers], "text string").coalesce(1).union(docs))
+    assert model is not None and max(model[3]) <= 1
+    two = "Pay with 4111111111111111 5500005555555559 or so"
+    assert ("card", 9, 25) in pii.find(two, model)[1] and pii.find(two, model)[0] == []
+
+
+def test_pii_chooses_from_every_kind_and_class(spark, sf, monkeypatch):
+    monkeypatch.setattr(pii, "MAX_CANDIDATES", 400)
+    docs = spark.read.parquet(f"{sf.rsplit('/', 1)[0]}/sf0.1/documents.parquet").select("text")
+    assert pii.train(docs.orderBy("text")) == pii.train(docs.orderBy(F.col("text").desc())) is not None
+    assert pii.quotas({"a": 3, "b": 90, "c": 50}, 63) == {"a": 3, "b": 30, "c": 30}
+    assert pii.quotas({"a": 3, "b": 90}, 400) == {"a": 3, "b": 90}
+
+
+def test_thresholds_count_what_was_left_out():
+    p, y = np.array([0.9, 0.8, 0.7]), np.array([1.0, 1.0, 0.0])
+    assert boosting.least_threshold(p, y, 0.6, 0.5) == 0.7
+    assert boosting.least_threshold(p, y, 0.6, 0.5, np.array([1.0, 1.0, 5.0])) == 0.8
+
+
 def test_pii_edges(spark):
     assert pii.train(no_docs(spark)) is None
     assert pii.scan_pii(edge_docs(spark), None).count() == len(ROWS)
