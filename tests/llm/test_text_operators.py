@@ -202,6 +202,11 @@ def test_pii_adds_what_strict_patterns_drop(spark, sf):
     assert spans[3].spans == spans[4].spans == "" and spans[3].base_sha256 == sha("")
 
 
+@pytest.mark.parametrize("kind,number", [("phone", "00 33 1 23 45 67 89"), ("card", "41.11.11.11.11.11.11.11"), ("card", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1")])
+def test_numbers_of_many_groups_are_proposed_whole(kind, number):
+    assert (kind, 5, 5 + len(number)) in pii.candidates(f"dial {number} today")
+
+
 def test_pii_learns_behind_texts_full_of_numbers(spark, sf):
     docs = spark.read.parquet(f"{sf.rsplit('/', 1)[0]}/sf0.1/documents.parquet").select("text")
     numbers = [" ".join(str(r.randint(10**6, 10**7 - 1)) for _ in range(8_000)) for r in map(random.Random, range(3))]
