@@ -12,7 +12,7 @@ import tokenizers
 from pyspark.sql import functions as F
 
 from edges import LONG, PLAIN, ROWS, edge_docs, frame, no_docs, prose, rows_of
-from tablebridge.llm import boosting, bpe, licenses, pii, quality_rules, secrets, simple8b, token_files
+from tablebridge.llm import boosting, bpe, char_cnn, licenses, pii, quality_rules, secrets, simple8b, token_files
 
 
 def sha(text):
@@ -275,6 +275,32 @@ def test_secrets_found_and_clean_text_left_alone(spark, secret_model):
     assert secrets.train(no_docs(spark)) is None
 
 
+def keyed_docs(spark):
+    """Listed secrets in most documents, and as many behind a name that the base rules do not list."""
+    r = random.Random(6)
+    key = lambda: "".join(r.choices("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz0123456789", k=30)) + "7x"
+    listed = (lambda: f'token = "{key()}"', lambda: f"password: {key()}", lambda: f"see AKIA{key().upper()} for", lambda: f"x {sha(key())} y")
+    rows = [(prose(100 + i, 30) + f" {listed[i % 4]()} " + prose(900 + i, 30) + f" abcdefghijklmno bearer {key()} end",) for i in range(400)]
+    return spark.createDataFrame(rows, "text string"), [f"{prose(i, 3)} bearer {key()} end" for i in range(50)]
+
+
+def test_secrets_outside_the_base_rules_are_added(spark):
+    docs, texts = keyed_docs(spark)
+    *found, (_, plain) = secrets.find_all([*texts, PLAIN], secrets.train(docs))
+    whole = [[("other", t.index("bearer ") + 7, len(t) - 4)] for t in texts]
+    assert all(base == [] and spans in ([], w) for (base, spans), w in zip(found, whole, strict=True)) and plain == []
+    assert sum(spans == w for (_, spans), w in zip(found, whole, strict=True)) > 25
+
+
+def test_the_threshold_keeps_the_recall(spark, monkeypatch):
+    monkeypatch.setattr(char_cnn, "fit", lambda x, y, split: char_cnn.start())  # a network that tells little
+    docs, _ = keyed_docs(spark)
+    net, slope, offset, threshold = secrets.train(docs)
+    seen = [secrets.window(t, m.start(2), m.end(2)) for t, in docs.collect() for m in ASSIGN.finditer(t)]
+    p = boosting.sigmoid(slope * char_cnn.margins(net, secrets.seen_by_net(seen), secrets.BEFORE) + offset)
+    assert len(p) == 200 and (p < 0.9).any() and (p >= threshold).mean() > 0.95
+
+
 def test_redaction(spark, secret_model):
     key = hashlib.sha1(b"y").hexdigest()
     docs = frame(spark, [(1, f'my token = "{key}" here'), (2, PLAIN), (3, None), (4, "")])
