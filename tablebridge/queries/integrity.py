@@ -298,6 +298,32 @@ def find_references(spark, d):
     return k.discover_foreign_keys(tables, keys, cols)
 
 
+# Every integer and text column of the seven star tables, and the keys that a foreign key can name.
+_STAR = {"region": ("r_regionkey", "r_name"), "nation": ("n_nationkey", "n_regionkey", "n_name"),
+         "supplier": ("s_suppkey", "s_nationkey", "s_name"), "customer": ("c_custkey", "c_nationkey", "c_name", "c_mktsegment"),
+         "part": ("p_partkey", "p_size", "p_name", "p_brand", "p_type"), "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"),
+         "lineitem": ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")}
+_STAR_KEYS = {t: c[0] for t, c in _STAR.items() if t != "lineitem"}
+
+
+def _star_sql() -> str:
+    values = " UNION ALL ".join(f"SELECT DISTINCT '{t}.{c}' AS c, typeof({c}) = 'VARCHAR' AS is_text, {c}::VARCHAR AS v FROM {t} WHERE {c} IS NOT NULL"
+                                for t, columns in _STAR.items() for c in columns)
+    keys = ", ".join(f"'{t}.{c}'" for t, c in _STAR_KEYS.items())
+    return f"""
+WITH v AS ({values}),
+ z AS (SELECT c, count(*) AS distinct_values FROM v GROUP BY c),
+ p AS (SELECT a.c AS col_name, b.c AS ref_name, count(*) AS shared
+       FROM v a JOIN v b ON a.v = b.v AND a.is_text = b.is_text AND a.c <> b.c WHERE b.c IN ({keys}) GROUP BY ALL)
+SELECT col_name, ref_name, distinct_values FROM p JOIN z ON z.c = p.col_name WHERE shared = distinct_values"""
+
+
+@query("discover_foreign_keys_star", _star_sql())
+def find_star_references(spark, d):
+    """All integer and text columns of all seven tables."""
+    return k.discover_foreign_keys({t: table(spark, d, t) for t in _STAR}, _STAR_KEYS)
+
+
 @query("assign_identity_always", "SELECT c_custkey, c_name, 100 + 5 * (row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1) AS id FROM customer")
 def identity_always(spark, d):
     rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")

@@ -194,3 +194,11 @@ def test_definitions_are_checked():
         m.ForeignKey("f", ["a"], "t", ["x", "y"])
     with pytest.raises(m.DdlError):
         m.ForeignKey("f", ["a"], "t", ["x"], on_delete="EXPLODE")
+
+
+def test_star_references_reach_lineitem(spark, sf):
+    import __spark_entry__ as entry
+
+    found = {(r.col_name, r.ref_name) for r in entry.queries()["discover_foreign_keys_star"](spark, sf).collect()}
+    assert {("lineitem.l_orderkey", "orders.o_orderkey"), ("lineitem.l_partkey", "part.p_partkey"), ("lineitem.l_suppkey", "supplier.s_suppkey"),
+            ("orders.o_custkey", "customer.c_custkey"), ("nation.n_regionkey", "region.r_regionkey")} <= found
