@@ -5,8 +5,9 @@ pairs in the templates. A hit at text word p and template word q votes for the d
 p - q, the word at which the template would start. Votes of a text, template and diagonal
 are gathered as a bit per template place, so repeated votes change nothing. A diagonal
 with all its bits is an exact occurrence. Neighbouring diagonals (words were inserted or
-dropped between them) are merged; the merged span is accepted when enough template places
-voted and the text span is about as long as the template.
+dropped between them) are merged; the merged span, or a stretch of its diagonals, is accepted
+when enough template places voted and the text span is about as long as the template. So
+repeated words, which chain many diagonals, hide neither an exact occurrence nor a close one.
 
 Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing. A null text has no
 words, no labels and score 0. Repeated rows get one result each; rows that share an id but
@@ -92,28 +93,36 @@ def scan_licenses(docs: DataFrame, templates: Sequence[Template] = TEMPLATES) ->
         .agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"), F.min("at").alias("first"), (F.max("at") + 1).alias("last"))
     )
     per_template = Window.partitionBy(*key, "number").orderBy("diagonal")
+    stretch = Window.partitionBy(*key, "number", "span").orderBy("diagonal").rangeBetween(0, 2 * MERGED)
     stats = F.array(*[F.struct(F.lit(t.label).alias("label"), F.lit(t.pairs).alias("pairs"), F.lit(t.needed).alias("needed"),
                                F.lit(t.base).alias("base")) for t in templates])
+
+    def close(voted: Column, length: Column) -> Column:
+        """Words in another order or scattered over the text span too much or too little for their template."""
+        return (voted >= F.col("t.needed")) & (length >= F.col("t.needed")) & (length <= F.col("t.pairs") + 2 * MERGED)
+
     spans = (
         votes.withColumn("new", (F.col("diagonal") - F.lag("diagonal").over(per_template) > MERGED).cast("int"))
         .withColumn("span", F.sum(F.coalesce("new", F.lit(0))).over(per_template))
         .withColumn("t", F.get(stats, F.col("number")))
         .withColumn("exact", F.col("t.base") & (F.bit_count("bits") == F.col("t.pairs")))
+        .withColumn("near", F.bit_count(F.bit_or("bits").over(stretch)))
+        .withColumn("near_length", F.max("last").over(stretch) - F.min("first").over(stretch))
+        .withColumn("near", F.when(F.bit_count("bits") == F.col("t.pairs"), F.col("t.pairs")).when(close(F.col("near"), F.col("near_length")), F.col("near")))
         .groupBy(*key, "number", "span")
         .agg(F.first("t").alias("t"), F.bit_count(F.bit_or("bits")).alias("voted"), F.min("first").alias("first"), F.max("last").alias("last"),
-             F.count_if("exact").alias("n_base"),
+             F.max("near").alias("near"), F.count_if("exact").alias("n_base"),
              F.min(F.when(F.col("exact"), F.col("diagonal"))).alias("first_word"),
              F.max(F.when(F.col("exact"), F.col("diagonal"))).alias("last_word"))
     )
-    # A span of words in another order or scattered over the text is too long or too short for its template.
-    length = F.col("last") - F.col("first")
-    verified = (F.col("voted") >= F.col("t.needed")) & (length >= F.col("t.needed")) & (length <= F.col("t.pairs") + 2 * MERGED)
+    merged = close(F.col("voted"), F.col("last") - F.col("first"))
+    verified = merged | F.col("near").isNotNull()
     found = spans.select(
         *key, F.lit(0).alias("copies"), F.lit(None).cast("long").alias("n_words"), "n_base", "first_word", "last_word",
         F.when(F.col("n_base") > 0, F.col("t.label")).alias("base_label"),
         F.when((F.col("n_base") > 0) | (verified & ~F.col("t.base")), F.col("t.label")).alias("label"),
-        F.when((F.col("n_base") > 0) | verified, F.col("voted") / F.col("t.pairs")).otherwise(
-            F.col("voted") / (2 * F.col("t.pairs"))).alias("score"))
+        F.when((F.col("n_base") > 0) | merged, F.col("voted") / F.col("t.pairs")).otherwise(
+            F.coalesce(F.col("near") / F.col("t.pairs"), F.col("voted") / (2 * F.col("t.pairs")))).alias("score"))
     nothing = texts.select(
         *key, F.lit(1).alias("copies"),
         F.coalesce(F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0)).cast("long").alias("n_words"),

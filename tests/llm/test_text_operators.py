@@ -73,6 +73,16 @@ def test_licenses(spark):
     assert licenses.scan_licenses(frame(spark, rows)).count() == len(rows)
 
 
+def test_repeated_words_hide_no_license(spark):
+    bsd = licenses.TEMPLATES[8].phrase
+    close = "source and binary " * 9 + " ".join(w for w in bsd.split() if w != "modification")
+    rows = [(1, "CC BY, CC BY, CC BY, CC BY-NC"), (2, "cc by cc by cc by cc by sa"), (3, "source and binary " * 9 + bsd), (4, close),
+            (5, "cc by cc by cc by cc by and nc")]
+    out = {r.doc_id: r for r in licenses.scan_licenses(frame(spark, rows)).collect()}
+    assert [out[i].labels for i in range(1, 6)] == ["cc-by,cc-by-nc", "cc-by,cc-by-sa", "bsd", "bsd", "cc-by"]
+    assert out[1].score == out[3].score == 1.0 and 0.75 <= out[4].score < 1
+
+
 def test_licenses_edges(spark):
     assert licenses.scan_licenses(edge_docs(spark)).count() == len(ROWS)
     assert licenses.scan_licenses(no_docs(spark)).count() == 0
