@@ -1,11 +1,13 @@
-"""The queries of the ten operators, and SQL where SQL can say the same."""
+"""The queries of the operators, and SQL where SQL can say the same."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tablebridge.llm import bpe, decontaminate, licenses, line_crf, near_copies, pii, quality_rules, secrets, token_files, toxicity
+from tablebridge.llm import (
+    bpe, decontaminate, licenses, line_crf, merkle, near_copies, pii, quality_rules, search, secrets, syncmers, token_files, toxicity)
 from tablebridge.queries.registry import query, table
 from tablebridge.session import staging_path
 
@@ -144,3 +146,92 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.scan_secrets(docs, secrets.train(docs))
+
+
+OP11_SQL = r"""
+WITH w AS (SELECT rowid AS d, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM (SELECT row_number() OVER () AS rowid, doc_id, text FROM documents)),
+n AS (SELECT d, doc_id, len(t) AS n FROM w WHERE len(t) > 0),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM n),
+p AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(t) AS term FROM w) GROUP BY ALL),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * s.docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS weight FROM p, s GROUP BY term, s.docs),
+i AS (SELECT item, item_id, term, count(*) AS times FROM (
+        SELECT row_number() OVER () AS item, item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        unnest(t) AS u(term) GROUP BY ALL),
+x AS (SELECT item, item_id, d, doc_id, CAST(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * s.docs) // s.words)))) AS BIGINT) AS score
+      FROM i JOIN p USING (term) JOIN f USING (term) JOIN n USING (d), s GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM x WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20"""
+
+
+@query("op11_ranked_search", OP11_SQL)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _crc_row(byte: int) -> int:
+    for _ in range(8):
+        byte = byte >> 1 ^ 0xEDB88320 * (byte & 1)
+    return byte
+
+
+def _sql_h(columns: dict[str, str]) -> str:
+    return "sha256(" + " || ".join(
+        f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({v} AS VARCHAR)) || ':' || {v} END" for c, v in columns.items()) + ")"
+
+
+def _sql_levels(name: str, levels: int) -> str:
+    """The levels of the trees over {name}0(tree, pos, size, digest): each a row for every run of 16."""
+    return "".join(f"""
+{name}{k} AS (SELECT tree, pos // 16 AS pos, (size + 15) // 16 AS size, list(digest ORDER BY pos) AS run,
+  CASE WHEN size = 1 THEN min(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest FROM {name}{k - 1} GROUP BY tree, pos // 16, size),"""
+                   for k in range(1, levels + 1))
+
+
+def _sql_folds(name: str, leaves: str, levels: int) -> str:
+    """{name}f0 and on: the leaves with the siblings so far and the hash that the changed leaf leads to."""
+    return f"\n{name}f0 AS (SELECT *, pos AS here, size AS left_over FROM {leaves})," + "".join(f"""
+{name}g{k} AS (SELECT f.*, array_to_string(run[1:here % 16], '') AS before, array_to_string(run[here % 16 + 2:], '') AS behind
+  FROM {name}f{k - 1} f JOIN {name}{k} n ON n.tree = f.tree AND n.pos = here // 16),
+{name}f{k} AS (SELECT * EXCLUDE (here, left_over, fold, proof, before, behind), here // 16 AS here, (left_over + 15) // 16 AS left_over,
+  proof || before || behind AS proof, CASE WHEN left_over = 1 THEN fold ELSE sha256(before || fold || behind) END AS fold FROM {name}g{k}),"""
+                                                                                                for k in range(1, levels + 1))
+
+
+_LEAF = {"doc_id": "doc_id", "source": "source", "lang": "lang", "n_chars": "n_chars", "text": "text"}
+_TAMPERED = _LEAF | {"text": "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"}
+_IN, _OVER = 5, 3  # levels that the SQL spells out: 16 ** 5 documents of a source, 16 ** 3 sources
+
+OP12_SQL = f"""
+WITH c AS (SELECT {[_crc_row(b) for b in range(256)]}::BIGINT[] AS row),
+h AS (SELECT doc_id, source, {_sql_h(_LEAF)} AS leaf, {_sql_h(_TAMPERED)} AS changed,
+  xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT),
+    lambda a, b: xor(a >> 8, c.row[(xor(a, b) & 255) + 1]))) AS crc FROM documents, c),
+l AS (SELECT doc_id, source, leaf, CASE WHEN crc % 5 = 0 THEN changed ELSE leaf END AS fold, '' AS proof,
+  coalesce(strlen(source) || ':' || source, '-') AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+  count(*) OVER (PARTITION BY source) AS size FROM h),
+n0 AS (SELECT tree, pos, size, leaf AS digest FROM l),{_sql_levels("n", _IN)}
+t AS (SELECT any_value(source) AS source, tree FROM l GROUP BY tree),
+s AS (SELECT tree AS own, digest AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS size FROM n{_IN} JOIN t USING (tree)),
+o0 AS (SELECT '' AS tree, pos, size, subroot AS digest FROM s),{_sql_levels("o", _OVER)}{_sql_folds("n", "l", _IN)}
+u AS (SELECT doc_id, leaf, subroot, fold, proof, '' AS tree, s.pos, s.size FROM nf{_IN} f JOIN s ON s.own = f.tree),{_sql_folds("o", "u", _OVER)}
+z AS (SELECT digest AS root FROM o{_OVER})
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = root AS verified FROM of{_OVER}, z"""
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = merkle.leaf([lowered if c == "text" else F.col(c) for c in merkle.COLUMNS])
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    rows = merkle.manifest(docs, extra={"tampered": F.when(chosen, tampered)})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root")).withColumn(
+        "verified", F.col("folded_root") == F.col("root"))
+
+
+@query("op13_syncmers")
+def op13_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.neighbour_fingerprints(table(spark, sf_dir, "documents"))
