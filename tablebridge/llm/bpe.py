@@ -6,6 +6,12 @@ holds the ranks of mergeable neighbours, and entries whose symbols have changed
 are skipped. Decoding joins the vocabulary strings of the ids as the file's missing
 decoder asks for: with one space between.
 
+What is a letter, a small letter or white space depends on the version of Unicode. Texts of
+Latin letters, common punctuation and CJK ideographs (PLAIN) mean the same in all; a piece never
+spans white space, so the runs between it are remembered with their ids. Parts with any other
+character take normalisation and pieces from the tokenizers library's own rules, whose Unicode
+may differ from Python's; the merges are the same.
+
 A null text is encoded as an empty one: no ids, an empty decoded text. Rows are encoded
 one by one, so repeated rows and null or repeated ids are unaffected, an empty table gives
 an empty result, and no other column is read.
@@ -16,15 +22,18 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
-import unicodedata
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame
 
-CACHED_PIECES = 250_000  # merged pieces that a task remembers
+CACHED_RUNS = 250_000  # runs between white space that a task remembers
+CACHED_CHARS = 48  # longer ones are merged each time
+PLAIN = re.compile("[\t-\r\x20-\x7e\x80-\u024f\u2010-\u2027\u2030-\u205e\u4e00-\u9fa5]*")
 
 
 def byte_symbols() -> list[str]:
@@ -38,6 +47,7 @@ class WordBpe:
     """The encoder and decoder of a tokenizer file with word ends and no decoder."""
 
     def __init__(self, file: str):
+        self.file, self.library = file, None
         spec = json.loads(file)
         model = spec["model"]
         self.end = model["end_of_word_suffix"] or ""
@@ -53,9 +63,8 @@ class WordBpe:
         self.bytes = byte_symbols()
         self.known: dict[str, tuple[int, str, str]] = {}
 
-    def merge(self, piece: str) -> list[int]:
-        """Ids of one piece: always the lowest rank first, the leftmost of equal ones."""
-        symbols = [self.bytes[b] for b in piece.encode()]
+    def merge(self, symbols: Sequence[str]) -> list[int]:
+        """Ids of one piece, given as its bytes' symbols: always the lowest rank first, the leftmost of equal ones."""
         ids = [self.ids[s] for s in symbols[:-1]] + [self.ids[symbols[-1] + self.end]]
         n = len(ids)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -81,27 +90,39 @@ class WordBpe:
             offer(left)
         return [i for i in ids if i >= 0]
 
-    def piece(self, piece: str) -> tuple[int, str, str]:
+    def _result(self, pieces: Iterable[Sequence[str]]) -> tuple[int, str, str]:
         """Number of ids, the ids and their strings, both as text."""
-        found = self.known.get(piece)
+        ids = [i for piece in pieces for i in self.merge(piece)]
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
+
+    def run(self, run: str) -> tuple[int, str, str]:
+        """The result of a small-letter text without white space."""
+        found = self.known.get(run)
         if found is None:
-            ids = self.merge(piece)
-            found = len(ids), " ".join(map(str, ids)), self.decode(ids)
-            if len(self.known) >= CACHED_PIECES:
-                self.known.clear()
-            self.known[piece] = found
+            found = self._result([self.bytes[b] for b in piece.encode()] for piece in self.pieces.findall(run))
+            if len(run) <= CACHED_CHARS:
+                if len(self.known) >= CACHED_RUNS:
+                    self.known.clear()
+                self.known[run] = found
         return found
 
+    def foreign(self, text: str) -> tuple[int, str, str]:
+        """The result of a text whose characters the library has to judge."""
+        if self.library is None:
+            self.library = tokenizers.Tokenizer.from_str(self.file)
+        return self._result(p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text)))
+
     def encoded(self, text: str) -> list[tuple[int, str, str]]:
-        """The pieces of a text in order, special tokens among them."""
+        """The runs of a text in order, special tokens among them."""
         out: list[tuple[int, str, str]] = []
         for part in self.cut.split(text):
             if part in self.specials:
                 out.append((1, str(self.specials[part]), part))
-            elif part:
-                plain = unicodedata.normalize("NFC", part).replace("Σ", "σ").lower()  # sigma has one small form here
-                out += map(self.piece, self.pieces.findall(plain))
-        return out
+            elif PLAIN.fullmatch(part):
+                out += map(self.run, part.lower().split())
+            else:
+                out.append(self.foreign(part))
+        return [x for x in out if x[0]]
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for _, ids, _ in self.encoded(text) for i in ids.split()]
@@ -149,7 +170,7 @@ def round_trip(docs: DataFrame, tokenizer: str, with_ids: bool = False) -> DataF
             ids.append(hashlib.sha256(written.encode()).hexdigest())
             decoded.append(hashlib.sha256(" ".join([p[2] for p in pieces]).encode()).hexdigest())
             if with_ids:
-                lists.append(np.array(written.split(), dtype=np.int32))
+                lists.append(np.fromstring(written, dtype=np.int32, sep=" "))
         columns = {"n_tokens": pa.array(count, pa.int64()), "ids_sha256": pa.array(ids, pa.string()), "decoded_sha256": pa.array(decoded, pa.string())}
         return columns | ({"ids": pa.array(lists, pa.list_(pa.int32()))} if with_ids else {})
 
