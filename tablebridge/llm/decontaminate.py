@@ -35,8 +35,9 @@ GRAM = 5
 SLOT_BITS = 22  # the bitmap has 4 million slots, half a megabyte, whatever the benchmark's size
 PERCENT = 5  # of a document's words
 
-_HIT = pa.list_(pa.struct([("mark", pa.int64()), ("size", pa.int32()), ("at", pa.int64()), ("anchor", pa.int32()), ("span", pa.string())]))
-_HIT_SQL = "array<struct<mark: bigint, size: int, at: bigint, anchor: int, span: string>>"
+_HIT = pa.list_(pa.struct([("mark", pa.int64()), ("size", pa.int32()), ("anchor", pa.int32()), ("span", pa.string()), ("at", pa.list_(pa.int64()))]))
+_HIT_SQL = "array<struct<mark: bigint, size: int, anchor: int, span: string, at: array<bigint>>>"
+_RUNS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
 
 def winnowed(w: Words) -> np.ndarray:
@@ -69,8 +70,9 @@ def fingerprinter(passing: np.ndarray | None, lengths: tuple[int, ...]) -> Calla
     """Arrow batches with a column ``text`` to the same rows with n_words and hits in its place.
 
     ``passing`` is the bitmap, ``lengths`` the lengths of shorter items. Without a bitmap the
-    texts are items: each has the fingerprints of its own length and no others. The first
-    hit of each text stands for the text itself.
+    texts are items: each has the fingerprints of its own length and no others. Equal
+    fingerprints of a text with equal words around them are one hit with all their places. The
+    first hit of each text stands for the text itself.
     """
     around = WINDOW - GRAM
 
@@ -80,7 +82,7 @@ def fingerprinter(passing: np.ndarray | None, lengths: tuple[int, ...]) -> Calla
             for a, b, data, offsets in chunks(texts):
                 w = split_words(data, offsets)
                 counts = w.counts()
-                hits: list[list] = [[(0, 0, 0, 0, "")] for _ in range(b - a)]
+                hits: list[dict] = [{(0, 0, 0, ""): [0]} for _ in range(b - a)]
                 for size, at, marks in _marks(w, lengths if passing is not None else tuple(np.unique(counts[(counts > 0) & (counts < WINDOW)]))):
                     if passing is not None:
                         kept = passing[slot(marks)]
@@ -91,25 +93,26 @@ def fingerprinter(passing: np.ndarray | None, lengths: tuple[int, ...]) -> Calla
                         if passing is None and size < WINDOW and hi - lo != size:
                             continue
                         left, right = (max(lo, p - around), min(hi, p + WINDOW)) if size == WINDOW else (p, p + size)
-                        hits[i].append((mark, int(size), left - lo, p - left, b" ".join(w.span(left, right)).decode("utf-8", "replace")))
+                        span = b" ".join(w.span(left, right)).decode("utf-8", "replace")
+                        hits[i].setdefault((mark, int(size), p - left, span), []).append(left - lo)
                 part = batch.slice(a, b - a)
                 columns = {n: part.column(n) for n in part.schema.names if n != "text"}
                 columns["n_words"] = pa.array(counts, pa.int64())
-                columns["hits"] = pa.array([[dict(zip(("mark", "size", "at", "anchor", "span"), h, strict=True)) for h in row] for row in hits], _HIT)
+                columns["hits"] = pa.array([[dict(zip(("mark", "size", "anchor", "span", "at"), (*h, at), strict=True)) for h, at in row.items()]
+                                            for row in hits], _HIT)
                 yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
 
 def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Meetings of a document and an item fingerprint to runs of equal words; begin is null where there is no hit."""
+    """Meetings of a document and an item fingerprint to runs of equal words; null where there is no hit."""
     for batch in batches:
-        begin, end = [], []
+        runs: list[list | None] = []
         rows = (batch.column(n).to_pylist() for n in ("size", "at", "anchor", "span", "item_anchor", "item_span"))
         for size, at, a, span, b, item_span in zip(*rows, strict=True):
             if item_span is None:
-                begin.append(None)
-                end.append(None)
+                runs.append(None)
                 continue
             ours, theirs = span.split(" "), item_span.split(" ")
             left = 0
@@ -118,11 +121,18 @@ def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             right = 0
             while right < min(len(ours) - a, len(theirs) - b) and ours[a + right] == theirs[b + right]:
                 right += 1
-            hit = left + right >= size
-            begin.append(at + a - left if hit else None)
-            end.append(at + a + right if hit else None)
+            if left + right < size:
+                runs.append(None)
+                continue
+            found: list[list[int]] = []
+            for place in at:  # ascending
+                if found and place + a - left <= found[-1][1]:
+                    found[-1][1] = place + a + right
+                else:
+                    found.append([place + a - left, place + a + right])
+            runs.append([{"begin": x, "end": y} for x, y in found])
         columns = {n: batch.column(n) for n in ("doc_id", "digest", "n_words", "copies", "ids")}
-        yield pa.RecordBatch.from_pydict(columns | {"begin": pa.array(begin, pa.int64()), "end": pa.array(end, pa.int64())})
+        yield pa.RecordBatch.from_pydict(columns | {"runs": pa.array(runs, _RUNS)})
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -132,9 +142,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     marks = stage(
         items.mapInArrow(fingerprinter(None, ()), f"ids array<string>, n_words bigint, hits {_HIT_SQL}")
         .select("ids", F.explode("hits").alias("h")).filter("h.size > 0")
-        .select("ids", "h.mark", "h.size", F.col("h.anchor").alias("item_anchor"), F.col("h.span").alias("item_span")), "fingerprints")
+        # Items that share a fingerprint and the words around it are one row.
+        .groupBy("h.mark", "h.size", F.col("h.anchor").alias("item_anchor"), F.col("h.span").alias("item_span"))
+        .agg(F.array_distinct(F.flatten(F.collect_set("ids"))).alias("ids")), "fingerprints")
     # At most one row a slot, and one a length below WINDOW.
-    slots = [r[0] for r in marks.select(F.shiftrightunsigned("mark", 64 - SLOT_BITS)).distinct().toLocalIterator()]
+    slots = marks.select(F.shiftrightunsigned("mark", 64 - SLOT_BITS).alias("slot")).distinct().toArrow().column("slot").to_numpy()
     lengths = tuple(sorted(r[0] for r in marks.filter(F.col("size") < WINDOW).select("size").distinct().collect()))
     passing = np.zeros(1 << SLOT_BITS, dtype=bool)
     passing[slots] = True
@@ -149,17 +161,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .select("doc_id", "digest", "n_words", F.explode("hits").alias("h"))
         # A document's own row keeps a key of its own, so that such rows don't meet in one task.
         .select("doc_id", "digest", "n_words", "h.size", "h.at", "h.anchor", "h.span",
-                F.when(F.col("h.size") > 0, F.col("h.mark")).otherwise(F.col("digest")).alias("mark"),
+                F.when(F.col("h.size") > 0, F.col("h.mark")).otherwise(F.xxhash64("doc_id", "digest")).alias("mark"),
                 (F.col("h.size") == 0).cast("int").alias("copies"))
     )
     runs = found.join(marks, ["mark", "size"], "left").select(
         "doc_id", "digest", "n_words", "copies", "ids", "size", "at", "anchor", "span", "item_anchor", "item_span").mapInArrow(
         extend, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, digest bigint, n_words bigint, copies int, ids array<string>, "
-                "begin bigint, end bigint")
-    hit = F.col("begin").isNotNull()
+                "runs array<struct<begin: bigint, end: bigint>>")
+    hit = F.col("runs").isNotNull()
     gathered = runs.groupBy("doc_id", "digest").agg(
         F.sum("copies").cast("int").alias("copies"), F.max("n_words").alias("n_words"),
-        F.sort_array(F.collect_set(F.when(hit, F.struct("begin", "end")))).alias("runs"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_set("runs")))).alias("runs"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set(F.when(hit, F.col("ids")))))).alias("items"))
     start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("reach"))
     covered = F.aggregate("runs", start, lambda acc, r: F.struct(
