@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tablebridge.session import stage
+
 FOLDS = 5
+MAX_BYTES = 64 << 20  # of a sample's texts together
 
 
 def held_out(doc_id: Column) -> Column:
@@ -13,18 +16,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % FOLDS == 0, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, column: str, rows: int) -> DataFrame:
-    """doc_id, text and y of about ``rows`` labelled documents that are not held out.
+def training_rows(docs: DataFrame, labels: DataFrame, column: str, rows: int, most_bytes: int = MAX_BYTES) -> DataFrame:
+    """doc_id, text and y of about ``rows`` labelled documents that are not held out, one for each id.
 
-    Ids are chosen by a hash, with the share that leaves ``rows`` of them, and their list is
-    broadcast: its size is bounded by ``rows``. Null labels are left out; of several labels
-    of one id the largest counts.
+    Ids are chosen by a hash, with the share that leaves ``rows`` of them. Null labels are left
+    out; of several labels of one id the largest counts, of several texts the one whose hash is
+    least. Texts are taken in the order of their ids' hashes while they make at most
+    ``most_bytes`` together; one that would exceed them is passed over.
     """
     usable = labels.select("doc_id", F.col(column).alias("y")).filter("doc_id IS NOT NULL AND y IS NOT NULL").filter(~held_out(F.col("doc_id")))
-    total = usable.count()
-    share = min(1.0, rows / max(1, total))
-    chosen = usable.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).groupBy("doc_id").agg(F.max("y").alias("y"))
-    listed = chosen.collect()  # about `rows`
-    spark = docs.sparkSession
-    local = spark.createDataFrame(listed, chosen.schema)
-    return docs.select("doc_id", "text").join(F.broadcast(local), "doc_id")
+    ids = usable.groupBy("doc_id").agg(F.max("y").alias("y"))
+    total = ids.count()
+    below = min((1 << 63) - 1, -(1 << 63) + (rows << 64) // max(1, total))
+    chosen = ids.filter(F.xxhash64("doc_id") <= F.lit(below).cast("long")).collect()  # about `rows`
+    local = docs.sparkSession.createDataFrame(chosen, ids.schema)
+    sample = stage(docs.select("doc_id", "text").join(local, "doc_id").groupBy("doc_id", "y").agg(
+        F.min_by("text", F.struct(F.col("text").isNull(), F.xxhash64("text"))).alias("text")), "labelled")
+    sizes = sample.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    held, dropped = 0, []
+    for doc_id, n in sizes:
+        if held + n > most_bytes:
+            dropped.append(doc_id)
+        else:
+            held += n
+    return sample.filter(~F.col("doc_id").isin(dropped)) if dropped else sample
