@@ -135,8 +135,9 @@ def rejected_by(text: Column, found: Column, rules: Sequence[Rule]) -> Column:
 def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, columns unchanged."""
     ordered = order_rules(docs, rules, sample_rows)
-    verdict = rejected_by(F.col("row.text"), F.col("found"), ordered)
-    return with_words(docs).filter(verdict.isNull()).select("row.*")
+    # The words are bound inside the verdict: a filter on a column of words would be worked out anew for every rule.
+    text = F.col("text")
+    return docs.filter(let(words(text), lambda found: rejected_by(text, found, ordered)).isNull())
 
 
 def quality_report(docs: DataFrame, own: Sequence[Rule] = OWN, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
