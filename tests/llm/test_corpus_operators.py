@@ -1,7 +1,10 @@
 """Operators that compare texts or learn from labels, and the pipeline, on edge cases and by brute force."""
 
+import inspect
+import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -28,9 +31,9 @@ def test_words_equal_the_pattern(inside, pattern):
             assert [x.decode() for x in w.span(w.first[i - a], w.first[i - a + 1])] == re.findall(pattern, lowered)
 
 
-def shingles(text):
+def shingles(text, n=4):
     found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
-    return {tuple(found[k:k + 4]) for k in range(max(1, len(found) - 3))} if found else set()
+    return {tuple(found[k:k + n]) for k in range(max(1, len(found) - n + 1))} if found else set()
 
 
 # --- decontamination ---
@@ -71,6 +74,16 @@ def test_contamination_by_brute_force(spark):
     assert rows_of(out, "doc_id", "n_words", "n_hit", "n_items", "contaminated") == brute_contamination(docs, items)
 
 
+def test_repetitive_texts_meet_once(spark):
+    """A text and an item of one repeated word share one fingerprint, not the product of their places."""
+    docs = [(1, "b " * 30_000), (2, "b c " * 20_000), (3, "b " * 12 + "x " + "b " * 13)]
+    items = [(7, "b " * 30_000), (8, "c b " * 8_000)]
+    start = time.perf_counter()
+    out = decontaminate.contamination(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string"))
+    assert rows_of(out, "doc_id", "n_words", "n_hit", "n_items") == [(1, 30_000, 30_000, 1), (2, 40_000, 40_000, 1), (3, 26, 13, 1)]
+    assert time.perf_counter() - start < 60
+
+
 def test_contamination_edges(spark):
     items = spark.createDataFrame([(1, PLAIN), (None, LONG), (2, None)], "item_id long, text string")
     docs = edge_docs(spark)
@@ -84,8 +97,8 @@ def test_contamination_edges(spark):
 
 # --- near copies ---
 
-def brute_components(docs):
-    sets = [shingles(t) for _, t in docs]
+def brute_components(docs, n=4, percent=85):
+    sets = [shingles(t, n) for _, t in docs]
     group = list(range(len(docs)))
 
     def find(x):
@@ -96,7 +109,7 @@ def brute_components(docs):
     for a in range(len(docs)):
         for b in range(a):
             both = len(sets[a] & sets[b])
-            if sets[a] and sets[b] and 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+            if sets[a] and sets[b] and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                 group[find(a)] = find(b)
     least = {}
     for k, (i, _) in enumerate(docs):
@@ -125,10 +138,53 @@ def test_near_copies_by_brute_force(spark, monkeypatch):
     assert rows_of(near_copies.near_copies(frame(spark, docs).repartition(3)), "doc_id", "n_shingles", "component_id") == expected
     # tiny cells: every cell is cut into blocks
     monkeypatch.setattr(near_copies, "CELL", 2)
-    monkeypatch.setattr(near_copies, "AGREE", 9)  # and no first links
+    monkeypatch.setattr(near_copies, "PAIRS_IN_ORDER", 3)
     assert rows_of(near_copies.near_copies(frame(spark, docs)), "doc_id", "n_shingles", "component_id") == expected
 
 
+def test_near_copies_with_other_words_and_share(spark):
+    docs = near_docs()
+    expected = brute_components(docs, 5, 80)
+    assert expected != brute_components(docs)
+    assert rows_of(near_copies.near_copies(frame(spark, docs), 5, 80), "doc_id", "n_shingles", "component_id") == expected
+
+
+@pytest.mark.parametrize("cell", [4096, 500])
+def test_large_group_of_near_copies(spark, monkeypatch, tmp_path, cell):
+    """Links that are kept grow with the members of a group, not with its pairs."""
+    r = random.Random(3)
+    base, size = prose(70, 120).split(), 1_500
+    docs = []
+    for k in range(size):
+        own = list(base)
+        for _ in range(r.choice((1, 2, 3, 3))):
+            own[r.randrange(len(own))] = f"w{r.randrange(10**6)}"
+        docs.append((k, " ".join(own)))
+    names = {g: k for k, g in enumerate(sorted(set().union(*[shingles(t) for _, t in docs])))}
+    sets = np.zeros((size, len(names)), dtype=np.float32)
+    for k, (_, t) in enumerate(docs):
+        sets[k, [names[g] for g in shingles(t)]] = 1
+    common, n = sets @ sets.T, sets.sum(axis=1)
+    near = 100 * common >= 85 * (n[:, None] + n[None, :] - common)
+    label = np.arange(size)
+    while True:
+        least = np.where(near, label[None, :], size).min(axis=1)
+        if (least == label).all():
+            break
+        label = least
+    monkeypatch.setattr(near_copies, "CELL", cell)
+    kept, real = [], near_copies.linked
+
+    def counting(*args):
+        kept.append(real(*args))
+        return kept[-1]
+
+    monkeypatch.setattr(near_copies, "linked", counting)
+    out = near_copies.near_copies(frame(spark, docs))
+    assert {x.doc_id: x.component_id for x in out.collect()} == dict(enumerate(label.tolist()))
+    assert near.sum() > 50 * size > 25 * sum(x.count() for x in kept)
+
+
 def test_near_copies_edges(spark):
     docs = edge_docs(spark)
     out = near_copies.near_copies(docs)
@@ -146,7 +202,7 @@ def test_trees_lose_no_pair():
     n = bits.sum(axis=1).astype(np.int64)
     packed = np.frombuffer(np.packbits(bits, axis=1).tobytes(), dtype=np.uint64).reshape(len(bits), 16)
     comp = np.arange(len(bits), dtype=np.int64) // 2
-    tree = near_copies.SignatureTrees(np.zeros(len(bits), dtype=np.int64), n, comp, packed)
+    tree = near_copies.SignatureTrees(np.zeros(len(bits), dtype=np.int64), n, comp, packed, 85)
     found = {(int(a), int(b)) for i, j in tree.pairs() for a, b in zip(i, j, strict=True)}
     common = bits.astype(int) @ bits.T.astype(int)
     linked = {(a, b) for b in range(len(bits)) for a in range(b)
@@ -170,6 +226,48 @@ def test_folds_and_samples(spark):
     rows = labelled.training_rows(docs, labels, "toxic", 1_000).collect()
     assert {r.doc_id for r in rows} == {i for i in range(400) if zlib.crc32(str(i).encode()) % 5}
     assert len(labelled.training_rows(docs, labels, "toxic", 50).collect()) < 100
+    # copies of an id count once, and texts are bounded by their bytes
+    copies = frame(spark, [(i, f"copy {k} of {i}") for i in range(40) for k in range(300)])
+    rows = labelled.training_rows(copies, labels, "toxic", 30).collect()
+    assert 0 < len(rows) <= 40 and len({r.doc_id for r in rows}) == len(rows)
+    few = labelled.training_rows(copies, labels, "toxic", 1_000, 100).collect()
+    assert 0 < sum(len(r.text) for r in few) <= 100
+
+
+def test_a_small_share_still_trains(spark):
+    """The share of rows that are wanted can be far below one in a million."""
+    labels = spark.range(3_000_000).selectExpr("id AS doc_id", "id % 2 AS toxic")
+    docs = spark.range(3_000_000).selectExpr("id AS doc_id", "'text' AS text")
+    assert 0 < labelled.training_rows(docs, labels, "toxic", 2).count() < 20
+
+
+def test_ftrl_against_a_plain_loop():
+    """Per-coordinate rates and L1 shrinkage, one example at a time."""
+    r = np.random.default_rng(5)
+    examples = [(int(k % 3 == 0), np.unique(r.integers(0, 40, 6) + (k % 3 == 0) * 20).astype(np.int32)) for k in range(60)]
+    model = toxicity.fit(examples)
+    z, n = {}, {}
+    names = inspect.signature(toxicity.fit).parameters
+    alpha, beta, l1, l2, passes = (names[k].default for k in ("alpha", "beta", "l1", "l2", "passes"))
+
+    def weight(i):
+        strict = 0.0 if i == "bias" else l1
+        if abs(z.get(i, 0.0)) <= strict:
+            return 0.0
+        return (math.copysign(strict, z[i]) - z[i]) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(passes):
+        for y, slots in (e for e in examples for _ in range(toxicity.TOXIC_WEIGHT if e[0] else 1)):
+            at = [*slots.tolist(), "bias"]
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + math.exp(-max(-30, min(30, sum(w.values()))))) - y
+            for i in at:
+                before = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / alpha * w[i]
+                n[i] = before + g * g
+    expected = {i: weight(i) for i in z if i != "bias" and weight(i)}
+    assert model.slots.tolist() == sorted(expected) and np.allclose(model.weights, [expected[i] for i in sorted(expected)], atol=1e-5)
+    assert math.isclose(model.bias, weight("bias"), abs_tol=1e-6)
 
 
 def accuracy(spark, df, sf_dir, column):

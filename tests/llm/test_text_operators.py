@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ import tokenizers
 from pyspark.sql import functions as F
 
 from edges import LONG, PLAIN, ROWS, edge_docs, frame, no_docs, prose, rows_of
-from tablebridge.llm import boosting, bpe, char_cnn, licenses, pii, quality_rules, secrets, simple8b, token_files
+from tablebridge.llm import boosting, bpe, char_cnn, intervals, licenses, pii, quality_rules, secrets, simple8b, token_files
 
 
 def sha(text):
@@ -163,6 +164,21 @@ def test_bpe_equals_the_library(word_level, sf, spark):
         assert ours.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_bpe_of_every_code_point(word_level):
+    library, ours = word_level
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{chr(c)}b {chr(c)}1" for c in points[i:i + 64]) for i in range(0, len(points), 64)]
+    differing = [i for i, e in enumerate(library.encode_batch(texts, add_special_tokens=False)) if e.ids != ours.encode(texts[i])]
+    assert not differing
+
+
+def test_bpe_of_long_pieces(word_level):
+    library, ours = word_level
+    text = "ab" * 20_000 + " " + "é漢" * 3_000
+    assert ours.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert max(map(len, ours.known), default=0) <= bpe.CACHED_CHARS
+
+
 def test_bpe_rows(spark, word_level):
     library, _ = word_level
     path = public_tokenizers.path("word_bpe_49k.json")
@@ -285,6 +301,35 @@ def test_secrets_found_and_clean_text_left_alone(spark, secret_model):
     assert secrets.train(no_docs(spark)) is None
 
 
+def test_taken_spans_by_brute_force():
+    r = random.Random(9)
+    for _ in range(300):
+        spans = [(a, a + r.randint(1, 9)) for a in (r.randint(0, 60) for _ in range(r.randint(0, 6)))]
+        taken = intervals.Taken(spans)
+        for _ in range(20):
+            a = r.randint(0, 60)
+            b = a + r.randint(1, 9)
+            meets = any(x < b and a < y for x, y in spans)
+            assert taken.meets(a, b) == meets and taken.take(a, b) != meets
+            if not meets:
+                spans.append((a, b))
+
+
+def test_many_secrets_in_one_text(spark):
+    """The work grows with the findings of a text, not with their square."""
+    def seconds(n):
+        text = " ".join(f"token = {hashlib.sha1(str(i).encode()).hexdigest()} and bearer K{i}x{'abcdefghij' * 2} mail{i}@example.org" for i in range(n))
+        start = time.perf_counter()
+        secrets.find_all([text], None)
+        secrets.candidates(text)
+        taken = intervals.Taken(s[1:] for s in secrets.base_spans(text))
+        assert sum(not taken.meets(*s) for s in secrets.candidates(text)) == n
+        return time.perf_counter() - start
+
+    seconds(500)
+    assert seconds(16_000) < 12 * seconds(4_000) + 0.5
+
+
 def keyed_docs(spark):
     """Listed secrets in most documents, and as many behind a name that the base rules do not list."""
     r = random.Random(6)
