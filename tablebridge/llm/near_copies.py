@@ -5,7 +5,7 @@ at least ``percent`` of their union. The join is exact (sets are kept as 64-bit
 from cheap to dear:
 
 1. Documents with equal sets are one node, whatever their number.
-2. Every node gets a bitmap of its shingles, and a prefix: the least of its shingles in an
+2. Every node gets a bitmap of its shingles, two bits or more for each, and a prefix: the least of its shingles in an
    order that puts frequent ones last. Linked nodes share a shingle of their prefixes.
    Frequencies come from counts over all documents in a table of fixed size; they only
    shape the order, so their being approximate costs no link.
@@ -13,8 +13,10 @@ from cheap to dear:
    two nodes share the least one decides about them. A cell's nodes form a signature tree: each
    tree node holds the OR (and the AND) of the bitmaps below it and the range of set sizes. Two
    tree nodes are traversed together and left when the largest overlap that bitmaps and sizes
-   allow is below what a link needs. The nodes that remain possible partners form groups.
-4. The sets of those nodes alone are fetched, once for each group. There the tree is traversed
+   allow is below what a link needs. Bitmaps of one width make one tree; it also holds the next
+   wider ones folded to that width, as linked sets are at most one width apart. The nodes that
+   remain possible partners form groups.
+4. The texts of those nodes alone are fetched, once for each group. There the trees are traversed
    again, pairs are compared exactly, the most alike first, and pairs that links connect already
    are left out. So a group gives a forest of links, fewer than it has nodes, however many of
    its pairs link.
@@ -45,14 +47,15 @@ from tablebridge.llm.words import SPACED, chunks, mixed, shingle_sets, split_wor
 
 SHINGLE = 4
 PERCENT = 85
-BITS = 1024  # of a node's bitmap
+BITS = 512  # of the narrowest bitmaps
 SLOT_BITS = 22  # the table of frequencies has four million slots
 LIVE_BITS = 24  # filters of fixed size, two megabytes
 OFTEN = 3  # a shingle of fewer documents in a batch is not counted there
 CELL = 4096  # nodes
 SHINGLES = 4_000_000  # of a cell's nodes together
 FANOUT = 4
-PAIRS_AT_ONCE = 8192
+PAIRS_AT_ONCE = 8192  # of narrow bitmaps, and at most so many
+PAIR_BYTES = 2 << 20  # of the bitmaps on either side of the pairs that are looked at together
 PAIRS_IN_ORDER = 100_000  # possible pairs that are compared by likeness
 
 
@@ -73,9 +76,10 @@ def _key(own: np.ndarray) -> int:
 
 
 def _packed_bits(values: np.ndarray) -> np.ndarray:
-    """The bitmap of one set, as 64-bit words."""
-    bits = np.zeros(BITS, dtype=bool)
-    bits[(values & np.uint64(BITS - 1)).astype(np.int64)] = True
+    """The bitmap of one set, as 64-bit words; its width is a power of two."""
+    width = max(BITS, 1 << (2 * len(values) - 1).bit_length())
+    bits = np.zeros(width, dtype=bool)
+    bits[(values & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits).view(np.uint64)
 
 
@@ -209,13 +213,14 @@ class SignatureTrees:
         return ~same & ((i == j) | (sized & (most >= need)))
 
     def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        most = max(1, min(PAIRS_AT_ONCE, PAIR_BYTES // max(1, self.levels[0]["any"].itemsize * self.levels[0]["any"].shape[1])))
         top = len(self.levels) - 1
         roots = np.arange(len(self.levels[top]["cell"]))
         todo = [(top, roots, roots)]
         while todo:
             level, i, j = todo.pop()
-            if len(i) > PAIRS_AT_ONCE:
-                todo += [(level, i[k:k + PAIRS_AT_ONCE], j[k:k + PAIRS_AT_ONCE]) for k in range(0, len(i), PAIRS_AT_ONCE)]
+            if len(i) > most:
+                todo += [(level, i[k:k + most], j[k:k + most]) for k in range(0, len(i), most)]
                 continue
             possible = self._possible(level, i, j)
             i, j = i[possible], j[possible]
@@ -258,16 +263,27 @@ def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Meeting:
     """The nodes of whole cells (cell, owner, block, across, key, n, comp, owners), with a bitmap each."""
 
-    def __init__(self, rows: pa.RecordBatch, bits: np.ndarray, percent: int):
+    def __init__(self, rows: pa.RecordBatch, bits: list[np.ndarray], percent: int):
         self.cell, self.key = rows.column("cell").to_numpy(), rows.column("key").to_numpy()
         self.owner, self.block = rows.column("owner").to_numpy(), rows.column("block").to_numpy()
         self.across = rows.column("across").to_numpy(zero_copy_only=False)
         self.owners = rows.column("owners").to_pylist()
         self.sets: dict[int, frozenset] = {}
-        comp = rows.column("comp").to_numpy()
-        self.trees = SignatureTrees(self.cell, rows.column("n").to_numpy(), comp, bits, percent)
+        self.n, self.comp, self.bits, self.percent = rows.column("n").to_numpy(), rows.column("comp").to_numpy(), bits, percent
         # A component counts for itself in every cell.
-        self.groups = Groups(np.unique(np.stack([self.cell, comp]), axis=1, return_inverse=True)[1].reshape(-1))
+        self.groups = Groups(np.unique(np.stack([self.cell, self.comp]), axis=1, return_inverse=True)[1].reshape(-1))
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Rows of possible partners, and the bits that differ."""
+        width = np.array([len(b) for b in self.bits], dtype=np.int64)
+        for words in np.unique(width).tolist():
+            chosen = np.flatnonzero((width == words) | (width == 2 * words))
+            own = width[chosen] == words
+            bits = np.stack([b if len(b) == words else b[:words] | b[words:] for b in (self.bits[k] for k in chosen.tolist())])
+            for i, j in SignatureTrees(self.cell[chosen], self.n[chosen], self.comp[chosen], bits, self.percent).pairs():
+                new = own[i] | own[j]  # two wider ones have a tree of their own
+                i, j = i[new], j[new]
+                yield chosen[i], chosen[j], np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
 
     def decides(self, x: int, y: int) -> bool:
         """Whether this cell is the one that compares two of its nodes."""
@@ -290,10 +306,9 @@ def _partners(percent: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_cells(batches):
-            bits = np.frombuffer(b"".join(rows.column("bits").to_pylist()), dtype=np.uint64).reshape(rows.num_rows, BITS // 64)
-            met = Meeting(rows, bits, percent)
+            met = Meeting(rows, [np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in rows.column("bits")], percent)
             partner = np.zeros(rows.num_rows, dtype=bool)
-            for i, j in met.trees.pairs():
+            for i, j, _ in met.pairs():
                 for x, y in met.undecided(i, j):
                     met.groups.unite(x, y)
                     partner[[x, y]] = True
@@ -309,33 +324,31 @@ def _partners(percent: int) -> Callable:
     return run
 
 
-def _forest(percent: int) -> Callable:
-    """Rows of groups, with the sets as ``own``, to links (a, b) that connect what is linked in a group."""
+def _forest(words: int, percent: int) -> Callable:
+    """Rows of groups, with the texts, to links (a, b) that connect what is linked in a group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _whole_cells(batches):
-            own = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in rows.column("own")]
-            bits = np.stack([_packed_bits(x) for x in own])
-            met = Meeting(rows, bits, percent)
+            own = [values[a:b] for _, values, edges, _ in _sets([rows], words) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            met = Meeting(rows, [_packed_bits(x) for x in own], percent)
             links: list[tuple[int, int]] = []
 
-            def compare(found: list[tuple[np.ndarray, np.ndarray]]) -> None:
-                i, j = (np.concatenate(x) for x in zip(*found, strict=True))
-                unlike = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
+            def compare(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> None:
+                i, j, unlike = (np.concatenate(x) for x in zip(*found, strict=True))
                 order = np.argsort(unlike, kind="stable")
                 for k in range(0, len(order), PAIRS_AT_ONCE):
                     part = order[k:k + PAIRS_AT_ONCE]
                     for x, y in met.undecided(i[part], j[part]):
                         p, q = own[x], own[y]
-                        common = len(p) + len(q) - len(np.union1d(p, q))
+                        common = len(np.intersect1d(p, q, assume_unique=True))
                         if 100 * common >= percent * (len(p) + len(q) - common):
                             met.groups.unite(x, y)
                             links.append((int(met.key[x]), int(met.key[y])))
 
             found, n = [], 0
-            for i, j in met.trees.pairs():
-                found.append((i, j))
-                n += len(i)
+            for pairs in met.pairs():
+                found.append(pairs)
+                n += len(pairs[0])
                 if n >= PAIRS_IN_ORDER:
                     compare(found)
                     found, n = [], 0
@@ -369,13 +382,13 @@ def meeting_nodes(signed: DataFrame) -> DataFrame:
     return stage(owners.join(once, "key"), "nodes")
 
 
-def wanted_sets(docs: DataFrame, signed: DataFrame, keys: DataFrame, words: int) -> DataFrame:
-    """(key, own) of some keys: their sets, from one document each."""
+def wanted_texts(docs: DataFrame, signed: DataFrame, keys: DataFrame, words: int) -> DataFrame:
+    """(key, text) of some keys, from one document each; a text is smaller than its shingles."""
     spark = docs.sparkSession
     holders = signed.filter(F.size("prefix") > 0).select("key", "doc_id").join(keys, "key", "left_semi").groupBy("key").agg(F.min("doc_id").alias("doc_id"))
     shared = spark.sparkContext.broadcast(slot_filter(holders.select(F.xxhash64("doc_id"))))
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         live = _unpacked(shared.value)
 
         def passing() -> Iterator[pa.RecordBatch]:
@@ -383,18 +396,17 @@ def wanted_sets(docs: DataFrame, signed: DataFrame, keys: DataFrame, words: int)
                 yield batch.filter(pa.array(live[_top(batch.column("h").to_numpy().view(np.uint64), LIVE_BITS)]))
 
         seen = set()
-        for _, values, edges, n in _sets(passing(), words):
-            found, own_sets = [], []
+        for rows, values, edges, n in _sets(passing(), words):
+            found, at = [], []
             for i in np.flatnonzero(n):
-                own = values[edges[i]:edges[i + 1]]
-                if (key := _key(own)) not in seen:
+                if (key := _key(values[edges[i]:edges[i + 1]])) not in seen:
                     seen.add(key)
                     found.append(key)
-                    own_sets.append(own.tobytes())
-            yield pa.RecordBatch.from_pydict({"key": pa.array(found, pa.int64()), "own": pa.array(own_sets, pa.binary())})
+                    at.append(int(i))
+            yield pa.RecordBatch.from_pydict({"key": pa.array(found, pa.int64()), "text": rows.column("text").take(pa.array(at, pa.int64()))})
 
-    found = docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(sets, "key bigint, own binary")
-    return stage(found, "sets")  # a set that two tasks held stands in its groups twice, as one component
+    # A set that two tasks held stands in its groups twice, as one component.
+    return stage(docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(texts, "key bigint, text string"), "texts")
 
 
 def linked(cells: DataFrame, nodes: DataFrame, docs: DataFrame, signed: DataFrame, words: int, percent: int) -> DataFrame:
@@ -402,10 +414,10 @@ def linked(cells: DataFrame, nodes: DataFrame, docs: DataFrame, signed: DataFram
     known = nodes.select("key", "n", "owners")
     signs = cells.join(nodes, "key").repartition("cell").sortWithinPartitions("cell", "comp", "n")
     groups = stage(signs.mapInArrow(_partners(percent), "cell bigint, owner bigint, block int, across boolean, key bigint, comp bigint"), "groups")
-    sets = wanted_sets(docs, signed, groups.select("key").distinct(), words)
+    texts = wanted_texts(docs, signed, groups.select("key").distinct(), words)
     with small_batches(docs.sparkSession):
-        full = groups.join(known, "key").join(sets, "key").repartition("cell").sortWithinPartitions("cell", "comp", "n")
-        return stage(full.mapInArrow(_forest(percent), "a bigint, b bigint"), "links")
+        full = groups.join(known, "key").join(texts, "key").repartition("cell").sortWithinPartitions("cell", "comp", "n")
+        return stage(full.mapInArrow(_forest(words, percent), "a bigint, b bigint"), "links")
 
 
 def near_copies(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
