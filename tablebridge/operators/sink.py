@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-import numpy as np
-import pandas as pd
-from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tablebridge.functions.text import copy_line
 from tablebridge.functions.values import split_timestamps
 from tablebridge.model import BulkWriteError, UnsupportedError
-from tablebridge.sources.batches import tie_columns, with_tie_break
+from tablebridge.operators.batchplan import greedy_batches
 from tablebridge.sources.scan import KEEP_NULLS, bound_literal, col, require_columns
 
 # Batch limits of the two bulk paths (fixed values).
@@ -100,66 +97,23 @@ def estimate_row_bytes(df: DataFrame, json_columns: Sequence[str] = ()) -> DataF
     return df.withColumn("row_bytes", estimated_bytes(df, json_columns))
 
 
-def batch_ends(sizes: np.ndarray, max_rows: int, budget: int, rows: int, held: int) -> tuple[np.ndarray, int, int]:
-    """Positions after which a batch is full, and the rows and bytes left open.
-
-    A batch closes with the row that brings it to ``max_rows`` or to
-    ``budget`` bytes; ``rows`` and ``held`` are open from before.
-    """
-    total = np.concatenate(([0], np.cumsum(sizes, dtype=np.int64)))
-    ends, start = [], 0
-    while True:
-        by_bytes = int(np.searchsorted(total, total[start] + budget - held, side="left"))
-        end = min(max(by_bytes, start + 1), start + max_rows - rows)
-        if end > len(sizes):
-            return np.asarray(ends, dtype=np.int64), rows + len(sizes) - start, int(held + total[-1] - total[start])
-        ends.append(end)
-        start, rows, held = end, 0, 0
-
-
-def _plan(df: DataFrame, size: Column, order_by: Sequence[str], max_rows: int, budget: int) -> DataFrame:
-    require_columns(df, order_by)
-    keys = [col(c) for c in order_by]
-    sized = with_tie_break(df.select(*keys, size.alias("_size")))
-    ordered = (sized.repartitionByRange(*keys, *tie_columns())
-               .sortWithinPartitions(*keys, *tie_columns()).select("_size"))
-
-    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, number, rows, held = TaskContext.get().partitionId(), 0, 0, 0
-        for frame in frames:
-            sizes = frame["_size"].to_numpy()
-            ends, left_rows, left_bytes = batch_ends(sizes, max_rows, budget, rows, held)
-            if len(ends):
-                total = np.concatenate(([0], np.cumsum(sizes)))
-                counts, volumes = np.diff(ends, prepend=0), np.diff(total[ends], prepend=0)
-                counts[0] += rows
-                volumes[0] += held
-                yield pd.DataFrame({"part": part, "batch": number + np.arange(len(ends)), "rows": counts, "bytes": volumes})
-            number, rows, held = number + len(ends), left_rows, left_bytes
-        if rows:
-            yield pd.DataFrame({"part": [part], "batch": [number], "rows": [rows], "bytes": [held]})
-
-    return ordered.mapInPandas(batches, "part int, batch bigint, rows bigint, bytes bigint")
-
-
 def plan_write_batches(df: DataFrame, order_by: Sequence[str], target_rows: int = INSERT_TARGET_ROWS,
                        max_placeholders: int = INSERT_MAX_PLACEHOLDERS, byte_budget: int = INSERT_BYTE_BUDGET,
                        json_columns: Sequence[str] = ()) -> DataFrame:
-    """The INSERT batches each writing task would send: (part, batch, rows, bytes).
+    """The INSERT batches of the whole table in the order of ``order_by``: (batch, first_row, rows, bytes).
 
-    Greedy and order-dependent, so defined within each range of ``order_by``.
-    Only the key and a size travel, and only sizes enter Python.
+    Greedy over all rows, so the plan does not depend on partitions.
     """
     if any(isinstance(f.dataType, T.ArrayType) for f in df.schema.fields):
         raise UnsupportedError("this bulk path takes no arrays")
     cap = rows_per_batch(len(df.columns), target_rows, max_placeholders)
-    return _plan(df, estimated_bytes(df, json_columns), order_by, cap, byte_budget)
+    return greedy_batches(df, estimated_bytes(df, json_columns), order_by, cap, byte_budget)
 
 
 def copy_flush_plan(df: DataFrame, order_by: Sequence[str], flush_rows: int = COPY_FLUSH_ROWS,
                     flush_bytes: int = COPY_FLUSH_BYTES) -> DataFrame:
     """The same for the text path: buffers flushed by rows or encoded bytes."""
-    return _plan(df, (F.octet_length(copy_line(df)) + 1).cast("bigint"), order_by, flush_rows, flush_bytes)
+    return greedy_batches(df, F.octet_length(copy_line(df)) + 1, order_by, flush_rows, flush_bytes)
 
 
 def export_copy_text(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -11,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from tablebridge.functions.values import canonicalize
-from tablebridge.model import BulkWriteError
+from tablebridge.model import BulkWriteError, SourceError
 from tablebridge.operators.sink import adapt_for_target, bulk_write
 from tablebridge.operators.verify import merge_ranges, verify_copy
 from tablebridge.sources.scan import col, key_range_scan, project, scan_table
@@ -52,7 +53,10 @@ def copy_table(spark: SparkSession, src: str | DataFrame, dst: str, columns: Seq
     return CopyResult(written, check)
 
 
-LEDGER = "tile_id int, key_column string, lower string, upper string, is_null boolean, rows bigint"
+# A tiled copy's ledger: tiles that are copied, generations about to be written or removed, plans that are whole.
+TILES = "tile_id int, key_column string, lower string, upper string, is_null boolean, rows bigint, generation string"
+MANIFEST = f"sequence bigint, {TILES}"
+GENERATIONS = "generation string"
 
 
 def _line(column: str, tile: Tile) -> tuple:
@@ -61,51 +65,120 @@ def _line(column: str, tile: Tile) -> tuple:
     return tile.tile_id, column, lower, upper, tile.is_null
 
 
-def finished_tiles(spark: SparkSession, ledger: str) -> set[tuple]:
+def _lines(spark: SparkSession, ledger: str, part: str, schema: str) -> list[Row]:
     try:
-        lines = spark.read.schema(LEDGER).parquet(ledger).drop("rows").distinct().collect()
+        return spark.read.schema(schema).parquet(f"{ledger}/{part}").collect()  # as long as the plans
     except AnalysisException:
-        return set()
-    return {tuple(r) for r in lines}
+        return []
+
+
+def _add(spark: SparkSession, ledger: str, part: str, schema: str, rows: Sequence[tuple]) -> None:
+    """One file, so that readers see all of the lines or none."""
+    spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(f"{ledger}/{part}")
+
+
+def finished_tiles(spark: SparkSession, ledger: str) -> dict[tuple, tuple[int, str]]:
+    """Rows and generation of each copied tile."""
+    gone = {r.generation for r in _lines(spark, ledger, "removed", GENERATIONS)}
+    return {tuple(r)[:5]: (r.rows, r.generation) for r in _lines(spark, ledger, "tiles", TILES) if r.generation not in gone}
+
+
+def write_generation(src: DataFrame, column: str, tiles: Sequence[Tile], wave: Sequence[Tile], dst: str, ledger: str) -> tuple[str, dict[int, int]]:
+    """Write the tiles of ``wave`` to a folder of their own; returns its name and the rows of each tile.
+
+    The intent is noted first, so that what a crash leaves behind can be found. Nothing reads
+    the folder before the ledger lists it.
+    """
+    spark = src.sparkSession
+    generation = f"g{uuid.uuid4().hex}"
+    _add(spark, ledger, "intents", GENERATIONS, [(generation,)])
+    tagged = src.withColumn("tile_id", tile_id_expr(src, column, tiles))
+    within = reduce(lambda x, y: x | y, [tile_condition(src, column, t) for t in merge_ranges(wave)])
+    tagged.where(within).hint("rebalance", "tile_id").write.partitionBy("tile_id").parquet(f"{dst}/generation={generation}")
+    expected = _rows_per_tile(tagged.select("tile_id", col(column)).where(within))
+    written = _written(spark, dst, [generation])
+    if {(generation, t): n for t, n in expected.items()} != written:
+        raise BulkWriteError(f"tiles of {dst} hold other row counts than their source: {written} against {expected}")
+    return generation, expected
 
 
 def copy_tiled(src: DataFrame, column: str, tiles: Sequence[Tile], dst: str, ledger: str, per_commit: int | None = None) -> int:
     """Copy the tiles that the ledger does not list; returns the tiles copied now.
 
-    The ledger keeps each tile's bounds, so it only speaks for a plan that
-    holds those very tiles: with another plan the copy starts over and both
-    target and ledger are replaced. All pending tiles are one commit unless
-    ``per_commit`` asks for smaller ones of neighbouring tiles. A commit's
-    ranges reach the source as filters and only its partitions of ``dst`` are
-    replaced, so repeating it after a crash changes nothing. The ledger gets
-    its lines after the data is published and counted against the source.
-    Driver state is the tile plan.
+    Data goes to new folders only, one for each commit: all pending tiles, or ``per_commit``
+    neighbouring ones. A commit is counted against the source and then listed in the ledger by
+    its tiles' numbers and bounds, so another plan finds nothing of its own there and copies
+    anew. When all tiles of the plan are listed and the target still holds their rows, a
+    manifest names the folders that make up the table; ``read_tiled`` follows the newest
+    manifest. A crash at any point leaves folders that no manifest names, never rows too many
+    or too few; ``clean_tiled`` removes them. One copy writes to a target at a time. Driver
+    state is the tile plan.
     """
     spark = src.sparkSession
     done = finished_tiles(spark, ledger)
-    changed = not done <= {_line(column, t) for t in tiles}
-    pending = [t for t in sorted(tiles, key=lambda t: t.tile_id) if changed or _line(column, t) not in done]
-    tagged = src.withColumn("tile_id", tile_id_expr(src, column, tiles))
+    pending = [t for t in sorted(tiles, key=lambda t: t.tile_id) if _line(column, t) not in done]
     step = per_commit or max(1, len(pending))
     for start in range(0, len(pending), step):
         wave = pending[start:start + step]
-        ids = [t.tile_id for t in wave]
-        within = reduce(lambda x, y: x | y, [tile_condition(src, column, t) for t in merge_ranges(wave)])
-        fresh = changed and not start
-        (tagged.where(within).hint("rebalance", "tile_id").write.mode("overwrite")
-         .option("partitionOverwriteMode", "static" if fresh else "dynamic").partitionBy("tile_id").parquet(dst))
-        expected = _rows_per_tile(src.select(col(column)).withColumn("tile_id", tile_id_expr(src, column, tiles)).where(within))
-        try:
-            written = _rows_per_tile(spark.read.parquet(dst).where(F.col("tile_id").isin(ids)))
-        except AnalysisException:  # nothing was written yet: all tiles so far are empty
-            written = {}
-        if written != expected:
-            raise BulkWriteError(f"tiles of {dst} hold other row counts than their source: {written} against {expected}")
-        lines = spark.createDataFrame([(*_line(column, t), written.get(t.tile_id, 0)) for t in wave], LEDGER)
-        lines.coalesce(1).write.mode("overwrite" if fresh else "append").parquet(ledger)
+        generation, rows = write_generation(src, column, tiles, wave, dst, ledger)
+        _add(spark, ledger, "tiles", TILES, [(*_line(column, t), rows.get(t.tile_id, 0), generation) for t in wave])
+    done = finished_tiles(spark, ledger)
+    whole = [(*_line(column, t), *done[_line(column, t)]) for t in tiles]
+    sequence, newest = _newest(spark, ledger)
+    if sorted(whole, key=repr) != sorted(newest, key=repr):
+        listed = {(g, t): n for t, *_, n, g in whole if n}
+        held = _written(spark, dst, sorted({g for g, _ in listed}))
+        if any(held.get(k) != n for k, n in listed.items()):
+            raise BulkWriteError(f"{dst} no longer holds the rows that {ledger} lists")
+        _add(spark, ledger, "manifests", MANIFEST, [(sequence + 1, *line) for line in whole])
     return len(pending)
 
 
+def _newest(spark: SparkSession, ledger: str) -> tuple[int, list[tuple]]:
+    """The number of the newest manifest and its lines; (0, []) before the first."""
+    lines = _lines(spark, ledger, "manifests", MANIFEST)
+    last = max((r.sequence for r in lines), default=0)
+    return last, [tuple(r)[1:] for r in lines if r.sequence == last]
+
+
+def read_tiled(spark: SparkSession, dst: str, ledger: str) -> DataFrame:
+    """The table that the newest manifest describes, with ``tile_id``."""
+    sequence, lines = _newest(spark, ledger)
+    if not sequence:
+        raise SourceError(f"no copy to {dst} is whole yet")
+    generations = sorted({g for *_, g in lines})
+    named = spark.createDataFrame([(g, t) for t, *_, _, g in lines], "generation string, tile_id int")
+    return (spark.read.parquet(dst).where(F.col("generation").isin(generations))
+            .join(named, ["generation", "tile_id"], "left_semi").drop("generation"))
+
+
+def clean_tiled(spark: SparkSession, dst: str, ledger: str) -> list[str]:
+    """Remove the folders that the newest manifest does not name; returns their names.
+
+    They are noted as removed first, so no later copy relies on them. Not for use while a copy
+    runs, or while an older manifest is still being read.
+    """
+    sequence, lines = _newest(spark, ledger)
+    gone = {r.generation for r in _lines(spark, ledger, "removed", GENERATIONS)}
+    kept = {g for *_, g in lines}
+    stray = sorted({r.generation for r in _lines(spark, ledger, "intents", GENERATIONS)} - kept)
+    if new := [g for g in stray if g not in gone]:
+        _add(spark, ledger, "removed", GENERATIONS, [(g,) for g in new])
+    for generation in stray:  # also those that an earlier call noted but did not get to remove
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{dst}/generation={generation}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return new
+
+
 def _rows_per_tile(df: DataFrame) -> dict[int, int]:
     """One number for each tile of the plan."""
     return {r.tile_id: r.n for r in df.groupBy("tile_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _written(spark: SparkSession, dst: str, generations: Sequence[str]) -> dict[tuple[str, int], int]:
+    """Rows of each tile in some folders; an empty table leaves nothing that could be read."""
+    try:
+        found = spark.read.parquet(dst).where(F.col("generation").isin(list(generations)))
+        return {(r.generation, r.tile_id): r.n for r in found.groupBy("generation", "tile_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    except AnalysisException:
+        return {}

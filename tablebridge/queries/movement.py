@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tablebridge.functions.text import array_literal
 from tablebridge.operators import sink
-from tablebridge.plans.copy import copy_table, copy_tiled
+from tablebridge.plans.copy import clean_tiled, copy_table, copy_tiled, read_tiled, write_generation
 from tablebridge.queries.registry import query, table
 from tablebridge.session import staging_path
 from tablebridge.sources.tiles import plan_key_tiles
@@ -16,13 +16,13 @@ from tablebridge.streaming.incremental import batch_counts, stream_copy, stream_
 
 
 @query("bulk_write", """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 2 * (SELECT count(*) FROM orders) AS reported FROM orders
-UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, 2 * (SELECT count(*) FROM orders) FROM orders""")
+SELECT *, 2 * (SELECT count(*) FROM orders) AS reported FROM orders
+UNION ALL SELECT *, 2 * (SELECT count(*) FROM orders) FROM orders""")
 def bulk(spark, d):
     """Two appends; the second brings other column names and goes by position."""
     path = staging_path(spark, "bulk")
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-    rows = sink.bulk_write(orders, path, "errorifexists") + sink.bulk_write(orders.toDF("a", "b", "c", "d"), path)
+    orders = table(spark, d, "orders")
+    rows = sink.bulk_write(orders, path, "errorifexists") + sink.bulk_write(orders.toDF(*[f"c{i}" for i in range(len(orders.columns))]), path)
     return spark.read.parquet(path).withColumn("reported", F.lit(rows).cast("bigint"))
 
 
@@ -40,7 +40,23 @@ def row_bytes_text(spark, d):
     return sink.estimate_row_bytes(table(spark, d, "documents")).select("doc_id", "row_bytes")
 
 
-@query("plan_write_batches")
+def _greedy_sql(name: str, order: str, size: str, max_rows: int, budget: int) -> str:
+    """The plan by a walk from batch to batch."""
+    return f"""
+WITH RECURSIVE s AS (SELECT row_number() OVER (ORDER BY {order}) - 1 AS i, CAST({size} AS BIGINT) AS size, count(*) OVER () AS n FROM {name}),
+c AS (SELECT i, n, CAST(sum(size) OVER (ORDER BY i) AS BIGINT) AS total, CAST(sum(size) OVER (ORDER BY i) AS BIGINT) - size AS before FROM s),
+x AS (SELECT a.i, a.n, a.before, least(a.i + {max_rows}, coalesce(b.i + 1, a.n), a.n) AS nx FROM c a ASOF LEFT JOIN c b ON a.before + {budget} <= b.total),
+w(batch, i) AS (SELECT 0::BIGINT, 0::BIGINT UNION ALL SELECT batch + 1, nx FROM w JOIN x USING (i) WHERE nx < n)
+SELECT batch, i AS first_row, nx - i AS rows, c.total - x.before AS bytes FROM w JOIN x USING (i) JOIN c ON c.i = nx - 1"""
+
+
+_LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]  # line numbers repeat
+_DOC_BYTES = "strlen(text) + strlen(lang) + strlen(source) + 80"
+_LINE_BYTES = " + ".join(f"strlen({c}::VARCHAR)" for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus")) + "".join(
+    f" + strlen(regexp_replace({c}::VARCHAR, '\\.0$', ''))" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")) + " + 19 + 11"
+
+
+@query("plan_write_batches", _greedy_sql("documents", "doc_id", _DOC_BYTES, 500, 256 * 1024))
 def write_batches(spark, d):
     return sink.plan_write_batches(table(spark, d, "documents"), ["doc_id"], byte_budget=256 * 1024)
 
@@ -52,9 +68,15 @@ def write_batch_totals(spark, d):
     return planned.agg(F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.every(F.col("rows") <= 500).alias("within_caps"))
 
 
-@query("copy_flush_plan")
+@query("copy_flush_plan", _greedy_sql("lineitem", ", ".join(_LINE_ORDER), _LINE_BYTES, 10_000, 1024 * 1024))
 def flushes(spark, d):
-    return sink.copy_flush_plan(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return sink.copy_flush_plan(table(spark, d, "lineitem"), _LINE_ORDER)
+
+
+@query("copy_flush_plan_small_buffers", _greedy_sql("lineitem", ", ".join(_LINE_ORDER), _LINE_BYTES, 150, 8 * 1024))
+def small_flushes(spark, d):
+    """Buffers so small that the table is many blocks, whose plans are composed."""
+    return sink.copy_flush_plan(table(spark, d, "lineitem"), _LINE_ORDER, flush_rows=150, flush_bytes=8 * 1024)
 
 
 _STAMP_SQL = r"""regexp_replace(regexp_replace(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '\.000000$', ''), '(\.\d{3})000$', '\1')"""
@@ -118,13 +140,20 @@ def copy(spark, d):
     return spark.read.parquet(path).withColumn("verified", F.lit(done.check.verified))
 
 
-@query("copy_tiled", """
+_TILED_SQL = """
 WITH o AS (SELECT *, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderkey END AS k FROM orders),
- e AS (SELECT min(k) AS lo, max(k) AS hi FROM o), b AS (SELECT lo + (i * (hi - lo + 1)) // 12 AS bound FROM e, range(1, 12) r(i))
-SELECT o_orderkey, k, o_totalprice, CASE WHEN k IS NULL THEN -1 ELSE (SELECT count(*) FROM b WHERE bound <= k) END::INTEGER AS tile_id FROM o""")
+ e AS (SELECT min(k) AS lo, max(k) AS hi FROM o), b AS (SELECT lo + (i * (hi - lo + 1)) // {n} AS bound FROM e, range(1, {n}) r(i))
+SELECT o.*, CASE WHEN k IS NULL THEN -1 ELSE (SELECT count(*) FROM b WHERE bound <= k) END::INTEGER AS tile_id FROM o"""
+
+
+def _keyed_orders(spark, d):
+    return table(spark, d, "orders").withColumn("k", F.expr("CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END"))
+
+
+@query("copy_tiled", _TILED_SQL.format(n=12))
 def tiled_copy(spark, d):
     """A first run copies a tile of another plan, a second starts over, a third copies only the missing tiles."""
-    orders = table(spark, d, "orders").select("o_orderkey", F.expr("CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS k"), "o_totalprice")
+    orders = _keyed_orders(spark, d)
     plan = plan_key_tiles(orders, "k", 12, "equal_width")
     path, ledger = staging_path(spark, "tiled"), staging_path(spark, "ledger")
     copy_tiled(orders, "k", plan_key_tiles(orders, "k", 3, "equal_width")[:1], path, ledger)
@@ -132,7 +161,22 @@ def tiled_copy(spark, d):
     second = copy_tiled(orders, "k", plan, path, ledger, per_commit=4)
     if (first, second) != (5, len(plan) - 5):
         raise AssertionError("a finished tile was copied again")
-    return spark.read.parquet(path)
+    return read_tiled(spark, path, ledger)
+
+
+@query("copy_tiled_after_crashes", _TILED_SQL.format(n=4))
+def tiled_copy_after_crashes(spark, d):
+    """A run that dies between data and ledger, one that stops half-way, then a coarser plan; strays are removed."""
+    orders = _keyed_orders(spark, d)
+    fine, coarse = (plan_key_tiles(orders, "k", n, "equal_width") for n in (12, 4))
+    path, ledger = staging_path(spark, "tiled"), staging_path(spark, "ledger")
+    write_generation(orders, "k", fine, fine, path, ledger)
+    copy_tiled(orders, "k", fine[:7], path, ledger, per_commit=3)
+    write_generation(orders, "k", coarse, coarse[:2], path, ledger)
+    copy_tiled(orders, "k", coarse, path, ledger)
+    if len(clean_tiled(spark, path, ledger)) != 5:
+        raise AssertionError("folders that no manifest names were left")
+    return read_tiled(spark, path, ledger)
 
 
 _SPEC = sink.RangePartitions("o_orderdate", [("before_1996", None, dt.datetime(1996, 1, 1)),
@@ -142,19 +186,19 @@ _CHILD_SQL = """CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN 'before_1996
  WHEN o_orderdate < TIMESTAMP '1999-01-01' THEN 'y1998' END"""
 
 
-@query("partitioned_write", f"SELECT o_orderkey, o_orderdate, coalesce({_CHILD_SQL}, 'rest') AS child FROM orders")
+@query("partitioned_write", f"SELECT *, coalesce({_CHILD_SQL}, 'rest') AS child FROM orders")
 def partitioned(spark, d):
     path = staging_path(spark, "partitioned")
-    sink.partitioned_write(table(spark, d, "orders").select("o_orderkey", "o_orderdate"), path, _SPEC, default_child="rest")
+    sink.partitioned_write(table(spark, d, "orders"), path, _SPEC, default_child="rest")
     return spark.read.parquet(path)
 
 
 @query("partitioned_write_list", """
-SELECT event_id, event_type, CASE WHEN event_type IN ('view', 'click') THEN 'browse' WHEN event_type = 'purchase' THEN 'buy' ELSE 'other' END AS child FROM events""")
+SELECT *, CASE WHEN event_type IN ('view', 'click') THEN 'browse' WHEN event_type = 'purchase' THEN 'buy' ELSE 'other' END AS child FROM events""")
 def partitioned_list(spark, d):
     path = staging_path(spark, "partitioned")
     spec = sink.ListPartitions("event_type", {"browse": ["view", "click"], "buy": ["purchase"]})
-    sink.partitioned_write(table(spark, d, "events").select("event_id", "event_type"), path, spec, default_child="other")
+    sink.partitioned_write(table(spark, d, "events"), path, spec, default_child="other")
     return spark.read.parquet(path)
 
 

@@ -1,15 +1,17 @@
 import datetime as dt
+import shutil
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tablebridge import model as m
 from tablebridge.functions.text import copy_line
-from tablebridge.operators import evolve as e, sink
+from tablebridge.operators import batchplan, evolve as e, sink
 from tablebridge.operators.verify import multiset_diff, table_diff
-from tablebridge.plans.copy import copy_table, copy_tiled, finished_tiles
+from tablebridge.plans.copy import clean_tiled, copy_table, copy_tiled, finished_tiles, read_tiled, write_generation
 from tablebridge.sources.tiles import plan_key_tiles, tiles_from_bounds
 from tablebridge.streaming.incremental import batch_counts, stream_copy, stream_scan
 
@@ -25,36 +27,42 @@ def greedy(sizes, max_rows, budget):
 
 
 @settings(max_examples=200, deadline=None)
-@given(st.lists(st.integers(0, 40), max_size=80), st.integers(1, 9), st.integers(1, 60), st.lists(st.integers(1, 20), max_size=6))
-def test_batch_ends_equals_a_row_loop(sizes, max_rows, budget, cuts):
-    """Whatever chunks the rows arrive in."""
-    got, rows, held, start = [], 0, 0, 0
-    for cut in [*cuts, len(sizes) + 1]:
-        chunk = np.asarray(sizes[start:start + cut], dtype=np.int64)
-        ends, next_rows, next_held = sink.batch_ends(chunk, max_rows, budget, rows, held)
-        previous = 0
-        for end in ends:
-            got.append((rows + int(end) - previous, held + int(chunk[previous:end].sum())))
-            rows, held, previous = 0, 0, int(end)
-        rows, held, start = next_rows, next_held, start + len(chunk)
-    if rows:
-        got.append((rows, held))
-    assert got == greedy(sizes, max_rows, budget)
-
-
-def test_batches_per_range_equal_a_row_loop(spark, sf):
+@given(st.lists(st.integers(0, 40), min_size=1, max_size=80), st.integers(1, 9), st.integers(1, 60), st.integers(0, 20))
+def test_blocks_compose_to_the_row_loop(sizes, max_rows, budget, more):
+    """Entry tables of blocks, followed from row 0, and replays give the plan of one pass over all rows."""
+    block, sizes = max_rows + more, np.asarray(sizes)
+    got, entry, before = [], 0, 0
+    for number in range(-(-len(sizes) // block)):
+        seen = sizes[number * block:(number + 1) * block + max_rows]
+        frame = pd.DataFrame({"block": number, "row_index": number * block + np.arange(len(seen)), "_size": seen, "entry": entry, "before": before})
+        frame = frame.sample(frac=1, random_state=1)
+        got += batchplan.replay(max_rows, budget, block)(frame).to_dict("records")
+        leaving = batchplan.entry_table(max_rows, budget, block)(frame).set_index("entry")
+        if entry in leaving.index:
+            entry, before = int(leaving.to[entry]), before + int(leaving.batches[entry])
+    expected, first = [], 0
+    for k, (rows, held) in enumerate(greedy(sizes.tolist(), max_rows, budget)):
+        expected.append({"batch": k, "first_row": first, "rows": rows, "bytes": held})
+        first += rows
+    assert got == expected
+
+
+@pytest.mark.parametrize("block", [None, 60, 7])
+def test_one_plan_whatever_the_partitions(spark, sf, block):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    planned = sink.plan_write_batches(docs, ["doc_id"], byte_budget=100_000).orderBy("part", "batch").collect()
     sizes = [r.row_bytes for r in sink.estimate_row_bytes(docs).orderBy("doc_id").collect()]
-    expected, at = [], 0
-    for part in sorted({r.part for r in planned}):
-        mine = [r for r in planned if r.part == part]
-        assert [r.batch for r in mine] == list(range(len(mine)))
-        n = sum(r.rows for r in mine)
-        expected += greedy(sizes[at:at + n], 500, 100_000)
-        at += n
-    assert at == len(sizes)
-    assert [(r.rows, r.bytes) for r in planned] == expected
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    plans = []
+    for partitions in (2, 16):
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        plan = batchplan.greedy_batches(docs.repartition(partitions), sink.estimated_bytes(docs), ["doc_id"], 7, 9_000, block)
+        plans.append(sorted(tuple(r) for r in plan.collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert plans[0] == plans[1] and [r[0] for r in plans[0]] == list(range(len(plans[0])))
+    assert [r[2:] for r in plans[0]] == greedy(sizes, 7, 9_000)
+    assert batchplan.greedy_batches(docs.limit(0), sink.estimated_bytes(docs), ["doc_id"], 7, 9_000).count() == 0
+    with pytest.raises(m.QueryError):
+        batchplan.greedy_batches(docs, F.lit(1), ["doc_id"], 0, 9_000)
 
 
 def test_flush_plan_counts_encoded_bytes(spark, sf):
@@ -122,18 +130,57 @@ def test_copy_table_verifies(spark, three, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/c").dtypes == [("name", "string"), ("id", "bigint")]
 
 
-def test_tiled_copy_restarts(spark, tmp_path):
-    src = spark.range(0, 1000).select(F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id")).alias("k"), (F.col("id") * 2).alias("v"))
-    tiles, dst, ledger = plan_key_tiles(src, "k", 6), f"{tmp_path}/d", f"{tmp_path}/l"
-    assert copy_tiled(src, "k", tiles[:2], dst, ledger, 1) == 2
+@pytest.fixture
+def keyed(spark):
+    return spark.range(0, 1000).select(F.when(F.col("id") % 7 == 0, None).otherwise(F.col("id")).alias("k"), (F.col("id") * 2).alias("v"))
+
+
+def test_tiled_copy_restarts(spark, keyed, tmp_path):
+    tiles, dst, ledger = plan_key_tiles(keyed, "k", 6), f"{tmp_path}/d", f"{tmp_path}/l"
+    with pytest.raises(m.SourceError):
+        read_tiled(spark, dst, ledger)
+    assert copy_tiled(keyed, "k", tiles[:2], dst, ledger, 1) == 2
     assert {line[0] for line in finished_tiles(spark, ledger)} == {t.tile_id for t in tiles[:2]}
-    # A commit that died before its ledger line left stray rows: they are replaced.
-    src.limit(9).withColumn("tile_id", F.lit(tiles[3].tile_id)).write.mode("append").partitionBy("tile_id").parquet(dst)
-    assert copy_tiled(src, "k", tiles, dst, ledger, 3) == len(tiles) - 2
-    assert copy_tiled(src, "k", tiles, dst, ledger) == 0
-    back = spark.read.parquet(dst).drop("tile_id")
-    assert multiset_diff(src, back).count() == 0
-    assert spark.read.parquet(ledger).agg(F.sum("rows")).first()[0] == 1000
+    write_generation(keyed, "k", tiles, tiles[2:4], dst, ledger)  # died before its ledger line
+    assert {r.tile_id for r in read_tiled(spark, dst, ledger).collect()} == {t.tile_id for t in tiles[:2]}
+    assert copy_tiled(keyed, "k", tiles, dst, ledger, 3) == len(tiles) - 2
+    assert copy_tiled(keyed, "k", tiles, dst, ledger) == 0
+    assert multiset_diff(keyed, read_tiled(spark, dst, ledger).drop("tile_id")).count() == 0
+    assert spark.read.parquet(f"{ledger}/tiles").agg(F.sum("rows")).first()[0] == 1000
+    assert spark.read.parquet(f"{ledger}/manifests").agg(F.max("sequence")).first()[0] == 2
+
+
+def test_lost_ledger_and_another_plan(spark, keyed, tmp_path):
+    """The target holds a whole copy that no ledger knows; a coarser plan must not add to it."""
+    src, dst = spark.range(100).withColumnRenamed("id", "k"), f"{tmp_path}/d"
+    copy_tiled(src, "k", tiles_from_bounds([20, 80], null_tile=False), dst, f"{tmp_path}/lost")
+    ledger = f"{tmp_path}/l"
+    assert copy_tiled(src, "k", tiles_from_bounds([50], null_tile=False), dst, ledger) == 2
+    assert sorted(r.k for r in read_tiled(spark, dst, ledger).collect()) == list(range(100))
+
+
+def test_partial_ledger_and_another_plan(spark, tmp_path):
+    """Tiles of a plan that was given up are not read; tiles with the same bounds are taken over."""
+    src, dst, ledger = spark.range(100).withColumnRenamed("id", "k"), f"{tmp_path}/d", f"{tmp_path}/l"
+    fine, coarse = tiles_from_bounds([20, 80], null_tile=False), tiles_from_bounds([20], null_tile=False)
+    assert copy_tiled(src, "k", fine[:2], dst, ledger, per_commit=1) == 2
+    assert copy_tiled(src, "k", coarse, dst, ledger) == 1  # the first tile is the same
+    assert sorted(r.k for r in read_tiled(spark, dst, ledger).collect()) == list(range(100))
+    assert copy_tiled(src, "k", coarse, dst, ledger) == 0
+    assert len(clean_tiled(spark, dst, ledger)) == 1 and clean_tiled(spark, dst, ledger) == []
+    assert sorted(r.k for r in read_tiled(spark, dst, ledger).collect()) == list(range(100))
+    assert copy_tiled(src, "k", fine, dst, ledger) == 2  # what was removed is copied again
+    assert sorted((r.k, r.tile_id) for r in read_tiled(spark, dst, ledger).collect()) == [(k, 0 if k < 20 else 1 if k < 80 else 2) for k in range(100)]
+
+
+def test_lost_data_is_noticed(spark, tmp_path):
+    src, dst, ledger = spark.range(100).withColumnRenamed("id", "k"), f"{tmp_path}/d", f"{tmp_path}/l"
+    plan = tiles_from_bounds([20, 80], null_tile=False)
+    copy_tiled(src, "k", plan[:1], dst, ledger)
+    (_, generation), = finished_tiles(spark, ledger).values()
+    shutil.rmtree(f"{dst}/generation={generation}")
+    with pytest.raises(m.BulkWriteError, match="no longer holds"):
+        copy_tiled(src, "k", plan, dst, ledger)
 
 
 def test_empty_tile_is_finished(spark, tmp_path):
@@ -143,16 +190,6 @@ def test_empty_tile_is_finished(spark, tmp_path):
     assert copy_tiled(src, "k", tiles, f"{tmp_path}/d", f"{tmp_path}/l") == 0
 
 
-def test_tiled_copy_starts_over_with_another_plan(spark, tmp_path):
-    src = spark.range(100).withColumnRenamed("id", "k")
-    dst, ledger = f"{tmp_path}/d", f"{tmp_path}/l"
-    assert copy_tiled(src, "k", tiles_from_bounds([50], null_tile=False)[:1], dst, ledger) == 1
-    plan = tiles_from_bounds([20, 80], null_tile=False)
-    assert copy_tiled(src, "k", plan, dst, ledger, per_commit=2) == 3
-    assert sorted(r.k for r in spark.read.parquet(dst).collect()) == list(range(100))
-    assert copy_tiled(src, "k", plan, dst, ledger) == 0
-
-
 def test_partitions(spark, three, tmp_path):
     spec = sink.RangePartitions("id", [("low", None, 2), ("high", 2, 3)])
     with pytest.raises(Exception, match="no partition for value 3"):

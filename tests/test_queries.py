@@ -17,7 +17,7 @@ def con(sf):
 
 def test_every_query_has_a_result_check():
     without = set(CORE) - set(entry.oracle_sql())
-    assert without == {"plan_write_batches", "copy_flush_plan"}  # order-dependent: see test_movement.py
+    assert not without
 
 
 def test_entry_returns_rows(spark):
