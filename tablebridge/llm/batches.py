@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tablebridge import session
 
 ROWS = 1_000
+SLICE = 256  # rows whose Python objects a task holds at once
 _KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -28,3 +32,27 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder in small batches and read back."""
     with small_batches(df.sparkSession):
         return session.stage(df, label)
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The same rows in short batches that share the memory of the long ones."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def tidy(run: Callable) -> Callable:
+    """``run``, giving freed memory back to the system at its end: Spark keeps workers for later tasks."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # another C library
+
+    return tidied

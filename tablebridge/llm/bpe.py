@@ -7,9 +7,8 @@ are skipped. Decoding joins the vocabulary strings of the ids as the file's miss
 decoder asks for: with one space between.
 
 What is a letter, a small letter or white space depends on the version of Unicode. Texts of
-Latin letters, common punctuation and CJK ideographs (PLAIN) mean the same in all; a piece never
-spans white space, so the runs between it are remembered with their ids. Parts with any other
-character take normalisation and pieces from the tokenizers library's own rules, whose Unicode
+Latin letters, common punctuation and CJK ideographs (PLAIN) mean the same in all. Parts with any
+other character take normalisation and pieces from the tokenizers library's own rules, whose Unicode
 may differ from Python's; the merges are the same.
 
 A null text is encoded as an empty one: no ids, an empty decoded text. Rows are encoded
@@ -31,7 +30,9 @@ import regex
 import tokenizers
 from pyspark.sql import DataFrame
 
-CACHED_RUNS = 250_000  # runs between white space that a task remembers
+from tablebridge.llm.batches import slices, tidy
+
+CACHED_PIECES = 60_000  # merged pieces that a task remembers, and as many older ones
 CACHED_CHARS = 48  # longer ones are merged each time
 PLAIN = re.compile("[\t-\r\x20-\x7e\x80-\u024f\u2010-\u2027\u2030-\u205e\u4e00-\u9fa5]*")
 
@@ -62,32 +63,29 @@ class WordBpe:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")")
         self.bytes = byte_symbols()
         self.known: dict[str, tuple[int, str, str]] = {}
+        self.older = self.known
 
     def merge(self, symbols: Sequence[str]) -> list[int]:
         """Ids of one piece, given as its bytes' symbols: always the lowest rank first, the leftmost of equal ones."""
         ids = [self.ids[s] for s in symbols[:-1]] + [self.ids[symbols[-1] + self.end]]
-        n = len(ids)
+        n, known = len(ids), self.merges.get
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue: list[tuple[int, int, int, int, int]] = []
-
-        def offer(left: int) -> None:
-            right = after[left] if left >= 0 else -1
-            if right >= 0 and (merged := self.merges.get((ids[left], ids[right]))):
-                heapq.heappush(queue, (merged[0], left, ids[left], ids[right], merged[1]))
-
-        for i in range(n - 1):
-            offer(i)
+        queue = [(m[0], i, ids[i], ids[i + 1], m[1]) for i in range(n - 1) if (m := known((ids[i], ids[i + 1])))]
+        heapq.heapify(queue)
         while queue:
             _, left, a, b, new = heapq.heappop(queue)
             right = after[left]
             if ids[left] != a or right < 0 or ids[right] != b:
                 continue  # one of the two has been merged since
-            ids[left], ids[right] = new, -1
-            after[left] = after[right]
-            if after[right] >= 0:
-                before[after[right]] = left
-            offer(before[left])
-            offer(left)
+            behind = after[right]
+            ids[left], ids[right], after[left] = new, -1, behind
+            if behind >= 0:
+                before[behind] = left
+                if m := known((new, ids[behind])):
+                    heapq.heappush(queue, (m[0], left, new, ids[behind], m[1]))
+            first = before[left]
+            if first >= 0 and (m := known((ids[first], new))):
+                heapq.heappush(queue, (m[0], first, ids[first], new, m[1]))
         return [i for i in ids if i >= 0]
 
     def _result(self, pieces: Iterable[Sequence[str]]) -> tuple[int, str, str]:
@@ -95,15 +93,14 @@ class WordBpe:
         ids = [i for piece in pieces for i in self.merge(piece)]
         return len(ids), " ".join(map(str, ids)), self.decode(ids)
 
-    def run(self, run: str) -> tuple[int, str, str]:
-        """The result of a small-letter text without white space."""
-        found = self.known.get(run)
+    def piece(self, piece: str) -> tuple[int, str, str]:
+        found = self.known.get(piece)
         if found is None:
-            found = self._result([self.bytes[b] for b in piece.encode()] for piece in self.pieces.findall(run))
-            if len(run) <= CACHED_CHARS:
-                if len(self.known) >= CACHED_RUNS:
-                    self.known.clear()
-                self.known[run] = found
+            found = self.older.get(piece) or self._result([[self.bytes[b] for b in piece.encode()]])
+            if len(piece) <= CACHED_CHARS:
+                if len(self.known) >= CACHED_PIECES:
+                    self.older, self.known = self.known, {}
+                self.known[piece] = found
         return found
 
     def foreign(self, text: str) -> tuple[int, str, str]:
@@ -113,13 +110,13 @@ class WordBpe:
         return self._result(p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text)))
 
     def encoded(self, text: str) -> list[tuple[int, str, str]]:
-        """The runs of a text in order, special tokens among them."""
+        """The pieces of a text in order, special tokens among them."""
         out: list[tuple[int, str, str]] = []
         for part in self.cut.split(text):
             if part in self.specials:
                 out.append((1, str(self.specials[part]), part))
             elif PLAIN.fullmatch(part):
-                out += map(self.run, part.lower().split())
+                out += map(self.piece, self.pieces.findall(part.lower()))
             else:
                 out.append(self.foreign(part))
         return [x for x in out if x[0]]
@@ -136,11 +133,11 @@ def _per_batch(spark, file: str, column: Callable[[WordBpe, pa.Array], dict[str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = WordBpe(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             columns = {n: batch.column(n) for n in batch.schema.names if n != "text"}
             yield pa.RecordBatch.from_pydict(columns | column(bpe, batch.column("text")))
 
-    return run
+    return tidy(run)
 
 
 def read_tokenizer(path: str) -> str:

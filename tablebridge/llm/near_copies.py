@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablebridge.llm.batches import small_batches, stage
+from tablebridge.llm.batches import small_batches, stage, tidy
 from tablebridge.llm.components import components
 from tablebridge.llm.words import SPACED, chunks, mixed, shingle_sets, split_words
 
@@ -102,7 +102,7 @@ def frequencies(docs: DataFrame, words: int) -> np.ndarray:
         if held:
             yield counted()
 
-    counts = docs.select("text").mapInArrow(frequent, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    counts = docs.select("text").mapInArrow(tidy(frequent), "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
     # Eight slots are one number, so the driver reads half a million rows at most.
     level = "shiftleft(CAST(length(bin(n)) AS BIGINT), CAST(8 * (slot % 8) AS INT))"
     packed = counts.groupBy(F.shiftright("slot", 3).alias("at")).agg(F.expr(f"bit_or({level})").alias("word"))
@@ -142,7 +142,7 @@ def signatures(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 "doc_id": rows.column("doc_id"), "n": pa.array(n, pa.int64()), "key": pa.array(keys, pa.int64()),
                 "bits": pa.array(bits, pa.binary()), "prefix": pa.array(prefixes, pa.list_(pa.int64()))})
 
-    return docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, n bigint, key bigint, bits binary, prefix array<bigint>")
+    return docs.select("doc_id", "text").mapInArrow(tidy(sign), f"doc_id {kind}, n bigint, key bigint, bits binary, prefix array<bigint>")
 
 
 def slot_filter(values: DataFrame, bits: int = LIVE_BITS) -> np.ndarray:
@@ -376,7 +376,7 @@ def meeting_nodes(signed: DataFrame) -> DataFrame:
             good = keep[_top(values.view(np.uint64), LIVE_BITS)]
             yield pa.RecordBatch.from_pydict({"shingle": pa.array(values[good]), "key": batch.column("key").take(pa.array(row[good]))})
 
-    owners = (nodes.select("key", "prefix").mapInArrow(passing, "shingle bigint, key bigint").join(live, "shingle")
+    owners = (nodes.select("key", "prefix").mapInArrow(tidy(passing), "shingle bigint, key bigint").join(live, "shingle")
               .select("owner", "key").distinct().groupBy("key").agg(F.collect_list("owner").alias("owners")))
     once = nodes.groupBy("key").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))  # several tasks may hold a key
     return stage(owners.join(once, "key"), "nodes")
@@ -406,18 +406,18 @@ def wanted_texts(docs: DataFrame, signed: DataFrame, keys: DataFrame, words: int
             yield pa.RecordBatch.from_pydict({"key": pa.array(found, pa.int64()), "text": rows.column("text").take(pa.array(at, pa.int64()))})
 
     # A set that two tasks held stands in its groups twice, as one component.
-    return stage(docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(texts, "key bigint, text string"), "texts")
+    return stage(docs.select("text", F.xxhash64("doc_id").alias("h")).mapInArrow(tidy(texts), "key bigint, text string"), "texts")
 
 
 def linked(cells: DataFrame, nodes: DataFrame, docs: DataFrame, signed: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) that connect what is linked in ``cells`` (cell, owner, block, across, key, comp)."""
     known = nodes.select("key", "n", "owners")
     signs = cells.join(nodes, "key").repartition("cell").sortWithinPartitions("cell", "comp", "n")
-    groups = stage(signs.mapInArrow(_partners(percent), "cell bigint, owner bigint, block int, across boolean, key bigint, comp bigint"), "groups")
+    groups = stage(signs.mapInArrow(tidy(_partners(percent)), "cell bigint, owner bigint, block int, across boolean, key bigint, comp bigint"), "groups")
     texts = wanted_texts(docs, signed, groups.select("key").distinct(), words)
     with small_batches(docs.sparkSession):
         full = groups.join(known, "key").join(texts, "key").repartition("cell").sortWithinPartitions("cell", "comp", "n")
-        return stage(full.mapInArrow(_forest(words, percent), "a bigint, b bigint"), "links")
+        return stage(full.mapInArrow(tidy(_forest(words, percent)), "a bigint, b bigint"), "links")
 
 
 def near_copies(docs: DataFrame, words: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
