@@ -28,9 +28,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, column: str, rows: int, mo
     ids = usable.groupBy("doc_id").agg(F.max("y").alias("y"))
     total = ids.count()
     below = min((1 << 63) - 1, -(1 << 63) + (rows << 64) // max(1, total))
-    chosen = ids.filter(F.xxhash64("doc_id") <= F.lit(below).cast("long")).collect()  # about `rows`
-    local = docs.sparkSession.createDataFrame(chosen, ids.schema)
-    sample = stage(docs.select("doc_id", "text").join(local, "doc_id").groupBy("doc_id", "y").agg(
+    # About `rows` ids, written so that Spark knows how few they are when it chooses how to join.
+    chosen = stage(ids.filter(F.xxhash64("doc_id") <= F.lit(below).cast("long")).coalesce(1), "chosen")
+    sample = stage(docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "y").agg(
         F.min_by("text", F.struct(F.col("text").isNull(), F.xxhash64("text"))).alias("text")), "labelled")
     sizes = sample.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").collect()
     held, dropped = 0, []
