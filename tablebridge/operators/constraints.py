@@ -9,12 +9,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tablebridge.functions.values import lost_in, parse_schema
 from tablebridge.model import QueryError
-from tablebridge.sources.batches import tie_columns, with_tie_break
+from tablebridge.sources.batches import number_rows, running_sum, tie_columns, with_tie_break
 from tablebridge.sources.scan import col, require_columns
-from tablebridge.sources.tiles import sample_bounds, tuple_tile_expr
+from tablebridge.sources.tileindex import plan_tile_frame, tag_tiles
 
 
 ROWS_PER_TILE = 4_000_000  # of an overlap check, where the session asks for fewer tiles
+BLOCK = 64  # consecutive starts that meet an interval together
+WIDE = 65_536  # blocks that one row lists at a time
 
 
 def any_null(columns: Sequence[str]) -> Column:
@@ -141,7 +143,7 @@ def exclusion_violations(df: DataFrame, eq_columns: Sequence[str], lower: str, u
     ties = [*order_by, *tie_columns("_tie")]
     n = tiles or max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.count() // ROWS_PER_TILE)
     axis = [lower, *ties]
-    tiled = rows.withColumn("_tile", tuple_tile_expr(rows, axis, sample_bounds(rows, axis, n)))
+    tiled = tag_tiles(rows, axis, plan_tile_frame(rows, axis, n), "_tile")
     keys = [col(c) for c in eq_columns]
     ends = tiled.groupBy(*keys, "_tile").agg(F.max(col(upper)).alias("_end"))
     earlier = Window.partitionBy(*keys).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
@@ -153,3 +155,49 @@ def exclusion_violations(df: DataFrame, eq_columns: Sequence[str], lower: str, u
     return (both.withColumn("prior_upper", F.max("_end").over(before))
             .where((F.col("_carry") == 0) & (F.col("prior_upper") > col(lower)))
             .drop("_tile", *tie_columns("_tie"), "_end", "_carry"))
+
+
+def overlap_ranks(df: DataFrame, eq_columns: Sequence[str], lower: str, upper: str,
+                  order_by: Sequence[str] = ()) -> DataFrame:
+    """The rows with ``_rank``, their place by (key, lower, order_by), and ``_end``.
+
+    Of the rows of its key behind it a row overlaps just those before place ``_end``, so
+    ``_end - _rank - 1`` is their number. Two global sorts find both: one numbers the rows, one
+    puts each end among the counted starts. A hot key is cut like any other range. Rows with a
+    NULL key or bound or an empty range are left out; equal rows take places in any order.
+    """
+    require_columns(df, [*eq_columns, lower, upper, *order_by])
+    rows = df.where(~any_null([*eq_columns, lower, upper]) & (col(lower) < col(upper)))
+    ranked = number_rows(rows, [*eq_columns, lower, *order_by], "_rank")
+    keys = [col(c) for c in eq_columns]
+    starts = ranked.groupBy(*keys, col(lower).alias("_at")).agg(F.count(F.lit(1)).alias("_starts"))
+    # At the same place ends stand before starts: ranges are half-open.
+    ends = ranked.withColumns({"_at": col(upper), "_starts": F.lit(0).cast("long"), "_kind": F.lit(0)})
+    events = ends.unionByName(starts.withColumn("_kind", F.lit(1)), allowMissingColumns=True)
+    swept = running_sum(events, [*eq_columns, "_at", "_kind"], "_starts", "_end")
+    return swept.where("_kind = 0").drop("_at", "_starts", "_kind")
+
+
+def overlap_pairs(df: DataFrame, eq_columns: Sequence[str], lower: str, upper: str, columns: Sequence[str],
+                  order_by: Sequence[str] = ()) -> DataFrame:
+    """Every pair of rows with equal keys and overlapping [lower, upper), once.
+
+    Gives the key and ``first_<c>``, ``second_<c>`` for each of ``columns``; the first row is
+    the earlier one by (lower, order_by). Copies of a row overlap each other. The partners of a
+    row are consecutive places (``overlap_ranks``), so it goes to the blocks of ``BLOCK``
+    places that hold them and to no other: the work grows with the rows and with the pairs, and
+    neither a hot key nor an interval over the whole table gathers in one task.
+    """
+    require_columns(df, columns)
+    wanted = list(dict.fromkeys([*eq_columns, lower, upper, *order_by, *columns]))
+    ranked = overlap_ranks(df.select(*[col(c) for c in wanted]), eq_columns, lower, upper, order_by)
+    coarse = F.explode(F.expr(f"sequence((_rank + 1) DIV {BLOCK * WIDE}, (_end - 1) DIV {BLOCK * WIDE})")).alias("_coarse")
+    fine = F.explode(F.expr(f"sequence(greatest(_coarse * {WIDE}, (_rank + 1) DIV {BLOCK}), "
+                            f"least(_coarse * {WIDE} + {WIDE - 1}, (_end - 1) DIV {BLOCK}))")).alias("_block")
+    kept = [col(c).alias(f"first_{c}") for c in columns]
+    firsts = (ranked.where("_end > _rank + 1").select(*[col(c) for c in eq_columns], *kept, "_rank", "_end", coarse)
+              .select("*", fine).drop("_coarse"))
+    seconds = ranked.select(F.expr(f"_rank DIV {BLOCK}").alias("_block"), F.col("_rank").alias("_place"),
+                            *[col(c).alias(f"second_{c}") for c in columns])
+    met = firsts.join(seconds, "_block").where((F.col("_place") > F.col("_rank")) & (F.col("_place") < F.col("_end")))
+    return met.drop("_block", "_rank", "_end", "_place")

@@ -140,6 +140,33 @@ def exclusion_hot(spark, d):
     return c.exclusion_violations(spans, ["o_orderstatus"], "o_orderdate", "until", ["o_orderkey"], tiles=64).drop("until")
 
 
+@query("overlap_pairs", """
+SELECT a.user_id, a.event_id AS first_event_id, a.ts AS first_ts, b.event_id AS second_event_id, b.ts AS second_ts
+FROM events a JOIN events b ON a.user_id = b.user_id AND (b.ts, b.event_id) > (a.ts, a.event_id) AND b.ts < a.ts + INTERVAL 10 MINUTE""")
+def pairs(spark, d):
+    spans = table(spark, d, "events").withColumn("until", F.expr("ts + INTERVAL 10 MINUTES"))
+    return c.overlap_pairs(spans, ["user_id"], "ts", "until", ["event_id", "ts"], ["event_id"])
+
+
+@query("overlap_pairs_one_key", """
+SELECT a.o_orderstatus, a.o_orderkey AS first_o_orderkey, b.o_orderkey AS second_o_orderkey FROM orders a JOIN orders b
+ON a.o_orderstatus = b.o_orderstatus AND (b.o_orderdate, b.o_orderkey) > (a.o_orderdate, a.o_orderkey) AND b.o_orderdate < a.o_orderdate + INTERVAL 6 HOUR""")
+def pairs_hot(spark, d):
+    """Three keys hold all rows: the blocks of places cut them."""
+    spans = table(spark, d, "orders").withColumn("until", F.expr("o_orderdate + INTERVAL 6 HOURS"))
+    return c.overlap_pairs(spans, ["o_orderstatus"], "o_orderdate", "until", ["o_orderkey"], ["o_orderkey"])
+
+
+@query("overlap_counts", """
+SELECT o_custkey, o_orderkey, (SELECT count(*) FROM orders b WHERE b.o_custkey = a.o_custkey AND (b.o_orderdate, b.o_orderkey) > (a.o_orderdate, a.o_orderkey)
+  AND b.o_orderdate < a.o_orderdate + INTERVAL 90 DAY) AS overlaps FROM orders a""")
+def overlap_numbers(spark, d):
+    """How many later orders of its customer each order's quarter overlaps; no pair is formed."""
+    spans = table(spark, d, "orders").withColumn("until", F.expr("o_orderdate + INTERVAL 90 DAYS"))
+    ranks = c.overlap_ranks(spans, ["o_custkey"], "o_orderdate", "until", ["o_orderkey"])
+    return ranks.select("o_custkey", "o_orderkey", F.expr("_end - _rank - 1").alias("overlaps"))
+
+
 _CHILD = "SELECT o_orderkey, o_custkey FROM orders"
 _GONE = "SELECT c_custkey FROM customer WHERE c_nationkey = 3"
 

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import functions as F
 
 from tablebridge.operators.verify import table_fingerprint
 from tablebridge.queries.registry import query, table
-from tablebridge.sources import scan, tiles
+from tablebridge.sources import scan, tileindex, tiles
 from tablebridge.sources.batches import batch_rows
 
 
@@ -97,6 +98,45 @@ def coverage_quantile(spark, d):
                        F.min("l_partkey").alias("min_key"), F.max("l_partkey").alias("max_key"))
 
 
+@query("tiled_scan_indexed", """
+WITH s AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders),
+     b AS (SELECT i, lo + (i * (hi - lo + 1)) // 2000 AS bound FROM s, range(1, 2000) r(i))
+SELECT o.*, coalesce(b.i, 0)::INTEGER AS tile_id FROM orders o ASOF LEFT JOIN b ON o.o_orderkey >= b.bound""")
+def tiled_indexed(spark, d):
+    """Two thousand tiles: rows find theirs by two joins down the index."""
+    orders = table(spark, d, "orders")
+    return tiles.tiled_scan(orders, "o_orderkey", tiles.plan_key_tiles(orders, "o_orderkey", 2000, "equal_width"))
+
+
+def _balance(df, columns, n, weight):
+    """Tiles, rows and weight found in them, and whether each holds its share as near as the sketch states."""
+    named = df.withColumn("_w", weight)
+    tagged = tileindex.tag_tiles(named, columns, tileindex.plan_tile_frame(named, columns, n, F.col("_w")))
+    per = tagged.groupBy("tile_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("_w").cast("long").alias("weight"), F.max("_w").alias("widest"))
+    total, found = per.agg(F.sum("weight")).first()[0], per.count()
+    # Both ends of a tile may be off by the error of a task's summary and of a group's.
+    error = 2 * 2 * (2 + math.log2(1 + df.count() / tileindex.LEAST)) / tileindex.LEAST
+    near = F.abs(F.col("weight") - total / n) <= F.lit(error * total) + 2 * F.col("widest")
+    return per.agg(F.sum("rows").alias("rows"), F.sum("weight").alias("weight"), F.lit(found).cast("long").alias("tiles"),
+                   F.every(near).alias("near"))
+
+
+@query("plan_tiles_composite", """
+SELECT count(*) AS rows, count(*) AS weight, 40::BIGINT AS tiles, TRUE AS near FROM lineitem""")
+def plan_composite(spark, d):
+    """Tiles of equal rows over a composite key whose first column repeats."""
+    return _balance(table(spark, d, "lineitem"), ["l_shipdate", "l_orderkey", "l_linenumber"], 40, F.lit(1.0))
+
+
+@query("plan_tiles_text_bytes", """
+SELECT count(*) AS rows, sum(40 + octet_length(encode(c_name)) + octet_length(encode(c_mktsegment)))::BIGINT AS weight, 12::BIGINT AS tiles, TRUE AS near
+FROM customer""")
+def plan_text_bytes(spark, d):
+    """Tiles of equal bytes over a text key."""
+    return _balance(table(spark, d, "customer"), ["c_name"], 12,
+                    F.lit(40) + F.octet_length("c_name") + F.octet_length("c_mktsegment"))
+
+
 @query("batch_rows", """
 SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS row_index,
        (row_number() OVER (ORDER BY event_id) - 1) // 1000 AS batch_id FROM events""")

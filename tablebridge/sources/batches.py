@@ -34,6 +34,18 @@ def tie_columns(name: str = "_spread") -> list[str]:
     return [name, f"{name}_part"]
 
 
+def _staged_order(df: DataFrame, order_by: Sequence[str], label: str) -> DataFrame:
+    """The rows in ranges of ``order_by``, written once, with ``_place``: their range and place in it."""
+    require_columns(df, order_by)
+    keys = [col(c) for c in order_by]
+    ranged = (with_tie_break(df)
+              .repartitionByRange(*keys, *tie_columns())
+              .sortWithinPartitions(*keys, *tie_columns())
+              .drop(*tie_columns())
+              .withColumn("_place", F.monotonically_increasing_id()))
+    return stage(ranged, label)
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_index") -> DataFrame:
     """Consecutive 0-based numbers in the order of ``order_by``.
 
@@ -43,14 +55,7 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_index")
     the ranges for good; a second pass reads the places alone and gives each
     range its offset. The offset frame has one row per range.
     """
-    require_columns(df, order_by)
-    keys = [col(c) for c in order_by]
-    ranged = (with_tie_break(df)
-              .repartitionByRange(*keys, *tie_columns())
-              .sortWithinPartitions(*keys, *tie_columns())
-              .drop(*tie_columns())
-              .withColumn("_place", F.monotonically_increasing_id()))
-    staged = stage(ranged, "numbered")
+    staged = _staged_order(df, order_by, "numbered")
     part = F.shiftright(F.col("_place"), _SHIFT)
     local = F.col("_place") - F.shiftleft(part, _SHIFT)
     sizes = staged.groupBy(part.alias("_part")).agg((F.max(local) + 1).alias("_size"))
@@ -62,6 +67,26 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_index")
             .drop("_part", "_place", "_offset"))
 
 
+def running_sum(df: DataFrame, order_by: Sequence[str], value: str, name: str = "before") -> DataFrame:
+    """The sum of ``value`` over all rows before each row, in the order of ``order_by``.
+
+    Ranges and staging are those of ``number_rows``; each range is summed in a window of its own
+    and starts from the total of the ranges before it. ``value`` holds no NULL.
+    """
+    require_columns(df, [value])
+    staged = _staged_order(df, order_by, "summed")
+    staged = staged.withColumn("_part", F.shiftright(F.col("_place"), _SHIFT))
+    zero = F.lit(0).cast("double" if isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType)) else "long")
+    sums = staged.groupBy("_part").agg(F.sum(col(value)).alias("_sum"))
+    # One row per shuffle partition: the window runs over that many rows.
+    parts = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("_part", F.coalesce(F.sum("_sum").over(parts), zero).alias("_offset"))
+    within = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    return (staged.withColumn("_within", F.coalesce(F.sum(col(value)).over(within), zero))
+            .join(offsets, "_part").withColumn(name, F.col("_offset") + F.col("_within"))
+            .drop("_part", "_place", "_offset", "_within"))
+
+
 def batch_rows(df: DataFrame, order_by: Sequence[str], size: int) -> DataFrame:
     """Consecutive batches of ``size`` rows as ``batch_id``; the last may be short."""
     if size < 1:

@@ -11,9 +11,11 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablebridge.model import QueryError
+from tablebridge.sources.literals import composite_sql, incoming, literal_sql, outgoing, quoted, search_sql
 from tablebridge.sources.scan import col, range_condition, require_columns
+from tablebridge.sources.tileindex import plan_tile_frame, tag_tiles
 
-MAX_TILES = 4096
+IN_EXPRESSION = 256  # tiles that one expression tells apart; longer plans are joined as an index
 
 
 @dataclass(frozen=True)
@@ -46,103 +48,41 @@ def _equal_width(lo: Any, hi: Any, n: int) -> list[Any]:
     return [lo + (hi - lo) * i / n for i in range(1, n)]
 
 
-_EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
-
-
-def _outgoing(c: Column, data_type: T.DataType) -> Column:
-    """Instants leave Spark as microseconds, free of the driver's own time zone."""
-    return F.unix_micros(c) if isinstance(data_type, T.TimestampType) else c
-
-
-def _incoming(value: Any, data_type: T.DataType) -> Any:
-    if value is not None and isinstance(data_type, T.TimestampType):
-        return _EPOCH + dt.timedelta(microseconds=value)
-    return value
-
-
 def plan_key_tiles(df: DataFrame, column: str, n: int, method: str = "quantile",
-                   accuracy: int = 10_000) -> list[Tile]:
+                   weight: Column | None = None) -> list[Tile]:
     """Boundaries for ``n`` ranges over ``column`` plus the NULL tile.
 
-    ``quantile`` balances rows whatever the key distribution, from one
-    aggregation that keeps a sketch per task; ``equal_width`` needs only min
-    and max. Repeated boundaries (a very frequent key) are merged, so a plan
-    may hold fewer tiles than asked for, never overlapping ones.
+    ``quantile`` balances rows, or ``weight`` (``row_bytes``, say), whatever the
+    type and distribution of the key, from a mergeable sketch; its rank error is
+    stated in ``tileindex``. ``equal_width`` needs only min and max. Repeated
+    boundaries (a very frequent key) are merged, so a plan may hold fewer tiles
+    than asked for, never overlapping ones. The driver holds the plan, one
+    boundary a tile; ``plan_tile_frame`` keeps it as a frame.
     """
     require_columns(df, [column])
-    if not 1 <= n <= MAX_TILES:
-        raise QueryError(f"the number of tiles must be in 1..{MAX_TILES}")
+    if n < 1:
+        raise QueryError("the number of tiles must be at least 1")
     if n == 1:
         return tiles_from_bounds([])
     data_type = df.schema[column].dataType
     if method == "equal_width":
-        key = _outgoing(col(column), data_type)
-        lo, hi = (_incoming(v, data_type) for v in df.agg(F.min(key), F.max(key)).first())
+        key = outgoing(col(column), data_type)
+        lo, hi = (incoming(v, data_type) for v in df.agg(F.min(key), F.max(key)).first())
         bounds = [] if lo is None else _equal_width(lo, hi, n)
-    elif method == "quantile" and isinstance(data_type, T.StringType):
-        bounds = [b[0] for b in sample_bounds(df, [column], n)]
     elif method == "quantile":
-        shares = [i / n for i in range(1, n)]
-        found = df.agg(F.percentile_approx(_outgoing(col(column), data_type), shares, accuracy)).first()[0] or []
-        bounds = [_incoming(v, data_type) for v in found]
+        lowers = plan_tile_frame(df, [column], n, weight).where(F.col("lower").isNotNull())
+        found = lowers.select(outgoing(F.col("lower")[column], data_type).alias("bound")).collect()
+        bounds = [incoming(r.bound, data_type) for r in found]
     else:
         raise QueryError(f"unknown tiling method {method!r}")
     return tiles_from_bounds(sorted(set(bounds)))
 
 
-def sample_bounds(df: DataFrame, columns: Sequence[str], n: int, per_tile: int = 20, seed: int = 7) -> list[tuple]:
-    """At most ``n - 1`` ascending boundary tuples from a uniform sample.
-
-    The driver sees about ``n * per_tile`` keys however large the table is:
-    each task keeps the share of its rows that makes so many, and none gathers
-    the keys of all tasks.
-    """
-    types = [df.schema[c].dataType for c in columns]
-    keys = df.select(*[_outgoing(col(c), t).alias(f"k{i}") for i, (c, t) in enumerate(zip(columns, types))])
-    total, wanted = df.count(), n * per_tile
-    taken = keys if total <= wanted else keys.sample(fraction=wanted / total, seed=seed)
-    found = sorted(taken.collect(), key=lambda r: [(v is not None, v) for v in r])
-    ordered = [tuple(_incoming(v, t) for v, t in zip(r, types)) for r in found]
-    picks = [ordered[i * len(ordered) // n] for i in range(1, n)] if ordered else []
-    return list(dict.fromkeys(p for p in picks if all(v is not None for v in p)))
-
-
-def literal_sql(value: Any, data_type: T.DataType) -> str:
-    """A typed literal as SQL text; text travels as hex, so nothing needs escaping."""
-    if value is None:
-        return f"CAST(NULL AS {data_type.simpleString()})"
-    if isinstance(value, str):
-        return f"decode(X'{value.encode().hex()}', 'UTF-8')"
-    if isinstance(value, (bytes, bytearray)):
-        return f"X'{bytes(value).hex()}'"
-    text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else str(value)
-    return f"CAST('{text}' AS {data_type.simpleString()})"
-
-
-def _search(key: str, edges: Sequence[str], ids: Sequence[int]) -> str:
-    """A balanced tree of comparisons, log2(n) tests per row, as SQL text.
-
-    Text is parsed in one step; a tree of a thousand column objects takes
-    seconds to build.
-    """
-    def tree(lo: int, hi: int) -> str:
-        if lo == hi:
-            return str(ids[lo])
-        mid = (lo + hi) // 2
-        return f"CASE WHEN {key} < {edges[mid]} THEN {tree(lo, mid)} ELSE {tree(mid + 1, hi)} END"
-
-    return tree(0, len(ids) - 1)
-
-
-def _quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def tile_id_expr(df: DataFrame, column: str, tiles: Sequence[Tile]) -> Column:
     """The tile a row belongs to, as one expression over one column."""
     ranges = [t for t in tiles if not t.is_null]
-    data_type, key = df.schema[column].dataType, _quoted(column)
-    found = _search(key, [literal_sql(t.upper, data_type) for t in ranges[:-1]], [t.tile_id for t in ranges])
+    data_type, key = df.schema[column].dataType, quoted(column)
+    found = search_sql(key, [literal_sql(t.upper, data_type) for t in ranges[:-1]], [t.tile_id for t in ranges])
     return F.expr(f"CAST(CASE WHEN {key} IS NULL THEN -1 ELSE {found} END AS INT)")
 
 
@@ -150,11 +90,8 @@ def tuple_tile_expr(df: DataFrame, columns: Sequence[str], bounds: Sequence[tupl
     """Tile number of a composite key in lexicographic order (NULL sorts first)."""
     types = [df.schema[c].dataType for c in columns]
 
-    def composite(parts: Sequence[str]) -> str:
-        return "named_struct(" + ", ".join(f"'k{i}', {p}" for i, p in enumerate(parts)) + ")"
-
-    edges = [composite([literal_sql(v, t) for v, t in zip(b, types)]) for b in bounds]
-    return F.expr(f"CAST({_search(composite([_quoted(c) for c in columns]), edges, range(len(edges) + 1))} AS INT)")
+    edges = [composite_sql([literal_sql(v, t) for v, t in zip(b, types)]) for b in bounds]
+    return F.expr(f"CAST({search_sql(composite_sql([quoted(c) for c in columns]), edges, range(len(edges) + 1))} AS INT)")
 
 
 def tile_condition(df: DataFrame, column: str, tile: Tile) -> Column:
@@ -167,7 +104,19 @@ def tile_condition(df: DataFrame, column: str, tile: Tile) -> Column:
 
 def tiled_scan(df: DataFrame, column: str, tiles: Sequence[Tile]) -> DataFrame:
     """Every row once, tagged with its tile."""
-    return df.withColumn("tile_id", tile_id_expr(df, column, tiles))
+    ids = [t.tile_id for t in tiles if not t.is_null]
+    if len(ids) <= IN_EXPRESSION or ids != list(range(len(ids))):
+        return df.withColumn("tile_id", tile_id_expr(df, column, tiles))
+    return tag_tiles(df, [column], tile_frame(df, column, tiles))
+
+
+def tile_frame(df: DataFrame, column: str, tiles: Sequence[Tile]) -> DataFrame:
+    """A plan as the frame that ``tag_tiles`` joins; its NULL tile is implied."""
+    ranges = [t for t in tiles if not t.is_null]
+    bound = T.StructType([T.StructField(column, df.schema[column].dataType)])
+    schema = T.StructType([T.StructField("tile_id", T.IntegerType()), T.StructField("lower", bound), T.StructField("upper", bound)])
+    rows = [(t.tile_id, None if t.lower is None else (t.lower,), None if t.upper is None else (t.upper,)) for t in ranges]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def scan_tile(df: DataFrame, column: str, tile: Tile) -> DataFrame:

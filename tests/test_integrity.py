@@ -83,6 +83,36 @@ def test_exclusion_against_brute_force(spark, seed, tiles):
     assert c.exclusion_violations(df, ["k"], "lo", "hi").count() == len(expected)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_overlap_pairs_against_brute_force(spark, monkeypatch, seed):
+    """A hot key, equal starts, equal rows, ranges over everything, NULL keys and bounds, small blocks."""
+    monkeypatch.setattr(c, "BLOCK", 4)
+    monkeypatch.setattr(c, "WIDE", 3)
+    rng = random.Random(seed)
+    data = []
+    for i in range(250):
+        lo = rng.choice([5, 5, rng.randint(0, 300)])
+        hi = rng.choice([lo, lo + 3, lo + 40, 1000 if rng.random() < 0.05 else lo + 1])
+        data.append((i // 2, rng.choice(["hot", "hot", "k1", None]), rng.choice([lo, lo, lo, None]), hi))
+    df = spark.createDataFrame(data, "i int, k string, lo int, hi int")
+    live = [x for x in data if x[1] is not None and x[2] is not None and x[2] < x[3]]
+    expected = []
+    for n, x in enumerate(live):
+        for y in live[n + 1:]:
+            if x[1] == y[1] and x[2] < y[3] and y[2] < x[3]:
+                a, b = sorted((x, y), key=lambda r: (r[2], r[0], r[3]))
+                expected.append((a[1], a[0], a[3], b[0], b[3]))
+    out = c.overlap_pairs(df, ["k"], "lo", "hi", ["i", "hi"], ["i", "hi"])
+    assert out.columns == ["k", "first_i", "first_hi", "second_i", "second_hi"]
+    assert rows(out) == sorted(expected)
+    assert c.overlap_ranks(df, ["k"], "lo", "hi").agg(F.sum(F.expr("_end - _rank - 1"))).first()[0] == len(expected)
+    late = c.overlap_pairs(df, ["k"], "lo", "hi", ["i"], ["i"]).select("second_i", "k").distinct()
+    assert late.count() == c.exclusion_violations(df, ["k"], "lo", "hi", ["i", "hi"]).select("i", "k").distinct().count()
+    assert c.overlap_pairs(df.where("i < 0"), ["k"], "lo", "hi", ["i"]).isEmpty()
+    with pytest.raises(m.QueryError):
+        c.overlap_pairs(df, ["k"], "lo", "hi", ["zz"])
+
+
 def action(name, update=False):
     return m.ForeignKey("fk", ["parent_id"], "parent", ["id"], **({"on_update": name} if update else {"on_delete": name}))
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import decimal
+import math
 import uuid
 
 import pytest
@@ -7,8 +8,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tablebridge.model import QueryError, UnsupportedError
-from tablebridge.sources import scan, tiles
-from tablebridge.sources.batches import batch_rows, number_rows, tie_columns, with_tie_break
+from tablebridge.sources import scan, tileindex, tiles
+from tablebridge.sources.batches import batch_rows, number_rows, running_sum, tie_columns, with_tie_break
 from tablebridge.sources.tiles import Tile
 
 SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -150,7 +151,7 @@ def test_tiles_over_other_types(spark, key, method):
 
 def test_composite_tiles_over_bytes_and_instants(spark):
     df = spark.range(300).selectExpr("encode(string(id % 9), 'UTF-8') AS b", "timestamp_micros(id) AS t")
-    bounds = tiles.sample_bounds(df, ["b", "t"], 4)
+    bounds = [tuple(r.lower) for r in tileindex.plan_tile_frame(df, ["b", "t"], 4).orderBy("tile_id").collect() if r.lower]
     tagged = df.withColumn("tile", tiles.tuple_tile_expr(df, ["b", "t"], bounds))
     spans = tagged.groupBy("tile").agg(F.min(F.struct("b", "t")).alias("lo"), F.max(F.struct("b", "t")).alias("hi"), F.count(F.lit(1)).alias("n")).orderBy("tile").collect()
     assert sum(r.n for r in spans) == 300 and len(spans) > 1
@@ -158,13 +159,91 @@ def test_composite_tiles_over_bytes_and_instants(spark):
 
 
 def test_tile_count_is_checked(opts):
-    for n in (0, tiles.MAX_TILES + 1):
-        with pytest.raises(QueryError):
-            tiles.plan_key_tiles(opts, "id", n)
+    with pytest.raises(QueryError):
+        tiles.plan_key_tiles(opts, "id", 0)
+    with pytest.raises(QueryError):
+        tileindex.plan_tile_frame(opts, ["id"], 0)
     with pytest.raises(QueryError):
         tiles.plan_key_tiles(opts, "id", 4, "guess")
 
 
+def ranks(df, frame, order, weight="1"):
+    """Weight below each boundary, by a plain sort on the driver."""
+    rows = df.select(*order, F.expr(weight).alias("w")).orderBy(*order).collect()
+    keys, sums, total = [tuple(r[:-1]) for r in rows], [], 0
+    for r in rows:
+        sums.append(total)
+        total += r.w
+    return [sums[keys.index(tuple(r.lower))] for r in frame.orderBy("tile_id").collect() if r.lower], total
+
+
+@pytest.mark.parametrize("weight", ["1", "1 + id % 9"])
+def test_sketch_keeps_the_stated_rank_error(spark, weight):
+    """Summaries of 64 keys over tens of thousands of rows, merged over several levels and groups."""
+    df = spark.range(0, 40_000, 1, 5).selectExpr("id", "CAST((id * 7919) % 500 AS STRING) AS a", "id AS b")
+    n, size = 20, 64
+    frame = tileindex.plan_tile_frame(df, ["a", "b"], n, F.expr(weight), size)
+    found, total = ranks(df, frame, ["a", "b"], weight)
+    error = 2 * (2 + math.log2(40_000 / size)) / size
+    assert len(found) == n - 1 and all(abs(f / total - (i + 1) / n) <= error for i, f in enumerate(found))
+    assert max(abs(f / total - (i + 1) / n) for i, f in enumerate(found)) < 0.05
+    sketch = tileindex.quantile_sketch(df, ["a", "b"], size, F.expr(weight), groups=3)
+    assert sketch.count() <= 3 * size
+    assert sketch.agg(F.sum("_weight")).first()[0] == pytest.approx(total)
+
+
+def test_small_plans_are_exact_and_repeat(spark):
+    df = spark.range(0, 1000, 1, 4).selectExpr("CASE WHEN id < 100 THEN NULL ELSE id END AS id")
+    frame = tileindex.plan_tile_frame(df, ["id"], 9)
+    assert ranks(df.where("id IS NOT NULL"), frame, ["id"])[0] == [100 * i for i in range(1, 9)]
+    big = spark.range(0, 50_000, 1, 4).selectExpr("id % 777 AS k", "id")
+    first, second = (tileindex.plan_tile_frame(big, ["k", "id"], 7, size=32).orderBy("tile_id").collect() for _ in range(2))
+    assert first == second
+
+
+@pytest.mark.parametrize("key", ["id", "CAST(id AS STRING)", "timestamp_micros(id * 1000)", "CAST(id AS DECIMAL(20, 2))", "date_add(DATE'2024-01-01', CAST(id AS INT))",
+                                 "CASE WHEN id % 50 = 0 THEN DOUBLE('NaN') ELSE id / 3 END", "encode(CAST(id AS STRING), 'UTF-8')", "id > 700"])
+def test_index_agrees_with_plain_ranges(spark, monkeypatch, key):
+    """Three levels of the index for small nodes, against a join with all ranges."""
+    monkeypatch.setattr(tileindex, "FAN_OUT", 8)
+    df = spark.range(900).selectExpr(f"CASE WHEN id % 11 = 3 THEN NULL ELSE {key} END AS k")
+    frame = tileindex.plan_tile_frame(df, ["k"], 300)
+    bounds = [r.lower.k for r in frame.orderBy("tile_id").collect() if r.lower]
+    by_index = tileindex.tag_tiles(df, ["k"], frame)
+    steps = frame.select("tile_id", F.col("lower.k").alias("lo"), F.col("upper.k").alias("hi"))
+    inside = df.join(steps, (F.col("lo").isNull() | (F.col("k") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("k") < F.col("hi"))))
+    by_join = inside.select("k", "tile_id").unionAll(df.where("k IS NULL").select("k", F.lit(-1).alias("tile_id")))
+    assert by_index.exceptAll(by_join).isEmpty() and by_join.exceptAll(by_index).isEmpty()
+    assert len(bounds) == frame.count() - 1
+
+
+def test_index_of_composite_keys_with_nulls(spark):
+    df = spark.range(5000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id % 40 END AS a", "CASE WHEN id % 7 = 0 THEN NULL ELSE string(id) END AS `b c`")
+    tagged = tileindex.tag_tiles(df, ["a", "b c"], tileindex.plan_tile_frame(df, ["a", "b c"], 500), "part")
+    spans = tagged.groupBy("part").agg(F.min(F.struct("a", "b c")).alias("lo"), F.max(F.struct("a", "b c")).alias("hi"), F.count(F.lit(1)).alias("n"))
+    pairs = spans.alias("x").join(spans.alias("y"), F.expr("y.part > x.part AND y.lo <= x.hi"))
+    assert spans.agg(F.sum("n")).first()[0] == 5000 and spans.count() > tileindex.FAN_OUT and pairs.isEmpty()
+
+
+def test_index_of_an_empty_table(spark):
+    none = spark.createDataFrame([], "k string, tile_id int")
+    frame = tileindex.plan_tile_frame(none, ["k"], 4)
+    assert [tuple(r) for r in frame.collect()] == [(0, None, None)]
+    assert tileindex.tag_tiles(none, ["k"], frame, "t").isEmpty()
+    nulls = spark.createDataFrame([(None,)], "k int")
+    assert tileindex.tag_tiles(nulls, ["k"], tileindex.plan_tile_frame(nulls, ["k"], 4), "t").first().t == -1
+
+
+def test_running_sums(spark):
+    df = spark.range(0, 3000, 1, 6).selectExpr("id % 5 AS k", "id", "id % 4 AS v")
+    out = running_sum(df, ["k", "id"], "v").collect()
+    total, expected = 0, {}
+    for r in sorted(out, key=lambda r: (r.k, r.id)):
+        expected[r.id], total = total, total + r.v
+    assert {r.id: r.before for r in out} == expected
+    assert running_sum(df.where("id < 0"), ["k"], "v").isEmpty()
+
+
 def test_jdbc_predicates_cover_the_table():
     planned = tiles.tiles_from_bounds([10, 20])
     assert tiles.jdbc_predicates('a"b', planned) == ['"a""b" < 10', '"a""b" >= 10 AND "a""b" < 20', '"a""b" >= 20', '"a""b" IS NULL']
