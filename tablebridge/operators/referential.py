@@ -242,3 +242,85 @@ def _cyclic_closure(tables, links, root, doomed, keys) -> dict[str, DataFrame]:
             return gone
         for name, new in fresh.items():
             gone[name] = gone[name].unionByName(new) if name in gone else new
+
+
+class CascadeResult(NamedTuple):
+    """All tables after a delete, what it removed and rewrote, and the rows that forbid it by constraint.
+
+    When ``blocked`` holds rows the statement as a whole is refused, and ``tables`` are the inputs.
+    ``changed`` has the rewritten rows with their new values.
+    """
+
+    tables: dict[str, DataFrame]
+    deleted: dict[str, DataFrame]
+    changed: dict[str, DataFrame]
+    blocked: dict[str, DataFrame]
+
+
+def cascade_delete(tables: Mapping[str, DataFrame], foreign_keys: Mapping[str, Sequence[ForeignKey]], root: str,
+                   doomed: DataFrame, keys: Mapping[str, Sequence[str]],
+                   defaults: Mapping[str, Mapping[str, str]] | None = None, on_blocked: str = "error") -> CascadeResult:
+    """A delete from ``root`` through a graph of tables in which each foreign key has its own action.
+
+    ``foreign_keys`` lists the keys of each child table, ``keys`` the primary key of each table,
+    ``defaults`` the default expressions of a key's columns by its name. CASCADE carries the
+    deletion on, cycles included. SET NULL and SET DEFAULT stop it: the rows that are left get a
+    new key, where several keys write one column the first listed wins. RESTRICT refuses while
+    any row refers to a deleted one, NO ACTION while such a row is left at the end; a default
+    must exist among the parents that are left. A rewritten column that is itself referred to
+    would start a key update, which this does not do: an error.
+
+    Every table is read once for its new state and staged; what goes round a cycle are the rows
+    newly reached. NULL keys are spread by a hash of their row.
+    """
+    every = [(child, fk) for child, fks in foreign_keys.items() for fk in fks]
+    unknown = {n for child, fk in every for n in (child, fk.referenced_table)} | {root}
+    if unknown - set(tables):
+        raise QueryError(f"unknown tables {sorted(unknown - set(tables))}")
+    for child, fk in every:
+        require_columns(tables[child], fk.columns)
+        require_columns(tables[fk.referenced_table], fk.referenced_columns)
+        referred = {c for _, other in every if other.referenced_table == child for c in other.referenced_columns}
+        if fk.on_delete in (SET_NULL, SET_DEFAULT) and referred & set(fk.columns):
+            raise QueryError(f"foreign key {fk.name} would rewrite columns that other keys refer to")
+    links = [Link(child, fk.columns, fk.referenced_table, fk.referenced_columns) for child, fk in every if fk.on_delete == CASCADE]
+    gone = {n: stage(f, "deleted") for n, f in cascade_closure(tables, links, root, doomed, keys).items()}
+    active = [(child, fk) for child, fk in every if fk.referenced_table in gone]
+    after, changed, blocked = dict(tables), {}, {}
+    for name in {*gone, *(child for child, fk in active if fk.on_delete in (SET_NULL, SET_DEFAULT))}:
+        rewriting = [fk for child, fk in active if child == name and fk.on_delete in (SET_NULL, SET_DEFAULT)]
+        left = _spread(tables[name], keys[name], _keys(gone[name], keys[name]).distinct(), "left_anti") if name in gone else tables[name]
+        state = stage(_rewritten(left, rewriting, gone, defaults or {}), "cascade")
+        after[name] = state.drop("_changed")
+        if rewriting:
+            changed[name] = state.where("size(_changed) > 0").drop("_changed")
+        for fk in rewriting:
+            if fk.on_delete == SET_DEFAULT:
+                blocked[fk.name] = state.where(F.array_contains("_changed", fk.name) & ~any_null(fk.columns)).drop("_changed")
+    for child, fk in active:
+        dead = _keys(gone[fk.referenced_table], fk.referenced_columns)
+        if fk.on_delete in (RESTRICT, NO_ACTION):
+            looked = tables[child] if fk.on_delete == RESTRICT else after[child]
+            blocked[fk.name] = looked.join(dead, _pairs(fk.columns, dead.columns), "left_semi")
+        elif fk.on_delete == SET_DEFAULT:
+            there = _keys(after[fk.referenced_table], fk.referenced_columns)
+            blocked[fk.name] = blocked[fk.name].join(there, _pairs(fk.columns, there.columns), "left_anti")
+    blocked = {name: rows for name, rows in blocked.items() if not rows.isEmpty()}
+    if blocked and on_blocked == "error":
+        raise DdlError(f"foreign keys {sorted(blocked)}: child rows still refer to the deleted keys")
+    return CascadeResult(dict(tables) if blocked else after, gone, changed, blocked)
+
+
+def _rewritten(left: DataFrame, rewriting: Sequence[ForeignKey], gone: Mapping[str, DataFrame],
+               defaults: Mapping[str, Mapping[str, str]]) -> DataFrame:
+    """``left`` with the keys of deleted parents replaced, and in ``_changed`` the names of those foreign keys."""
+    marked = left
+    for i, fk in enumerate(rewriting):
+        dead = _keys(gone[fk.referenced_table], fk.referenced_columns).distinct()
+        marked = _spread(marked, fk.columns, dead.withColumn(f"_hit{i}", F.lit(True)), "left").drop(*dead.columns)
+    values: dict[str, Column] = {c: col(c) for c in left.columns}
+    for i, fk in reversed(list(enumerate(rewriting))):
+        new = _defaults(left, fk.columns, defaults.get(fk.name) if fk.on_delete == SET_DEFAULT else None)
+        values.update({c: F.when(F.col(f"_hit{i}"), new[c]).otherwise(values[c]) for c in fk.columns})
+    names = F.array(*[F.when(F.col(f"_hit{i}"), F.lit(fk.name)) for i, fk in enumerate(rewriting)]).cast("array<string>")
+    return marked.select(*[v.alias(c) for c, v in values.items()], F.array_compact(names).alias("_changed"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import functions as F
@@ -274,6 +275,61 @@ def cascade(spark, d):
     return out
 
 
+def _mixed(spark, d, order_action, line_action=m.NO_ACTION):
+    """Customers of a nation go; suppliers lose their nation, orders as their own key says."""
+    tables = {n: table(spark, d, n) for n in ("nation", "customer", "supplier", "orders", "lineitem")}
+    fks = {"customer": [m.ForeignKey("customer_nation", ["c_nationkey"], "nation", ["n_nationkey"], on_delete=m.CASCADE)],
+           "supplier": [m.ForeignKey("supplier_nation", ["s_nationkey"], "nation", ["n_nationkey"], on_delete=m.SET_NULL)],
+           "orders": [m.ForeignKey("order_customer", ["o_custkey"], "customer", ["c_custkey"], on_delete=order_action)],
+           "lineitem": [m.ForeignKey("line_order", ["l_orderkey"], "orders", ["o_orderkey"], on_delete=line_action),
+                        m.ForeignKey("line_supplier", ["l_suppkey"], "supplier", ["s_suppkey"], on_delete=m.RESTRICT)]}
+    keys = {"nation": ["n_nationkey"], "customer": ["c_custkey"], "supplier": ["s_suppkey"], "orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber"]}
+    fallback = tables["customer"].where("c_nationkey <> 3").agg(F.min("c_custkey")).first()[0]
+    return r.cascade_delete(tables, fks, "nation", tables["nation"].where("n_nationkey = 3"), keys,
+                            {"order_customer": {"o_custkey": str(fallback)}}, on_blocked="report")
+
+
+@query("cascade_delete_mixed", f"""
+SELECT 'nation' AS table_name, n_nationkey AS key, n_regionkey::BIGINT AS value FROM nation WHERE n_nationkey <> 3
+UNION ALL SELECT 'customer', c_custkey, c_nationkey FROM customer WHERE c_nationkey <> 3
+UNION ALL SELECT 'supplier', s_suppkey, nullif(s_nationkey, 3) FROM supplier
+UNION ALL SELECT 'orders', o_orderkey, CASE WHEN o_custkey IN ({_GONE}) THEN (SELECT min(c_custkey) FROM customer WHERE c_nationkey <> 3) ELSE o_custkey END FROM orders
+UNION ALL SELECT 'lineitem', l_orderkey, l_linenumber FROM lineitem
+UNION ALL SELECT 'changed supplier', s_suppkey, NULL FROM supplier WHERE s_nationkey = 3""")
+def cascade_mixed(spark, d):
+    """Four actions in one delete; the rows of every table after it."""
+    out = _mixed(spark, d, m.SET_DEFAULT)
+    shown = {"nation": ("n_nationkey", "n_regionkey"), "customer": ("c_custkey", "c_nationkey"), "supplier": ("s_suppkey", "s_nationkey"),
+             "orders": ("o_orderkey", "o_custkey"), "lineitem": ("l_orderkey", "l_linenumber")}
+    parts = [(n, out.tables[n], *c) for n, c in shown.items()] + [("changed supplier", out.changed["supplier"], *shown["supplier"])]
+    frames = [f.select(F.lit(n).alias("table_name"), F.col(k).cast("long").alias("key"), F.col(v).cast("long").alias("value")) for n, f, k, v in parts]
+    return reduce(lambda a, b: a.unionAll(b), frames)
+
+
+@query("cascade_delete_blocked", f"SELECT * FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey IN ({_GONE}))")
+def cascade_blocked(spark, d):
+    """Orders go with their customers, but their lines forbid it."""
+    return _mixed(spark, d, m.CASCADE).blocked["line_order"]
+
+
+_TEAM = "SELECT c_custkey, c_name, CASE WHEN c_custkey = 5 THEN 45 ELSE c_custkey // 3 END AS boss FROM customer"
+
+
+@query("cascade_delete_cyclic", f"""
+WITH RECURSIVE team AS ({_TEAM}), gone(c_custkey) AS (SELECT 15::BIGINT UNION SELECT t.c_custkey FROM team t JOIN gone g ON t.boss = g.c_custkey)
+SELECT 'team' AS table_name, c_custkey AS key, c_name AS name FROM team WHERE c_custkey IN (SELECT c_custkey FROM gone)
+UNION ALL SELECT 'orders', o_orderkey, o_orderpriority FROM orders WHERE o_custkey IN (SELECT c_custkey FROM gone)""")
+def cascade_cyclic(spark, d):
+    """Customers that answer to one another, three of them in a circle, and their orders."""
+    team = table(spark, d, "customer").select("c_custkey", "c_name", F.expr("CASE WHEN c_custkey = 5 THEN 45 ELSE c_custkey DIV 3 END").alias("boss"))
+    fks = {"team": [m.ForeignKey("team_boss", ["boss"], "team", ["c_custkey"], on_delete=m.CASCADE)],
+           "orders": [m.ForeignKey("order_team", ["o_custkey"], "team", ["c_custkey"], on_delete=m.CASCADE)]}
+    out = r.cascade_delete({"team": team, "orders": table(spark, d, "orders")}, fks, "team", team.where("c_custkey = 15"),
+                           {"team": ["c_custkey"], "orders": ["o_orderkey"]}).deleted
+    return (out["team"].select(F.lit("team").alias("table_name"), F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
+            .unionAll(out["orders"].select(F.lit("orders"), "o_orderkey", "o_orderpriority")))
+
+
 _ORDER_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
 _KEY_SETS = [s for width in (1, 2) for s in combinations(_ORDER_COLS, width)]
 

@@ -162,6 +162,43 @@ def test_cascade_over_a_cycle(spark):
         r.cascade_closure({}, [], "people", people, {})
 
 
+def test_cascade_with_an_action_for_each_key(spark):
+    """One row is reached by two keys, one key writes a column first, a cycle is cut by SET NULL."""
+    a = spark.createDataFrame([(1, 3), (2, None), (3, 1)], "id int, c int")
+    b = spark.createDataFrame([(10, 1, 1), (11, 1, 2), (12, 2, 1), (13, None, 2), (14, 9, None)], "id int, a1 int, a2 int")
+    tables, keys = {"a": a, "b": b}, {"a": ["id"], "b": ["id"]}
+
+    def fk(name, column, action, to="a"):
+        return m.ForeignKey(name, [column], to, ["id"], on_delete=action)
+
+    def run(doomed, *of_b, of_a=(), **more):
+        return r.cascade_delete(tables, {"b": of_b, "a": of_a}, "a", a.where(doomed), keys, **more)
+
+    out = run("id = 1", fk("f1", "a1", m.CASCADE), fk("f2", "a2", m.SET_NULL))
+    assert set(rows(out.tables["b"].where("id < 13"))) == {(12, 2, None)} and rows(out.deleted["b"]) == [(10, 1, 1), (11, 1, 2)]
+    assert rows(out.changed["b"]) == [(12, 2, None)] and out.tables["b"].count() == 3 and not out.blocked
+    out = run("id = 1", fk("f1", "a1", m.SET_DEFAULT), fk("f2", "a1", m.SET_NULL), defaults={"f1": {"a1": "2"}})
+    assert {x.id: x.a1 for x in out.tables["b"].collect()} == {10: 2, 11: 2, 12: 2, 13: None, 14: 9}
+    out = run("id = 1", fk("f1", "a1", m.SET_DEFAULT), defaults={"f1": {"a1": "1"}}, on_blocked="report")
+    assert sorted(x.id for x in out.blocked["f1"].collect()) == [10, 11] and out.tables["b"].count() == 5 and out.tables["a"].count() == 3
+    with pytest.raises(m.DdlError, match="f1"):
+        run("id = 1", fk("f1", "a1", m.NO_ACTION))
+    # A row that goes by another key does not block NO ACTION, but it blocks RESTRICT.
+    only = b.where("id = 10")
+    for action, names in ((m.NO_ACTION, set()), (m.RESTRICT, {"f2"})):
+        out = r.cascade_delete({"a": a, "b": only}, {"b": [fk("f1", "a1", m.CASCADE), fk("f2", "a2", action)]}, "a", a.where("id = 1"), keys, on_blocked="report")
+        assert set(out.blocked) == names
+    out = run("id = 3", of_a=[fk("f0", "c", m.CASCADE)])
+    assert sorted(x.id for x in out.deleted["a"].collect()) == [1, 3] and [x.id for x in out.tables["a"].collect()] == [2]
+    out = run("id = 3", of_a=[fk("f0", "c", m.SET_NULL)])
+    assert {x.id: x.c for x in out.tables["a"].collect()} == {1: None, 2: None}
+    assert run("id = 77", fk("f1", "a1", m.RESTRICT)).tables["a"].count() == 3
+    with pytest.raises(m.QueryError):
+        r.cascade_delete(tables, {"b": [fk("f1", "id", m.SET_NULL)], "a": [fk("f0", "c", m.CASCADE, "b")]}, "a", a, keys)
+    with pytest.raises(m.QueryError):
+        run("id = 1", fk("f1", "a1", m.CASCADE, "zz"))
+
+
 def test_discovery(spark, parent, child):
     assert rows(k.discover_keys(parent.withColumn("dup", F.lit(1)))) == [("id", 1), ("name", 1)]
     pairs = spark.createDataFrame([(1, 1, None), (1, 2, 5), (2, 1, 6)], "a int, b int, n int")
