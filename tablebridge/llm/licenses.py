@@ -9,7 +9,7 @@ dropped between them) are merged; the merged span, or a stretch of its diagonals
 when enough template places voted and the text span is about as long as the template. So
 repeated words, which chain many diagonals, hide neither an exact occurrence nor a close one.
 
-Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing. A null text has no
+Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z. A null text has no
 words, no labels and score 0. Repeated rows get one result each; rows that share an id but
 not the text are judged apart, null ids included; an empty table gives an empty result;
 other columns are not read, so their names cannot clash.
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,7 +66,7 @@ TEMPLATES = (
 
 
 def words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(text), NON_WORD), "")
+    return F.array_remove(F.split(F.translate(text, ascii_uppercase, ascii_lowercase), NON_WORD), "")
 
 
 def template_places(docs: DataFrame, templates: Sequence[Template]) -> DataFrame:

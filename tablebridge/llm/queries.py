@@ -56,15 +56,18 @@ v AS (SELECT doc_id, number, pos - place AS diagonal, list(DISTINCT place) AS pl
       FROM dp JOIN tp USING (pair) GROUP BY doc_id, number, diagonal),
 n AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER w > 2 THEN 1 ELSE 0 END AS new FROM v WINDOW w AS (PARTITION BY doc_id, number ORDER BY diagonal)),
 m AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, number ORDER BY diagonal) AS span FROM n),
-s AS (SELECT doc_id, label, base, pairs, needed, len(list_distinct(flatten(list(places)))) AS voted, max(l) - min(f) AS length,
+st AS (SELECT m.*, label, base, pairs, needed, len(list_distinct(flatten(list(places) OVER r))) AS sn, max(l) OVER r - min(f) OVER r AS sl
+       FROM m JOIN t USING (number) WINDOW r AS (PARTITION BY doc_id, number, span ORDER BY diagonal RANGE BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+q AS (SELECT *, CASE WHEN len(places) = pairs THEN pairs WHEN sn >= needed AND sl >= needed AND sl <= pairs + 4 THEN sn END AS near FROM st),
+s AS (SELECT doc_id, label, base, pairs, needed, len(list_distinct(flatten(list(places)))) AS voted, max(l) - min(f) AS length, max(near) AS near,
         count(*) FILTER (base AND len(places) = pairs) AS n_base, min(diagonal) FILTER (base AND len(places) = pairs) AS fw,
         max(diagonal) FILTER (base AND len(places) = pairs) AS lw
-      FROM m JOIN t USING (number) GROUP BY doc_id, number, span, label, base, pairs, needed),
-x AS (SELECT *, voted >= needed AND length >= needed AND length <= pairs + 4 AS verified FROM s),
+      FROM q GROUP BY doc_id, number, span, label, base, pairs, needed),
+x AS (SELECT *, voted >= needed AND length >= needed AND length <= pairs + 4 AS merged FROM s),
 a AS (SELECT doc_id, sum(n_base) AS n_base, min(fw) AS fw, max(lw) AS lw,
         array_to_string(list_sort(list(DISTINCT label) FILTER (n_base > 0)), ',') AS bl,
-        array_to_string(list_sort(list(DISTINCT label) FILTER (n_base > 0 OR (verified AND NOT base))), ',') AS al,
-        max(CASE WHEN n_base > 0 OR verified THEN voted / pairs ELSE voted / (2 * pairs) END) AS score FROM x GROUP BY doc_id)
+        array_to_string(list_sort(list(DISTINCT label) FILTER (n_base > 0 OR ((merged OR near IS NOT NULL) AND NOT base))), ',') AS al,
+        max(CASE WHEN n_base > 0 OR merged THEN voted / pairs ELSE coalesce(near / pairs, voted / (2 * pairs)) END) AS score FROM x GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, fw AS first_word, lw AS last_word,
   coalesce(bl, '') AS base_labels, coalesce(al, '') AS labels, coalesce(score, 0.0) AS score
 FROM d LEFT JOIN a USING (doc_id)"""

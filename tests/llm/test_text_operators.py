@@ -6,6 +6,7 @@ import re
 import time
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -13,7 +14,9 @@ import tokenizers
 from pyspark.sql import functions as F
 
 from edges import LONG, PLAIN, ROWS, edge_docs, frame, no_docs, prose, rows_of
+from oracle import compare
 from tablebridge.llm import boosting, bpe, char_cnn, intervals, licenses, pii, quality_rules, secrets, simple8b, token_files
+from tablebridge.llm import queries as llm_queries
 
 
 def sha(text):
@@ -84,6 +87,24 @@ def test_repeated_words_hide_no_license(spark):
     assert out[1].score == out[3].score == 1.0 and 0.75 <= out[4].score < 1
 
 
+def test_licenses_of_repetitive_texts_against_sql(spark):
+    """Random texts of a few template words chain many diagonals; operator and SQL judge them alike."""
+    rng = random.Random(5)
+    kinds = [["CC", "by", "nc", "sa", "-"], ["released", "under", "the", "MIT", "license", "x"], ["all", "rights", "reserved", "general", "public", "license"],
+             "redistribution and use in source and binary forms with or without modification are permitted".split()]
+    rows = [(0, "CC BY, CC BY, CC BY, CC BY-NC"), (1, "cc by cc by cc by sa"), (2, "a\u212b \u212aelvin cc BY"), (3, None), (4, "")]
+    for i in range(5, 400):
+        kind = rng.choice(kinds)
+        at = rng.randint(0, len(kind) - 1)
+        walk = [kind[(at + k + (rng.random() < 0.2)) % len(kind)] for k in range(rng.randint(1, 30))]
+        rows.append((i, " ".join(rng.choice(kind) if rng.random() < 0.25 else w for w in walk)))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert compare(licenses.scan_licenses(df), con, llm_queries.OP4_SQL) == ""
+
+
 def test_licenses_edges(spark):
     assert licenses.scan_licenses(edge_docs(spark)).count() == len(ROWS)
     assert licenses.scan_licenses(no_docs(spark)).count() == 0
