@@ -5,50 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablebridge.model import DdlError, Identity, QueryError, SequenceDef
 from tablebridge.operators.constraints import unique_violations
+from tablebridge.operators.discovery import discover_keys  # noqa: F401
 from tablebridge.sources.batches import number_rows, tie_columns, with_tie_break
 from tablebridge.sources.scan import col, require_columns
 
-SKETCH_ERROR = 0.02
-SAFE_SHARE = 0.8  # ten standard errors below: no true key is ever pruned
-
-
-def discover_keys(df: DataFrame, max_width: int = 2, columns: Sequence[str] | None = None) -> DataFrame:
-    """Minimal column sets that are unique and free of NULL, up to ``max_width`` columns.
-
-    One pass of distinct sketches and NULL counts drops the hopeless sets;
-    the rest is confirmed exactly, narrow sets first, all sets of a width in
-    one job. Supersets of a key are not listed.
-    """
-    orderable = [f.name for f in df.schema.fields
-                 if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
-    names = require_columns(df, columns) if columns else orderable
-    total, *nulls = df.agg(F.count(F.lit(1)), *[F.count_if(col(c).isNull()) for c in names]).first()
-    solid = [c for c, n in zip(names, nulls) if n == 0]
-    found: list[tuple[str, ...]] = []
-    for width in range(1, max_width + 1):
-        sets = [s for s in combinations(solid, width) if not any(set(k) <= set(s) for k in found)]
-        if not sets:
-            continue
-        sketch = [F.approx_count_distinct(col(s[0]) if width == 1 else F.struct(*[col(c) for c in s]), SKETCH_ERROR)
-                  for s in sets]
-        near = df.agg(*sketch).first()
-        hopeful = [s for s, n in zip(sets, near) if n >= SAFE_SHARE * total]
-        if not hopeful:
-            continue
-        repeated = [df.groupBy(*[col(c) for c in s]).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-                    .agg(F.count(F.lit(1)).alias("repeats")).select(F.lit(i).alias("i"), "repeats")
-                    for i, s in enumerate(hopeful)]
-        counts = {r.i: r.repeats for r in reduce(DataFrame.unionAll, repeated).collect()}
-        found += [s for i, s in enumerate(hopeful) if counts[i] == 0]
-    rows = [(",".join(s), len(s)) for s in found]
-    return df.sparkSession.createDataFrame(rows, "key_columns string, width int")
-
 
 def discover_foreign_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, str],
                           columns: Mapping[str, Sequence[str]] | None = None) -> DataFrame:

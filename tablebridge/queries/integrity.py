@@ -349,6 +349,29 @@ def find_keys(spark, d):
     return k.discover_keys(table(spark, d, "orders"), 2)
 
 
+_LINE_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+              "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _wide_key_sql(name: str, columns: tuple[str, ...], widest: int) -> str:
+    """Every set of at most ``widest`` columns without NULL and without two equal rows, unless a part of it is one."""
+    sets = [s for width in range(1, widest + 1) for s in combinations(columns, width)]
+    parts = [f"SELECT '{','.join(s)}' AS key_columns, {len(s)} AS width WHERE NOT EXISTS (SELECT 1 FROM {name} GROUP BY {', '.join(s)} "
+             f"HAVING count(*) > 1 OR {' OR '.join(c + ' IS NULL' for c in s)})" for s in sets]
+    return (f"WITH u AS MATERIALIZED ({' UNION ALL '.join(parts)}) SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM u p WHERE p.width < u.width "
+            "AND list_has_all(string_split(u.key_columns, ','), string_split(p.key_columns, ',')))")
+
+
+@query("discover_keys_orders_4", _wide_key_sql("orders", _ORDER_COLS, 4))
+def find_wide_keys_of_orders(spark, d):
+    return k.discover_keys(table(spark, d, "orders"), 4)
+
+
+@query("discover_keys_lineitem_4", _wide_key_sql("lineitem", _LINE_COLS, 4))
+def find_wide_keys_of_lines(spark, d):
+    return k.discover_keys(table(spark, d, "lineitem"), 4)
+
+
 @query("discover_keys_composite", """
 SELECT 'conv_id,turn' AS key_columns, 2 AS width WHERE (SELECT count(*) = count(DISTINCT (conv_id, turn)) FROM conversations)
 UNION ALL SELECT 'conv_id,role', 2 WHERE (SELECT count(*) = count(DISTINCT (conv_id, role)) FROM conversations)

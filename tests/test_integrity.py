@@ -1,10 +1,11 @@
 import random
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
 
 from tablebridge import model as m
-from tablebridge.operators import constraints as c, keys as k, profile, referential as r
+from tablebridge.operators import constraints as c, discovery, keys as k, profile, referential as r
 from tablebridge.plans.constraint_report import constraint_report
 
 
@@ -199,6 +200,41 @@ def test_cascade_with_an_action_for_each_key(spark):
         run("id = 1", fk("f1", "a1", m.CASCADE, "zz"))
 
 
+def brute_keys(table, names, widest):
+    solid = [i for i in range(len(names)) if all(r[i] is not None for r in table)]
+    found = []
+    for width in range(1, widest + 1):
+        for s in combinations(solid, width):
+            if not any(set(f) <= set(s) for f in found) and len({tuple(r[i] for i in s) for r in table}) == len(table):
+                found.append(s)
+    return sorted((",".join(names[i] for i in s), len(s)) for s in found)
+
+
+@pytest.mark.parametrize("domains, count", [((400, 20, 20, 400, 2, 60), 2_000), ((5, 60, 40, 9, 2, 3), 200), ((9, 9, 9, 9, 9, 9), 1), ((9, 9, 9, 9, 9, 9), 0)])
+def test_keys_of_any_width_equal_brute_force(spark, domains, count):
+    rnd = random.Random(count)
+    table = [(*(rnd.randrange(d) for d in domains), rnd.choice([None, 1])) for _ in range(count)]
+    names = ["a", "b", "set", "h", "c0", "n", "gaps"]
+    df = spark.createDataFrame(table, ", ".join(f"`{n}` int" for n in names))
+    assert rows(k.discover_keys(df, 4)) == brute_keys(table, names, 4)
+
+
+def test_keys_of_odd_values(spark):
+    twice = spark.createDataFrame([(1, "x"), (2, "y"), (1, "x")], "a int, b string")
+    assert rows(k.discover_keys(twice, 2)) == []
+    floats = spark.sql("SELECT * FROM VALUES (0.0D, 1), (double('-0.0'), 2), (double('NaN'), 1), (double('NaN'), 2) AS t(f, n)")
+    assert rows(k.discover_keys(floats, 2)) == [("f,n", 2)]
+
+
+def test_a_partition_is_the_table_of_all_supersets(spark, monkeypatch):
+    """Of 20,000 rows only those that share their pair with another one are read for wider sets."""
+    df = spark.range(20_000).selectExpr("id DIV 2 * 2 + IF(id < 19900, id % 2, 0) AS a", "id % 7 AS b", "IF(id < 19900, 0, id % 2) AS c")
+    kept = []
+    monkeypatch.setattr(discovery, "_keyed", lambda r, s, p, keyed=discovery._keyed: kept.append((bool(p), r.count())) or keyed(r, s, p))
+    assert rows(k.discover_keys(df, 3)) == [("a,b", 2), ("a,c", 2)]
+    assert [n for refined, n in kept if refined] == [100]
+
+
 def test_discovery(spark, parent, child):
     assert rows(k.discover_keys(parent.withColumn("dup", F.lit(1)))) == [("id", 1), ("name", 1)]
     pairs = spark.createDataFrame([(1, 1, None), (1, 2, 5), (2, 1, 6)], "a int, b int, n int")
