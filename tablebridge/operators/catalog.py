@@ -1,7 +1,9 @@
 """Reflection of many databases at once: joins over catalogue snapshot tables.
 
 Every frame carries ``source_id``. Results have the same columns for both
-engines. Scoping to a schema or table filters the snapshots before any join.
+engines. Scoping to a schema or table filters the snapshots before any join:
+attributes, indexes and enum labels, which carry only ids, are reduced to the
+scoped relations by semi-joins before they are aggregated.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tablebridge.model import ReflectionError
-from tablebridge.operators.typemap import computed, map_mysql_types, map_pg_types
+from tablebridge.operators.typemap import computed, map_mysql_types, map_pg_types, pg_type_names
 
 TABLE_KEY = ["source_id", "schema_name", "table_name"]
 
@@ -153,14 +155,21 @@ def reflect_enums(cat: PgCatalog, scope: Scope = ALL) -> DataFrame:
     return _enum_labels(cat, scope).where(_user_schema(F.col("schema_name")))
 
 
-def _enum_labels(cat: PgCatalog, scope: Scope = ALL) -> DataFrame:
-    """Labels of the enum types of all schemas, which columns of any schema can name."""
+def _enum_labels(cat: PgCatalog, scope: Scope = ALL, named: DataFrame | None = None) -> DataFrame:
+    """Labels of the enum types of all schemas, which columns of any schema can name.
+
+    ``named`` (source_id, type_name) leaves only types of these names.
+    """
     shape = "source_id string, schema_name string, type_name string, labels array<string>"
     if cat.enum is None or cat.type_ is None:
         return _empty(cat.class_, shape)
     ns = scope.of(cat.namespace, "nspname").select("source_id", F.col("oid").alias("typnamespace"), F.col("nspname").alias("schema_name"))
     types = cat.type_.select("source_id", F.col("oid").alias("enumtypid"), F.col("typname").alias("type_name"), "typnamespace")
-    labels = (cat.enum.groupBy("source_id", "enumtypid")
+    values = cat.enum
+    if named is not None:
+        types = types.join(named, ["source_id", "type_name"], "left_semi")
+        values = values.join(types, ["source_id", "enumtypid"], "left_semi")
+    labels = (values.groupBy("source_id", "enumtypid")
               .agg(F.transform(F.array_sort(F.collect_list(F.struct("enumsortorder", "enumlabel"))),
                                lambda x: x["enumlabel"]).alias("labels")))
     return (labels.join(types, ["source_id", "enumtypid"]).join(ns, ["source_id", "typnamespace"])
@@ -174,8 +183,12 @@ def _pg_columns(cat: PgCatalog, scope: Scope, kinds: tuple[str, ...]) -> DataFra
     flat = live.join(rel, ["source_id", "attrelid"]).select(
         *TABLE_KEY, F.col("attname").alias("column_name"), F.col("attnum").cast("int").alias("ordinal"), "native_type",
         (~F.col("attnotnull")).alias("nullable"), "default_expr", identity.alias("identity"), "comment")
-    # Enum types of other schemas can be named, so labels are not scoped.
-    return map_pg_types(flat, _enum_labels(cat))
+    return map_pg_types(flat, _labels_for(cat, scope, flat))
+
+
+def _labels_for(cat: PgCatalog, scope: Scope, columns: DataFrame) -> DataFrame:
+    """Enum types of other schemas can be named too, so a scope takes them by name."""
+    return _enum_labels(cat) if scope == ALL else _enum_labels(cat, named=pg_type_names(columns))
 
 
 def reflect_columns(cat: Catalog, scope: Scope = ALL) -> DataFrame:
@@ -196,9 +209,16 @@ def _mysql_columns(cat: MysqlCatalog, scope: Scope) -> DataFrame:
     return map_mysql_types(flat)
 
 
-def _attribute_names(cat: PgCatalog) -> DataFrame:
-    """Per relation a map from attribute number to name (an engine allows 1,600)."""
-    return (cat.attribute.groupBy("source_id", "attrelid")
+def _attribute_names(cat: PgCatalog, scope: Scope, relations: DataFrame, key: str) -> DataFrame:
+    """Per relation a map ``names`` from attribute number to name (an engine allows 1,600), keyed by ``key``.
+
+    A scope reads the attributes of ``relations`` alone.
+    """
+    attributes = cat.attribute
+    if scope != ALL:
+        wanted = relations.select("source_id", F.col(key).alias("attrelid"))
+        attributes = attributes.join(wanted, ["source_id", "attrelid"], "left_semi")
+    return (attributes.groupBy("source_id", F.col("attrelid").alias(key))
             .agg(F.map_from_entries(F.collect_list(F.struct(F.col("attnum").cast("int"), "attname"))).alias("names")))
 
 
@@ -214,8 +234,8 @@ def _pg_constraints(cat: PgCatalog, scope: Scope, kind: str) -> DataFrame:
 def _pg_keys(cat: PgCatalog, scope: Scope, kind: str) -> DataFrame:
     if cat.constraint is None:
         return _empty(cat.class_, "source_id string, schema_name string, table_name string, constraint_name string, columns array<string>")
-    names = _attribute_names(cat).withColumnRenamed("attrelid", "conrelid")
-    return (_pg_constraints(cat, scope, kind).join(names, ["source_id", "conrelid"])
+    constraints = _pg_constraints(cat, scope, kind)
+    return (constraints.join(_attribute_names(cat, scope, constraints, "conrelid"), ["source_id", "conrelid"])
             .select(*TABLE_KEY, F.col("conname").alias("constraint_name"),
                     F.array_compact(_named(F.col("names"), F.col("conkey"))).alias("columns")))
 
@@ -242,7 +262,7 @@ def reflect_unique_constraints(cat: Catalog, scope: Scope = ALL) -> DataFrame:
     if cat.table_constraints is None or cat.key_column_usage is None:
         return _empty(cat.tables, "source_id string, schema_name string, table_name string, constraint_name string, columns array<string>")
     unique = _mysql_user(scope.of(cat.table_constraints, "table_schema", "table_name"), "table_schema").where("constraint_type = 'UNIQUE'")
-    uses = cat.key_column_usage.select("source_id", "constraint_schema", "table_name", "constraint_name", "column_name", "ordinal_position")
+    uses = scope.of(cat.key_column_usage, "constraint_schema", "table_name").select("source_id", "constraint_schema", "table_name", "constraint_name", "column_name", "ordinal_position")
     return (unique.join(uses, ["source_id", "constraint_schema", "table_name", "constraint_name"])
             .groupBy("source_id", F.col("table_schema").alias("schema_name"), "table_name", "constraint_name")
             .agg(F.transform(_in_order("ordinal_position", "column_name"), lambda x: x["column_name"]).alias("columns")))
@@ -267,9 +287,9 @@ def _resolved(names: Column, numbers: Column, constraint: Column) -> Column:
     return F.when(gap, F.raise_error(message).cast("array<string>")).otherwise(found)
 
 
-def _fk_targets(cat: PgCatalog, constraints: DataFrame) -> DataFrame:
+def _fk_targets(cat: PgCatalog, scope: Scope, constraints: DataFrame) -> DataFrame:
     """Foreign keys with their referenced table and columns and both actions."""
-    other = _attribute_names(cat).select("source_id", F.col("attrelid").alias("confrelid"), F.col("names").alias("ref_names"))
+    other = _attribute_names(cat, scope, constraints, "confrelid").withColumnRenamed("names", "ref_names")
     ref_ns = cat.namespace.select("source_id", F.col("oid").alias("relnamespace"), F.col("nspname").alias("referenced_schema"))
     ref = (cat.class_.where("relkind IN ('r', 'p')")
            .select("source_id", F.col("oid").alias("confrelid"), "relnamespace", F.col("relname").alias("referenced_table"))
@@ -287,8 +307,9 @@ def _fk_targets(cat: PgCatalog, constraints: DataFrame) -> DataFrame:
 def _pg_foreign_keys(cat: PgCatalog, scope: Scope) -> DataFrame:
     if cat.constraint is None:
         return _empty(cat.class_, FK_SHAPE)
-    own = _attribute_names(cat).select("source_id", F.col("attrelid").alias("conrelid"), F.col("names").alias("own_names"))
-    return (_fk_targets(cat, _pg_constraints(cat, scope, "f")).join(own, ["source_id", "conrelid"], "left")
+    constraints = _pg_constraints(cat, scope, "f")
+    own = _attribute_names(cat, scope, constraints, "conrelid").withColumnRenamed("names", "own_names")
+    return (_fk_targets(cat, scope, constraints).join(own, ["source_id", "conrelid"], "left")
             .select(*TABLE_KEY, F.col("conname").alias("constraint_name"),
                     _resolved(F.col("own_names"), F.col("conkey"), F.col("conname")).alias("columns"),
                     "referenced_schema", "referenced_table", "referenced_columns", "on_delete", "on_update"))
@@ -304,7 +325,7 @@ def _mysql_foreign_keys(cat: MysqlCatalog, scope: Scope) -> DataFrame:
         return _empty(cat.tables, FK_SHAPE)
     uses = _mysql_user(scope.of(cat.key_column_usage, "table_schema", "table_name"), "table_schema").where(
         F.col("referenced_table_name").isNotNull())
-    rules = cat.referential_constraints.select("source_id", "constraint_schema", "table_name", "constraint_name", "update_rule", "delete_rule")
+    rules = scope.of(cat.referential_constraints, "constraint_schema", "table_name").select("source_id", "constraint_schema", "table_name", "constraint_name", "update_rule", "delete_rule")
 
     grouped = (uses.groupBy("source_id", "constraint_schema", F.col("table_schema").alias("schema_name"), "table_name", "constraint_name",
                             F.col("referenced_table_schema").alias("referenced_schema"), F.col("referenced_table_name").alias("referenced_table"))
@@ -333,7 +354,7 @@ def reflect_check_constraints(cat: Catalog, scope: Scope = ALL) -> DataFrame:
     if cat.check_constraints is None or cat.table_constraints is None:
         return _empty(cat.tables, shape)
     rows = _mysql_user(scope.of(cat.table_constraints, "table_schema", "table_name"), "table_schema").where("constraint_type = 'CHECK'")
-    clauses = cat.check_constraints.select("source_id", "constraint_schema", "table_name", "constraint_name", "check_clause")
+    clauses = scope.of(cat.check_constraints, "constraint_schema", "table_name").select("source_id", "constraint_schema", "table_name", "constraint_name", "check_clause")
     return (rows.join(clauses, ["source_id", "constraint_schema", "table_name", "constraint_name"])
             .select("source_id", F.col("table_schema").alias("schema_name"), "table_name", "constraint_name",
                     F.col("check_clause").alias("expression")))
@@ -356,11 +377,11 @@ def reflect_indexes(cat: Catalog, scope: Scope = ALL) -> DataFrame:
     return _pg_indexes(cat, scope) if isinstance(cat, PgCatalog) else _mysql_indexes(cat, scope)
 
 
-def _plain_indexes(cat: PgCatalog, backing_too: bool = False) -> DataFrame:
+def _plain_indexes(cat: PgCatalog, indexes: DataFrame, backing_too: bool = False) -> DataFrame:
     own = cat.class_.where("relkind IN ('i', 'I')").select(
         "source_id", F.col("oid").alias("indexrelid"), F.col("relname").alias("index_name"), F.col("relam").alias("amoid"))
     method = cat.am.select("source_id", F.col("oid").alias("amoid"), F.col("amname").alias("method"))
-    plain = cat.index.where("NOT indisprimary")
+    plain = indexes.where("NOT indisprimary")
     if cat.constraint is not None and not backing_too:
         backing = cat.constraint.where("conindid IS NOT NULL").select("source_id", F.col("conindid").alias("indexrelid"))
         plain = plain.join(backing, ["source_id", "indexrelid"], "left_anti")
@@ -379,8 +400,9 @@ def _pg_indexes(cat: PgCatalog, scope: Scope) -> DataFrame:
     if cat.index is None or cat.am is None:
         return _empty(cat.class_, INDEX_SHAPE)
     rel = _relations(cat, scope, ("r", "p")).select(*TABLE_KEY, F.col("oid").alias("indrelid"))
-    names = _attribute_names(cat).withColumnRenamed("attrelid", "indrelid")
-    return (_plain_indexes(cat).join(rel, ["source_id", "indrelid"]).join(names, ["source_id", "indrelid"])
+    names = _attribute_names(cat, scope, rel, "indrelid")
+    own = cat.index if scope == ALL else cat.index.join(rel, ["source_id", "indrelid"], "left_semi")
+    return (_plain_indexes(cat, own).join(rel, ["source_id", "indrelid"]).join(names, ["source_id", "indrelid"])
             .select(*TABLE_KEY, "index_name", _index_columns(F.col("names"), F.col("indkey"), F.col("indoption")).alias("columns"),
                     F.col("indisunique").alias("is_unique"), "method"))
 
@@ -396,7 +418,7 @@ def _mysql_indexes(cat: MysqlCatalog, scope: Scope) -> DataFrame:
         return _empty(cat.tables, INDEX_SHAPE)
     rows = _mysql_user(scope.of(cat.statistics, "table_schema", "table_name"), "table_schema").where("index_name <> 'PRIMARY'")
     if cat.table_constraints is not None:
-        backing = cat.table_constraints.where("constraint_type = 'UNIQUE'").select(
+        backing = scope.of(cat.table_constraints, "table_schema", "table_name").where("constraint_type = 'UNIQUE'").select(
             "source_id", "table_schema", "table_name", F.col("constraint_name").alias("index_name"))
         rows = rows.join(backing, ["source_id", "table_schema", "table_name", "index_name"], "left_anti")
     parts = rows.withColumn("descending", _descending(rows))
@@ -649,16 +671,16 @@ def _assemble_pg(cat: PgCatalog, scope: Scope) -> DataFrame:
                           "native_type", (~F.col("attnotnull")).alias("nullable"), "default_expr", identity.alias("identity"), "comment",
                           "attisdropped"))
     fields = ["ordinal", "column_name", "native_type", "nullable", "default_expr", "identity", "comment", "t"]
-    parts = [map_pg_types(attributes, _enum_labels(cat)).select(*key, F.struct(*fields, "attisdropped").alias("attribute"))]
+    parts = [map_pg_types(attributes, _labels_for(cat, scope, attributes)).select(*key, F.struct(*fields, "attisdropped").alias("attribute"))]
     if cat.constraint is not None:
         con = within(cat.constraint.where("contype IN ('p', 'u', 'c', 'x')"), "conrelid")
         parts.append(con.select(*key, F.struct(F.col("conname").alias("constraint_name"), "contype", "conkey", "definition", "conindid").alias("con")))
-        parts.append(_fk_targets(cat, within(cat.constraint.where("contype = 'f'"), "conrelid")).select(*key, F.struct(
+        parts.append(_fk_targets(cat, scope, within(cat.constraint.where("contype = 'f'"), "conrelid")).select(*key, F.struct(
             F.col("conname").alias("constraint_name"), "conkey", "referenced_schema", "referenced_table", "referenced_columns",
             "on_delete", "on_update").alias("fk")))
     if cat.index is not None and cat.am is not None:
         # A constraint's index belongs to its own table, so the row itself can tell.
-        parts.append(within(_plain_indexes(cat, backing_too=True), "indrelid").select(*key, F.struct(
+        parts.append(_plain_indexes(cat, within(cat.index, "indrelid"), backing_too=True).select(*key, F.struct(
             "index_name", "indkey", "indoption", F.col("indisunique").alias("is_unique"), "method", "indexrelid").alias("ix")))
     if cat.trigger is not None and cat.proc is not None:
         parts.append(within(_plain_triggers(cat), "tgrelid").select(*key, F.struct(

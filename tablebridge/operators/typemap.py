@@ -136,6 +136,12 @@ def _pg_struct(parts: DataFrame, name: str) -> DataFrame:
                       binary=base == "jsonb", subtype=F.lit(None).cast("string"), native=F.col("_text"))
 
 
+def pg_type_names(columns: DataFrame, native: str = "native_type") -> DataFrame:
+    """The distinct names (source_id, type_name) that types of columns end in, built-in ones included."""
+    bare = F.replace(F.col("_name"), F.lit('"'), F.lit(""))
+    return _pg_parts(columns, native).select("source_id", F.substring_index(bare, ".", -1).alias("type_name")).distinct()
+
+
 def map_pg_types(columns: DataFrame, enum_labels: DataFrame | None = None, native: str = "native_type",
                  name: str = "t") -> DataFrame:
     """Add the canonical struct of each PostgreSQL type.

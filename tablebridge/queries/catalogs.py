@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from tablebridge.operators import catalog as c, ddl, typemap as t
 from tablebridge.operators.verify import schema_diff
-from tablebridge.queries.registry import query
+from tablebridge.queries.registry import ORACLES, query, table
 from tablebridge.queries.snapshots import MYSQL, PG, mysql_catalog, oracle, pg_catalog
 from tablebridge.sources.scan import readable_select_list
 
@@ -317,6 +319,108 @@ def assembled_mysql(spark, d):
                       F.size("triggers").alias("triggers"), "comment")
 
 
+# What a scope holds, part by part: the query that lists the part, its column in an assembled row, its fields.
+_PARTS = {
+    "columns": ("reflect_columns", ("column_name", "ordinal", "native_type", "nullable", "default_expr", "identity", "comment")),
+    "primary_key": ("reflect_primary_keys", ("constraint_name", "columns")),
+    "foreign_keys": ("reflect_foreign_keys", ("constraint_name", "columns", "referenced_schema", "referenced_table", "referenced_columns", "on_delete", "on_update")),
+    "unique_constraints": ("reflect_unique_constraints", ("constraint_name", "columns")),
+    "check_constraints": ("reflect_check_constraints", ("constraint_name", "expression")),
+    "exclusion_constraints": ("reflect_exclusion_constraints", ("constraint_name", "definition")),
+    "indexes": ("reflect_indexes", ("index_name", "columns", "is_unique", "method")),
+    "triggers": ("reflect_triggers", ("trigger_name", "timing", "events", "function_name", "body")),
+}
+_SCHEMA = "app_7"
+
+
+def _scoped_sql(engine: str, one_table: bool) -> str:
+    """All parts of a scope's tables from the SQL of the whole parts."""
+    ending = "_mysql" if engine == "mysql" else ""
+    inside = f"t.schema_name = '{_SCHEMA}'" + (f" AND t.table_name = ({_FIRST_TABLE})" if one_table else "")
+    lists = []
+    for part, (name, fields) in _PARTS.items():
+        sql = ORACLES.get(name + ending)
+        item = "concat_ws(' : ', " + ", ".join(f"coalesce(x.{f}::VARCHAR, '-')" for f in fields) + ")"
+        lists.append(f"coalesce((SELECT string_agg({item}, ' ; ' ORDER BY {item}) FROM ({sql}) x WHERE x.source_id = t.source_id "
+                     f"AND x.schema_name = t.schema_name AND x.table_name = t.table_name), '') AS {part}" if sql else f"'' AS {part}")
+    return f"SELECT t.*, {', '.join(lists)} FROM ({ORACLES['reflect_tables' + ending]}) t WHERE {inside}"
+
+
+_FIRST_TABLE = "SELECT 't_' || min(o_orderkey) FROM orders WHERE o_custkey = 7 AND o_orderstatus = 'O'"
+
+
+def _one_table(spark, d) -> c.Scope:
+    orders = table(spark, d, "orders").where("o_custkey = 7 AND o_orderstatus = 'O'")
+    return c.Scope(_SCHEMA, f"t_{orders.agg(F.min('o_orderkey')).first()[0]}")
+
+
+def _part_texts(assembled):
+    """The nested parts of each table as sorted text."""
+    types = {f.name: f.dataType for f in assembled.schema.fields}
+
+    def text(x, name: str, data_type):
+        if data_type.typeName() == "array" and data_type.elementType.typeName() == "struct":
+            x = F.transform(x, lambda y: F.concat(y["name"], F.when(y["descending"], " desc").otherwise("")))
+        if data_type.typeName() == "array":
+            x = F.array_join(x, ",")
+        return F.coalesce(x.cast("string"), F.lit("-"))
+
+    def whole(part: str, fields):
+        data_type = types[part]
+        single = data_type.typeName() == "struct"
+        entries = F.array_compact(F.array(part)) if single else F.col(part)
+        shape = data_type if single else data_type.elementType
+        items = F.transform(entries, lambda x: F.concat_ws(" : ", *[text(x[f], f, shape[f].dataType) for f in fields]))
+        return F.array_join(F.array_sort(items), " ; ").alias(part)
+
+    head = [*c.TABLE_KEY, "partition_key", "parent_schema", "parent_table", "comment"]
+    return assembled.select(*head, *[whole(p, f) for p, (_, f) in _PARTS.items()])
+
+
+@query("assemble_catalog_schema", _scoped_sql("postgres", False))
+def assembled_schema(spark, d):
+    """One schema of every source, each part in full."""
+    return _part_texts(c.assemble_catalog(pg_catalog(spark, d), c.Scope(_SCHEMA)))
+
+
+@query("assemble_catalog_table", _scoped_sql("postgres", True))
+def assembled_table(spark, d):
+    return _part_texts(c.assemble_catalog(pg_catalog(spark, d), _one_table(spark, d)))
+
+
+@query("assemble_catalog_schema_mysql", _scoped_sql("mysql", False))
+def assembled_schema_mysql(spark, d):
+    return _part_texts(c.assemble_catalog(mysql_catalog(spark, d), c.Scope(_SCHEMA)))
+
+
+@query("assemble_catalog_table_mysql", _scoped_sql("mysql", True))
+def assembled_table_mysql(spark, d):
+    return _part_texts(c.assemble_catalog(mysql_catalog(spark, d), _one_table(spark, d)))
+
+
+def _reflected_sql() -> str:
+    """One line for each key, foreign key, index and column of the scope."""
+    parts = []
+    for part in ("columns", "primary_key", "foreign_keys", "indexes"):
+        name, fields = _PARTS[part]
+        item = "concat_ws(' : ', " + ", ".join(f"coalesce({f}::VARCHAR, '-')" for f in fields) + ")"
+        parts.append(f"SELECT '{part}' AS part, source_id, table_name, {item} AS item FROM ({ORACLES[name]}) x WHERE schema_name = '{_SCHEMA}'")
+    return " UNION ALL ".join(parts)
+
+
+@query("reflect_schema_scope", _reflected_sql())
+def reflected_schema(spark, d):
+    """Columns, keys and indexes of one schema; attributes and indexes of others are not aggregated."""
+    cat, scope = pg_catalog(spark, d), c.Scope(_SCHEMA)
+    frames = {"columns": c.reflect_columns(cat, scope), "primary_key": _joined(c.reflect_primary_keys(cat, scope), "columns"),
+              "foreign_keys": _joined(c.reflect_foreign_keys(cat, scope), "columns", "referenced_columns"),
+              "indexes": _index_text(c.reflect_indexes(cat, scope))}
+    lines = [df.select(F.lit(part).alias("part"), "source_id", "table_name",
+                       F.concat_ws(" : ", *[F.coalesce(F.col(f).cast("string"), F.lit("-")) for f in _PARTS[part][1]]).alias("item"))
+             for part, df in frames.items()]
+    return reduce(DataFrame.unionAll, lines)
+
+
 def _ddl_sql(engine: str, quote: str, types: str, native: str) -> str:
     def q(text: str) -> str:
         return f"'{quote}' || {text} || '{quote}'"

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -156,6 +158,24 @@ def test_assembled_equals_the_parts(pg):
         c.assemble_catalog(pg, c.Scope("app", "nope"))
 
 
+def test_scopes_filter_before_aggregation(spark, pg):
+    """A scope aggregates its own attributes and labels alone, and types of other schemas keep their labels."""
+    more = spark.createDataFrame([("s", 40, "color", 3), ("s", 41, "color", 1), ("s", 42, "unused", 1)], "source_id string, oid long, typname string, typnamespace long")
+    labels = spark.createDataFrame([("s", 40, "red", 1.0), ("s", 41, "blue", 1.0), ("s", 42, "x", 1.0)], "source_id string, enumtypid long, enumlabel string, enumsortorder float")
+    attribute = pg.attribute.withColumn("native_type", F.when(F.col("attname") == "code", "pg_toast_9.color[]").when(F.col("attname") == "parent_id", "color").otherwise(F.col("native_type")))
+    cat = replace(pg, type_=more, enum=labels, attribute=attribute)
+    scope = c.Scope("app", "child")
+    found = {r.column_name: r.t.labels for r in c.reflect_columns(cat, scope).collect()}
+    assert found == {"id": None, "parent_id": ["blue"], "code": ["red"]}
+    for reflect in (c.reflect_columns, c.reflect_primary_keys, c.reflect_foreign_keys, c.reflect_indexes, c.reflect_unique_constraints):
+        key = lambda r: str(r)
+        whole = [r for r in reflect(cat).collect() if r.table_name == "child" and r.source_id == "s"]
+        assert sorted(reflect(cat, scope).collect(), key=key) == sorted(whole, key=key)
+    wide = c._attribute_names(cat, scope, c._relations(cat, scope, ("r", "p")).withColumnRenamed("oid", "conrelid"), "conrelid")
+    assert [r.conrelid for r in wide.collect()] == [11]
+    assert {r.type_name for r in c._labels_for(cat, scope, c.reflect_columns(cat, scope)).collect()} == {"color"}
+
+
 def test_missing_snapshots_read_as_empty(pg):
     bare = c.PgCatalog(pg.namespace, pg.class_, pg.attribute)
     for reflect in (c.reflect_primary_keys, c.reflect_foreign_keys, c.reflect_unique_constraints, c.reflect_check_constraints, c.reflect_exclusion_constraints,
