@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablebridge.functions.floats import bitwise_equal, float_bits, float_key_text
-from tablebridge.operators import verify as v
+from tablebridge.operators import hashtree, verify as v
 from tablebridge.queries.registry import query, table
+from tablebridge.session import staging_path
 from tablebridge.sources import tiles
+from tablebridge.sources.tileindex import plan_tile_frame
 
 # A damaged copy: cheap urgent orders lost, statuses of dear orders changed,
 # prices of one day's orders raised, extra rows with keys past the end.
@@ -55,6 +57,50 @@ def bisect(spark, d):
     return out.select("o_orderkey", "change", F.array_join("changed_columns", ",").alias("changed_columns"))
 
 
+def _trees(a, b, columns, n):
+    leaves = plan_tile_frame(a, columns, n)
+    return leaves, *[hashtree.write_hash_tree(df, columns, leaves, staging_path(a.sparkSession, "tree")) for df in (a, b)]
+
+
+@query("hash_tree_diff", _DIFF_SQL)
+def tree_diff(spark, d):
+    a, b = _orig(spark, d), _copy(spark, d)
+    out = hashtree.hash_tree_diff(a, b, ["o_orderkey"], *_trees(a, b, ["o_orderkey"], 1_000))
+    return out.select("o_orderkey", "change", F.array_join("changed_columns", ",").alias("changed_columns"))
+
+
+_LAST_LINES = "SELECT max(l_orderkey) FROM lineitem"
+
+
+@query("hash_tree_one_leaf", f"""
+WITH x AS (SELECT count(*) AS n, count(*) FILTER (WHERE l_orderkey IN ({_LAST_LINES})) AS changed FROM lineitem)
+SELECT 1::BIGINT AS leaves, TRUE AS few_rows_read, changed AS lost, 0::BIGINT AS added FROM x""")
+def one_leaf(spark, d):
+    """The last order's lines lost: of 500 leaves one differs, and its rows alone are compared."""
+    a = table(spark, d, "lineitem")
+    last = a.agg(F.max("l_orderkey")).first()[0]
+    b = a.where(F.col("l_orderkey") != last)
+    leaves, tree_a, tree_b = _trees(a, b, ["l_orderkey"], 500)
+    bad = hashtree.differing_leaves(tree_a, tree_b)
+    # A tile is off by both ends' rank error at most, and keys of up to some dozen lines are not cut.
+    found = bad.agg(F.lit(1).alias("_one"), F.count(F.lit(1)).alias("leaves"), (F.sum("rows_a") <= 64 + a.count() // 100).alias("few_rows_read"))
+    parts = [hashtree.rows_of_leaves(df, ["l_orderkey"], leaves, bad) for df in (a, b)]
+    lines = v.multiset_diff(*parts).agg(F.lit(1).alias("_one"), F.sum("copies_a").alias("lost"), F.sum("copies_b").alias("added"))
+    return found.join(lines, "_one").drop("_one")
+
+
+@query("hash_tree_diff_composite", """
+SELECT c_nationkey, c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN 'only_a' ELSE 'changed' END AS change, CASE WHEN c_mktsegment <> 'BUILDING' THEN 'c_name' END AS changed_columns
+FROM customer WHERE c_mktsegment = 'BUILDING' OR c_acctbal > 9000""")
+def tree_diff_composite(spark, d):
+    """A text-free composite key in the order of the nations."""
+    a = table(spark, d, "customer")
+    b = a.where("c_mktsegment <> 'BUILDING'").withColumn("c_name", F.expr("IF(c_acctbal > 9000, upper(c_name) || '!', c_name)"))
+    key = ["c_nationkey", "c_custkey"]
+    out = hashtree.hash_tree_diff(a, b, key, *_trees(a, b, key, 300))
+    return out.select(*key, "change", F.array_join("changed_columns", ",").alias("changed_columns"))
+
+
 @query("multiset_diff", """
 WITH b AS (SELECT * FROM lineitem WHERE l_quantity < 49 UNION ALL SELECT * FROM lineitem WHERE l_quantity < 2),
  u AS (SELECT *, 1 AS x, 0 AS y FROM lineitem UNION ALL SELECT *, 0, 1 FROM b)

@@ -3,7 +3,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
 from tablebridge.model import QueryError
-from tablebridge.operators import verify as v
+from tablebridge.operators import hashtree as h, verify as v
+from tablebridge.sources.tileindex import plan_tile_frame
 
 SHAPE = "id int, d double, a array<double>, s string"
 NAN = float("nan")
@@ -90,6 +91,50 @@ def test_bisect_finds_null_keys(spark):
     assert [x.change for x in v.bisect_diff(a, b, "k", 3).collect()] == ["changed"]
 
 
+def trees(a, b, key, n, folder):
+    leaves = plan_tile_frame(a, key, n)
+    return leaves, *[h.write_hash_tree(df, key, leaves, f"{folder}/{name}") for name, df in (("a", a), ("b", b))]
+
+
+def test_one_changed_row_is_found_in_one_leaf(spark, tmp_path):
+    a = spark.range(50_000).selectExpr("id AS k", "id % 7 AS v", "CAST(id AS STRING) AS s")
+    b = a.withColumn("v", F.expr("IF(k = 31234, -1, v)"))
+    leaves, tree_a, tree_b = trees(a, b, ["k"], 400, tmp_path)
+    assert sorted(r.level for r in tree_a.select("level").distinct().collect()) == [0, 1, 2, 3]
+    [leaf] = h.differing_leaves(tree_a, tree_b).collect()
+    assert leaf.rows_a == leaf.rows_b and 50 < leaf.rows_a < 300
+    part = h.rows_of_leaves(a, ["k"], leaves, h.differing_leaves(tree_a, tree_b))
+    assert part.count() == leaf.rows_a
+    assert [(r.k, r.change, r.changed_columns) for r in h.hash_tree_diff(a, b, ["k"], leaves, tree_a, tree_b).collect()] == [(31234, "changed", ["v"])]
+    assert h.differing_leaves(tree_a, tree_a).count() == 0
+
+
+@pytest.mark.parametrize("key, n, step", [(["k"], 200, 5), (["k"], 200, 450), (["g", "k"], 200, 5), (["g", "k"], 150, 450)])
+def test_tree_diff_equals_full_diff(spark, tmp_path, key, n, step):
+    """Changes in more runs of leaves than a filter names and in a few, with NULL keys, a lost and an extra range, names that clash."""
+    a = spark.range(6_000).selectExpr("IF(id % 1000 = 7, NULL, IF(id % 2 = 0, 'x', 'y')) AS g", "IF(id = 77, NULL, id) AS k", "id % 11 AS node", "id AS _leaf_of", "'a' AS rows")
+    b = a.where("_leaf_of NOT BETWEEN 3000 AND 3100").withColumn("rows", F.expr(f"IF(_leaf_of % {step} = 2 OR k IS NULL, 'b', rows)"))
+    b = b.unionByName(a.where("_leaf_of < 30").withColumn("k", F.expr("k + 100000")))
+    leaves, tree_a, tree_b = trees(a, b, key, n, tmp_path)
+    order = lambda r: str(r)
+    full = sorted(v.table_diff(a, b, key).collect(), key=order)
+    assert len(full) > 100 and sorted(h.hash_tree_diff(a, b, key, leaves, tree_a, tree_b).collect(), key=order) == full
+
+
+def test_trees_of_empty_tables_and_other_types(spark, tmp_path):
+    a = spark.range(100).selectExpr("id AS k", "1 AS v")
+    leaves, tree_a, none = trees(a, a.where("k < 0"), ["k"], 5, tmp_path)
+    assert none.count() == 0 and h.differing_leaves(none, none).count() == 0
+    assert sum(r.rows_a for r in h.differing_leaves(tree_a, none).collect()) == 100
+    assert h.hash_tree_diff(a.where("k < 0"), a, ["k"], leaves, none, tree_a).where("change = 'only_b'").count() == 100
+    other = h.write_hash_tree(a.withColumn("v", F.lit(1).cast("bigint")), ["k"], leaves, f"{tmp_path}/c")
+    assert h.differing_leaves(tree_a, other).count() == 5
+    with pytest.raises(QueryError):
+        h.hash_tree_diff(a, a.withColumn("v", F.lit(1).cast("bigint")), ["k"], leaves, tree_a, other)
+    with pytest.raises(QueryError):
+        h.differing_leaves(tree_a, h.write_hash_tree(a, ["k"], plan_tile_frame(a, ["k"], 40), f"{tmp_path}/d"))
+
+
 def test_schema_diff_of_frames(spark):
     a = v.columns_frame(spark.sql("SELECT 1 AS a, 'x' AS b, 2 AS c"))
     b = v.columns_frame(spark.sql("SELECT 1 AS a, 2L AS c, CAST(NULL AS STRING) AS d"))
