@@ -1,4 +1,4 @@
-"""Keys of a table found by partition refinement.
+"""Keys of a table found by partition refinement, and inclusions between tables found level by level.
 
 A column set is unique when no two rows agree on it. What a failed set teaches is kept: the rows
 that still share their values with another row (its stripped partition), as supersets can only
@@ -8,12 +8,15 @@ subsets is a key.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, product
+from typing import Any, NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tablebridge.model import QueryError
+from tablebridge.operators.verify import cell_text, length_prefixed
 from tablebridge.session import stage
 from tablebridge.sources.scan import col, require_columns
 
@@ -162,3 +165,166 @@ def discover_keys(df: DataFrame, max_width: int = 2, columns: Sequence[str] | No
         state.judge(width)
     rows = [(",".join(names[i] for i in sorted(s)), len(s)) for s in sorted(state.found, key=lambda s: (len(s), sorted(s)))]
     return df.sparkSession.createDataFrame(rows, "key_columns string, width int")
+
+
+class _Item(NamedTuple):
+    """Some columns of a table, in the order of an inclusion."""
+
+    table: str
+    columns: tuple[str, ...]
+
+    def label(self) -> str:
+        return ",".join(f"{self.table}.{c}" for c in self.columns)
+
+
+class _Facts(NamedTuple):
+    family: str
+    least: Any
+    most: Any
+    distinct: int
+
+
+def _family(data_type: T.DataType) -> str | None:
+    """Columns of one family compare by their text; floating point numbers are no references."""
+    if isinstance(data_type, T.IntegralType):
+        return "integer"
+    if isinstance(data_type, T.StringType):
+        return "text"
+    if isinstance(data_type, (T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)):
+        return data_type.simpleString()
+    return None
+
+
+def _profile(tables: Mapping[str, DataFrame]) -> dict[_Item, _Facts]:
+    """Range and sketched distinct values of every column that can take part, one pass for each table."""
+    facts = {}
+    for name, df in tables.items():
+        fields = [(f.name, f.dataType, _family(f.dataType)) for f in df.schema.fields if _family(f.dataType)]
+        if not fields:
+            continue
+        aggs: list[Column] = []
+        for c, data_type, family in fields:
+            x = col(c)
+            # Text stays text; other types compare on the driver as numbers, or not at all.
+            place = {"integer": x.cast("bigint"), "text": x, "date": F.unix_date(x) if family == "date" else None,
+                     "timestamp": F.unix_micros(x) if family == "timestamp" else None}.get(family)
+            place = F.lit(None).cast("string") if place is None else place
+            aggs += [F.min(place), F.max(place), F.approx_count_distinct(x, SKETCH_ERROR)]
+        row = df.agg(*aggs).first()
+        for i, (c, _, family) in enumerate(fields):
+            facts[_Item(name, (c,))] = _Facts(family, *row[3 * i:3 * i + 3])
+    return facts
+
+
+def _may_include(child: _Facts, ref: _Facts, whole: bool) -> bool:
+    """Whether ranges allow that all (``whole``) or some of the child's values occur in the other column."""
+    if child.family != ref.family or not child.distinct or not ref.distinct:
+        return False
+    if child.least is None or ref.least is None:
+        return True
+    if whole:
+        return ref.least <= child.least and child.most <= ref.most
+    return child.least <= ref.most and ref.least <= child.most
+
+
+def _may_reach(child: int, ref: int, ratio: float) -> bool:
+    """Whether sketches allow that ``ratio`` of the child's values find one each."""
+    return ref / SAFE_SHARE >= ratio * child * SAFE_SHARE
+
+
+def _sketched(tables: Mapping[str, DataFrame], items: Iterable[_Item]) -> dict[_Item, int]:
+    out = {}
+    for name, df in tables.items():
+        own = [i for i in items if i.table == name]
+        for start in range(0, len(own), SKETCHES_PER_PASS):
+            some = own[start:start + SKETCHES_PER_PASS]
+            whole = [F.when(reduce(Column.__and__, [col(c).isNotNull() for c in i.columns]), F.xxhash64(*[col(c) for c in i.columns])) for i in some]
+            out.update(zip(some, df.agg(*[F.approx_count_distinct(w, SKETCH_ERROR) for w in whole]).first()))
+    return out
+
+
+def _shared(tables: Mapping[str, DataFrame], pairs: Sequence[tuple[_Item, _Item]]) -> dict[tuple[_Item, _Item], int]:
+    """How many distinct values of the first item of each pair occur in the second.
+
+    Each value meets itself once, with a bit for each item that holds it; copies are merged before
+    the shuffle. The bit patterns are counted, and pairs are formed from counted patterns alone.
+    """
+    items = sorted({i for p in pairs for i in p})
+    bits = {item: divmod(n, 62) for n, item in enumerate(items)}
+    words = [f"w{n}" for n in range(max(n for n, _ in bits.values()) + 1)]
+    cells = []
+    for name, df in tables.items():
+        own = [i for i in items if i.table == name]
+        if not own:
+            continue
+        rows = []
+        for item in own:
+            texts = [cell_text(col(c), df.schema[c].dataType) for c in item.columns]
+            value = texts[0] if len(texts) == 1 else F.concat(*[F.when(t.isNotNull(), length_prefixed(t)) for t in texts])
+            word, bit = bits[item]
+            rows.append(F.struct(value.alias("value"), *[F.lit(1 << bit if n == word else 0).cast("bigint").alias(w) for n, w in enumerate(words)]))
+        cells.append(df.select(F.inline(F.array(*rows))).where("value IS NOT NULL"))
+    merged = reduce(DataFrame.unionAll, cells).groupBy("value").agg(*[F.bit_or(w).alias(w) for w in words])
+    patterns = stage(merged.groupBy(*words).agg(F.count(F.lit(1)).alias("n")), "patterns")
+    held = []
+    for n, (a, b) in enumerate(pairs):
+        both = reduce(Column.__and__, [F.col(words[w]).bitwiseAND(F.lit(1 << bit)) != 0 for w, bit in {bits[a], bits[b]}])
+        held.append(F.when(both, F.lit(n)))
+    counts = (patterns.select("n", F.explode(F.array_compact(F.array(*held))).alias("pair"))
+              .groupBy("pair").agg(F.sum("n").alias("shared")))
+    found = {r.pair: r.shared for r in counts.collect()}  # a number for each pair of columns
+    return {p: found.get(n, 0) for n, p in enumerate(pairs)}
+
+
+def _wider(held: set[tuple[_Item, _Item]], width: int) -> list[tuple[_Item, _Item]]:
+    """Pairs of ``width`` columns whose every narrower part is in ``held``."""
+    columns: dict[tuple[str, str], set[tuple[str, str]]] = {}
+    for child, ref in held:
+        columns.setdefault((child.table, ref.table), set()).update(zip(child.columns, ref.columns))
+    out = []
+    for (table, other), links in columns.items():
+        targets: dict[str, list[str]] = {}
+        for c, r in sorted(links):
+            targets.setdefault(c, []).append(r)
+        for cs in combinations(sorted(targets), width):
+            for rs in product(*[targets[c] for c in cs]):
+                if len(set(rs)) == width and all((_Item(table, cs[:i] + cs[i + 1:]), _Item(other, rs[:i] + rs[i + 1:])) in held for i in range(width)):
+                    out.append((_Item(table, cs), _Item(other, rs)))
+    return out
+
+
+def discover_inclusions(tables: Mapping[str, DataFrame], max_width: int = 1, min_ratio: float = 1.0,
+                        references: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """Columns whose values, as single values or as tuples, occur in columns of a table.
+
+    Rows are ``col_names``, ``ref_names``, ``width``, ``distinct_values`` of the first, how many of
+    them are ``shared``, and their ``ratio``, where it is above zero and at least ``min_ratio``.
+    Tuples with a NULL are left out, as in a foreign key; a column is not compared with itself.
+    Tuples list their own columns by name. ``references`` names the columns that may be referred to.
+
+    Types, ranges and sketches rule pairs out before any value moves. A wider pair is tried where
+    all its parts are inclusions, or for a ratio below 1, where they share a value at all, as
+    columns may share fewer values than their tuples do.
+    """
+    if not tables or not 0 < min_ratio <= 1:
+        raise QueryError("there must be a table, and the ratio must be above 0 and at most 1")
+    facts, rows = _profile(tables), []
+    allowed = {i for i in facts if references is None or i.columns[0] in references.get(i.table, ())}
+    whole = min_ratio == 1
+    pairs = [(a, b) for a in sorted(facts) for b in sorted(allowed) if a != b and _may_include(facts[a], facts[b], whole)]
+    sizes = {i: f.distinct for i, f in facts.items()}
+    for width in range(1, max_width + 1):
+        if width > 1:
+            pairs = _wider(held, width)
+            sizes = _sketched(tables, {i for p in pairs for i in p})
+        # For wider pairs of a partial inclusion any shared value counts, so all pairs but the last width's are counted.
+        if whole or width == max_width:
+            pairs = [(a, b) for a, b in pairs if _may_reach(sizes[a], sizes[b], min_ratio)]
+        if not pairs:
+            break
+        counts = _shared(tables, pairs + [(a, a) for a in sorted({a for a, _ in pairs})])
+        held = {p for p in pairs if counts[p] > 0 and (not whole or counts[p] == counts[p[0], p[0]])}
+        rows += [(a.label(), b.label(), width, counts[a, a], counts[a, b], counts[a, b] / counts[a, a])
+                 for a, b in pairs if (a, b) in held and counts[a, b] >= min_ratio * counts[a, a]]
+    one = next(iter(tables.values()))
+    return one.sparkSession.createDataFrame(rows, "col_names string, ref_names string, width int, distinct_values bigint, shared bigint, ratio double")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tablebridge.model import DdlError, Identity, QueryError, SequenceDef
 from tablebridge.operators.constraints import unique_violations
-from tablebridge.operators.discovery import discover_keys  # noqa: F401
+from tablebridge.operators.discovery import discover_inclusions, discover_keys  # noqa: F401
 from tablebridge.sources.batches import number_rows, tie_columns, with_tie_break
 from tablebridge.sources.scan import col, require_columns
 

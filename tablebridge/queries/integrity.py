@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, permutations, product
 
 from pyspark.sql import functions as F
 
@@ -430,6 +430,53 @@ def find_star_references(spark, d):
     return k.discover_foreign_keys({t: table(spark, d, t) for t in _STAR}, _STAR_KEYS)
 
 
+def _inclusion_sql(tables: dict[str, dict[str, str]], widest: int, ratio: float) -> str:
+    """Every tuple of a table against every tuple of equal families, by joins of their distinct values."""
+    parts = []
+    for (t, own), (u, other) in product(tables.items(), tables.items()):
+        for width in range(1, widest + 1):
+            for cs, rs in product(combinations(sorted(own), width), permutations(sorted(other), width)):
+                if any(own[c] != other[r] or (t, c) == (u, r) for c, r in zip(cs, rs)):
+                    continue
+                distinct = [f"(SELECT DISTINCT {', '.join(f'{c} AS v{i}' for i, c in enumerate(x))}, 1 AS one FROM {n} WHERE {' AND '.join(f'{c} IS NOT NULL' for c in x)})"
+                            for n, x in ((t, cs), (u, rs))]
+                on = " AND ".join(f"a.v{i} = b.v{i}" for i in range(width))
+                parts.append(f"SELECT '{','.join(f'{t}.{c}' for c in cs)}' AS col_names, '{','.join(f'{u}.{r}' for r in rs)}' AS ref_names, {width} AS width, "
+                             f"count(*) AS distinct_values, count(b.one) AS shared FROM {distinct[0]} a LEFT JOIN {distinct[1]} b ON {on}")
+    return f"SELECT *, shared / distinct_values AS ratio FROM ({' UNION ALL '.join(parts)}) x WHERE shared > 0 AND shared >= {ratio} * distinct_values"
+
+
+def _kinds(columns: tuple[str, ...]) -> dict[str, str]:
+    text = ("name", "segment", "brand", "type", "status", "priority", "flag")
+    return {c: "text" if c.endswith(text) else "date" if c.endswith("date") else "integer" for c in columns}
+
+
+@query("discover_inclusions_star", _inclusion_sql({t: _kinds(c + {"orders": ("o_orderdate",), "lineitem": ("l_shipdate",)}.get(t, ())) for t, c in _STAR.items()}, 1, 0.5))
+def find_partial_inclusions(spark, d):
+    """Every column of the seven tables against every other, half of the values at least."""
+    return k.discover_inclusions({t: table(spark, d, t) for t in _STAR}, 1, 0.5)
+
+
+_BUYERS = "SELECT DISTINCT o_custkey, c_nationkey AS buyer_nation, o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 200000"
+_PAIR_TABLES = {"nation": _STAR["nation"], "supplier": _STAR["supplier"], "customer": _STAR["customer"],
+                "buyers": ("o_custkey", "buyer_nation", "o_orderpriority")}
+
+
+def _buyer_tables(spark, d):
+    frames = {t: table(spark, d, t) for t in ("nation", "supplier", "customer")}
+    return {**frames, "buyers": spark.sql(_BUYERS.replace("orders", "{orders}").replace("customer", "{customer}"), orders=table(spark, d, "orders"), customer=frames["customer"])}
+
+
+@query("discover_inclusions_pairs", f"WITH buyers AS MATERIALIZED ({_BUYERS}) " + _inclusion_sql({t: _kinds(c) for t, c in _PAIR_TABLES.items()}, 2, 1.0))
+def find_pair_inclusions(spark, d):
+    return k.discover_inclusions(_buyer_tables(spark, d), 2)
+
+
+@query("discover_inclusions_pairs_partial", f"WITH buyers AS MATERIALIZED ({_BUYERS}) " + _inclusion_sql({t: _kinds(c) for t, c in _PAIR_TABLES.items()}, 2, 0.3))
+def find_partial_pair_inclusions(spark, d):
+    return k.discover_inclusions(_buyer_tables(spark, d), 2, 0.3)
+
+
 @query("assign_identity_always", "SELECT c_custkey, c_name, 100 + 5 * (row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1) AS id FROM customer")
 def identity_always(spark, d):
     rows = table(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal")

@@ -1,5 +1,6 @@
+import datetime as dt
 import random
-from itertools import combinations
+from itertools import combinations, permutations, product
 
 import pytest
 from pyspark.sql import functions as F
@@ -219,6 +220,47 @@ def test_keys_of_any_width_equal_brute_force(spark, domains, count):
     assert rows(k.discover_keys(df, 4)) == brute_keys(table, names, 4)
 
 
+def brute_inclusions(tables, families, widest, ratio):
+    def values(t, columns):
+        names = list(families[t])
+        at = [names.index(c) for c in columns]
+        return {tuple(r[i] for i in at) for r in tables[t] if all(r[i] is not None for i in at)}
+
+    out = []
+    for t, u in product(tables, tables):
+        for width in range(1, widest + 1):
+            for cs, rs in product(combinations(sorted(families[t]), width), permutations(sorted(families[u]), width)):
+                if any(families[t][c] != families[u][r] or (t, c) == (u, r) for c, r in zip(cs, rs)):
+                    continue
+                own, other = values(t, cs), values(u, rs)
+                if own & other and len(own & other) >= ratio * len(own):
+                    out.append((",".join(f"{t}.{c}" for c in cs), ",".join(f"{u}.{r}" for r in rs), width, len(own), len(own & other), len(own & other) / len(own)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("widest, ratio", [(3, 1.0), (2, 0.6), (2, 0.01)])
+def test_inclusions_equal_brute_force(spark, widest, ratio):
+    """NULLs, an empty table, a column without values, repeated rows and clashing names."""
+    rnd = random.Random(11)
+    families = {"big": {"value": "bigint", "n": "int", "w0": "string", "day": "date"}, "part": {"value": "int", "n": "smallint", "w0": "string", "day": "date"},
+                "none": {"n": "int"}, "gaps": {"value": "int", "n": "int"}}
+    day = [dt.date(2020, 1, 1) + dt.timedelta(days=i) for i in range(9)]
+    big = [(rnd.randrange(60), rnd.choice([None, 1, 2, 3]), rnd.choice(["a", "b", "1", ""]), rnd.choice(day)) for _ in range(300)]
+    tables = {"big": big, "part": [x for x in big if x[0] < 20] * 2 + [(3, None, "zz", day[0])] * (ratio < 1), "none": [], "gaps": [(None, 2), (None, 50)]}
+    frames = {t: spark.createDataFrame(tables[t], ", ".join(f"{c} {kind}" for c, kind in families[t].items())) for t in tables}
+    kinds = {t: {c: "integer" if kind.endswith("int") else kind for c, kind in f.items()} for t, f in families.items()}
+    expected = brute_inclusions(tables, kinds, widest, ratio)
+    assert len(expected) > 10 and rows(k.discover_inclusions(frames, widest, ratio)) == expected
+    only = rows(k.discover_inclusions(frames, 1, ratio, {"big": ["value"]}))
+    assert only == [x for x in expected if x[1] == "big.value"]
+
+
+def test_inclusions_need_a_ratio(spark):
+    for tables, ratio in (({}, 1.0), ({"a": spark.range(1)}, 0.0), ({"a": spark.range(1)}, 1.5)):
+        with pytest.raises(m.QueryError):
+            k.discover_inclusions(tables, 1, ratio)
+
+
 def test_keys_of_odd_values(spark):
     twice = spark.createDataFrame([(1, "x"), (2, "y"), (1, "x")], "a int, b string")
     assert rows(k.discover_keys(twice, 2)) == []
