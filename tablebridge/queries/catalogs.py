@@ -33,8 +33,9 @@ _K = f"{_REL} JOIN k ON k.source_id = c.source_id AND k.rel = c.oid"
 _MY_K = "k.source_id, 'app_' || custkey AS schema_name, 't_' || rel AS table_name"
 
 
-def _columns(spark, d):
-    return c.reflect_columns(pg_catalog(spark, d))
+def _columns(spark, d, live=("att", "k")):
+    """Columns alone: their lines are read once, index relations not at all."""
+    return c.reflect_columns(pg_catalog(spark, d, ("enum", "type_"), live))
 
 
 @query("map_pg_types", oracle(PG, f"""
@@ -200,7 +201,7 @@ def checks_mysql(spark, d):
 
 @query("reflect_exclusion_constraints", oracle(PG, f"SELECT {_SQL_KEY}, 'x_' || rel AS constraint_name, 'EXCLUDE USING gist (c1 WITH &&)' AS definition {_K} WHERE price > 400000"))
 def exclusions(spark, d):
-    return c.reflect_exclusion_constraints(pg_catalog(spark, d))
+    return c.reflect_exclusion_constraints(pg_catalog(spark, d, ("constraint",), ("att", "k", "parents")))
 
 
 def _index_text(df):
@@ -275,7 +276,7 @@ def sequences_mysql(spark, d):
 SELECT n.source_id, n.nspname AS schema_name, 'fn_' || n.oid AS function_name, CASE WHEN n.acct > 5000 THEN '' ELSE 'a integer' END AS arguments, 'trigger' AS return_type, 'plpgsql' AS language, 'BEGIN ' || n.oid AS body
 FROM ns n WHERE nspname LIKE 'app%' AND acct >= 1000 AND acct <= 9000"""))
 def functions(spark, d):
-    return _joined(c.reflect_functions(pg_catalog(spark, d)), "arguments")
+    return _joined(c.reflect_functions(pg_catalog(spark, d, ("proc", "language"), ("att", "k"))), "arguments")
 
 
 @query("reflect_functions_mysql", oracle(MYSQL, """
@@ -475,7 +476,7 @@ SELECT {_SQL_KEY}, attname AS column_name, 'type changed' AS changes {_ATT} WHER
 UNION ALL SELECT {_SQL_KEY}, attname, 'identity changed' {_ATT} WHERE q % 16 <= 1 AND disc < 0.01"""))
 def diff_catalogs(spark, d):
     """The reflected catalogue against itself after a move to MySQL types and identities."""
-    cols = _columns(spark, d)
+    cols = _columns(spark, d, ("k",))  # read twice
     key = ["source_id", "schema_name", "table_name", "column_name"]
     here = cols.select(*key, "ordinal", t.to_pg_type(F.col("t")).alias("type"), "nullable", "identity")
     moved = t.map_mysql_types(t.computed(cols, moved_type=t.to_mysql_type(F.col("t"))), "moved_type", "moved")
