@@ -272,6 +272,28 @@ def test_pii_chooses_from_every_kind_and_class(spark, sf, monkeypatch):
     assert pii.quotas({"a": 3, "b": 90}, 400) == {"a": 3, "b": 90}
 
 
+def test_pii_learns_from_all_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf.rsplit('/', 1)[0]}/sf0.01/documents.parquet").select("text")
+    assert pii.train(docs.union(spark.range(60_000).selectExpr("'' AS text"))) == pii.train(docs) is not None
+
+
+def test_pii_thresholds_count_every_held_out_candidate(spark, sf):
+    docs = spark.read.parquet(f"{sf.rsplit('/', 1)[0]}/sf0.01/documents.parquet").select("text")
+    numbers = [" ".join(str(r.randint(10**6, 10**7 - 1)) for _ in range(100)) for r in map(random.Random, range(40))]
+    docs = docs.union(spark.createDataFrame([(t,) for t in numbers * 2], "text string"))
+    trees, slope, offset, thresholds = pii.train(docs)
+    counts = {}
+    for text in {r.text or "" for r in docs.collect()}:
+        own = list(pii._sorted_out(text)) if hashlib.md5(text.encode()).digest()[0] % 4 == 0 else []
+        for span, y in own:
+            margin = boosting.margins(trees, np.array([pii.describe(text, span)], dtype=float))[0]
+            n = counts.setdefault((pii.KINDS.index(span[0]), int(np.floor(margin * pii.STEPS))), [0, 0])
+            n[0], n[1] = n[0] + 1, n[1] + y
+    assert sum(n for n, _ in counts.values()) > 40 * pii.PER_TEXT
+    assert sorted(map(tuple, pii._judged(docs, trees, True).collect())) == sorted((*k, *n) for k, n in counts.items())
+    assert pii.calibrate(sorted((*k, *n) for k, n in counts.items())) == (slope, offset, thresholds)
+
+
 def test_thresholds_count_what_was_left_out():
     p, y = np.array([0.9, 0.8, 0.7]), np.array([1.0, 1.0, 0.0])
     assert boosting.least_threshold(p, y, 0.6, 0.5) == 0.7
