@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 from tablebridge.model import ReflectionError
 from tablebridge.operators.typemap import computed, map_mysql_types, map_pg_types, pg_type_names
@@ -555,6 +555,15 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _gathered(groups: GroupedData, names: list[str], *others: Column) -> DataFrame:
+    """Each group's values of the columns ``names`` as sorted arrays, without nulls.
+
+    A row of a union holds a value in one of them, so a group gathers its rows in one list, not one for each column.
+    """
+    rows = groups.agg(*others, F.collect_list(F.struct(*names)).alias("_rows"))
+    return computed(rows, **{n: F.array_sort(F.array_compact(F.col("_rows")[n])) for n in names}).drop("_rows")
+
+
 MYSQL_PARTS = {
     "column": "struct<ordinal:int,column_name:string>",
     "stat": "struct<index_name:string,seq:bigint,column_name:string,non_unique:bigint,index_type:string,descending:boolean>",
@@ -602,8 +611,7 @@ def _assemble_mysql(cat: MysqlCatalog, scope: Scope, tables: DataFrame) -> DataF
     for name, shape in MYSQL_PARTS.items():
         if name not in union.columns:
             union = union.withColumn(name, F.lit(None).cast(shape))
-    grouped = union.groupBy(*TABLE_KEY).agg(F.first("info", ignorenulls=True).alias("info"),
-                                            *[F.array_sort(F.collect_list(n)).alias(n) for n in MYSQL_PARTS])
+    grouped = _gathered(union.repartition(*TABLE_KEY).groupBy(*TABLE_KEY), [*MYSQL_PARTS], F.first("info", ignorenulls=True).alias("info"))
 
     def label(rows: str) -> str:
         return "index_name" if rows == "stat" else "constraint_name"
@@ -694,7 +702,7 @@ def _assemble_pg(cat: PgCatalog, scope: Scope) -> DataFrame:
     for name, shape in empty.items():
         if name not in union.columns:
             union = union.withColumn(name, F.lit(None).cast(shape))
-    grouped = union.groupBy(*key).agg(*[F.array_sort(F.collect_list(n)).alias(n) for n in ("attribute", *empty)])
+    grouped = _gathered(union.repartition(*key).groupBy(*key), ["attribute", *empty])
     head = _with_parents(cat, rel.select(*TABLE_KEY, F.when(F.col("relkind") == "p", F.col("partkeydef")).alias("partition_key"),
                                          F.col("relid").alias("oid"), "relispartition", F.nullif("comment", F.lit("")).alias("comment")))
     # Joining first drops parts of relations that are not tables.

@@ -5,6 +5,7 @@ import shutil
 import pytest
 
 import __spark_entry__ as entry
+from tablebridge.queries.registry import QUERIES
 from tablebridge.queries import snapshots
 
 
@@ -28,3 +29,12 @@ def test_lines_are_shuffled_once(spark, own):
     lines = snapshots._base(spark, own, {"att"}, ("att",))["att"]._jdf.queryExecution().executedPlan().toString()
     assert lines.count("Exchange hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_orderkey#" in lines
     assert "l_linenumber" not in "".join(x for x in lines.splitlines() if "Exchange" in x)
+
+
+@pytest.mark.parametrize("name", ["assemble_catalog", "assemble_catalog_mysql"])
+def test_parts_of_a_table_meet_before_they_are_gathered(spark, sf, name):
+    """One list for each table, built where its rows meet: lists of single rows would be built and shipped before."""
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    gathered = [i for i, line in enumerate(plan.splitlines()) if "collect_list(" in line and "_rows" in line]
+    assert len(gathered) == 1 and plan.splitlines()[gathered[0]].count("collect_list(") == 1
+    assert "RepartitionByExpression" in plan.splitlines()[gathered[0] + 1]
