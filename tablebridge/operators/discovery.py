@@ -25,6 +25,10 @@ SAFE_SHARE = 0.8  # ten standard errors below: no true key is ever pruned
 SKETCHES_PER_PASS = 64
 STRIPPED_SHARE = 0.05  # of the rows; a set that leaves more in doubt keeps no partition of its own
 AGREE_SETS = 4_096  # of a width that come to the driver, widest first; they only spare work
+PAIRED_ROWS = 512  # all pairs of so many rows are compared before any set is judged
+WITNESS_ROOTS = 64  # the witnesses are so many times the square root of the rows
+BROADCAST_REPEATS = 1 << 20  # rows in doubt whose hashes travel to every task, by their count
+HASHES_PER_TASK = 1 << 20  # of rows and sets that are judged
 
 Places = frozenset  # the numbers of the columns of a set
 
@@ -33,32 +37,6 @@ def _cells(places: Iterable[int]) -> list[Column]:
     return [F.col(f"c{i}") for i in sorted(places)]
 
 
-class _Bounds:
-    """The most distinct values that a set can have, from its own sketch or those of its parts."""
-
-    def __init__(self, singles: dict[int, float]) -> None:
-        self.known: dict[Places, float] = {frozenset([i]): n / SAFE_SHARE for i, n in singles.items()}
-        self.sketched = set(self.known)
-
-    def of(self, s: Places) -> float:
-        if s not in self.known:
-            self.known[s] = min(self.of(s - {i}) * self.known[frozenset([i])] for i in s)
-        return self.known[s]
-
-    def learn(self, s: Places, estimate: float) -> None:
-        self.known[s] = min(self.of(s), estimate / SAFE_SHARE)
-        self.sketched.add(s)
-
-
-def _sketch(base: DataFrame, sets: Sequence[Places], bounds: _Bounds) -> None:
-    todo = [s for s in sets if s not in bounds.sketched]
-    for start in range(0, len(todo), SKETCHES_PER_PASS):
-        some = todo[start:start + SKETCHES_PER_PASS]
-        near = base.agg(*[F.approx_count_distinct(F.xxhash64(*_cells(s)), SKETCH_ERROR) for s in some]).first()
-        for s, n in zip(some, near):
-            bounds.learn(s, n)
-
-
 def _keyed(rows: DataFrame, sets: dict[int, Places], parents: dict[int, int]) -> DataFrame:
     """Each row once for each set it has to be judged by, as ``set``, ``h`` and its columns."""
     items = F.array(*[F.struct(F.lit(n).alias("set"), F.xxhash64(*_cells(s)).alias("h"), F.lit(parents.get(n, -1)).alias("parent"))
@@ -69,26 +47,58 @@ def _keyed(rows: DataFrame, sets: dict[int, Places], parents: dict[int, int]) ->
     return own.select("*", F.inline(F.filter(items, lambda x: x["parent"] == F.col("of")))).drop("of", "parent")
 
 
+def _repeats(keyed: DataFrame, hashes: int) -> DataFrame:
+    """Each ``set`` and ``h`` of several rows, with their number. Hardly any rows meet, so none are merged before the shuffle."""
+    dealt = keyed.select("set", "h").repartition(1 + hashes // HASHES_PER_TASK, "set", "h")
+    return dealt.groupBy("set", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def _classes(stripped: DataFrame, sets: dict[int, Places], places: Sequence[int]) -> DataFrame:
-    """``set`` and ``agreeing``, the columns on which the ends of a class of equal values agree."""
+    """``set``, ``agreeing``, the columns on which the ends of a class of equal values agree, and ``n``, the rows of such classes."""
     masked = [F.when(F.col("set").isin([n for n, s in sets.items() if i in s]), F.col(f"c{i}")).alias(f"m{i}") for i in places]
     whole = F.struct(*_cells(places))
     ends = (stripped.groupBy("set", *masked).agg(F.count(F.lit(1)).alias("n"), F.min(whole).alias("lo"), F.max(whole).alias("hi"))
             .where("n > 1"))
-    agreeing = F.concat_ws(",", *[F.when(F.col("lo")[f"c{i}"].eqNullSafe(F.col("hi")[f"c{i}"]), F.lit(str(i))) for i in places])
-    return ends.select("set", agreeing.alias("agreeing")).distinct()
+    return ends.groupBy("set", _agreeing("lo", "hi", places)).agg(F.sum("n").alias("n"))
+
+
+def _agreeing(left: str, right: str, places: Sequence[int]) -> Column:
+    return F.concat_ws(",", *[F.when(F.col(left)[f"c{i}"].eqNullSafe(F.col(right)[f"c{i}"]), F.lit(str(i))) for i in places]).alias("agreeing")
 
 
 class _Refinement:
     """What is known of a table's column sets while their width grows."""
 
-    def __init__(self, base: DataFrame, places: Sequence[int], total: int, bounds: _Bounds) -> None:
-        self.base, self.places, self.total, self.bounds = base, places, total, bounds
+    def __init__(self, base: DataFrame, places: Sequence[int], total: int) -> None:
+        self.base, self.places, self.total = base, places, total
         self.found: list[Places] = []
         self.agree: list[Places] = []
         self.staged: dict[Places, tuple[int, int]] = {}  # set to its number and its rows in doubt
         self.frames: list[DataFrame] = []
         self.next = 0
+        self.few = max(STRIPPED_SHARE * total, 1_000)
+        self.every = max(1, int(total ** 0.5 / WITNESS_ROOTS))
+        self.witnesses = self.chosen(base, self.every) if self.every > 1 else base
+        if places and total > 1:
+            self.pair()
+
+    def chosen(self, rows: DataFrame, every: int) -> DataFrame:
+        """One in ``every`` rows, by a hash of the whole row."""
+        return stage(rows.where(F.pmod(F.xxhash64(F.lit("witness"), *_cells(self.places)), F.lit(every)) == 0), "witnesses")
+
+    def pair(self) -> None:
+        """Learn from all pairs of some rows."""
+        some = self.witnesses.limit(PAIRED_ROWS).select(F.monotonically_increasing_id().alias("id"), F.struct(*_cells(self.places)).alias("row"))
+        some = stage(some, "paired")
+        both = some.toDF("a", "left").join(some.toDF("b", "right"), F.col("a") < F.col("b"))
+        self.learn(both.select(_agreeing("left", "right", self.places)).where("agreeing <> ''"))
+
+    def learn(self, agreeing: DataFrame) -> None:
+        widest = agreeing.select("agreeing").distinct().orderBy(F.size(F.split("agreeing", ",")).desc(), "agreeing").limit(AGREE_SETS)
+        for r in widest.collect():
+            seen = frozenset(int(i) for i in r.agreeing.split(","))
+            if not any(seen <= a for a in self.agree):
+                self.agree.append(seen)
 
     def open(self, width: int) -> list[Places]:
         sets = (frozenset(s) for s in combinations(self.places, width))
@@ -99,13 +109,26 @@ class _Refinement:
         own = [v for k, v in self.staged.items() if k < s]
         return min(own, key=lambda v: v[1])[0] if own else None
 
+    def hopeful(self, sets: list[Places]) -> list[Places]:
+        """The sets but those of which so many witnesses agree that no partition would be kept of them.
+
+        Two rows that agree on a set prove that it is no key; of pairs of rows one in the square of ``every`` is seen.
+        The agree sets of witnesses are not learned: they would also close sets whose partitions spare their supersets.
+        """
+        if self.every == 1 or not sets:
+            return sets
+        numbers = dict(enumerate(sets))
+        keyed = _keyed(self.witnesses, numbers, {})
+        repeats = keyed.groupBy("set", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("set", "h")
+        classes = stage(_classes(keyed.join(repeats, ["set", "h"], "left_semi"), numbers, self.places), "seen")
+        seen = {r["set"]: r.seen for r in classes.groupBy("set").agg(F.sum("n").alias("seen")).collect()}
+        return [s for n, s in numbers.items() if seen.get(n, 0) * self.every ** 2 <= self.few]
+
     def judge(self, width: int) -> None:
         sets = self.open(width)
         parents = {s: self.source(s) for s in sets}
         refined = [s for s in sets if parents[s] is not None]
-        hopeful = [s for s in sets if parents[s] is None and self.bounds.of(s) >= self.total]
-        _sketch(self.base, hopeful, self.bounds)
-        hopeful = [s for s in hopeful if self.bounds.of(s) >= self.total]
+        hopeful = self.hopeful([s for s in sets if parents[s] is None])
         numbers = {s: self.next + i for i, s in enumerate(refined + hopeful)}
         self.next += len(numbers)
         parts = []
@@ -115,35 +138,47 @@ class _Refinement:
         if hopeful:
             parts.append(_keyed(self.base, {numbers[s]: s for s in hopeful}, {}))
         if parts:
-            self.refine(reduce(DataFrame.unionByName, parts), {n: s for s, n in numbers.items()})
-
-    def refine(self, keyed: DataFrame, sets: dict[int, Places]) -> None:
+            doubts = {n: d for n, d in self.staged.values()}
+            hashes = len(hopeful) * self.total + sum(doubts[parents[s]] for s in refined)
+            self.refine(reduce(DataFrame.unionByName, parts), {n: s for s, n in numbers.items()}, hashes)
+
+    def stripped(self, keyed: DataFrame, repeats: DataFrame, doubts: dict[int, int]) -> list[DataFrame]:
+        """The rows in doubt; the sets with the fewest are looked up in each task, so that no row of theirs is shuffled."""
+        near, wide, left = [], [], BROADCAST_REPEATS
+        for n in sorted(doubts, key=doubts.__getitem__):
+            (near if doubts[n] <= left else wide).append(n)
+            left -= doubts[n]
+        parts = []
+        for numbers, hint in ((near, F.broadcast), (wide, lambda df: df)):
+            if numbers:
+                wanted = F.col("set").isin(sorted(numbers))
+                own = keyed.where(wanted).join(hint(repeats.where(wanted).select("set", "h")), ["set", "h"], "left_semi")
+                parts.append(stage(own, "stripped"))
+        return parts
+
+    def refine(self, keyed: DataFrame, sets: dict[int, Places], hashes: int) -> None:
         """Sort the sets into keys, sets with few rows in doubt, whose rows are kept, and the rest."""
-        repeats = stage(keyed.groupBy("set", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeats")
+        repeats = stage(_repeats(keyed, hashes), "repeats")
         doubts = {r["set"]: r.doubt for r in repeats.groupBy("set").agg(F.sum("n").alias("doubt")).collect()}
         self.found += [s for n, s in sets.items() if n not in doubts]
-        few = {n: sets[n] for n, d in doubts.items() if d <= max(STRIPPED_SHARE * self.total, 1_000)}
+        few = {n: sets[n] for n, d in doubts.items() if d <= self.few}
         if not few:
             return
-        wanted = F.col("set").isin(sorted(few))
-        stripped = stage(keyed.where(wanted).join(repeats.where(wanted).select("set", "h"), ["set", "h"], "left_semi"), "stripped")
-        classes = stage(_classes(stripped, few, self.places), "agreeing")
+        stripped = self.stripped(keyed, repeats, {n: doubts[n] for n in few})
+        classes = stage(_classes(reduce(DataFrame.unionByName, stripped), few, self.places), "agreeing")
         failed = {r["set"] for r in classes.select("set").distinct().collect()}
         self.found += [s for n, s in few.items() if n not in failed]  # their hashes alone were equal
         self.staged.update({few[n]: (n, doubts[n]) for n in failed})
-        self.frames.append(stripped)
-        widest = classes.select("agreeing").distinct().orderBy(F.size(F.split("agreeing", ",")).desc(), "agreeing").limit(AGREE_SETS)
-        for r in widest.collect():
-            seen = frozenset(int(i) for i in r.agreeing.split(","))
-            if not any(seen <= a for a in self.agree):
-                self.agree.append(seen)
+        self.frames += stripped
+        self.learn(classes)
 
 
 def discover_keys(df: DataFrame, max_width: int = 2, columns: Sequence[str] | None = None) -> DataFrame:
     """Minimal column sets that are unique and free of NULL, up to ``max_width`` columns.
 
-    Sets whose distinct values cannot reach the number of rows are dropped by sketches, or by the
-    sketches of their parts without a pass. What is left of a width is judged in one job that
+    Two rows that agree on a set prove that it is no key, so sets are first tried on witnesses, some
+    of the rows that grow with the square root of the table: a set on which many of them agree is
+    dropped. What is left of a width is judged in one job over all rows that
     shuffles a hash for each row and set: a set without equal hashes is a key. Where few rows have
     equal hashes they are compared by value, written, and become the table for all supersets;
     the columns on which they agree rule out further sets. The result is exact. Supersets of a
@@ -154,11 +189,10 @@ def discover_keys(df: DataFrame, max_width: int = 2, columns: Sequence[str] | No
     names = require_columns(df, columns) if columns else orderable
     base = df.select(*[col(c).alias(f"c{i}") for i, c in enumerate(names)])
     cells = _cells(range(len(names)))
-    first = base.agg(F.count(F.lit(1)), *[F.count_if(c.isNull()) for c in cells],
-                     *[F.approx_count_distinct(c, SKETCH_ERROR) for c in cells]).first()
-    total, nulls, distinct = first[0], first[1:len(names) + 1], first[len(names) + 1:]
+    first = base.agg(F.count(F.lit(1)), *[F.count_if(c.isNull()) for c in cells]).first()
+    total, nulls = first[0], first[1:]
     places = [i for i, n in enumerate(nulls) if n == 0]
-    state = _Refinement(base.select(*_cells(places)), places, total, _Bounds({i: distinct[i] for i in places}))
+    state = _Refinement(base.select(*_cells(places)), places, total)
     for width in range(1, min(max_width, len(places)) + 1):
         if any(len(a) == len(places) for a in state.agree):
             break  # two rows are the same

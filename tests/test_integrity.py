@@ -277,6 +277,22 @@ def test_a_partition_is_the_table_of_all_supersets(spark, monkeypatch):
     assert [n for refined, n in kept if refined] == [100]
 
 
+def test_only_sets_without_many_witnesses_read_the_table(spark, monkeypatch):
+    """A fifth of the rows share ``a``: some of them show it, and only the pair is judged over all 40,000 rows."""
+    df = spark.range(40_000).selectExpr("id % 36000 AS a", "id DIV 36000 AS b", "id % 5 AS c")
+    whole = []
+    monkeypatch.setattr(discovery, "_keyed", lambda r, s, p, keyed=discovery._keyed: whole.append((r.count(), list(s.values()))) or keyed(r, s, p))
+    assert rows(k.discover_keys(df, 2)) == [("a,b", 2)]
+    assert [s for n, s in whole if n == 40_000] == [[frozenset({0, 1})]]
+
+
+def test_rows_in_doubt_beyond_the_broadcast_are_joined(spark, monkeypatch):
+    df = spark.range(20_000).selectExpr("IF(id < 20, 0, id) AS a", "IF(id % 1000 < 2, id DIV 1000, id + 100) AS b", "id % 1000 AS c")
+    expected = rows(k.discover_keys(df, 3))
+    monkeypatch.setattr(discovery, "BROADCAST_REPEATS", 25)
+    assert rows(k.discover_keys(df, 3)) == expected == [("a,c", 2), ("b,c", 2)]
+
+
 def test_discovery(spark, parent, child):
     assert rows(k.discover_keys(parent.withColumn("dup", F.lit(1)))) == [("id", 1), ("name", 1)]
     pairs = spark.createDataFrame([(1, 1, None), (1, 2, 5), (2, 1, 6)], "a int, b int, n int")
