@@ -28,7 +28,8 @@ from tablebridge.session import stage
 from tablebridge.sources.batches import number_rows
 from tablebridge.sources.scan import col, require_columns
 
-BLOCK_BATCHES = 64  # a block holds the rows of so many full batches
+BLOCK_ROWS = 1 << 18  # rows of a block, at least; with short batches there are fewer blocks to compose
+BLOCK_BATCHES = 4  # a block holds the rows of so many full batches, at least
 _PLAN = "batch bigint, first_row bigint, rows bigint, bytes bigint"
 
 
@@ -114,7 +115,7 @@ def greedy_batches(df: DataFrame, size: Column, order_by: Sequence[str], max_row
     require_columns(df, order_by)
     if max_rows < 1 or budget < 1:
         raise QueryError("a batch holds at least one row and one byte")
-    block = max(max_rows, block or BLOCK_BATCHES * max_rows)
+    block = max(max_rows, block or max(BLOCK_ROWS, BLOCK_BATCHES * max_rows))
     sized = df.select(*[col(c) for c in order_by], size.cast("bigint").alias("_size"))
     rows = stage(number_rows(sized, order_by).select("row_index", "_size"), "sizes")
     total = rows.count()

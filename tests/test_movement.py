@@ -65,6 +65,15 @@ def test_one_plan_whatever_the_partitions(spark, sf, block):
         batchplan.greedy_batches(docs, F.lit(1), ["doc_id"], 0, 9_000)
 
 
+@pytest.mark.parametrize("max_rows", [150, 10_000])
+def test_blocks_are_of_one_size_for_short_and_long_batches(spark, monkeypatch, max_rows):
+    """20,000 rows of short batches are one block, and long batches don't make blocks of 640,000 rows."""
+    blocks = []
+    monkeypatch.setattr(batchplan, "replay", lambda m, b, block, replay=batchplan.replay: blocks.append(block) or replay(m, b, block))
+    plan = batchplan.greedy_batches(spark.range(20_000), F.lit(1), ["id"], max_rows, 1 << 20)
+    assert sum(r.rows for r in plan.collect()) == 20_000 and blocks == [batchplan.BLOCK_ROWS]
+
+
 def test_flush_plan_counts_encoded_bytes(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     planned = sink.copy_flush_plan(docs, ["doc_id"], flush_bytes=50_000)
