@@ -141,3 +141,15 @@ def test_schema_diff_of_frames(spark):
     assert {x.column_name: x.changes for x in v.schema_diff(a, b).collect()} == {
         "b": ["removed"], "c": ["type changed", "position changed"], "d": ["added"]}
     assert v.schema_diff(a, a).count() == 0
+
+
+def test_the_copy_of_a_query_is_dealt_by_size(spark, sf, monkeypatch):
+    """A fixed number of tasks would let each grow with the table."""
+    import __spark_entry__ as entry
+    from tablebridge.queries import comparison
+
+    seen = []
+    monkeypatch.setattr(comparison.v, "verify_copy", lambda a, b: seen.append(b) or a)
+    entry.queries()["verify_copy_equal"](spark, sf)
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and "REPARTITION_BY_NUM" not in plan
