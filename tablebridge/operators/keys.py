@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -19,43 +18,16 @@ def discover_foreign_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, st
                           columns: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Inclusion dependencies: columns whose every value occurs in some table's key.
 
-    ``keys`` names one key column per referenced table. Values are reduced to
-    distinct (column, value) first, then each value carries the set of columns
-    it occurs in; the few distinct sets are counted before any pair is
-    formed, so the work after the second aggregation does not grow with the
-    tables. Integer and text columns are compared within their own class.
+    ``keys`` names one key column per referenced table. Integer and text columns
+    are compared within their own class, as whole inclusions of one column.
     """
-    def family(data_type: T.DataType) -> str | None:
-        if isinstance(data_type, T.IntegralType):
-            return "integer"
-        return "text" if isinstance(data_type, T.StringType) else None
-
-    parts, wanted = [], []
-    for table, df in tables.items():
-        for f in df.schema.fields:
-            kind = family(f.dataType)
-            if kind is None or (columns is not None and f.name not in columns.get(table, ())
-                                and keys.get(table) != f.name):
-                continue
-            name = f"{table}.{f.name}"
-            wanted.append(name)
-            parts.append((df, F.struct(F.lit(name).alias("c"), F.lit(kind).alias("k"),
-                                       col(f.name).cast("string").alias("v"))))
-    by_table: dict[int, tuple[DataFrame, list[Column]]] = {}
-    for df, item in parts:
-        by_table.setdefault(id(df), (df, []))[1].append(item)
-    cells = reduce(DataFrame.unionAll, [df.select(F.inline(F.array(*items))) for df, items in by_table.values()])
-    distinct = cells.where(F.col("v").isNotNull()).distinct()
-    sets = (distinct.groupBy("k", "v").agg(F.array_sort(F.collect_set("c")).alias("cs"))
-            .groupBy("cs").agg(F.count(F.lit(1)).alias("n")))
-    key_names = [f"{t}.{c}" for t, c in keys.items()]
-    target = F.explode(F.filter("cs", lambda x: x.isin(*key_names)))
-    pairs = (sets.withColumn("col_name", F.explode("cs")).withColumn("ref_name", target)
-             .where("col_name <> ref_name").groupBy("col_name", "ref_name").agg(F.sum("n").alias("shared")))
-    sizes = (sets.withColumn("col_name", F.explode("cs")).groupBy("col_name")
-             .agg(F.sum("n").alias("distinct_values")))
-    return (pairs.join(sizes, "col_name").where("shared = distinct_values")
-            .select("col_name", "ref_name", "distinct_values"))
+    def wanted(table: str, f: T.StructField) -> bool:
+        chosen = columns is None or f.name in columns.get(table, ()) or keys.get(table) == f.name
+        return chosen and isinstance(f.dataType, (T.IntegralType, T.StringType))
+
+    compared = {t: df.select(*[col(f.name) for f in df.schema.fields if wanted(t, f)]) for t, df in tables.items()}
+    found = discover_inclusions(compared, references={t: [c] for t, c in keys.items()})
+    return found.select(F.col("col_names").alias("col_name"), F.col("ref_names").alias("ref_name"), "distinct_values")
 
 
 def assign_identity(df: DataFrame, column: str, order_by: Sequence[str], identity: Identity = Identity()) -> DataFrame:

@@ -301,6 +301,14 @@ def test_discovery(spark, parent, child):
     assert rows(found) == [("child.parent_id", "parent.id", 2)]
 
 
+def test_columns_out_of_range_move_no_values(spark, monkeypatch):
+    shared = []
+    monkeypatch.setattr(discovery, "_shared", lambda t, pairs, own=discovery._shared: shared.append(pairs) or own(t, pairs))
+    tables = {"p": spark.range(10).selectExpr("id", "'x' AS name"), "c": spark.range(5).selectExpr("id AS p_id", "id + 100 AS far", "1.5D AS ratio")}
+    assert rows(k.discover_foreign_keys(tables, {"p": "id"})) == [("c.p_id", "p.id", 5)]
+    assert {i.label() for pairs in shared for pair in pairs for i in pair} == {"c.p_id", "p.id"}
+
+
 def test_identity(spark):
     df = spark.createDataFrame([("c", None), ("a", 4), ("b", None)], "name string, id int")
     out = {x.name: x.id for x in k.assign_identity(df, "id", ["name"], m.Identity("by_default", 1, 3)).collect()}
