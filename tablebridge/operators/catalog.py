@@ -8,12 +8,14 @@ scoped relations by semi-joins before they are aggregated.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, GroupedData, functions as F
 
 from tablebridge.model import ReflectionError
-from tablebridge.operators.typemap import computed, map_mysql_types, map_pg_types, pg_type_names
+from tablebridge.operators.typemap import computed, map_mysql_types, map_pg_types, pg_type_names, pg_type_schemas
+from tablebridge.session import stage
 
 TABLE_KEY = ["source_id", "schema_name", "table_name"]
 
@@ -99,6 +101,56 @@ def _user_schema(name: Column) -> Column:
     return keep
 
 
+def scoped(cat: Catalog, scope: Scope) -> Catalog:
+    """A catalogue that holds what reflections of ``scope`` read, references to other schemas included.
+
+    Each snapshot is reduced by ids that were written before, so that Spark knows how few they are
+    and leaves the large side where it is. An engine's names filter MySQL's views without ids.
+    """
+    if scope == ALL or isinstance(cat, MysqlCatalog):
+        return cat
+    named = stage(scope.of(cat.namespace, "nspname").select("source_id", F.col("oid").alias("relnamespace"), F.col("nspname").alias("schema_name")).distinct(), "scope-named")
+    spaces = _ids(named, "relnamespace")
+    kinds = scope.of(cat.class_, None, "relname").where("relkind NOT IN ('i', 'I')")
+    owners = stage(kinds.join(named, ["source_id", "relnamespace"]).select("source_id", F.col("oid").alias("attrelid"), "schema_name").distinct(), "scope-relations")
+    relations = _ids(owners, "attrelid")
+    constraint = _written(cat.constraint, "scope-constraints", ("conrelid", relations))
+    index = _written(cat.index, "scope-indexes", ("indrelid", relations))
+    trigger = _written(cat.trigger, "scope-triggers", ("tgrelid", relations))
+    inherits = _written(cat.inherits, "scope-inherits", ("inhrelid", relations))
+    tables = [relations] if constraint is None else [relations, _ids(constraint, "confrelid")]
+    attribute = _written(cat.attribute, "scope-attributes", ("attrelid", *tables))
+    others = [_ids(df, name) for df, name in ((inherits, "inhparent"), (index, "indexrelid")) if df is not None]
+    class_ = _written(cat.class_, "scope-classes", ("oid", *tables, *others))
+    enum, type_, proc, typed = cat.enum, cat.type_, cat.proc, [spaces]
+    if type_ is not None:
+        names = stage(pg_type_schemas(attribute.join(owners, ["source_id", "attrelid"])).withColumnRenamed("schema_name", "nspname"), "scope-type-schemas")
+        typed.append(stage(_ids(cat.namespace.join(names, ["source_id", "nspname"], "left_semi")), "scope-type-namespaces"))
+        type_ = _written(type_, "scope-types", ("typnamespace", *typed))
+        enum = _written(enum, "scope-enums", ("enumtypid", _ids(type_)))
+    if proc is not None:
+        called = stage(_ids(_having(proc, ("pronamespace", spaces))), "scope-own-functions")
+        proc = _written(proc, "scope-functions", ("oid", *([called] if trigger is None else [called, _ids(trigger, "tgfoid")])))
+    namespace = _written(cat.namespace, "scope-schemas", ("oid", *typed, _ids(class_, "relnamespace")))
+    return replace(cat, namespace=namespace, class_=class_, attribute=attribute, constraint=constraint, index=index, trigger=trigger,
+                   inherits=inherits, enum=enum, type_=type_, proc=proc)
+
+
+def _ids(df: DataFrame, column: str = "oid") -> DataFrame:
+    return df.select("source_id", F.col(column).alias("oid")).where("oid IS NOT NULL").distinct()
+
+
+def _having(df: DataFrame, wanted: tuple) -> DataFrame:
+    """Rows whose column, the first of ``wanted``, holds an id of one of the frames behind it."""
+    column, *frames = wanted
+    ids = reduce(DataFrame.union, frames).withColumnRenamed("oid", column)
+    return df.join(ids, ["source_id", column], "left_semi")
+
+
+def _written(df: DataFrame | None, label: str, wanted: tuple) -> DataFrame | None:
+    return None if df is None else stage(_having(df, wanted), label)
+
+
 def reflect_schemas(cat: Catalog) -> DataFrame:
     """Namespaces that are not the engine's own."""
     if isinstance(cat, PgCatalog):
@@ -542,6 +594,7 @@ def assemble_catalog(cat: Catalog, scope: Scope = ALL) -> DataFrame:
     schemas are never nested into a row, they stay grouped by their name
     columns.
     """
+    cat = scoped(cat, scope)
     tables = reflect_tables(cat, scope)
     if scope.table is not None and tables.isEmpty():
         raise ReflectionError(f"table {scope.schema}.{scope.table} not found")

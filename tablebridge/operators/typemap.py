@@ -142,6 +142,16 @@ def pg_type_names(columns: DataFrame, native: str = "native_type") -> DataFrame:
     return _pg_parts(columns, native).select("source_id", F.substring_index(bare, ".", -1).alias("type_name")).distinct()
 
 
+def _type_schema(bare: Column) -> Column:
+    return F.when(F.contains(bare, F.lit(".")), F.substring_index(bare, ".", 1)).otherwise(F.col("schema_name"))
+
+
+def pg_type_schemas(columns: DataFrame, native: str = "native_type") -> DataFrame:
+    """The distinct schemas (source_id, schema_name) in which types of columns are looked up."""
+    bare = F.replace(F.col("_name"), F.lit('"'), F.lit(""))
+    return _pg_parts(columns, native).select("source_id", _type_schema(bare).alias("schema_name")).distinct()
+
+
 def map_pg_types(columns: DataFrame, enum_labels: DataFrame | None = None, native: str = "native_type",
                  name: str = "t") -> DataFrame:
     """Add the canonical struct of each PostgreSQL type.
@@ -153,8 +163,7 @@ def map_pg_types(columns: DataFrame, enum_labels: DataFrame | None = None, nativ
     if enum_labels is None:
         return _pg_struct(parts.withColumn("_labels", F.lit(None).cast("array<string>")), name)
     bare = F.replace(F.col("_name"), F.lit('"'), F.lit(""))
-    dotted = F.contains(bare, F.lit("."))
-    schema = F.when(dotted, F.substring_index(bare, ".", 1)).otherwise(F.col("schema_name"))
+    schema = _type_schema(bare)
     builtin = F.col("_name").isin(*PG_NAMES) | F.regexp_like(F.col("_name"), F.lit(PG_TIMED_OR_BIT))
     # Built-in types match no label; the table name spreads them over the join's
     # partitions, where their few type names in a large schema would pile up.

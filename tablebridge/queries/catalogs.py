@@ -412,7 +412,8 @@ def _reflected_sql() -> str:
 @query("reflect_schema_scope", _reflected_sql())
 def reflected_schema(spark, d):
     """Columns, keys and indexes of one schema; attributes and indexes of others are not aggregated."""
-    cat, scope = pg_catalog(spark, d), c.Scope(_SCHEMA)
+    scope = c.Scope(_SCHEMA)
+    cat = c.scoped(pg_catalog(spark, d), scope)
     frames = {"columns": c.reflect_columns(cat, scope), "primary_key": _joined(c.reflect_primary_keys(cat, scope), "columns"),
               "foreign_keys": _joined(c.reflect_foreign_keys(cat, scope), "columns", "referenced_columns"),
               "indexes": _index_text(c.reflect_indexes(cat, scope))}

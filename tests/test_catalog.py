@@ -176,6 +176,24 @@ def test_scopes_filter_before_aggregation(spark, pg):
     assert {r.type_name for r in c._labels_for(cat, scope, c.reflect_columns(cat, scope)).collect()} == {"color"}
 
 
+def test_a_scoped_catalogue_holds_what_the_scope_reads(spark, pg):
+    """Rows of the scope and of what it refers to stay, others go, and all reflections of the scope find the same."""
+    types = spark.createDataFrame([("s", 40, "color", 3), ("s", 41, "color", 1), ("s", 43, "color", 2)], "source_id string, oid long, typname string, typnamespace long")
+    labels = spark.createDataFrame([("s", 40, "red", 1.0), ("s", 41, "blue", 1.0), ("s", 43, "x", 1.0)], "source_id string, enumtypid long, enumlabel string, enumsortorder float")
+    attribute = pg.attribute.withColumn("native_type", F.when(F.col("attname") == "code", "pg_toast_9.color[]").when(F.col("attname") == "parent_id", "color").otherwise(F.col("native_type")))
+    cat = replace(pg, type_=types, enum=labels, attribute=attribute)
+    for scope in (c.Scope("app", "child"), c.Scope("app")):
+        own = c.scoped(cat, scope)
+        for reflect in (c.reflect_tables, c.reflect_columns, c.reflect_primary_keys, c.reflect_foreign_keys, c.reflect_unique_constraints, c.reflect_check_constraints,
+                        c.reflect_exclusion_constraints, c.reflect_indexes, c.reflect_triggers, c.reflect_views, c.reflect_functions, c.reflect_enums):
+            assert sorted(map(str, reflect(own, scope).collect())) == sorted(map(str, reflect(cat, scope).collect())), (scope, reflect)
+    own = c.scoped(cat, c.Scope("app", "child"))
+    assert {(r.source_id, r.attrelid) for r in own.attribute.collect()} == {("s", 10), ("s", 11)}
+    assert {(r.source_id, r.oid) for r in own.class_.collect()} == {("s", 10), ("s", 11), ("s", 20)}
+    assert {r.enumtypid for r in own.enum.collect()} == {40, 41}
+    assert c.scoped(cat, c.ALL) is cat
+
+
 def test_missing_snapshots_read_as_empty(pg):
     bare = c.PgCatalog(pg.namespace, pg.class_, pg.attribute)
     for reflect in (c.reflect_primary_keys, c.reflect_foreign_keys, c.reflect_unique_constraints, c.reflect_check_constraints, c.reflect_exclusion_constraints,
