@@ -304,6 +304,10 @@ def assembled(spark, d):
                       F.size("triggers").alias("triggers"), "partition_key")
 
 
+# The views that an assembled row is made of, besides those of tables and columns.
+_MY_PARTS = ("statistics", "key_column_usage", "referential_constraints", "table_constraints", "check_constraints", "triggers")
+
+
 @query("assemble_catalog_mysql", oracle(MYSQL, """
 SELECT x.source_id, x.table_schema AS schema_name, x.table_name, (SELECT coalesce(string_agg(column_name, ',' ORDER BY ordinal_position), '') FROM my_columns m
   WHERE m.source_id = x.source_id AND m.table_schema = x.table_schema AND m.table_name = x.table_name) AS columns,
@@ -313,7 +317,7 @@ SELECT x.source_id, x.table_schema AS schema_name, x.table_name, (SELECT coalesc
 FROM my_tables x LEFT JOIN k ON k.source_id = x.source_id AND 't_' || k.rel = x.table_name AND 'app_' || k.custkey = x.table_schema
 LEFT JOIN parents p ON p.source_id = k.source_id AND p.custkey = k.custkey WHERE x.table_type = 'BASE TABLE' AND x.table_schema <> 'mysql'"""))
 def assembled_mysql(spark, d):
-    cat = c.assemble_catalog(mysql_catalog(spark, d))
+    cat = c.assemble_catalog(mysql_catalog(spark, d, _MY_PARTS))
     return cat.select("source_id", "schema_name", "table_name", F.array_join(F.transform("columns", lambda x: x["column_name"]), ",").alias("columns"),
                       F.array_join("primary_key.columns", ",").alias("primary_key"), F.size("foreign_keys").alias("foreign_keys"),
                       F.size("unique_constraints").alias("uniques"), F.size("check_constraints").alias("checks"), F.size("indexes").alias("indexes"),
@@ -391,12 +395,12 @@ def assembled_table(spark, d):
 
 @query("assemble_catalog_schema_mysql", _scoped_sql("mysql", False))
 def assembled_schema_mysql(spark, d):
-    return _part_texts(c.assemble_catalog(mysql_catalog(spark, d), c.Scope(_SCHEMA)))
+    return _part_texts(c.assemble_catalog(mysql_catalog(spark, d, _MY_PARTS), c.Scope(_SCHEMA)))
 
 
 @query("assemble_catalog_table_mysql", _scoped_sql("mysql", True))
 def assembled_table_mysql(spark, d):
-    return _part_texts(c.assemble_catalog(mysql_catalog(spark, d), _one_table(spark, d)))
+    return _part_texts(c.assemble_catalog(mysql_catalog(spark, d, _MY_PARTS), _one_table(spark, d)))
 
 
 def _reflected_sql() -> str:

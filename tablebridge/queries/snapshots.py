@@ -186,8 +186,8 @@ def _pg_catalog(spark: SparkSession, d: str, application: str, names: tuple[str,
 
 
 @lru_cache
-def _mysql_catalog(spark: SparkSession, d: str, application: str) -> MysqlCatalog:
-    return MysqlCatalog(**{name: _frame(spark, d, body) for name, body in MYSQL.items()})
+def _mysql_catalog(spark: SparkSession, d: str, application: str, names: tuple[str, ...]) -> MysqlCatalog:
+    return MysqlCatalog(**{name: _frame(spark, d, body) for name, body in MYSQL.items() if not names or name in ("tables", "columns", *names)})
 
 
 def pg_catalog(spark: SparkSession, d: str, names: tuple[str, ...] = (), live: tuple[str, ...] = ()) -> PgCatalog:
@@ -195,5 +195,6 @@ def pg_catalog(spark: SparkSession, d: str, names: tuple[str, ...] = (), live: t
     return _pg_catalog(spark, d, spark.sparkContext.applicationId, names, live)
 
 
-def mysql_catalog(spark: SparkSession, d: str) -> MysqlCatalog:
-    return _mysql_catalog(spark, d, spark.sparkContext.applicationId)
+def mysql_catalog(spark: SparkSession, d: str, names: tuple[str, ...] = ()) -> MysqlCatalog:
+    """All views, or the two that every reflection needs and those of ``names``."""
+    return _mysql_catalog(spark, d, spark.sparkContext.applicationId, names)

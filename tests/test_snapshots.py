@@ -25,6 +25,19 @@ def test_queries_write_only_what_they_read_twice(spark, own, name, written):
     assert set(snapshots._STAGED[spark.sparkContext.applicationId, own]) == written
 
 
+@pytest.mark.parametrize("name", ["assemble_catalog_schema", "reflect_schema_scope"])
+def test_a_scope_shuffles_no_large_snapshot(spark, own, name):
+    """All that a scope joins has been reduced to it: no plan reads the staged base frames any more."""
+    plan = QUERIES[name](spark, own)._jdf.queryExecution().optimizedPlan()
+    read = [str(plan.collectLeaves().apply(i).relation().location()) for i in range(plan.collectLeaves().size()) if "Relation" in plan.collectLeaves().apply(i).nodeName()]
+    assert read and not [x for x in read if any(f"/{base}-" in x for base in ("att", "k", "parents"))] and not [x for x in read if "lineitem" in x or "orders" in x]
+
+
+def test_assembling_mysql_leaves_out_what_it_does_not_read(spark, own):
+    entry.queries()["assemble_catalog_schema_mysql"](spark, own)
+    assert set(snapshots._STAGED[spark.sparkContext.applicationId, own]) == {"att", "k", "parents"}
+
+
 def test_lines_are_shuffled_once(spark, own):
     lines = snapshots._base(spark, own, {"att"}, ("att",))["att"]._jdf.queryExecution().executedPlan().toString()
     assert lines.count("Exchange hashpartitioning(l_orderkey") == 1 and "hashpartitioning(l_orderkey#" in lines
