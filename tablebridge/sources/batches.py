@@ -38,8 +38,10 @@ def _staged_order(df: DataFrame, order_by: Sequence[str], label: str) -> DataFra
     """The rows in ranges of ``order_by``, written once, with ``_place``: their range and place in it."""
     require_columns(df, order_by)
     keys = [col(c) for c in order_by]
+    # By number, or Spark would join ranges up to a size as shuffled: millions of copies, which take little there, in one sort.
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = (with_tie_break(df)
-              .repartitionByRange(*keys, *tie_columns())
+              .repartitionByRange(ranges, *keys, *tie_columns())
               .sortWithinPartitions(*keys, *tie_columns())
               .drop(*tie_columns())
               .withColumn("_place", F.monotonically_increasing_id()))
@@ -50,7 +52,8 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_index")
     """Consecutive 0-based numbers in the order of ``order_by``.
 
     One range shuffle sorts the rows; its ranges also split on a tie break,
-    so a key held by a third of the rows still spreads over many tasks. The
+    so a key held by a third of the rows still spreads over many tasks, and are
+    as many as the session's shuffle partitions. The
     sorted rows are staged once with their place in their range, which fixes
     the ranges for good; a second pass reads the places alone and gives each
     range its offset. The offset frame has one row per range.
@@ -62,7 +65,8 @@ def number_rows(df: DataFrame, order_by: Sequence[str], name: str = "row_index")
     # One row per shuffle partition: the window runs over that many rows.
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
-    return (staged.withColumn("_part", part).join(offsets, "_part")
+    # Rows find the offset of their range where they are: a shuffle by range would gather ranges, long ones of copies too, in sorts.
+    return (staged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
             .withColumn(name, F.col("_offset") + local)
             .drop("_part", "_place", "_offset"))
 

@@ -3,10 +3,12 @@ import decimal
 import math
 import uuid
 
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from tablebridge import session
 from tablebridge.model import QueryError, UnsupportedError
 from tablebridge.sources import scan, tileindex, tiles
 from tablebridge.sources.batches import batch_rows, number_rows, running_sum, tie_columns, with_tie_break
@@ -290,3 +292,26 @@ def test_copies_of_one_row_spread_over_tasks(spark):
 def test_batch_size_is_checked(opts):
     with pytest.raises(QueryError):
         batch_rows(opts, ["id"], 0)
+
+
+def test_numbered_rows_are_not_gathered_by_range(spark):
+    """The second pass adds offsets where the rows are: it neither shuffles nor sorts them."""
+    copies = spark.range(3000).select(F.expr("CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the rows were many
+    try:
+        out = batch_rows(copies, ["k"], 500)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
+    rows = sorted((r.row_index, r.k, r.batch_id) for r in out.collect())
+    assert rows == [(i, k, i // 500) for i, k in enumerate(sorted(r.k for r in copies.collect()))]
+
+
+def test_ranges_of_copies_are_not_joined(spark, tmp_path, monkeypatch):
+    """Copies shrink in a shuffle, so their ranges look small; each is still sorted by a task of its own."""
+    monkeypatch.setattr(session, "staging_path", lambda spark, label: f"{tmp_path}/{label}")
+    copies = spark.range(0, 80_000, 1, 4).select(F.lit(7).alias("k"))
+    assert sorted(r.row_index for r in number_rows(copies, ["k"]).collect()) == list(range(80_000))
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in tmp_path.glob("numbered/*.parquet")]
+    assert sum(sizes) == 80_000 and max(sizes) <= 40_000
