@@ -115,6 +115,21 @@ def test_overlap_pairs_against_brute_force(spark, monkeypatch, seed):
         c.overlap_pairs(df, ["k"], "lo", "hi", ["zz"])
 
 
+def test_overlapping_rows_go_to_few_blocks(spark):
+    """Rows that all overlap are sent to blocks in proportion to the rows, not to the pairs."""
+    n = 3_000
+    df = spark.range(n).selectExpr("id", "'k' AS k", "id % 7 AS lo", "100 + id AS hi")
+    ranked = c.overlap_ranks(df, ["k"], "lo", "hi", ["id"])
+    sent = c.to_blocks(ranked, [F.col("id")], c.block_size(ranked))
+    assert sent.count() <= 6 * n
+    out = c.overlap_pairs(df, ["k"], "lo", "hi", ["id"], ["id"])
+    assert out.count() == out.distinct().count() == n * (n - 1) // 2
+    assert out.where("(second_id % 7, second_id) <= (first_id % 7, first_id)").isEmpty()
+    few = df.where("id < 100").withColumn("hi", F.expr("lo + 1"))
+    assert c.block_size(c.overlap_ranks(few, ["k"], "lo", "hi", ["id"])) == c.BLOCK
+    assert c.block_size(c.overlap_ranks(few.where("id < 0"), ["k"], "lo", "hi", ["id"])) == c.BLOCK
+
+
 def action(name, update=False):
     return m.ForeignKey("fk", ["parent_id"], "parent", ["id"], **({"on_update": name} if update else {"on_delete": name}))
 
