@@ -13,6 +13,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from edges import LONG, PLAIN, ROWS, edge_docs, frame, no_docs, prose, rows_of
 from oracle import compare
 from tablebridge.llm import boosting, bpe, char_cnn, intervals, licenses, pii, quality_rules, secrets, simple8b, token_files
@@ -399,6 +400,52 @@ def test_the_threshold_keeps_the_recall(spark, monkeypatch):
     assert len(p) == 200 and (p < 0.9).any() and (p >= threshold).mean() > 0.95
 
 
+@pytest.mark.parametrize("step", [secrets.train, lambda docs: corpus_pipeline.without_secrets(docs.sparkSession, docs, "")])
+def test_every_document_teaches_the_secret_scan(spark, monkeypatch, step):
+    """All of 20,400 documents, and all their candidates, not some of them."""
+    monkeypatch.setattr(secrets, "MAX_PER_CLASS", 40)
+    monkeypatch.setattr(secrets, "SHARD", 4_000)
+    calibrated, rounds, real, go_on = [], [], secrets.calibrate, secrets.next_round
+    monkeypatch.setattr(secrets, "calibrate", lambda steps: calibrated.append(steps) or real(steps))
+    monkeypatch.setattr(secrets, "next_round", lambda found, net, shards: rounds.append((found.count(), shards)) or go_on(found, net, shards))
+    texts = [f"{i} ordinarywords{' token = ' + hashlib.md5(str(i).encode()).hexdigest() if i % 200 == 0 else ''}" for i in range(20_400)]
+    step(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    # a word of each text, and a value in each 200th
+    held = [i for i, t in enumerate(texts) if hashlib.md5(t.encode()).digest()[0] % 4 == 0]
+    findings = sum(i % 200 == 0 for i in held)
+    assert sum(n for _, n, _ in calibrated[0]) == len(held) + findings and sum(right for *_, right in calibrated[0]) == findings
+    learned = 20_400 + 102 - len(held) - findings
+    assert rounds == [(learned, -(-learned // 4_000))] * secrets.ROUNDS
+
+
+def test_a_round_takes_the_mean_of_all_shards(spark, monkeypatch):
+    monkeypatch.setattr(char_cnn, "descend", lambda net, x, y, split, epochs, rate: [p + y.sum() / len(y) for p in net])
+    rows = [(i % 5, int(i % 9 == 0), f"seen {i}") for i in range(500)]
+    net = secrets.next_round(spark.createDataFrame(rows, "fold int, y int, seen string"), char_cnn.start(), 7)
+    share = sum(y for _, y, _ in rows) / len(rows)
+    assert all(np.allclose(a, b + share) and a.shape == b.shape for a, b in zip(net, char_cnn.start(), strict=True))
+
+
+def test_the_network_is_the_same_however_the_rows_are_dealt(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "MAX_PER_CLASS", 100)
+    monkeypatch.setattr(secrets, "SHARD", 300)
+    docs, _ = keyed_docs(spark)
+    one, other = secrets.train(docs.repartition(1)), secrets.train(docs.repartition(7))
+    assert one[1:] == other[1:] and all((a == b).all() for a, b in zip(one[0], other[0], strict=True))
+
+
+@pytest.mark.parametrize("slope", [1, -1])
+def test_the_threshold_by_counted_steps(slope):
+    r = np.random.default_rng(3)
+    y = (np.arange(3_000) % 3 == 0).astype(int)
+    margin = slope * np.clip(r.normal(4 * y - 2, 2), -30, 30)
+    steps = np.floor(margin * secrets.STEPS).astype(int)
+    got = secrets.calibrate([(int(s), int((steps == s).sum()), int(y[steps == s].sum())) for s in np.unique(steps)])
+    p = boosting.sigmoid(got[0] * margin + got[1])
+    exact = np.sort(p[y == 1])[int((1 - secrets.RECALL) * y.sum())]
+    assert got[0] * slope > 0 and (p[y == 1] >= got[2]).mean() >= secrets.RECALL and exact - 0.01 < got[2] <= exact
+
+
 def test_redaction(spark, secret_model):
     key = hashlib.sha1(b"y").hexdigest()
     docs = frame(spark, [(1, f'my token = "{key}" here'), (2, PLAIN), (3, None), (4, "")])
